@@ -4,11 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.common import read_table
 from lectern.llm.exact_dedup import exact_dedup
+from lectern.llm.language_id import fit, language_of
+from lectern.llm.near_dedup import near_dedup
+
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles FROM w
+), one AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), link AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM one a JOIN one b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (SELECT x, y FROM link UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x
+), least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id, doc_id <= coalesce(y, doc_id) AS kept
+FROM sets LEFT JOIN least ON x = doc_id
+"""
 
 OP4_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
@@ -23,9 +41,28 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _held_out() -> Column:
+    """Never true or false by another column than doc_id; null ids are neither learned from nor held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~_held_out()).select(F.col("doc_id").alias("id"), "text", "lang"))
+    found = docs.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), language_of(docs, F.col("text"), model).alias("l"))
+    return found.select("doc_id", "held_out", F.col("l.lang").alias("lang_pred"), F.col("l.score").alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op9_language_id": op9_language_id,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op3_minhash_near_dedup": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
 }
