@@ -44,7 +44,7 @@ def shingle_set(text: str | None, words: WordHashes) -> np.ndarray:
         return np.empty(0, np.uint64)
     w = np.fromiter(map(words.__getitem__, found), np.uint64, n)
     if n < WIDTH:
-        return mixed(np.array([(w * _WEIGHTS[:n]).sum() + np.uint64(n) * _SHORT], np.uint64))
+        return mixed((w * _WEIGHTS[:n]).sum(keepdims=True) + np.full(1, n, np.uint64) * _SHORT)
     h = w[: n - WIDTH + 1] * _WEIGHTS[0]
     for i in range(1, WIDTH):
         h += w[i : n - WIDTH + 1 + i] * _WEIGHTS[i]
