@@ -46,10 +46,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         salts = spark.createDataFrame(hot, "sha string, salts int")
         totals = rows.join(F.broadcast(salts), "sha").groupBy("sha").agg(F.min("id").alias("all_min"), F.count("*").alias("all_n"))
         rows = rows.join(F.broadcast(salts), "sha", "left").withColumn("salt", F.coalesce(F.expr("pmod(xxhash64(id), salts)").cast("int"), F.lit(0)))
-    else:
-        rows = rows.withColumn("salt", F.lit(0))
 
-    key = ["head", "sha", "salt"]
+    key = ["head", "sha", "salt"] if hot else ["head", "sha"]
     rows = rows.withColumn("head", F.left("norm", F.lit(HEAD_CHARS)))
     if text_col in keep:  # the text is shuffled once and normalised again
         ranged = rows.drop("norm").repartitionByRange(n, *key).withColumn("norm", normalised(F.col(f"row.`{text_col}`").cast("string")))
