@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from lectern.llm.common import read_table
 from lectern.llm.exact_dedup import exact_dedup
 from lectern.llm.language_id import fit, language_of
+from lectern.llm.mixing import mix
 from lectern.llm.near_dedup import near_dedup
+from lectern.llm.sentence_pieces import decode, encode
 
 OP3_SQL = r"""
 WITH RECURSIVE w AS (
@@ -40,11 +42,55 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select(F.col("row.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
+OP6_SQL = r"""
+WITH d AS (
+    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
+), s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r FROM d GROUP BY source
+), w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][CAST(r % 3 + 1 AS INT)] AS weight, [1.0::DOUBLE, 0.0::DOUBLE, -1.0::DOUBLE][CAST(r % 3 + 1 AS INT)] AS slope, sum(source_size) OVER () AS all_size FROM s
+), f AS (
+    SELECT *, sum(source_size) OVER o - source_size AS size_before, sum(weight) OVER o - weight AS weight_before, sum(weight) OVER () AS all_weight
+    FROM w WINDOW o AS (ORDER BY source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+), c AS (
+    SELECT *, 2.0::DOUBLE * source_size <= (1.5::DOUBLE * all_size - 2.0::DOUBLE * size_before) * weight / (all_weight - weight_before) AS capped FROM f
+), l AS (SELECT coalesce(sum(source_size) FILTER (capped), 0) AS capped_size, coalesce(sum(weight) FILTER (NOT capped), 0) AS open_weight FROM c
+), t AS (
+    SELECT source, source_size, slope, CASE WHEN capped THEN 2.0::DOUBLE * source_size ELSE (1.5::DOUBLE * all_size - 2.0::DOUBLE * capped_size) * weight / open_weight END AS target FROM c, l
+), p AS (
+    SELECT d.*, t.source_size, t.slope, t.target, CAST(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS first
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), k AS (
+    SELECT *, least(greatest(CAST(floor(target) AS BIGINT) - first, 0), size) AS one, least(greatest(CAST(floor(target) AS BIGINT) - first - source_size, 0), size) AS two FROM p
+)
+SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
+    CASE WHEN one > 0 THEN round(least(1.0::DOUBLE, 2 * (first / target) / (1 - slope / 2 + sqrt((1 - slope / 2) * (1 - slope / 2) + 2 * slope * (first / target)))), 9) END AS position
+FROM k
+"""
+
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", F.round(F.try_element_at("positions", F.lit(1)), 9).alias("position"))
+
+
+def model_file(spark: SparkSession) -> str:
+    """The SentencePiece vocabulary to use."""
+    return spark.conf.get("lectern.llm.sentencepiece_model", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of each document's pieces, and whether they decode to the text (marks count as blanks)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("plain", F.sha2(F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" ")), 256))
+    found = encode(docs, model_file(spark), keep=["doc_id", "plain"])
+    found = found.select("row.*", "ids", "n_chunks", decode("ids", spark, model_file(spark)).alias("decoded"))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "n_chunks", (F.sha2("decoded", 256) == F.col("plain")).alias("round_trip"))
+
+
 def _held_out() -> Column:
     """Never true or false by another column than doc_id; null ids are neither learned from nor held out."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -60,9 +106,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_mix_sources": op6_mix_sources,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op9_language_id": op9_language_id,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_minhash_near_dedup": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
+    "op6_mix_sources": OP6_SQL,
 }
