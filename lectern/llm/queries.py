@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import read_table
+from lectern.llm.common import new_path, read_table
 from lectern.llm.exact_dedup import exact_dedup
 from lectern.llm.language_id import fit, language_of
 from lectern.llm.mixing import mix
 from lectern.llm.near_dedup import near_dedup
 from lectern.llm.sentence_pieces import decode, encode
+from lectern.llm.warc import read_warc, write_warc
+
+OP2_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages
+), h AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS head FROM p
+), v AS (SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || substr(hex, CAST(i * 5 + 1 AS INT), 5) AS INT)) AS quints FROM h
+)
+SELECT page_id, payload_bytes,
+    array_to_string(list_transform(quints, lambda x: array_to_string(list_transform([15, 10, 5, 0], lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> b) & 31 AS INT) + 1, 1)), '')), '') AS payload_digest,
+    CASE WHEN page_id = head OR head IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> head THEN head END AS refers_to
+FROM v
+"""
 
 OP3_SQL = r"""
 WITH RECURSIVE w AS (
@@ -68,6 +81,12 @@ FROM k
 """
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "warc")
+    write_warc(read_table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -104,6 +123,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_mix_sources": op6_mix_sources,
@@ -111,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc": OP2_SQL,
     "op3_minhash_near_dedup": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op6_mix_sources": OP6_SQL,
