@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import new_path, read_table
 from lectern.llm.exact_dedup import exact_dedup
+from lectern.llm.fingerprints import edit_fingerprints
 from lectern.llm.language_id import fit, language_of
 from lectern.llm.mixing import mix
 from lectern.llm.near_dedup import near_dedup
@@ -81,6 +82,11 @@ FROM k
 """
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edit_fingerprints(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "warc")
     write_warc(read_table(spark, sf_dir, "pages"), folder)
@@ -123,6 +129,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_warc": op2_warc,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
