@@ -13,7 +13,9 @@ from lectern.llm.fingerprints import edit_fingerprints
 from lectern.llm.language_id import fit, language_of
 from lectern.llm.mixing import mix
 from lectern.llm.near_dedup import near_dedup
+from lectern.llm.secrets import secret_spans
 from lectern.llm.sentence_pieces import decode, encode
+from lectern.llm.spans import base_only, count_of, spelled
 from lectern.llm.warc import read_warc, write_warc
 
 OP2_SQL = r"""
@@ -116,6 +118,16 @@ def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "n_chunks", (F.sha2("decoded", 256) == F.col("plain")).alias("round_trip"))
 
 
+def _span_digest(docs: DataFrame, spans: Column, kinds: tuple[str, ...]) -> DataFrame:
+    found = docs.select("doc_id", spans.alias("s"))
+    return found.select("doc_id", *[count_of(F.col("s"), k).alias(f"n_{k}") for k in kinds], F.sha2(spelled(base_only(F.col("s"))), 256).alias("base_sha256"), spelled(F.col("s")).alias("spans"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return _span_digest(docs, secret_spans(docs, F.col("text")), ("assign", "access", "hex"))
+
+
 def _held_out() -> Column:
     """Never true or false by another column than doc_id; null ids are neither learned from nor held out."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -135,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_sentence_pieces": op7_sentence_pieces,
+    "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
 }
 ORACLE_SQL: dict[str, str] = {
