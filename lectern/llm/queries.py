@@ -13,6 +13,7 @@ from lectern.llm.fingerprints import edit_fingerprints
 from lectern.llm.language_id import fit, language_of
 from lectern.llm.mixing import mix
 from lectern.llm.near_dedup import near_dedup
+from lectern.llm.pii import pii_spans
 from lectern.llm.secrets import secret_spans
 from lectern.llm.sentence_pieces import decode, encode
 from lectern.llm.spans import base_only, count_of, spelled
@@ -123,6 +124,11 @@ def _span_digest(docs: DataFrame, spans: Column, kinds: tuple[str, ...]) -> Data
     return found.select("doc_id", *[count_of(F.col("s"), k).alias(f"n_{k}") for k in kinds], F.sha2(spelled(base_only(F.col("s"))), 256).alias("base_sha256"), spelled(F.col("s")).alias("spans"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return _span_digest(docs, pii_spans(docs, F.col("text")), ("email", "ip", "card", "phone"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return _span_digest(docs, secret_spans(docs, F.col("text")), ("assign", "access", "hex"))
@@ -145,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_pii": op5_pii,
     "op6_mix_sources": op6_mix_sources,
     "op7_sentence_pieces": op7_sentence_pieces,
     "op8_secrets": op8_secrets,
