@@ -11,6 +11,7 @@ from lectern.llm.common import new_path, read_table
 from lectern.llm.exact_dedup import exact_dedup
 from lectern.llm.fingerprints import edit_fingerprints
 from lectern.llm.language_id import fit, language_of
+from lectern.llm.line_dedup import line_dedup
 from lectern.llm.mixing import mix
 from lectern.llm.near_dedup import near_dedup
 from lectern.llm.pii import pii_spans
@@ -84,6 +85,27 @@ SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
 FROM k
 """
 
+OP10_SQL = r"""
+WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), l AS (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS line FROM t
+), k AS (
+    SELECT doc_id, pos, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS m FROM l
+), m AS (SELECT doc_id, pos, m, len(m) AS n, array_to_string(m[1:3], ' ') AS lead FROM k WHERE len(m) > 0
+), d AS (SELECT DISTINCT n, lead, m FROM m
+), s AS (SELECT n, lead, count(*) AS lines FROM d GROUP BY n, lead HAVING count(*) > 1
+), e AS (SELECT n, lead, m, unnest(range(1, n + 1)) AS place, unnest(m) AS token FROM d
+), c AS (SELECT e.n, e.lead, place, token FROM e JOIN s ON e.n = s.n AND e.lead = s.lead GROUP BY e.n, e.lead, place, token, lines HAVING 2 * count(*) > lines
+), a AS (
+    SELECT e.n, e.lead, e.m, count(*) AS same FROM e JOIN c ON e.n = c.n AND e.lead = c.lead AND e.place = c.place AND e.token = c.token GROUP BY e.n, e.lead, e.m
+), g AS (SELECT m.doc_id, m.pos, m.n, m.lead, CASE WHEN a.same >= 0.75 * m.n THEN NULL ELSE m.m END AS own FROM m LEFT JOIN a ON m.n = a.n AND m.lead = a.lead AND m.m = a.m
+), r AS (SELECT n, lead, own FROM g GROUP BY n, lead, own HAVING count(DISTINCT doc_id) >= 10
+), x AS (SELECT g.doc_id, g.pos FROM g JOIN r ON g.n = r.n AND g.lead = r.lead AND g.own IS NOT DISTINCT FROM r.own
+), y AS (SELECT doc_id, list(pos) AS dropped FROM x GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(parts) AS BIGINT) AS n_lines, CAST(coalesce(len(dropped), 0) AS BIGINT) AS n_dropped,
+    sha256(array_to_string(list_transform(list_filter(range(1, len(parts) + 1), lambda i: NOT list_contains(coalesce(dropped, []), i)), lambda i: parts[i]), chr(10))) AS clean_sha256
+FROM t LEFT JOIN y ON t.doc_id = y.doc_id
+"""
+
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = edit_fingerprints(read_table(spark, sf_dir, "documents"))
@@ -146,6 +168,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("l.lang").alias("lang_pred"), F.col("l.score").alias("score"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("clean_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_warc": op2_warc,
@@ -156,10 +183,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sentence_pieces": op7_sentence_pieces,
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": OP2_SQL,
     "op3_minhash_near_dedup": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op6_mix_sources": OP6_SQL,
+    "op10_line_dedup": OP10_SQL,
 }
