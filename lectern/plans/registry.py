@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.plans import text_queries
+from lectern.plans import story_queries, text_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**text_queries.QUERIES}
-ORACLE_SQL: dict[str, str] = {**text_queries.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**text_queries.QUERIES, **story_queries.QUERIES}
+ORACLE_SQL: dict[str, str] = {**text_queries.ORACLE_SQL, **story_queries.ORACLE_SQL}
