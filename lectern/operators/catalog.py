@@ -74,7 +74,8 @@ def fill_shelves(candidates: DataFrame, used: DataFrame, n_shelves: int, n: int
     A book that a full shelf passed over stays open to later ones, so shelves are filled one after another:
     n_shelves steps for all themes together.
     """
-    taken, out = used.select(theme, key), None
+    candidates = candidates.persist()  # each step reads these three
+    taken, out = used.select(theme, key).persist(), None
     for shelf in range(n_shelves):
         open_ = candidates.filter((F.col("shelf_pos") == shelf) & F.col("verified")).join(taken, [theme, key], "left_anti")
         once = open_.withColumn("_again", F.row_number().over(Window.partitionBy(theme, key).orderBy("book_pos"))).filter("_again = 1").drop("_again")
