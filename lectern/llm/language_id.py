@@ -94,6 +94,8 @@ class Model:
         """grams: for each order, arrays of hash, hash of the context, hash of the suffix, language index, count."""
         self.names, many = names, len(names)
         self.limits = np.full(many, np.inf)
+        if not names:
+            return
         keys, seen = {}, {}
         for k in range(1, ORDER + 1):
             h, context, suffix, lang, count = grams[k]
@@ -131,8 +133,8 @@ class Model:
     def cross_entropies(self, text: str | None) -> tuple[np.ndarray, int]:
         """Nats per character in each language; the number of letters (none: zeros)."""
         c, n_letters = letters(text)
-        if not n_letters:
-            return np.zeros(len(self.names)), 0
+        if not n_letters or not self.names:
+            return np.zeros(len(self.names)), n_letters
         total, n = np.zeros(len(self.names)), len(c) - ORDER + 1
         left = None  # positions that no higher order has seen
         for k in range(ORDER, 0, -1):
@@ -152,8 +154,8 @@ class Model:
     def judge(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score from 0 to 1, and whether the text is rejected."""
         ce, n = self.cross_entropies(text)
-        if not n:
-            return UNKNOWN, 0.0, True
+        if not n or not self.names:
+            return UNKNOWN, 0.0, not n
         best = int(ce.argmin())
         odds = np.exp(-(ce - ce[best]) * min(n, 50))
         return self.names[best], float(1 / odds.sum()), bool(n >= REJECT_LETTERS and ce[best] > self.limits[best])
@@ -183,7 +185,7 @@ def fit(labelled: DataFrame) -> Model:
     """A model from (id, text, lang). Rows without id, text or language are left out.
 
     Every fourth id by hash serves to calibrate, the others to fit. Without any labelled text the model knows
-    no language.
+    no language, calls every text `und` and rejects only those without a letter.
     """
     usable = labelled.filter("id is not null and lang is not null and length(text) between 1 and " + str(FIT_CHARS))
     aside = F.pmod(F.xxhash64(F.col("id"), F.lit("calibration")), F.lit(4)) == 0
@@ -191,7 +193,7 @@ def fit(labelled: DataFrame) -> Model:
     found = grams.groupBy("lang", "k", "h", "context", "suffix").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(found["lang"].unique().to_pylist())
     if not names:
-        raise ValueError("no labelled text to learn a language from")
+        return Model([], {})
     k, lang = found["k"].to_numpy(), np.searchsorted(np.array(names, object), found["lang"].to_numpy(zero_copy_only=False))
     columns = [found[c].to_numpy().view(np.uint64) for c in ("h", "context", "suffix")]
     model = Model(names, {i: (*(c[k == i] for c in columns), lang[k == i], found["n"].to_numpy()[k == i]) for i in range(1, ORDER + 1)})
