@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import small_batches
+from lectern.llm.common import sized_join, small_batches
 from lectern.llm.shingles import mixed
 
 ORDER = 4
@@ -178,7 +178,7 @@ def _bounded(rows: DataFrame, most: int, seed: int) -> DataFrame:
     """About `most` rows of each language, by a hash of the id."""
     share = rows.groupBy("lang").agg((F.lit(float(most)) / F.count("*")).alias("share"))
     place = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000)) / 1e6
-    return rows.join(F.broadcast(share), "lang").filter(place < F.col("share")).select("lang", "text")
+    return sized_join(rows, share, "lang").filter(place < F.col("share")).select("lang", "text")
 
 
 def fit(labelled: DataFrame) -> Model:
