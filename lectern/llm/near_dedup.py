@@ -6,10 +6,17 @@ pair shares no band with probability (1 - 0.75 ** ROWS) ** BANDS, about 1e-6. Ev
 confirmed on the full shingle sets.
 
 Documents with equal sets form a class, which is handled once. Within a band's bucket a pair is tested
-only while its two classes are in different components: first each class against the pivot it shares most
+only while its two classes are in different components: twice each class against the pivot it shares most
 buckets with, then in rounds in which about 4, 16, 64... classes of each bucket that is still divided act
 as pivots, until each has. So a bucket of n copies costs n tests, not n * n, and no pair of a bucket that
 could join two components is left out.
+
+After the first of these rounds the shingles of the classes that are left are counted. One that only a
+single component has links no two: a class with `own` such shingles and `shared` others has a similarity to a
+class of another component of at most min(shared) / (own + own' + max(shared)). Each class also gets a bitmap
+of its hashed shingles: every bit that only one of two classes has stands for a shingle that they don't share.
+Pairs, and classes, that fall below 0.75 by these bounds aren't tested; so texts that share a long passage
+but differ beside it drop out.
 """
 
 from __future__ import annotations
@@ -30,6 +37,8 @@ BANDS, ROWS = 50, 5
 PERMUTATIONS = BANDS * ROWS // 2
 #: Members that are compared with one copy of their pivot's set.
 MEMBERS = 200
+#: Words of 64 bits in a class's bitmap.
+BITMAP = 16
 _ODD = np.random.default_rng(3).integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _NO_ID = -(2**63)
 
@@ -44,6 +53,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return np.stack((low, high), 1).ravel().astype(np.uint16)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """64 * BITMAP bits, one set for each hashed shingle."""
+    bits = np.zeros(64 * BITMAP, bool)
+    bits[shingles % np.uint64(64 * BITMAP)] = True
+    return np.packbits(bits).view(np.int64)
+
+
 def band_keys(signatures: np.ndarray) -> np.ndarray:
     """One 64-bit key per band for each row of signatures."""
     parts = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
@@ -56,13 +72,14 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordHashes()
     for batch in batches:
-        sizes, keys, signs = [], [], []
+        sizes, keys, signs, maps = [], [], [], []
         for text in batch["text"].to_pylist():
             s = shingle_set(text, words)
             sizes.append(len(s))
+            maps.append(bitmap(s) if len(s) else None)
             keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             signs.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())], names=["doc_id", "text_key", "n_shingles", "set_key", "sign"])
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary()), pa.array(maps, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n_shingles", "set_key", "sign", "bits"])
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,6 +98,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())], names=["cls", "shingles"])
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _sets(batches):
+        found = [np.frombuffer(s, np.int64) for s in batch["shingles"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch["cls"].to_numpy(), [len(f) for f in found])), pa.array(np.concatenate(found or [np.empty(0, np.int64)]))], names=["cls", "shingle"])
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by pivot and salt, the pivot's own set (member null) first."""
     pivot, own = None, np.empty(0, np.uint64)
@@ -99,13 +122,28 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _texts_of(need: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """cls, set_key and text for the classes in need."""
+    need = sized_join(classes.select("cls", "set_key", "id"), need, "cls")
+    return sized_join(docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "text"), need, "id").select("cls", "set_key", "text")
+
+
+def _overlaps(active: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cls, shared, bits): how many of its shingles a class of another component has too, and its bitmap; only classes that may be linked."""
+    labels = active.select("cls", "n", "label").distinct()
+    texts = _texts_of(labels.select("cls"), classes, docs)
+    rows = texts.mapInArrow(_shingles, "cls long, shingle long").join(labels.select("cls", "label"), "cls")
+    both = rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("shingle")
+    shared = rows.join(both, "shingle").groupBy("cls").agg(F.count("*").alias("shared"))
+    found = labels.join(shared, "cls").filter("4 * shared >= 3 * n").select("cls", "shared")
+    return stored(classes.select("cls", "bits").join(found, "cls"), "overlaps")
+
+
 def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of pairs (pivot, member) whose sets are similar enough, as stored edges (a, b)."""
     n = partitions(pairs.sparkSession)
-    need = pairs.select(F.explode(F.array("pivot", "member")).alias("cls")).distinct()
-    need = sized_join(classes.select("cls", "set_key", "id"), need, "cls")
-    texts = sized_join(docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "text"), need, "id")
-    sets = stored(texts.select("cls", "set_key", "text").mapInArrow(_sets, "cls long, shingles binary"), "sets")
+    need = stored(pairs.select("pivot").union(pairs.select("member")).toDF("cls").distinct(), "need")
+    sets = stored(_texts_of(need, classes, docs).mapInArrow(_sets, "cls long, shingles binary"), "sets")
     parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     members = pairs.join(parts, "pivot").select("pivot", "member", F.expr("pmod(xxhash64(member), parts)").cast("int").alias("part"))
     members = members.join(sets, F.col("member") == F.col("cls")).select("pivot", "part", "member", "shingles")
@@ -126,11 +164,65 @@ def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     return stored(moved.unionByName(new), "labels")
 
 
+def _best(members: DataFrame) -> DataFrame:
+    """Of the pivots of a class's buckets the one that it meets most often, as pair (pivot, member)."""
+    met = members.filter("cls <> pivot").groupBy("cls", "pivot").count()
+    return met.groupBy("cls").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot")).select("pivot", F.col("cls").alias("member"))
+
+
+def _merged(labels: DataFrame, pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """labels after the links among pairs."""
+    edges = _linked(stored(pairs, "pairs"), classes, docs)
+    ends = _with_label(_with_label(edges, labels, "a", "la"), labels, "b", "lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    return _relabelled(labels, ends)
+
+
 def _with_label(rows: DataFrame, labels: DataFrame, name: str, label: str) -> DataFrame:
     rows = rows.join(labels.select(F.col("cls").alias(name), F.col("label").alias("_label")), name, "left")
     return rows.withColumn(label, F.coalesce("_label", name)).drop("_label")
 
 
+def _alone(a: str, b: str) -> str:
+    return " + ".join(f"bit_count({a}[{i}] & ~{b}[{i}])" for i in range(BITMAP))
+
+
+#: At most this many shingles are in both of two classes, by their bitmaps.
+_MOST = f"least(n - ({_alone('bits', 'p_bits')}), p_n - ({_alone('p_bits', 'bits')}))"
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs that the bitmaps of their classes leave open, and that are small beside the sets."""
+    one = lambda name, prefix: classes.select(F.col("cls").alias(name), F.col("n").alias(f"{prefix}n"), F.col("bits").alias(f"{prefix}bits"))
+    both = pairs.join(one("member", ""), "member").join(one("pivot", "p_"), "pivot")
+    return both.filter(f"7 * {_MOST} >= 3 * (n + p_n)").select("pivot", "member")
+
+
+def _proposed(active: DataFrame, reach: int) -> DataFrame:
+    """Pairs (pivot, member) of this round: about `reach` pivots a bucket, less those of earlier rounds, and all members they must meet.
+
+    Of two classes the one with the lower rank is the pivot, unless it has so many shingles of its own that
+    it can only be linked to one with fewer.
+    """
+    place = F.expr("(cast(rank as double) + 9223372036854775808D) / 18446744073709551616D") * F.col("many")
+    if reach == 4:
+        active = active.withColumns({"shared": F.col("n"), "leads": F.lit(True), "bits": F.lit(None).cast("array<long>")})
+        turn = (place < 4) | (F.col("cls") == F.col("pivot"))
+        most = "least(n, p_n)"
+    else:
+        active = active.withColumn("leads", F.expr("7 * shared >= 6 * n"))
+        turn = (place < reach) & (place >= reach // 4) & F.col("leads")
+        most = f"least(shared, p_shared, {_MOST})"
+    leaders = active.filter(turn).select("band", *[F.col(c).alias(f"p_{c}") for c in ("cls", "label", "rank", "n", "shared", "bits")])
+    found = active.join(leaders, "band").filter(f"(p_rank < rank or not leads) and label <> p_label and p_cls <> cls and 7 * {most} >= 3 * (n + p_n)")
+    return found.select(F.col("p_cls").alias("pivot"), F.col("cls").alias("member")).distinct()
+
+
+def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    for a, b in (("pivot", "member"), ("member", "pivot")):
+        pairs = pairs.join(tested.select(F.col(a).alias("pivot"), F.col(b).alias("member")), ["pivot", "member"], "left_anti")
+    return pairs
+
+
 def near_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key (of the text), n_shingles, component_id and kept for every row of documents.
 
@@ -144,39 +236,46 @@ def near_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small_batches(spark)
     docs = documents.select(documents[id_col].cast("long").alias("doc_id"), documents[text_col].cast("string").alias("text"))
     signed = docs.withColumn("text_key", F.xxhash64("text"))
-    signed = stored(signed.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, set_key binary, sign binary"), "signed")
-    classes = signed.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("size"), F.first("n_shingles").alias("n"), F.first("sign").alias("sign"))
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("cls"), "set_key", "first_id", F.coalesce("first_id", F.lit(_NO_ID)).alias("id"), "size", "n", "sign"), "classes")
+    whole = stored(signed.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, set_key binary, sign binary, bits array<long>"), "signed")
+    one = F.first(F.struct("n_shingles", "sign", "bits")).alias("c")
+    classes = whole.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("size"), one)
+    classes = classes.select(F.monotonically_increasing_id().alias("cls"), "set_key", "first_id", F.coalesce("first_id", F.lit(_NO_ID)).alias("id"), "size", F.col("c.n_shingles").alias("n"), "c.sign", "c.bits")
+    with_signs = stored(classes, "classes")
+    signed = stored(whole.select("doc_id", "text_key", "n_shingles", "set_key"), "signed")
+    discard(whole)
+    classes = stored(with_signs.drop("sign"), "classes")
 
-    bands = classes.select("cls", "n", "sign").mapInArrow(_bands, "band long, cls long, n long").withColumn("rank", F.xxhash64("cls"))
+    bands = with_signs.select("cls", "n", "sign").mapInArrow(_bands, "band long, cls long, n long").withColumn("rank", F.xxhash64("cls"))
     buckets = bands.groupBy("band").agg(F.count("*").alias("many"), F.min_by("cls", "rank").alias("pivot")).filter("many > 1")
     members = stored(bands.join(buckets, "band"), "members")
+    discard(with_signs)
 
-    best = members.filter("cls <> pivot").groupBy("cls", "pivot").count().groupBy("cls").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
-    tested = stored(best.select("pivot", F.col("cls").alias("member")), "pairs")
-    labels = _relabelled(None, _linked(tested, classes, docs))
-    reach, done = 4, False
-    while not done:
+    tested = stored(_best(members), "pairs")
+    labels = _relabelled(None, _linked(_plausible(tested, classes), classes, docs))
+    heads = labels.select(F.col("cls").alias("pivot"), F.col("label").alias("p_label"))
+    divided = _with_label(members, labels, "cls", "label").join(heads, "pivot", "left").filter("label <> coalesce(p_label, pivot)")
+    pairs = stored(_untested(_best(divided), tested), "pairs")
+    labels = _merged(labels, _plausible(pairs, classes), classes, docs)
+    tested = stored(tested.unionByName(pairs), "pairs")
+    reach, overlaps = 4, None
+    while True:
+        if overlaps is not None:
+            before, members = members, stored(members.drop("shared", "bits").join(overlaps, "cls"), "members")
+            discard(before)
         marked = _with_label(members, labels, "cls", "label")
         divided = marked.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("band")
         active = stored(marked.join(divided, "band"), "active")
-        place = F.expr("(cast(rank as double) + 9223372036854775808D) / 18446744073709551616D") * F.col("many")
-        lead = (place < reach) & (place >= (reach // 4 if reach > 4 else 0)) | (F.lit(reach == 4) & (F.col("cls") == F.col("pivot")))
-        leaders = active.filter(lead).select("band", F.col("cls").alias("p"), F.col("label").alias("p_label"), F.col("rank").alias("p_rank"), F.col("n").alias("p_n"))
-        found = active.join(leaders, "band").filter("p_rank < rank and label <> p_label and 4 * least(n, p_n) >= 3 * greatest(n, p_n)")
-        pairs = found.select(F.col("p").alias("pivot"), F.col("cls").alias("member")).distinct()
-        for a, b in (("pivot", "member"), ("member", "pivot")):
-            pairs = pairs.join(tested.select(F.col(a).alias("pivot"), F.col(b).alias("member")), ["pivot", "member"], "left_anti")
-        pairs = stored(pairs, "pairs")
+        most = active.agg(F.max("many")).first()[0]
+        if most is None or reach > 4 * most:
+            break
+        pairs = stored(_untested(_proposed(active, reach), tested), "pairs")
         if not pairs.isEmpty():
-            edges = _linked(pairs, classes, docs)
-            ends = _with_label(_with_label(edges, labels, "a", "la"), labels, "b", "lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-            labels = _relabelled(labels, ends)
+            labels = _merged(labels, _plausible(pairs, classes) if overlaps is None else pairs, classes, docs)
             tested = stored(tested.unionByName(pairs), "pairs")
-        most = active.agg(F.max("many")).first()[0]
-        done = most is None or reach >= most
-        reach *= 4
+        if overlaps is None:
+            overlaps = _overlaps(active, classes, docs)
         discard(active)
+        reach *= 4
 
     known = _with_label(classes, labels, "cls", "label")
     least = known.groupBy("label").agg(F.min("first_id").alias("component_id"), F.sum("size").alias("rows")).filter("rows > 1")
