@@ -114,11 +114,11 @@ def story_starts(books: DataFrame, found: DataFrame, key: str = "book_id", text:
 
 def anchor_index(w: Column, anchor: Column) -> Column:
     """Token id at which a phrase begins, compared by letters and digits alone; null if it doesn't occur (TXT-11)."""
-    parts = F.transform(w, letters_only)
-    at = F.instr(F.array_join(parts, ""), letters_only(anchor)) - 1
-    step = lambda a, p: F.struct((a["end"] + F.length(p)).alias("end"), (a["n"] + F.when(a["end"] + F.length(p) <= at, 1).otherwise(0)).alias("n"))
-    found = F.aggregate(parts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), step)["n"]
-    return F.when((letters_only(anchor) != "") & (at >= 0), found)
+    parts, needle = F.transform(w, letters_only), letters_only(anchor)
+    at = F.when(needle == "", -1).otherwise(F.instr(F.array_join(parts, ""), needle) - 1)
+    # the place is found once and rides along in the fold
+    step = lambda a, p: F.struct((a["end"] + F.length(p)).alias("end"), (a["n"] + F.when(a["end"] + F.length(p) <= a["at"], 1).otherwise(0)).alias("n"), a["at"].alias("at"))
+    return F.aggregate(parts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"), at.alias("at")), step, lambda a: F.when(a["at"] >= 0, a["n"]))
 
 
 def resolved_anchors(docs: DataFrame, anchors: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
