@@ -17,7 +17,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from array import array
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +33,34 @@ from lectern.llm.common import small_batches, stored
 
 SCALE, UNKNOWN = 256, 10
 #: Characters in a chunk; longer documents are split.
-CHUNK = 16_384
-#: Distinct segments remembered in a task, each of at most SEGMENT characters.
-REMEMBER, SEGMENT = 500_000, 64
+CHUNK = 65_536
+#: Distinct segments remembered in a process, each of at most SEGMENT characters.
+REMEMBER, SEGMENT = 150_000, 48
+#: Letters in the tables that many segments are looked up in at once.
+COMMON = 288
 BLANK = "▁"
-_SEGMENTS = re.compile(f"{BLANK}*[^{BLANK}]*")
+_SEGMENTS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n+")
 _LOW = -(2**60)
+_NONE = -(2**30)  # the same for the short sums of one segment
 
 
 def score_of(rank: int) -> int:
     return -round(SCALE * math.log(rank + 2))
 
 
+class _Segments(dict):
+    """Pieces of each segment seen: a run of blanks and what follows up to the next blank or line end, which no piece crosses."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+
+    def __missing__(self, s: str) -> tuple[int, ...]:
+        found = tuple(self.pieces.traced(s, self.pieces.forward(s, 0, len(s))[1], 0, len(s)))
+        if len(s) <= SEGMENT:
+            self[s] = found
+        return found
+
+
 class Pieces:
     """The vocabulary of a model file: ordinary pieces with ranks in file order, and one piece for each byte."""
 
@@ -54,29 +74,122 @@ class Pieces:
         self.longest = max(map(len, self.ids))
         self.unknown = min(self.scores.values()) - UNKNOWN
         self.by_byte = {i: b for b, i in self.bytes.items()}
-        self.seen: dict[str, tuple[int, list[int]]] = {}
-        if any(BLANK in p.strip(BLANK) or p[-1:] == BLANK and p.strip(BLANK) for p in self.ids):
-            raise ValueError("pieces that cross a blank are not supported")
-
-    def ends(self, s: str, i: int) -> Iterator[tuple[int, int]]:
-        """End and score of the pieces that start at i."""
-        scores, single = self.scores, False
-        for j in range(i + 1, min(len(s), i + self.longest) + 1):
-            if (x := scores.get(s[i:j])) is not None:
-                single |= j == i + 1
-                yield j, x
-        if not single:
-            yield i + 1, self.unknown
+        self.seen = _Segments(self)
+        self.numbers = list(range(len(self.names)))  # one object for each id, however often it is remembered
+        self.id_scores = [self.scores.get(name, 0) for name in self.names]
+        # what each piece stands for in a text; bytes above ASCII as surrogates, until they are put together
+        self.plain = [chr(b if b < 128 else 0xDC00 + b) if (b := self.by_byte.get(i)) is not None else name.replace(BLANK, " ") for i, name in enumerate(self.names)]
+        self.tree: dict = {}  # letter by letter; "" holds the score of the piece that ends there
+        for name, x in self.scores.items():
+            node = self.tree
+            for c in name:
+                node = node.setdefault(c, {})
+            node[""] = x
+        self._tabulate()
+        if any("\n" in p or BLANK in p.strip(BLANK) or p[-1:] == BLANK and p.strip(BLANK) for p in self.ids):
+            raise ValueError("pieces that cross a blank or line end are not supported")
+
+    def _tabulate(self) -> None:
+        """The tree as arrays: next node by node and letter, and each node's score.
+
+        The COMMON letters that most pieces have get a code each, the rest have none (0).
+        """
+        weight = Counter(c for name in self.scores for c in name)
+        self.codes = np.zeros(0x110000, np.int32)
+        for i, (c, _) in enumerate(((c, n) for c, n in weight.most_common(COMMON - 1) if c in self.scores), 1):
+            self.codes[ord(c)] = i
+        nodes, names, scores = [self.tree], [""], [_LOW]
+        self.step, at = [np.zeros(COMMON, np.int32)], 0  # node 0 is dead, node 1 the root
+        while at < len(nodes):
+            row = np.zeros(COMMON, np.int32)
+            for c, node in nodes[at].items():
+                if c and (code := self.codes[ord(c)]):
+                    nodes.append(node)
+                    names.append(names[at] + c)
+                    scores.append(node.get("", _LOW))
+                    row[code] = len(nodes)
+            self.step.append(row)
+            at += 1
+        self.step = np.concatenate(self.step)
+        if len(nodes) < 65535:
+            self.step = self.step.astype(np.uint16)
+        self.node_ids = np.array([0, *(self.ids.get(name, 0) for name in names)], np.int32)
+        self.node_scores = np.maximum(np.array([_LOW, *scores]), _NONE).astype(np.int32)
+
+    def learn(self, parts: Iterable[str]) -> None:
+        """Best paths of many segments at once: the same steps as forward(), over a matrix of letters by segments."""
+        if len(self.seen) >= REMEMBER:
+            self.seen.clear()
+        parts = sorted((p for p in set(parts).difference(self.seen) if len(p) <= SEGMENT), key=len, reverse=True)
+        codes = self.codes[np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        fit = np.minimum.reduceat(codes, np.cumsum(sizes) - sizes) > 0 if parts else np.empty(0, bool)
+        codes, sizes = codes[np.repeat(fit, sizes)], sizes[fit]
+        parts = [p for p, ok in zip(parts, fit) if ok]
+        for at in range(0, len(parts), 4096):
+            some, size = parts[at : at + 4096], sizes[at : at + 4096]
+            first = int(sizes[:at].sum())
+            n, width = len(some), int(size[0])
+            letters = np.zeros((n, width), np.int32)
+            letters[np.arange(width) < size[:, None]] = codes[first : first + int(size.sum())]
+            flat = np.concatenate((letters.T.ravel(), np.zeros(n * self.longest, np.int32)))
+            place, node, levels = np.flatnonzero(flat), np.ones(1, np.int64), []
+            for k in range(self.longest):
+                node = self.step[node.astype(np.int64) * COMMON + flat[place + k * n]]
+                place, node = place[node > 0], node[node > 0]
+                found, nodes = np.full((width, n), _NONE, np.int32), np.zeros((width, n), np.uint32)
+                found.ravel()[place], nodes.ravel()[place] = self.node_scores[node], node
+                levels.append((found, (found > _NONE).any(1), nodes))
+                if not len(place):
+                    break
+            best, back = np.full((width + 1, n), _NONE, np.int32), np.zeros((width + 1, n), np.int8)
+            best[0] = 0
+            for i in range(width):
+                for k, (found, some_here, _) in enumerate(levels, 1):
+                    if i + k <= width and some_here[i]:
+                        reached = best[i] + found[i]
+                        better = reached > best[i + k]
+                        np.copyto(best[i + k], reached, where=better)
+                        np.copyto(back[i + k], np.int8(k), where=better)
+            nodes, row, end, steps = np.stack([x for _, _, x in levels]), np.arange(n), size, []
+            while len(row):  # a piece of every segment that is not yet spelled, from its end
+                k = back[end, row]
+                end = end - k
+                steps.append((row, self.node_ids[nodes[k - 1, end, row]]))
+                row, end = row[end > 0], end[end > 0]
+            row = np.concatenate([r for r, _ in reversed(steps)])
+            ids = np.concatenate([x for _, x in reversed(steps)])[np.argsort(row, kind="stable")].tolist()
+            ids = tuple(map(self.numbers.__getitem__, ids))
+            upto = np.cumsum(np.bincount(row, minlength=n)).tolist()
+            self.seen.update(zip(some, map(ids.__getitem__, map(slice, [0, *upto[:-1]], upto))))
+
+    def encode_all(self, texts: list[str]) -> pa.Array:
+        """Pieces of each of some marked texts of one chunk."""
+        parts = [_SEGMENTS.findall(s) for s in texts]
+        self.learn(chain.from_iterable(parts))
+        ids, ends = array("i"), [0]
+        for some in parts:
+            ids.extend(chain.from_iterable(map(self.seen.__getitem__, some)))
+            ends.append(len(ids))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
 
     def forward(self, s: str, start: int, stop: int) -> tuple[list[int], list[int]]:
         """Best score of each position of s from `start`, and where its last piece starts; pieces start before `stop`."""
-        best, back = [_LOW] * (len(s) + 1), [-1] * (len(s) + 1)
+        n = len(s)
+        best, back = [_LOW] * (n + 1), [-1] * (n + 1)
         best[start] = 0
         for i in range(start, stop):
-            if (b := best[i]) > _LOW:
-                for j, x in self.ends(s, i):
+            if (b := best[i]) == _LOW:
+                continue
+            node, j, single = self.tree, i, False
+            while j < n and (node := node.get(s[j])) is not None:
+                j += 1
+                if (x := node.get("")) is not None:
+                    single |= j == i + 1
                     if b + x > best[j]:
                         best[j], back[j] = b + x, i
+            if not single and b + self.unknown > best[i + 1]:
+                best[i + 1], back[i + 1] = b + self.unknown, i
         return best, back
 
     def spelled(self, s: str, i: int, j: int) -> list[int]:
@@ -90,25 +203,15 @@ class Pieces:
             stop = back[stop]
         return [x for ids in reversed(out) for x in ids]
 
-    def segment(self, s: str) -> tuple[int, list[int]]:
-        """Score and pieces of a run of blanks and what follows up to the next blank: no piece crosses its ends."""
-        if (known := self.seen.get(s)) is not None:
-            return known
-        best, back = self.forward(s, 0, len(s))
-        known = best[-1], self.traced(s, back, 0, len(s))
-        if len(s) <= SEGMENT:
-            if len(self.seen) >= REMEMBER:
-                self.seen.clear()
-            self.seen[s] = known
-        return known
-
     def encode(self, s: str) -> list[int]:
         """Pieces of a marked text of one chunk."""
-        segment, out = self.segment, []
-        for part in _SEGMENTS.findall(s):
-            if part:
-                out += segment(part)[1]
-        return out
+        return list(chain.from_iterable(map(self.seen.__getitem__, _SEGMENTS.findall(s))))
+
+    def score(self, s: str) -> int:
+        """Sum of the scores of encode(s): an unknown letter's pieces count once."""
+        ids = self.encode(s)
+        unknown = sum(1 for i in ids if (b := self.by_byte.get(i)) is not None and b & 0xC0 != 0x80)
+        return sum(self.id_scores[i] for i in ids) + unknown * self.unknown
 
     def cuts(self, s: str, size: int) -> tuple[int, int] | None:
         """The first and last place of a chunk of `size` characters that no piece crosses and that no entry state passes."""
@@ -133,7 +236,7 @@ class Pieces:
         first, last = cuts
         head = [self.forward(s[:first], e, first)[0][first] for e in range(n)]
         tail = self.forward(s[last:], 0, size - last)[0][size - last : size - last + n]
-        middle = sum(self.segment(p)[0] for p in _SEGMENTS.findall(s[first:last]) if p)
+        middle = self.score(s[first:last])
         table[:, : len(tail)] = np.maximum(np.array(head)[:, None] + np.array(tail)[None, :] + middle, _LOW)
         return table
 
@@ -148,17 +251,16 @@ class Pieces:
         return head + self.encode(s[first:last]) + tail
 
     def decode(self, ids: list[int]) -> str:
-        out, raw = [], bytearray()
-        for i in ids:
-            if (b := self.by_byte.get(i)) is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            out.append(self.names[i])
-        out.append(raw.decode("utf-8", "replace"))
-        return "".join(out).replace(BLANK, " ")[1:]
+        text = "".join(map(self.plain.__getitem__, ids))
+        if not text.isascii():
+            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+        return text[1:]
+
+
+@cache
+def pieces_of(model: bytes) -> Pieces:
+    """One vocabulary, with the segments it remembers, for all tasks of a process."""
+    return Pieces(model)
 
 
 def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -194,13 +296,13 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
         shared = spark.sparkContext.broadcast(file.read())
     keep = docs.columns if keep is None else keep
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    look = Pieces(shared.value).longest
+    look = pieces_of(shared.value).longest
 
     @F.arrow_udf("array<int>")
     def whole(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = Pieces(shared.value)
+        pieces = pieces_of(shared.value)
         for batch in texts:
-            yield pa.array([pieces.encode(s) for s in batch.to_pylist()], pa.list_(pa.int32()))
+            yield pieces.encode_all(batch.to_pylist())
 
     short = rows.filter(F.length("text") <= chunk).select("row", whole(_marked(F.col("text"))).alias("ids"), F.lit(1).alias("n_chunks"))
 
@@ -210,8 +312,9 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
     chunks = giants.select("rid", F.explode(F.transform(starts, part)).alias("c")).select("rid", "c.at", "c.s")
 
     def transfers(batches):
-        pieces = Pieces(shared.value)
+        pieces = pieces_of(shared.value)
         for b in batches:
+            pieces.learn(p for s in b["s"].to_pylist() for p in _SEGMENTS.findall(s))
             found = [pieces.transfer(s, min(len(s), chunk)).tobytes() for s in b["s"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["rid"], b["at"], pa.array(found, pa.binary())], names=["rid", "at", "m"])
 
@@ -221,8 +324,9 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
         return pa.table({"rid": table["rid"], "at": table["at"], "entry": pa.array(states[:-1], pa.int32()), "exit": pa.array(states[1:], pa.int32())})
 
     def traced(batches):
-        pieces = Pieces(shared.value)
+        pieces = pieces_of(shared.value)
         for b in batches:
+            pieces.learn(p for s in b["s"].to_pylist() for p in _SEGMENTS.findall(s))
             found = [pieces.between(s, min(len(s), chunk), e, x) for s, e, x in zip(*(b[k].to_pylist() for k in ("s", "entry", "exit")))]
             yield pa.RecordBatch.from_arrays([b["rid"], b["at"], pa.array(found, pa.list_(pa.int32()))], names=["rid", "at", "ids"])
 
@@ -239,8 +343,9 @@ def decode(ids: str, spark, model_path: str):
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = Pieces(shared.value)
+        pieces = pieces_of(shared.value)
         for batch in batches:
-            yield pa.array([None if x is None else pieces.decode(x) for x in batch.to_pylist()], pa.string())
+            ends, values = batch.offsets.to_numpy(), batch.values.to_numpy()
+            yield pa.array([pieces.decode(values[a:b].tolist()) if ok else None for a, b, ok in zip(ends[:-1], ends[1:], batch.is_valid().to_pylist())], pa.string())
 
     return text(ids)

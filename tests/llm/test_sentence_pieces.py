@@ -33,7 +33,7 @@ def texts():
         yield rng.choice(["", " ", "\n"]).join(rng.choice(words) for _ in range(rng.randrange(1, 120)))
 
 
-@pytest.mark.parametrize("chunk", [20, 64, 16384])
+@pytest.mark.parametrize("chunk", [20, 64, 65536])
 def test_pieces_equal_the_librarys_and_decode(spark, library, chunk):
     rows = [(i, t, "x", 1) for i, t in enumerate(texts())] + [(None, None, None, None), (3, "a", "y", 2)]
     out = encode(spark.createDataFrame(rows, "doc_id long, text string, rid string, ids int"), MODEL, chunk=chunk)
