@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of at most a few dozen bytes each that a side may have to be broadcast; beyond it joins shuffle.
-BROADCAST_ROWS = 500_000
+#: A side of a join is broadcast if it is counted to have no more rows and bytes than these; beyond them joins shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 24 << 20
 #: Documents per Arrow batch: a batch of the longest documents still fits a Python worker.
 ARROW_ROWS = 200
 
@@ -52,16 +52,26 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes."""
+    size = F.lit(8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith("array"):
+            size = size + 16 * F.coalesce(F.size(name), F.lit(0))
+        elif kind.startswith(("map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(name)), F.lit(0))
+    return size
+
+
 def sized_join(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Join with a side that is broadcast only if it is counted to be small; else both sides are shuffled."""
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    n, size = small.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(_bytes(small)), F.lit(0))).first()
+    if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
         small = F.broadcast(small)
     return df.join(small, on, how)
 
 
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
