@@ -7,7 +7,7 @@ confirmed on the full shingle sets.
 
 Documents with equal sets form a class, which is handled once. Within a band's bucket a pair is tested
 only while its two classes are in different components: twice each class against the pivot it shares most
-buckets with, then in rounds in which about 4, 16, 64... classes of each bucket that is still divided act
+buckets with, then in rounds in which about 4, 64, 1024... classes of each bucket that is still divided act
 as pivots, until each has. So a bucket of n copies costs n tests, not n * n, and no pair of a bucket that
 could join two components is left out.
 
@@ -37,6 +37,8 @@ BANDS, ROWS = 50, 5
 PERMUTATIONS = BANDS * ROWS // 2
 #: Members that are compared with one copy of their pivot's set.
 MEMBERS = 200
+#: How many times more classes of a bucket are pivots in each round.
+GROWTH = 16
 #: Words of 64 bits in a class's bitmap.
 BITMAP = 16
 _ODD = np.random.default_rng(3).integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -210,7 +212,7 @@ def _proposed(active: DataFrame, reach: int) -> DataFrame:
         most = "least(n, p_n)"
     else:
         active = active.withColumn("leads", F.expr("7 * shared >= 6 * n"))
-        turn = (place < reach) & (place >= reach // 4) & F.col("leads")
+        turn = (place < reach) & (place >= reach // GROWTH) & F.col("leads")
         most = f"least(shared, p_shared, {_MOST})"
     leaders = active.filter(turn).select("band", *[F.col(c).alias(f"p_{c}") for c in ("cls", "label", "rank", "n", "shared", "bits")])
     found = active.join(leaders, "band").filter(f"(p_rank < rank or not leads) and label <> p_label and p_cls <> cls and 7 * {most} >= 3 * (n + p_n)")
@@ -266,7 +268,7 @@ def near_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
         divided = marked.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("band")
         active = stored(marked.join(divided, "band"), "active")
         most = active.agg(F.max("many")).first()[0]
-        if most is None or reach > 4 * most:
+        if most is None or reach > GROWTH * most:
             break
         pairs = stored(_untested(_proposed(active, reach), tested), "pairs")
         if not pairs.isEmpty():
@@ -275,7 +277,7 @@ def near_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if overlaps is None:
             overlaps = _overlaps(active, classes, docs)
         discard(active)
-        reach *= 4
+        reach *= GROWTH
 
     known = _with_label(classes, labels, "cls", "label")
     least = known.groupBy("label").agg(F.min("first_id").alias("component_id"), F.sum("size").alias("rows")).filter("rows > 1")
