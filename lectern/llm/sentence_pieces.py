@@ -35,7 +35,7 @@ SCALE, UNKNOWN = 256, 10
 #: Characters in a chunk; longer documents are split.
 CHUNK = 65_536
 #: Distinct segments remembered in a process, each of at most SEGMENT characters.
-REMEMBER, SEGMENT = 150_000, 48
+REMEMBER, SEGMENT = 100_000, 48
 #: Letters in the tables that many segments are looked up in at once.
 COMMON = 288
 BLANK = "▁"
@@ -99,20 +99,18 @@ class Pieces:
         for i, (c, _) in enumerate(((c, n) for c, n in weight.most_common(COMMON - 1) if c in self.scores), 1):
             self.codes[ord(c)] = i
         nodes, names, scores = [self.tree], [""], [_LOW]
-        self.step, at = [np.zeros(COMMON, np.int32)], 0  # node 0 is dead, node 1 the root
+        many = len({name[:i] for name in self.scores for i in range(len(name) + 1)}) + 1
+        step, at = np.zeros((many, COMMON), np.uint16 if many < 65536 else np.int32), 0  # node 0 is dead, node 1 the root
         while at < len(nodes):
-            row = np.zeros(COMMON, np.int32)
+            row = step[at + 1]
             for c, node in nodes[at].items():
                 if c and (code := self.codes[ord(c)]):
                     nodes.append(node)
                     names.append(names[at] + c)
                     scores.append(node.get("", _LOW))
                     row[code] = len(nodes)
-            self.step.append(row)
             at += 1
-        self.step = np.concatenate(self.step)
-        if len(nodes) < 65535:
-            self.step = self.step.astype(np.uint16)
+        self.step = step.ravel()
         self.node_ids = np.array([0, *(self.ids.get(name, 0) for name in names)], np.int32)
         self.node_scores = np.maximum(np.array([_LOW, *scores]), _NONE).astype(np.int32)
 
@@ -126,8 +124,8 @@ class Pieces:
         fit = np.minimum.reduceat(codes, np.cumsum(sizes) - sizes) > 0 if parts else np.empty(0, bool)
         codes, sizes = codes[np.repeat(fit, sizes)], sizes[fit]
         parts = [p for p, ok in zip(parts, fit) if ok]
-        for at in range(0, len(parts), 4096):
-            some, size = parts[at : at + 4096], sizes[at : at + 4096]
+        for at in range(0, len(parts), 2048):
+            some, size = parts[at : at + 2048], sizes[at : at + 2048]
             first = int(sizes[:at].sum())
             n, width = len(some), int(size[0])
             letters = np.zeros((n, width), np.int32)
