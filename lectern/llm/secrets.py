@@ -1,6 +1,7 @@
 """Secrets in texts: rules, and strings that a dictionary-primed compressor finds new.
 
-A candidate is a long unbroken string with a sensitive word shortly before it. Its novelty is the number of
+A candidate is a long unbroken string with a sensitive word shortly before it, on its line or an earlier one, or
+in the body of a PEM private key. A leading NAME= is no part of it but stands before it. Its novelty is the number of
 bytes that it adds to the zstandard frame of its surroundings, with a dictionary of identifiers and code
 words as history. Words, names and paths repeat what the compressor has seen and add little; random strings
 add nearly a byte for each of their own. Those above NOVELTY are reported.
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import product
+from itertools import groupby, product
 
 import pyarrow as pa
 import zstandard
@@ -35,6 +36,20 @@ _HEX = re.compile(rb"[0-9a-f]{24,}")  # a run of hex digits ends where a longer
 
 _SENSITIVE = re.compile(rb"passw|passphrase|pwd|secret|token|api[_ -]?key|auth|credential|bearer|private[_ -]?key|signature|access[_ -]?key")
 _CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=~.-]{20,}")
+_NAME = re.compile(rb"[^=]++=++")
+_PEM = re.compile(rb"-----(BEGIN|END)[^\n-]*-----")
+#: Headers and base64 lines of a PEM body whose END line is missing.
+_PEM_LINES = re.compile(rb"(?:[A-Za-z-]*+:[^\n]*+\n|[A-Za-z0-9+/=\s\\\"',]++)*+")
+
+
+def _pem_bodies(data: bytes) -> list[tuple[int, int]]:
+    """What stands from the BEGIN line of each private key on."""
+    marks = [(m.start(), m.end(), m[0]) for m in _PEM.finditer(data)] if b"PRIVATE KEY" in data else []
+    out = []
+    for (_, start, mark), (end, _, follower) in zip(marks, [*marks[1:], (len(data), 0, b"")]):
+        if mark.startswith(b"-----BEGIN") and b"PRIVATE KEY" in mark:
+            out.append((start, end if follower.startswith(b"-----END") else _PEM_LINES.match(data, start, end).end()))
+    return out
 
 
 def _dictionary() -> zstandard.ZstdCompressionDict:
@@ -62,17 +77,49 @@ class Scanner:
         if max(map(len, data.split()), default=0) >= SHORTEST:  # what follows has no white space
             found += [("access", m.start(), m.end(), True) for m in _ACCESS.finditer(data) if m.end() - m.start() >= 20]
             found += [("hex", m.start(), m.end(), True) for m in _HEX.finditer(data)]
-            found += [("novel", a, b, False) for a, b in self.candidates(data, low) if not overlaps(a, b, found) and self.novelty(data[max(0, a - AROUND) : a] + data[b : b + AROUND], data[a:b]) >= NOVELTY]
+            free = [c for c in self.candidates(data, low) if not overlaps(*c[:2], found)]
+            found += [("novel", a, b, False) for a, b in self.novel(data, free)]
         return ordered(in_code_points(data, found), KINDS)
 
+    def novel(self, data: bytes, candidates: list[tuple[int, int, int | None]]) -> Iterator[tuple[int, int]]:
+        """Candidates that are novel; those of one private key are measured together."""
+        for body, some in groupby(candidates, lambda c: c[2]):
+            for group in [[(a, b) for a, b, _ in some]] if body is not None else [[(a, b)] for a, b, _ in some]:
+                a, b = group[0][0], group[-1][1]
+                if self.novelty(data[max(0, a - AROUND) : a] + data[b : b + AROUND], b"".join(data[x:y] for x, y in group)) >= NOVELTY:
+                    yield from group
+
     @staticmethod
-    def candidates(data: bytes, low: bytes) -> Iterator[tuple[int, int]]:
+    def candidates(data: bytes, low: bytes) -> Iterator[tuple[int, int, int | None]]:
+        """Start, end and the private key, if any, in whose body it stands."""
+        bodies, body = _pem_bodies(data), 0
         for m in _CANDIDATE.finditer(data):
-            s = m[0].rstrip(b".-")
-            if len(s) >= SHORTEST and any(c in b"0123456789" for c in s) and re.search(rb"[A-Za-z]", s):
-                before = low[max(0, m.start() - NEAR) : m.start()]
-                if _SENSITIVE.search(before[before.rfind(b"\n") + 1 :]):
-                    yield m.start(), m.start() + len(s)
+            while body < len(bodies) and bodies[body][1] <= m.start():
+                body += 1
+            private = body < len(bodies) and bodies[body][0] <= m.start()
+            for start, a, b in _values(m, low):
+                s = data[a:b]
+                if any(c in b"0123456789" for c in s) and re.search(rb"[A-Za-z]", s) and (private or _SENSITIVE.search(low, max(0, min(a - NEAR, start)), a)):
+                    yield a, b, body if private else None
+
+
+def _values(m: re.Match, low: bytes) -> Iterator[tuple[int, int, int]]:
+    """Start of the context, start and end of each value in a candidate.
+
+    The first NAME= is split off where a value of SHORTEST bytes is left; a later one, if its name is sensitive or
+    long. A name of SHORTEST bytes may be a secret as well as a name, and is a value too.
+    """
+    end = m.start() + len(m[0].rstrip(b".-"))
+    context = at = m.start()
+    while (name := _NAME.match(low, at, end)) and end - name.end() >= SHORTEST:
+        long = len(name[0]) >= SHORTEST
+        if at > m.start() and not long and not _SENSITIVE.search(name[0]):
+            break
+        if long:
+            yield context, at, name.end()
+        context, at = at, name.end()
+    if end - at >= SHORTEST:
+        yield context, at, end
 
 
 def secret_spans(df: DataFrame, text: Column) -> Column:

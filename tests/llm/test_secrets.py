@@ -46,6 +46,39 @@ def test_random_strings_in_sensitive_places_are_reported():
         assert [s for s in scan(plain) if not s[3]] == [], plain
 
 
+def _key(rng, n, letters="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"):
+    return "".join(rng.choice(letters) for _ in range(n - 1)) + "7"
+
+
+def test_names_of_unquoted_assignments_are_context():
+    scan, rng = Scanner().spans, random.Random(9)
+    for form in ("export AWS_SECRET_ACCESS_KEY={}", "DB_PWD={}", "see https://example.com/file?signature={}&page=2", "curl example.com/x?auth={}", "the password stands below\n\n{}\n", "run --env=DB_PWD={} now", f"{'long_' * 12}PWD{'_name' * 12}={{}}"):
+        hit = 0
+        for _ in range(30):
+            key = _key(rng, 40)
+            at = form.index("{}")
+            hit += [s for s in scan(form.format(key)) if not s[3]] == [("novel", at, at + len(key), False)]
+        assert hit >= 28, (form, hit)
+    assert scan(f"export PART_NUMBER={_key(rng, 40)}") == []
+    assert scan("export AWS_SECRET_ACCESS_KEY=get_secret_value_1_from_config_file") == []
+
+
+def test_long_runs_of_names_take_linear_time():
+    assert [s for s in Scanner().spans("auth=" * 200_000 + "x") if not s[3]] == []
+
+
+def test_bodies_of_private_keys_are_reported():
+    scan, rng = Scanner().spans, random.Random(10)
+    for kind, close in (("RSA PRIVATE KEY", True), ("PRIVATE KEY", True), ("OPENSSH PRIVATE KEY", False)):
+        body = [_key(rng, 64, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(25)]
+        text = "\n".join([f"-----BEGIN {kind}-----", "Proc-Type: 4,ENCRYPTED", "Version: 1", "", *body, *([f"-----END {kind}-----"] if close else [])]) + "\nThe rest (as above). " + "words and words " * 9 + body[0]
+        found = {(s[1], s[2]) for s in scan(text) if not s[3]}
+        want = {(text.index(b), text.index(b) + 64) for b in body}
+        assert found == want, kind
+    public = "\n".join(["-----BEGIN CERTIFICATE-----", *(_key(rng, 64) for _ in range(9)), "-----END CERTIFICATE-----"])
+    assert scan(public) == []
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert df.select(secret_spans(df, df.text)).count() == 0
