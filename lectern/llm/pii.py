@@ -2,14 +2,14 @@
 
 The tagger learns from invented labelled spans, in the rules' formats and in others that they miss (telephone
 numbers without a country code, cards with dots, e-mail addresses with blanks or a spelled-out at sign), beside
-numbers that are no personal data. Overlapping windows of a text are decoded, and each span is taken from the window in whose
-core it starts. A span must have a digit or an at sign, so a window without any holds none and isn't decoded.
+numbers that are no personal data. A character's tag scores come from the window in whose core it stands, and the best
+path is found over each run of adjoining cores, so a span may have any length and lie anywhere. A span must have a digit or an at sign, so a window without any holds none and isn't decoded.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -25,6 +25,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Characters in a window, in its core, and before its core.
 WINDOW, CORE = 96, 48
 LEAD = (WINDOW - CORE) // 2
+#: Cores of a long run that are decoded at once (with one more on either side), and windows whose scores are held at once.
+STRETCH, HELD = 4, 4096
 #: Least mean posterior of an added span's tags.
 SURE = 0.9
 EXAMPLES, STEPS = 4000, 420
@@ -143,30 +145,90 @@ def trained(seed: int = 3) -> Tagger:
     return tagger
 
 
+def _cores(text: str) -> list[int]:
+    """Numbers of the cores whose windows have a digit or an at sign."""
+    return sorted({c for m in re.finditer(r"[0-9@]+", text) for c in range(max(0, m.start() - WINDOW + LEAD) // CORE, (m.end() + LEAD) // CORE + 1) if c * CORE < len(text)})
+
+
+def _window(text: str, core: int) -> str:
+    return (" " * max(0, LEAD - core * CORE) + text[max(0, core * CORE - LEAD) : core * CORE - LEAD + WINDOW]).ljust(WINDOW)
+
+
 def windows_of(text: str) -> list[tuple[int, str]]:
     """Start of the core and text of each window with a digit or an at sign."""
-    cores = sorted({c for m in re.finditer(r"[0-9@]+", text) for c in range(max(0, m.start() - WINDOW + LEAD) // CORE, (m.end() + LEAD) // CORE + 1) if c * CORE < len(text)})
-    return [(c * CORE, (" " * max(0, LEAD - c * CORE) + text[max(0, c * CORE - LEAD) : c * CORE - LEAD + WINDOW]).ljust(WINDOW)) for c in cores]
+    return [(c * CORE, _window(text, c)) for c in _cores(text)]
 
 
-def tagged_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[str, int, int]]]:
-    """Sure spans (kind, start, end) of each text, from the window in whose core they start; of those that meet, the earlier."""
-    where = [(i, start, w) for i, t in enumerate(texts) for start, w in windows_of(t)]
-    out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    for at in range(0, len(where), 512):
-        some = where[at : at + 512]
-        tags, sure = tagger.decode(np.stack([char_classes(w) for _, _, w in some]))
-        for (i, core, _), row, p in zip(some, tags, sure):
-            for j in np.flatnonzero((row % 2 == 1) & (np.arange(WINDOW) >= LEAD) & (np.arange(WINDOW) < LEAD + CORE)):
-                end = j + 1
-                while end < WINDOW and row[end] == row[j] + 1:
-                    end += 1
-                start = core - LEAD + int(j)
-                if end < WINDOW and p[j:end].mean() >= SURE and (not out[i] or out[i][-1][2] <= start):
-                    out[i].append((KINDS[row[j] // 2], start, start + int(end - j)))
+def _runs(cores: Iterable[int]) -> list[tuple[int, int]]:
+    """First core of each run of adjoining ones, and that after its last."""
+    out: list[tuple[int, int]] = []
+    for c in sorted(cores):
+        out[-1:] = [(out[-1][0], c + 1)] if out and out[-1][1] == c else [*out[-1:], (c, c + 1)]
     return out
 
 
+def _best_tags(tagger: Tagger, scores: list[dict[int, np.ndarray]], places: Iterable[int]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Text, core, tags and their posteriors, from the scores of the cores of each text in places."""
+    parts: dict[int, list[tuple[int, int, int, int]]] = {}
+    for i in places:
+        for first, last in _runs(scores[i]):
+            for a in range(first, last, STRETCH):
+                b = min(a + STRETCH, last)
+                low, high = max(first, a - 1), min(last, b + 1)
+                parts.setdefault(high - low, []).append((i, low, a, b))
+    for size, some in parts.items():
+        for at in range(0, len(some), 512):
+            part = some[at : at + 512]
+            tags, sure = tagger.best(np.stack([np.concatenate([scores[i][c] for c in range(low, low + size)]) for i, low, _, _ in part], 1))
+            for (i, low, a, b), row, p in zip(part, tags, sure):
+                for c in range(a, b):
+                    yield i, c, row[(c - low) * CORE : (c - low + 1) * CORE], p[(c - low) * CORE : (c - low + 1) * CORE]
+
+
+def _sure_spans(text: str, found: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[str, int, int]]:
+    for first, last in _runs(found):
+        tags, sure = (np.concatenate([found[c][k] for c in range(first, last)]) for k in (0, 1))
+        kind = (tags + 1) // 2
+        turns = np.flatnonzero((np.diff(kind, prepend=0) != 0) | (tags % 2 == 1))
+        for j, end in zip(turns, [*turns[1:], len(tags)]):
+            if kind[j] and sure[j:end].mean() >= SURE:
+                yield KINDS[kind[j] - 1], first * CORE + int(j), min(first * CORE + int(end), len(text))
+
+
+def _group_spans(tagger: Tagger, texts: list[str], cores: list[list[int]]) -> list[list[tuple[str, int, int]]]:
+    scores: list[dict[int, np.ndarray]] = [{} for _ in texts]
+    found: list[dict[int, tuple[np.ndarray, np.ndarray]]] = [{} for _ in texts]
+    wanted, reach = [(i, c) for i, some in enumerate(cores) for c in some], 1
+    while wanted:
+        for at in range(0, len(wanted), 512):
+            some = wanted[at : at + 512]
+            s = tagger.scores(np.stack([char_classes(_window(texts[i], c)) for i, c in some]))
+            for r, (i, c) in enumerate(some):
+                scores[i][c] = s[LEAD : LEAD + CORE, r].copy()
+        places = sorted({i for i, _ in wanted})
+        for i, c, tags, sure in _best_tags(tagger, scores, places):
+            found[i][c] = tags, sure
+        more = set()  # cores into which a span runs on
+        for i in places:
+            for first, last in _runs(found[i]):
+                more |= {(i, c) for c in range(max(0, first - reach), first) if found[i][first][0][0]}
+                more |= {(i, c) for c in range(last, last + reach) if found[i][last - 1][0][-1] and c * CORE < len(texts[i])}
+        wanted, reach = sorted((i, c) for i, c in more if c not in scores[i]), 2 * reach
+    return [list(_sure_spans(t, f)) for t, f in zip(texts, found)]
+
+
+def tagged_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[str, int, int]]]:
+    """Sure spans (kind, start, end) of each text."""
+    out, group, held = [], [], 0
+    for t in texts:
+        group.append((t, _cores(t)))
+        held += len(group[-1][1])
+        if held >= HELD:
+            out += _group_spans(tagger, *map(list, zip(*group)))
+            group, held = [], 0
+    return out + (_group_spans(tagger, *map(list, zip(*group))) if group else [])
+
+
 def pii_spans(df: DataFrame, text: Column) -> Column:
     """Spans of the whole text in code points, by start and kind; base marks those of the rules.
 

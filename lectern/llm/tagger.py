@@ -141,7 +141,14 @@ class Tagger:
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best tags of windows (rows, steps), and the posterior probability of each."""
-        s, _ = self._scores(ids)
+        return self.best(self.scores(ids))
+
+    def scores(self, ids: np.ndarray) -> np.ndarray:
+        """Tag scores (steps, rows, tags) of windows (rows, steps)."""
+        return self._scores(ids)[0]
+
+    def best(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best tags (rows, steps) for tag scores (steps, rows, tags), and the posterior probability of each."""
         a, b = self._forward(s), self._backward(s)
         last = a[-1].max(1)
         total = last + np.log(np.exp(a[-1] - last[:, None]).sum(1))
@@ -150,7 +157,7 @@ class Tagger:
             z = best[:, :, None] + move
             back.append(z.argmax(1))
             best = z.max(1) + s[t]
-        rows, path = np.arange(len(ids)), [best.argmax(1)]
+        rows, path = np.arange(s.shape[1]), [best.argmax(1)]
         for k in reversed(back):
             path.append(k[rows, path[-1]])
         tags = np.stack(path[::-1], 1)

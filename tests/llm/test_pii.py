@@ -52,6 +52,34 @@ def test_added_spans_at_any_place():
             assert (kind, at, at + len(s)) in tagged_spans(trained(), [text])[0], (pad, s)
 
 
+class Marked(Tagger):
+    """Takes each run of # for a telephone number."""
+
+    def _scores(self, ids):
+        inside = ids.T == ord("#")
+        begin = inside & ~np.concatenate((np.zeros_like(inside[:1]), inside[:-1]))
+        s = np.zeros((*inside.shape, 1 + 2 * len(KINDS)), np.float32)
+        s[..., 0], s[..., 2 * KINDS.index("phone") + 1], s[..., 2 * KINDS.index("phone") + 2] = 9 * ~inside, 9 * begin, 9 * (inside & ~begin)
+        return s, ()
+
+
+def test_added_spans_of_any_length_at_every_offset():
+    tagger = Marked(KINDS)
+    for digit in ("7", "word 7 word "):
+        for n in (30, 48, 72, 90, 400):
+            texts = ["x" * pad + digit + "#" * n + " words." for pad in range(pii.CORE)]
+            for pad, found in enumerate(tagged_spans(tagger, texts)):
+                assert found == [("phone", pad + len(digit), pad + len(digit) + n)], (digit, n, pad)
+    assert tagged_spans(tagger, ["#" * 500 + " 7", "7 " + "#" * 500]) == [[("phone", 0, 500)], [("phone", 2, 502)]]
+
+
+def test_long_addresses_at_every_offset():
+    s = "marienne_lavander @ porteline7.example.com"
+    texts = [("some plain words of it " * 9)[-pad - 1 :] + " " + s + " and more words of it follow here." for pad in range(WINDOW)]
+    for t, found in zip(texts, tagged_spans(trained(), texts)):
+        assert found == [("email", t.index(s), t.index(s) + len(s))], t
+
+
 def test_held_out_windows():
     make = pii._Inventor(77)
     rows = [make.window() for _ in range(300)]
