@@ -3,7 +3,8 @@
 The tagger learns from invented labelled spans, in the rules' formats and in others that they miss (telephone
 numbers without a country code, cards with dots, e-mail addresses with blanks or a spelled-out at sign), beside
 numbers that are no personal data. A character's tag scores come from the window in whose core it stands, and the best
-path is found over each run of adjoining cores, so a span may have any length and lie anywhere. A span must have a digit or an at sign, so a window without any holds none and isn't decoded.
+path is found over each run of adjoining cores, so a span may have any length and lie anywhere. A span must have a digit
+or an at sign, which may be spelled out, so a window without any holds none and isn't decoded unless a span runs into it.
 """
 
 from __future__ import annotations
@@ -37,8 +38,11 @@ _HOST = re.compile(rb"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(rb"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")  # from the start of a run of digits: in linear time
 _CARD = re.compile(rb"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
+#: An at sign in words; with blanks alone around it, only before a host.
+_AT = r"(?:[\[(] ?[aA][tT] ?[\])]| [aA][tT] (?=[A-Za-z0-9-]+\.[A-Za-z0-9]))"
+_SIGN = re.compile(rf"[0-9@]+|{_AT}")
 #: What an added span of a kind must at least have.
-_LEAST = {"email": re.compile(r"(?=.*[0-9@])(?=.*[a-z].*\.).{6,}", re.S), "ip": re.compile(r"(?:[^0-9]*[0-9]){4}"), "card": re.compile(r"(?:[^0-9]*[0-9]){14}"), "phone": re.compile(r"(?:[^0-9]*[0-9]){9}")}
+_LEAST = {"email": re.compile(rf"(?=.*(?:[0-9@]|{_AT}))(?=[^a-z]*+[a-z][^.]*+\.).{{6,}}", re.S), "ip": re.compile(r"(?:[^0-9]*[0-9]){4}"), "card": re.compile(r"(?:[^0-9]*[0-9]){14}"), "phone": re.compile(r"(?:[^0-9]*[0-9]){9}")}
 
 
 def luhn(digits: bytes) -> bool:
@@ -146,8 +150,8 @@ def trained(seed: int = 3) -> Tagger:
 
 
 def _cores(text: str) -> list[int]:
-    """Numbers of the cores whose windows have a digit or an at sign."""
-    return sorted({c for m in re.finditer(r"[0-9@]+", text) for c in range(max(0, m.start() - WINDOW + LEAD) // CORE, (m.end() + LEAD) // CORE + 1) if c * CORE < len(text)})
+    """Numbers of the cores whose windows have a digit or an at sign, be it in words."""
+    return sorted({c for m in _SIGN.finditer(text) for c in range(max(0, m.start() - WINDOW + LEAD) // CORE, (m.end() + LEAD) // CORE + 1) if c * CORE < len(text)})
 
 
 def _window(text: str, core: int) -> str:
@@ -155,7 +159,7 @@ def _window(text: str, core: int) -> str:
 
 
 def windows_of(text: str) -> list[tuple[int, str]]:
-    """Start of the core and text of each window with a digit or an at sign."""
+    """Start of the core and text of each window with a digit or an at sign, be it in words."""
     return [(c * CORE, _window(text, c)) for c in _cores(text)]
 
 
@@ -232,8 +236,8 @@ def tagged_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[str, int,
 def pii_spans(df: DataFrame, text: Column) -> Column:
     """Spans of the whole text in code points, by start and kind; base marks those of the rules.
 
-    Null and empty texts have none. Added spans meet neither those of the rules nor matches that the rules
-    dropped, and have the kind's digits or letters.
+    Null and empty texts have none. Added spans meet neither those of the rules nor matches of their
+    kind that the rules dropped, and have the kind's digits or letters.
     """
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(trained())
@@ -248,7 +252,7 @@ def pii_spans(df: DataFrame, text: Column) -> Column:
                 data = t.encode("utf-8", "surrogatepass")
                 base, dropped = rule_spans(data)
                 base, dropped = in_code_points(data, base), in_code_points(data, dropped)
-                extra = [(k, a, b, False) for k, a, b in more if not overlaps(a, b, base + dropped) and _LEAST[k].match(t[a:b])]
+                extra = [(k, a, b, False) for k, a, b in more if not overlaps(a, b, base + [d for d in dropped if d[0] == k]) and _LEAST[k].match(t[a:b])]
                 out.append([dict(zip(("kind", "start", "end", "base"), s)) for s in ordered(base + extra, KINDS)])
             yield pa.array(out, SPAN_TYPE)
 

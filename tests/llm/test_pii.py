@@ -80,6 +80,16 @@ def test_long_addresses_at_every_offset():
         assert found == [("email", t.index(s), t.index(s) + len(s))], t
 
 
+def test_advertised_forms_are_reported(spark):
+    forms = [("email", "jane [at] example.org"), ("email", "x(at)y.com"), ("email", "moritz.lander [at] filmano.com"), ("email", "jane @ example.org"), ("card", "4111.1111.1111.1111"), ("card", "4532.0151.1283.0366"), ("phone", "(434) 555-2368")]
+    rows = [(i, f"please write to {s} for more words of it", 0) for i, (_, s) in enumerate(forms)]
+    df = spark.createDataFrame([*rows, (99, "it was 999.1111.2222.3333 of them, seen at home. And [at] once.", 0)], SCHEMA)
+    out = {r.doc_id: [(s.kind, s.start, s.end, s.base) for s in r.found] for r in df.select("doc_id", pii_spans(df, df.text).alias("found")).collect()}
+    for i, (kind, s) in enumerate(forms):
+        assert out[i] == [(kind, 16, 16 + len(s), False)], s
+    assert out[99] == []
+
+
 def test_held_out_windows():
     make = pii._Inventor(77)
     rows = [make.window() for _ in range(300)]
