@@ -3,8 +3,9 @@
 One model per language, all in the same sorted hash arrays: a row for each n-gram seen in any language, with
 its smoothed log-probability in each. A text gets the language of the lowest cross-entropy per character.
 
-Fitting reads a bounded sample of labelled rows: at most about FIT_DOCS documents of FIT_CHARS characters or
+Fitting reads a bounded sample of labelled rows: at most about FIT_DOCS pieces of FIT_CHARS characters or
 less for each language, chosen by a hash of the id, and CALIBRATION_DOCS others to calibrate the rejection.
+A text of more than FIT_CHARS characters is cut into several pieces.
 The model's size is bounded by this sample, so it is counted on executors and built on the driver.
 """
 
@@ -26,8 +27,8 @@ ORDER = 4
 FIT_DOCS, CALIBRATION_DOCS, FIT_CHARS = 600, 300, 50_000
 #: A text of at least this many letters may be rejected for its cross-entropy.
 REJECT_LETTERS = 40
-#: Nats per character above the worst calibration document of the language.
-MARGIN = 0.3
+#: Nats per character above this quantile of the calibration documents that are most like their own language.
+MARGIN, QUANTILE = 0.3, 0.95
 UNKNOWN = "und"
 _WEIGHTS = np.random.default_rng(9).integers(0, 2**63, ORDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -175,19 +176,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bounded(rows: DataFrame, most: int, seed: int) -> DataFrame:
-    """About `most` rows of each language, by a hash of the id."""
-    share = rows.groupBy("lang").agg((F.lit(float(most)) / F.count("*")).alias("share"))
-    place = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000)) / 1e6
-    return sized_join(rows, share, "lang").filter(place < F.col("share")).select("lang", "text")
+    """About `most` pieces of texts of each language, by a hash of the id and the piece's number."""
+    pieces = F.ceil(F.length("text") / FIT_CHARS).cast("int")
+    share = rows.groupBy("lang").agg((F.lit(float(most)) / F.sum(pieces)).alias("share"))
+    place = lambda i: F.pmod(F.xxhash64("id", F.lit(seed) + i), F.lit(1_000_000)) / 1e6
+    chosen = F.filter(F.sequence(F.lit(0), pieces - 1), lambda i: place(i) < F.col("share"))
+    return sized_join(rows, share, "lang").select("lang", F.explode(F.transform(chosen, lambda i: F.substr("text", i * FIT_CHARS + 1, F.lit(FIT_CHARS)))).alias("text"))
 
 
 def fit(labelled: DataFrame) -> Model:
     """A model from (id, text, lang). Rows without id, text or language are left out.
 
-    Every fourth id by hash serves to calibrate, the others to fit. Without any labelled text the model knows
+    Every fourth id by hash serves to calibrate, the others to fit. Of the former, texts that are more like another
+    language than their label don't count, unless a language has no others. Without any labelled text the model knows
     no language, calls every text `und` and rejects only those without a letter.
     """
-    usable = labelled.filter("id is not null and lang is not null and length(text) between 1 and " + str(FIT_CHARS))
+    usable = labelled.filter("id is not null and lang is not null and length(text) > 0")
     aside = F.pmod(F.xxhash64(F.col("id"), F.lit("calibration")), F.lit(4)) == 0
     grams = _bounded(usable.filter(~aside), FIT_DOCS, 1).mapInArrow(_count, "lang string, k int, h long, context long, suffix long, n long")
     found = grams.groupBy("lang", "k", "h", "context", "suffix").agg(F.sum("n").alias("n")).toArrow()
@@ -199,19 +203,20 @@ def fit(labelled: DataFrame) -> Model:
     model = Model(names, {i: (*(c[k == i] for c in columns), lang[k == i], found["n"].to_numpy()[k == i]) for i in range(1, ORDER + 1)})
     shared = labelled.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("double")
+    @F.arrow_udf("ce double, own boolean")
     def own_entropy(text: pa.Array, lang: pa.Array) -> pa.Array:
         m = shared.value
         found = []
         for t, name in zip(text.to_pylist(), lang.to_pylist()):
             ce, n = m.cross_entropies(t)
-            found.append(float(ce[m.names.index(name)]) if n >= REJECT_LETTERS and name in m.names else None)
-        return pa.array(found, pa.float64())
-
-    worst = _bounded(usable.filter(aside), CALIBRATION_DOCS, 2).select("lang", own_entropy("text", "lang").alias("ce")).groupBy("lang").agg(F.max("ce").alias("ce"))
-    for r in worst.collect():
-        if r.ce is not None and r.lang in names:
-            model.limits[names.index(r.lang)] = r.ce + MARGIN
+            i = m.names.index(name) if n >= REJECT_LETTERS and name in m.names else None
+            found.append((None, None) if i is None else (float(ce[i]), bool(ce[i] <= ce.min())))
+        return pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.float64()), pa.array([x[1] for x in found], pa.bool_())], names=["ce", "own"])
+
+    high = lambda ce: F.try_element_at(F.sort_array(F.collect_list(ce)), (F.floor(QUANTILE * (F.count(ce) - 1)) + 1).cast("int"))
+    tried = _bounded(usable.filter(aside), CALIBRATION_DOCS, 2).select("lang", own_entropy("text", "lang").alias("e")).select("lang", "e.*").filter("ce is not null")
+    for r in tried.groupBy("lang").agg(high(F.when(F.col("own"), F.col("ce"))).alias("own"), high(F.col("ce")).alias("ce")).collect():
+        model.limits[names.index(r.lang)] = (r.ce if r.own is None else r.own) + MARGIN
     return model
 
 

@@ -96,6 +96,23 @@ def test_rejects_what_is_like_no_language(spark):
     assert not model.judge("the house stood")[2]
 
 
+def test_bad_labels_do_not_open_the_gate(spark):
+    odd = "бвгдж зклмн прстф хцчшщ " * 10
+    good = sample(400)
+    calibrates = [r.id for r in spark.range(1000, 1100).filter(F.pmod(F.xxhash64("id", F.lit("calibration")), F.lit(4)) == 0).collect()]
+    for bad in (odd, odd + "zaq uvo qivu zozu vaquz oqi uzava quzo " * 3):
+        model = fit(spark.createDataFrame([*good, (calibrates[0], bad, "xx", "x")], SCHEMA))
+        assert model.judge(odd)[2] and model.judge("qxwk jjpf xkcd wqpf " * 10)[2]
+        assert not any(model.judge(t)[2] for _, t, _, _ in sample(100, 5))
+
+
+def test_languages_of_long_texts_alone_are_learned(spark):
+    long = [(1000 + i, "mbe ngo tuli wafe soma " * (li.FIT_CHARS // 10), "yy", "x") for i in range(6)]
+    model = fit(spark.createDataFrame([*sample(200), *long], SCHEMA))
+    assert model.names == [*sorted(WORDS), "yy"] and np.isfinite(model.limits).all()
+    assert model.judge("soma tuli mbe wafe ngo")[0] == "yy"
+
+
 def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], SCHEMA)
     model = fit(empty)
