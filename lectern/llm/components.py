@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lectern.llm.common import discard, stored
@@ -14,23 +14,23 @@ def components(edges: DataFrame) -> DataFrame:
     Each step is a grouped minimum and a join, so a hub costs no task more than its share of rows; every step
     is written to the shared folder. Loops count as no edge. No edges give no rows.
     """
-    e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    mark = _mark(e)
+    e, mark = _marked(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     while mark[0]:
         both = e.union(e.select("v", "u")).toDF("x", "y")
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
         large = both.filter("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = stored(small.union(least).distinct(), "edges")
-        was, mark = mark, _mark(after)
-        discard(e)
-        e = after
+        before, was = e, mark
+        e, mark = _marked(small.union(least).distinct())
+        discard(before)
         if was == mark:
             break
     return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
-def _mark(e: DataFrame) -> tuple[int, int]:
-    r = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-    return r[0], r[1] or 0
+def _marked(e: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The stored edges, with their number and a digest that was taken while they were written."""
+    seen = Observation()
+    e = stored(e.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("digest")), "edges")
+    return e, (seen.get["n"], seen.get["digest"] or 0)

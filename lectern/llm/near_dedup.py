@@ -11,12 +11,12 @@ buckets with, then in rounds in which about 4, 64, 1024... classes of each bucke
 as pivots, until each has. So a bucket of n copies costs n tests, not n * n, and no pair of a bucket that
 could join two components is left out.
 
-After the first of these rounds the shingles of the classes that are left are counted. One that only a
-single component has links no two: a class with `own` such shingles and `shared` others has a similarity to a
-class of another component of at most min(shared) / (own + own' + max(shared)). Each class also gets a bitmap
-of its hashed shingles: every bit that only one of two classes has stands for a shingle that they don't share.
-Pairs, and classes, that fall below 0.75 by these bounds aren't tested; so texts that share a long passage
-but differ beside it drop out.
+Before these rounds the shingles of the classes that are left are counted. One that only a single component
+has links no two: a class with `own` such shingles and `shared` others has a similarity to a class of another
+component of at most min(shared) / (own + own' + max(shared)). Each class also has a bitmap of its hashed
+shingles: every bit that only one of two classes has stands for a shingle that they don't share. Pairs, and
+classes, that fall below 0.75 by these bounds are never formed; so texts that share a long passage but differ
+beside it drop out.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ PERMUTATIONS = BANDS * ROWS // 2
 MEMBERS = 200
 #: How many times more classes of a bucket are pivots in each round.
 GROWTH = 16
+#: Pivots of a bucket in the first round.
+FIRST = 4
 #: Words of 64 bits in a class's bitmap.
 BITMAP = 16
 _ODD = np.random.default_rng(3).integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -166,9 +168,8 @@ def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     return stored(moved.unionByName(new), "labels")
 
 
-def _best(members: DataFrame) -> DataFrame:
-    """Of the pivots of a class's buckets the one that it meets most often, as pair (pivot, member)."""
-    met = members.filter("cls <> pivot").groupBy("cls", "pivot").count()
+def _best(met: DataFrame) -> DataFrame:
+    """Of the pivots that a class meets, in rows (cls, pivot, count), the one it meets most often, as pair (pivot, member)."""
     return met.groupBy("cls").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot")).select("pivot", F.col("cls").alias("member"))
 
 
@@ -206,16 +207,11 @@ def _proposed(active: DataFrame, reach: int) -> DataFrame:
     it can only be linked to one with fewer.
     """
     place = F.expr("(cast(rank as double) + 9223372036854775808D) / 18446744073709551616D") * F.col("many")
-    if reach == 4:
-        active = active.withColumns({"shared": F.col("n"), "leads": F.lit(True), "bits": F.lit(None).cast("array<long>")})
-        turn = (place < 4) | (F.col("cls") == F.col("pivot"))
-        most = "least(n, p_n)"
-    else:
-        active = active.withColumn("leads", F.expr("7 * shared >= 6 * n"))
-        turn = (place < reach) & (place >= reach // GROWTH) & F.col("leads")
-        most = f"least(shared, p_shared, {_MOST})"
+    active = active.withColumn("leads", F.expr("7 * shared >= 6 * n"))
+    turn = (place < reach) & F.col("leads")
+    turn = turn & (place >= reach // GROWTH) if reach > FIRST else turn
     leaders = active.filter(turn).select("band", *[F.col(c).alias(f"p_{c}") for c in ("cls", "label", "rank", "n", "shared", "bits")])
-    found = active.join(leaders, "band").filter(f"(p_rank < rank or not leads) and label <> p_label and p_cls <> cls and 7 * {most} >= 3 * (n + p_n)")
+    found = active.join(leaders, "band").filter(f"(p_rank < rank or not leads) and label <> p_label and 7 * least(shared, p_shared) >= 3 * (n + p_n) and 7 * {_MOST} >= 3 * (n + p_n)")
     return found.select(F.col("p_cls").alias("pivot"), F.col("cls").alias("member")).distinct()
 
 
@@ -225,6 +221,13 @@ def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
     return pairs
 
 
+def _divided(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their labels, of the buckets that have classes of more than one component."""
+    marked = _with_label(members, labels, "cls", "label")
+    divided = marked.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("band")
+    return stored(marked.join(divided, "band"), "active")
+
+
 def near_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key (of the text), n_shingles, component_id and kept for every row of documents.
 
@@ -252,30 +255,30 @@ def near_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stored(bands.join(buckets, "band"), "members")
     discard(with_signs)
 
-    tested = stored(_best(members), "pairs")
-    labels = _relabelled(None, _linked(_plausible(tested, classes), classes, docs))
-    heads = labels.select(F.col("cls").alias("pivot"), F.col("label").alias("p_label"))
-    divided = _with_label(members, labels, "cls", "label").join(heads, "pivot", "left").filter("label <> coalesce(p_label, pivot)")
-    pairs = stored(_untested(_best(divided), tested), "pairs")
+    met = stored(members.filter("cls <> pivot").groupBy("cls", "pivot").count(), "met")
+    tested = stored(_best(met), "pairs")
+    labels = _relabelled(None, _linked(stored(_plausible(tested, classes), "pairs"), classes, docs))
+    apart = _with_label(_with_label(met, labels, "cls", "label"), labels, "pivot", "p_label").filter("label <> p_label")
+    pairs = stored(_untested(_best(apart), tested), "pairs")
     labels = _merged(labels, _plausible(pairs, classes), classes, docs)
     tested = stored(tested.unionByName(pairs), "pairs")
-    reach, overlaps = 4, None
+    discard(met)
+
+    left = _divided(members, labels)
+    overlaps = _overlaps(left, classes, docs)
+    discard(left)
+    before, members = members, stored(members.join(overlaps, "cls"), "members")
+    discard(before)
+    reach = FIRST
     while True:
-        if overlaps is not None:
-            before, members = members, stored(members.drop("shared", "bits").join(overlaps, "cls"), "members")
-            discard(before)
-        marked = _with_label(members, labels, "cls", "label")
-        divided = marked.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("band")
-        active = stored(marked.join(divided, "band"), "active")
+        active = _divided(members, labels)
         most = active.agg(F.max("many")).first()[0]
         if most is None or reach > GROWTH * most:
             break
         pairs = stored(_untested(_proposed(active, reach), tested), "pairs")
         if not pairs.isEmpty():
-            labels = _merged(labels, _plausible(pairs, classes) if overlaps is None else pairs, classes, docs)
+            labels = _merged(labels, pairs, classes, docs)
             tested = stored(tested.unionByName(pairs), "pairs")
-        if overlaps is None:
-            overlaps = _overlaps(active, classes, docs)
         discard(active)
         reach *= GROWTH
 
