@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 24 << 20
 #: Documents per Arrow batch: a batch of the longest documents still fits a Python worker.
 ARROW_ROWS = 200
+#: About so many distinct keys a range are looked at to find where ranges end.
+SAMPLE_KEYS = 100
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -75,3 +79,34 @@ def sized_join(df: DataFrame, small: DataFrame, on: str | list[str], how: str =
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def id_key(id_: Column) -> Column:
+    """A string that sorts as the long does, null first."""
+    return F.coalesce(F.lpad((id_.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0"), F.lit(""))
+
+
+def range_starts(keys: DataFrame, n: int) -> np.ndarray:
+    """First keys of the second to at most n-th range of (key) strings, about equally many distinct keys a range.
+
+    They are quantiles of the keys whose hash is divisible by a number that follows from their count: they depend
+    on the keys and n alone, not on partitions or attempts, and about SAMPLE_KEYS * n keys reach the driver.
+    """
+    total = keys.count()
+    step = max(total // (SAMPLE_KEYS * n), 1)
+    some = sorted(r.key.encode() for r in keys.filter(F.pmod(F.xxhash64("key"), F.lit(step)) == 0).distinct().collect())
+    return np.array(sorted({some[len(some) * i // n] for i in range(1, n)} - {some[0]}) if some else [], dtype=bytes)
+
+
+def range_of(spark: SparkSession, key: Column, starts: np.ndarray) -> Column:
+    """Struct (number, first): in which range a key lies, and whether it is the one that the range starts with."""
+    shared = spark.sparkContext.broadcast(starts)
+
+    @F.arrow_udf("number int, first boolean")
+    def place(keys: pa.Array) -> pa.Array:
+        found = np.array([k.encode() for k in keys.to_pylist()] or [b""], dtype=bytes)[: len(keys)]
+        at = np.searchsorted(shared.value, found, "right") if len(shared.value) else np.zeros(len(found), np.int64)
+        first = shared.value[at - 1] == found if len(shared.value) else np.zeros(len(found), bool)
+        return pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), pa.array((at > 0) & first)], names=["number", "first"])
+
+    return place(key)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import partitions, small_batches
+from lectern.llm.common import id_key, partitions, range_of, range_starts, small_batches
 from lectern.llm.shingles import mixed
 
 K, PICK, SKETCHES = 6, 2, 64
@@ -24,8 +24,6 @@ _WEIGHTS = np.random.default_rng(12).integers(0, 2**63, K, dtype=np.uint64) * np
 _PLACE = np.uint64(20)
 _MASK = np.uint64(0xFFFFFF)
 _BLOCK = 1 << 14
-#: Ranges of ids for each shuffle partition.
-RANGES = 4
 
 
 def numbered_kmers(points: np.ndarray) -> np.ndarray:
@@ -102,27 +100,22 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     repeat an id follow each other by text. Null texts are empty and have an empty fingerprint. A single row is
     its own next. Other columns aren't read. An empty table gives no rows.
 
-    Ids are cut into ranges at sampled ids; each row goes to its range, and the first id of a range also to the
-    range before, so that one shuffle brings every text next to the following one.
+    Ids are cut into a range for each shuffle partition; each row goes to its range, and the first id of a range also
+    to the range before, so that one shuffle brings every text next to the following one.
     """
     spark = docs.sparkSession
     small_batches(spark)
     n = partitions(spark)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    many = RANGES * n
-    marks = rows.agg(F.percentile_approx("doc_id", [i / many for i in range(1, many)], 100 * many).alias("p"), F.min("doc_id").alias("low"), F.count("*").alias("rows"), F.count("doc_id").alias("ids")).first()
-    cuts = sorted(set(marks.p or []) - {marks.low})
-    ends = F.array(*map(F.lit, cuts)).cast("array<long>")
-    # how many cuts are at or below the id, by halving
-    halves = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
-    step = lambda low, s: F.when((low + s <= len(cuts)) & (F.try_element_at(ends, low + s) <= F.col("doc_id")), low + s).otherwise(low)
-    here = F.aggregate(halves, F.lit(0), step) if cuts else F.lit(0)
-    first = F.col("doc_id").isin(cuts) if cuts else F.lit(False)
+    key = id_key(F.col("doc_id"))
+    starts = range_starts(rows.select(key.alias("key")), n)
+    marks = rows.agg(F.min("doc_id").alias("low"), F.count("*").alias("rows"), F.count("doc_id").alias("ids")).first()
     start = F.col("doc_id").isNull() if marks.ids < marks.rows else F.col("doc_id") == F.lit(marks.low)  # the first row follows the last
-    placed = rows.withColumn("range", F.coalesce(here, F.lit(0)))
-    homes = F.array_compact(F.array(F.struct("range", F.lit(0).alias("ahead")), F.when(first, F.struct((F.col("range") - 1).alias("range"), F.lit(1).alias("ahead"))), F.when(start, F.struct(F.lit(len(cuts)).alias("range"), F.lit(2).alias("ahead")))))
+    placed = rows.withColumn("place", range_of(spark, key, starts))
+    here = F.col("place.number")
+    homes = F.array_compact(F.array(F.struct(here.alias("range"), F.lit(0).alias("ahead")), F.when(F.col("place.first"), F.struct((here - 1).alias("range"), F.lit(1).alias("ahead"))), F.when(start, F.struct(F.lit(len(starts)).alias("range"), F.lit(2).alias("ahead")))))
     dealt = placed.select("doc_id", "text", F.explode(homes).alias("home")).select("doc_id", "text", "home.range", "home.ahead")
-    dealt = dealt.repartition(n, "range").sortWithinPartitions("range", "ahead", F.col("doc_id").asc_nulls_first(), "text")
+    dealt = dealt.repartitionById(n, F.col("range")).sortWithinPartitions("range", "ahead", F.col("doc_id").asc_nulls_first(), "text")
     return dealt.mapInArrow(_pairwise, "doc_id long, n_chars long, fingerprint string, edited string, edited_fingerprint string, near_edited double, near_next double")
 
 

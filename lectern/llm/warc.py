@@ -1,8 +1,9 @@
 """Deterministic sharded WARC writer, and a reader.
 
-Records are range-sorted by id into shards. A shard's task rolls its files by compressed size, one gzip
-member for each record, and writes each under a temporary name before renaming it. Nothing in a file
-depends on time, host or attempt, so a task that runs again writes the same bytes under the same names.
+Records are range-sorted by id, digest and address into shards, whose ends follow from the records alone. A shard's
+task rolls its files by compressed size, one gzip member for each record, and writes each under a temporary name before
+renaming it. Nothing in a file depends on time, host, attempt or how the input is partitioned, so the same table and
+number of shards give the same bytes under the same names.
 The manifest, one line for each file with its digest, is renamed into place last and commits the whole;
 readers open the files that it lists and nothing else.
 
@@ -22,11 +23,10 @@ from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import partitions, sized_join, small_batches
+from lectern.llm.common import id_key, partitions, range_of, range_starts, sized_join, small_batches
 
 ROLL_BYTES = 16 << 20
 #: The same in every record: the input has no times.
@@ -101,12 +101,25 @@ class _Shard:
         if self.size >= self.roll:
             yield self.close()
 
+    def _has(self, final: str) -> bool:
+        if self.files.get_file_info(final).type == fs.FileType.NotFound:
+            return False
+        there = hashlib.sha256()
+        with self.files.open_input_stream(final, compression=None) as f:
+            while part := f.read(1 << 20):
+                there.update(part)
+        if there.digest() == self.digest.digest():
+            return True
+        self.files.delete_file(final)  # of an abandoned write of other records
+        return False
+
     def close(self) -> tuple:
         self.out.close()
         final = f"{self.folder}/{self.name}"
-        if self.files.get_file_info(final).type != fs.FileType.NotFound and self.files.type_name != "local":
-            self.files.delete_file(final)  # an earlier attempt's, with the same bytes
-        self.files.move(self.temporary, final)
+        if self._has(final):  # an earlier attempt's, with the same bytes: it stays
+            self.files.delete_file(self.temporary)
+        else:
+            self.files.move(self.temporary, final)
         self.out, self.made = None, self.made + 1
         return self.name, self.count, self.size, self.digest.hexdigest(), self.ids[0], self.ids[-1]
 
@@ -124,17 +137,23 @@ def write_warc(pages: DataFrame, folder: str, shards: int | None = None, roll_by
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), F.coalesce(pages[html_col].cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("key", F.sha2("html", 256))
     heads = rows.groupBy("key").agg(F.max("page_id").alias("head"), F.count("*").alias("n")).filter("n > 1").select("key", "head")
-    rows = sized_join(rows, heads, "key", "left").drop("key")
-    ranged = rows.repartitionByRange(shards or partitions(spark), "page_id").sortWithinPartitions("page_id", "html", "url")
+    n = shards or partitions(spark)
+    place = lambda df: F.concat(id_key(df["page_id"]), df["key"])
+    starts = range_starts(rows.select(place(rows).alias("key")), n)
+    rows = sized_join(rows, heads, "key", "left")
+    dealt = rows.withColumn("shard", range_of(spark, place(rows), starts)["number"])
+    dealt = dealt.repartitionById(n, F.col("shard")).sortWithinPartitions("page_id", "key", F.col("url").asc_nulls_first()).drop("key")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = _Shard(folder, TaskContext.get().partitionId(), roll_bytes)
+        shard = None
 
         def listed() -> Iterator[tuple]:
+            nonlocal shard
             for batch in batches:
-                for page_id, url, html, head in zip(*(batch[k].to_pylist() for k in ("page_id", "url", "html", "head"))):
+                for page_id, url, html, head, number in zip(*(batch[k].to_pylist() for k in ("page_id", "url", "html", "head", "shard"))):
+                    shard = shard or _Shard(folder, number, roll_bytes)
                     yield from shard.add(page_id, record(page_id, url, html.encode(), head, head is not None and head != page_id))
-            if shard.out is not None:
+            if shard and shard.out is not None:
                 yield shard.close()
 
         for row in listed():
@@ -145,7 +164,7 @@ def write_warc(pages: DataFrame, folder: str, shards: int | None = None, roll_by
     if store.exists(path(f"{folder}/manifest")):
         raise FileExistsError(f"{folder} already has a manifest")
     temporary = f"{folder}/.manifest-{uuid.uuid4().hex}"
-    ranged.mapInArrow(put, MANIFEST).write.json(temporary)
+    dealt.mapInArrow(put, MANIFEST).write.json(temporary)
     store.rename(path(temporary), path(f"{folder}/manifest"))
 
 

@@ -33,6 +33,19 @@ def test_occurrences_are_numbered():
     assert np.array_equal(numbered_kmers(big)[:1000], numbered_kmers(big[: 1000 + K - 1]))
 
 
+def test_hashes_stand_for_kmers_and_their_numbers():
+    rng, seen = random.Random(4), {}
+    for n in (K, 50, 3000):
+        text, before = "".join(rng.choice("abé🎉") for _ in range(n)), {}
+        h = numbered_kmers(np.frombuffer(text.encode("utf-32-le"), np.uint32)).tolist()
+        assert len(h) == n - K + 1
+        for i, x in enumerate(h):
+            kmer = text[i : i + K]
+            before[kmer] = before.get(kmer, -1) + 1
+            assert seen.setdefault((kmer, before[kmer]), x) == x
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_likeness_falls_with_edits_and_moves():
     rng = random.Random(2)
     words = [str(rng.randrange(10**6)) for _ in range(600)]

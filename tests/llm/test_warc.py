@@ -46,6 +46,28 @@ def test_same_bytes_each_time(spark, tmp_path):
     assert files[0] == files[1] and files[0]
 
 
+def test_same_files_for_other_partitions_of_a_large_table(spark, tmp_path):
+    pages = spark.range(40_000).selectExpr("id * 7 % 40009 AS page_id", "concat('http://', id) AS url", "concat('<p>', id % 9000) AS html")
+    for name, dealt in (("a", pages.repartition(3)), ("b", pages.repartition(7, "url"))):
+        write_warc(dealt, f"file://{tmp_path}/{name}", shards=4, roll_bytes=300_000)
+    lists = [sorted(map(tuple, spark.read.json(f"file://{tmp_path}/{name}/manifest").collect()), key=str) for name in "ab"]
+    assert lists[0] == lists[1] and len(lists[0]) > 4 and sum(r[4] for r in lists[0]) == 40_000
+    per_shard = {}
+    for r in spark.read.json(f"file://{tmp_path}/a/manifest").collect():
+        per_shard[r.file[:12]] = per_shard.get(r.file[:12], 0) + r.records
+    assert len(per_shard) == 4 and max(per_shard.values()) < 15_000
+
+
+def test_a_second_attempt_leaves_the_first_ones_files(tmp_path):
+    from lectern.llm.warc import _Shard
+
+    for data in (b"same", b"same", b"other"):
+        shard = _Shard(f"file://{tmp_path}/s", 0, 1)
+        list(shard.add(1, data))
+        assert [p.name for p in Path(tmp_path, "s").iterdir()] == ["pages-000000-00000.warc.gz"]
+        assert gzip.decompress(Path(tmp_path, "s", "pages-000000-00000.warc.gz").read_bytes()).endswith(data)
+
+
 def test_damage_is_found(tmp_path):
     data = record(1, "u", b"abc", None, False)
     list(records_of(gzip.GzipFile(fileobj=__import__("io").BytesIO(gzip.compress(data)))))
