@@ -2,9 +2,9 @@
 
 The tagger learns from invented labelled spans, in the rules' formats and in others that they miss (telephone
 numbers without a country code, cards with dots, e-mail addresses with blanks or a spelled-out at sign), beside
-numbers that are no personal data. A character's tag scores come from the window in whose core it stands, and the best
-path is found over each run of adjoining cores, so a span may have any length and lie anywhere. A span must have a digit
-or an at sign, which may be spelled out, so a window without any holds none and isn't decoded unless a span runs into it.
+numbers that are no personal data. Every form it learns has a digit or an at sign, which may be spelled out. A character's tag scores come from the window in whose core it stands, and the best
+path is found over each run of adjoining cores, so a span may have any length and lie anywhere. A window without digit or
+at sign can't hold a span by itself; it is decoded where a span runs into it.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import small_batches
-from lectern.llm.spans import SPAN_TYPE, SPANS, in_code_points, ordered, overlaps
+from lectern.llm.spans import SPAN_TYPE, SPANS, Taken, in_code_points, ordered
 from lectern.llm.tagger import Tagger, char_classes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -234,9 +234,10 @@ def tagged_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[str, int,
 
 
 def pii_spans(df: DataFrame, text: Column) -> Column:
-    """Spans of the whole text in code points, by start and kind; base marks those of the rules.
+    """Spans of the whole text in code points, by start and kind.
 
-    Null and empty texts have none. Added spans meet neither those of the rules nor matches of their
+    base marks those of the rules; method those where the tagger is sure of the kind, be they its own additions or
+    spans of the rules that it finds as well. Null and empty texts have none. Added spans meet neither those of the rules nor matches of their
     kind that the rules dropped, and have the kind's digits or letters.
     """
     small_batches(df.sparkSession)
@@ -252,8 +253,11 @@ def pii_spans(df: DataFrame, text: Column) -> Column:
                 data = t.encode("utf-8", "surrogatepass")
                 base, dropped = rule_spans(data)
                 base, dropped = in_code_points(data, base), in_code_points(data, dropped)
-                extra = [(k, a, b, False) for k, a, b in more if not overlaps(a, b, base + [d for d in dropped if d[0] == k]) and _LEAST[k].match(t[a:b])]
-                out.append([dict(zip(("kind", "start", "end", "base"), s)) for s in ordered(base + extra, KINDS)])
+                sure = {k: Taken([m for m in more if m[0] == k]) for k in KINDS}
+                taken = {k: Taken(base + [d for d in dropped if d[0] == k]) for k in KINDS}
+                extra = [(k, a, b, False, True) for k, a, b in more if not taken[k].meets(a, b) and _LEAST[k].match(t, a, b)]
+                rules = [(k, a, b, True, sure[k].meets(a, b)) for k, a, b, _ in base]
+                out.append([dict(zip(("kind", "start", "end", "base", "method"), s)) for s in ordered(rules + extra, KINDS)])
             yield pa.array(out, SPAN_TYPE)
 
     return scan(text.cast("string"))

@@ -15,9 +15,9 @@ from lectern.llm.line_dedup import line_dedup
 from lectern.llm.mixing import mix
 from lectern.llm.near_dedup import near_dedup
 from lectern.llm.pii import pii_spans
-from lectern.llm.secrets import secret_spans
+from lectern.llm.secrets import corpus_words, secret_spans
 from lectern.llm.sentence_pieces import decode, encode
-from lectern.llm.spans import base_only, count_of, spelled
+from lectern.llm.spans import base_only, by_method, count_of, spelled
 from lectern.llm.warc import read_warc, write_warc
 
 OP2_SQL = r"""
@@ -143,7 +143,7 @@ def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _span_digest(docs: DataFrame, spans: Column, kinds: tuple[str, ...]) -> DataFrame:
     found = docs.select("doc_id", spans.alias("s"))
-    return found.select("doc_id", *[count_of(F.col("s"), k).alias(f"n_{k}") for k in kinds], F.sha2(spelled(base_only(F.col("s"))), 256).alias("base_sha256"), spelled(F.col("s")).alias("spans"))
+    return found.select("doc_id", *[count_of(F.col("s"), k).alias(f"n_{k}") for k in kinds], F.sha2(spelled(base_only(F.col("s"))), 256).alias("base_sha256"), spelled(F.col("s")).alias("spans"), spelled(by_method(F.col("s"))).alias("method_spans"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +153,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return _span_digest(docs, secret_spans(docs, F.col("text")), ("assign", "access", "hex"))
+    return _span_digest(docs, secret_spans(docs, F.col("text"), corpus_words(docs, F.col("text"))), ("assign", "access", "hex"))
 
 
 def _held_out() -> Column:

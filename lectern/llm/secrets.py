@@ -1,16 +1,17 @@
 """Secrets in texts: rules, and strings that a dictionary-primed compressor finds new.
 
-A candidate is a long unbroken string with a sensitive word shortly before it, on its line or an earlier one, or
-in the body of a PEM private key. A leading NAME= is no part of it but stands before it. Its novelty is the number of
-bytes that it adds to the zstandard frame of its surroundings, with a dictionary of identifiers and code
-words as history. Words, names and paths repeat what the compressor has seen and add little; random strings
-add nearly a byte for each of their own. Those above NOVELTY are reported.
+A candidate is a string of SHORTEST bytes or more without white space, with a sensitive word in its surroundings, the
+AROUND bytes before it, or in the body of a PEM private key. A leading NAME= is no part of it but stands before it. Its
+novelty is the number of bytes that it adds to the zstandard frame of its surroundings, with a dictionary as history:
+identifiers and code words from a rule, and the words that stand in most documents of the corpus. Words, names, paths and
+numbers repeat what the compressor has seen or have few symbols, and add little; random strings add nearly a byte for each
+of their own. Those above NOVELTY are reported. What the rules find is measured in the same way.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import groupby, product
 
 import pyarrow as pa
@@ -19,14 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import small_batches
-from lectern.llm.spans import SPAN_TYPE, SPANS, in_code_points, ordered, overlaps
+from lectern.llm.spans import SPAN_TYPE, SPANS, Taken, in_code_points, ordered
 
 KINDS = ("assign", "access", "hex", "novel")
 #: Bytes that a candidate adds for each of its own.
 NOVELTY = 0.72
-#: Bytes before a candidate in which a sensitive word must stand, and around it that are its surroundings.
-NEAR, AROUND = 40, 256
+#: Bytes before and behind a candidate that are its surroundings.
+AROUND = 256
 SHORTEST = 20
+#: Words of the corpus in the dictionary: runs of letters, shorter than any candidate.
+WORDS = 4000
 
 # The rules of the task, for lower-cased text where letters may be in either case.
 _ASSIGN = re.compile(rb"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([a-z0-9+/_.=-]+)")
@@ -34,7 +37,8 @@ _ASSIGN_WORDS = (b"passw", b"secret", b"token", b"api")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{24,}")  # a run of hex digits ends where a longer one would
 
-_SENSITIVE = re.compile(rb"passw|passphrase|pwd|secret|token|api[_ -]?key|auth|credential|bearer|private[_ -]?key|signature|access[_ -]?key")
+# the short ones stand by themselves, else random letters would hold them
+_SENSITIVE = re.compile(rb"passw|passphrase|secret|token|api[_ -]?key|credential|bearer|private[_ -]?key|signature|access[_ -]?key|(?<![a-z0-9+/])(?:pwd|o?auth(?:orization|entication)?)(?![a-z])")
 _CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=~.-]{20,}")
 _NAME = re.compile(rb"[^=]++=++")
 _PEM = re.compile(rb"-----(BEGIN|END)[^\n-]*-----")
@@ -52,54 +56,78 @@ def _pem_bodies(data: bytes) -> list[tuple[int, int]]:
     return out
 
 
-def _dictionary() -> zstandard.ZstdCompressionDict:
-    """Identifiers in the usual spellings, from a rule, and code words."""
+def corpus_words(df: DataFrame, text: Column, most: int = WORDS) -> list[str]:
+    """The runs of 4 to SHORTEST - 1 ASCII letters that stand in most rows of df, most frequent first; ties by code point.
+
+    Counted over all rows; `most` words reach the driver. Null texts have none.
+    """
+    found = df.select(F.explode(F.array_distinct(F.regexp_extract_all(text.cast("string"), F.lit("[A-Za-z]{4,}+"), F.lit(0)))).alias("word"))
+    counts = found.filter(F.length("word") < SHORTEST).groupBy("word").count()
+    return [r.word for r in counts.orderBy(F.desc("count"), "word").limit(most).collect()]
+
+
+def _dictionary(words: Sequence[str]) -> zstandard.ZstdCompressionDict:
+    """The corpus's words, identifiers in the usual spellings, from a rule, and code words."""
     verbs = "get set is has make load save read write open close send parse build create update delete find fetch check validate encode decode encrypt decrypt sign verify".split()
     nouns = "user name password secret token key value config client server request response session account access refresh public private file path data index count size message header body error result default environment database connection string".split()
     names = [f"{v}_{n}" for v, n in product(verbs, nouns)] + [f"{v}{n.title()}" for v, n in product(verbs, nouns)] + [f"{a}_{b}" for a, b in product(nouns, nouns)] + [f"{a}-{b}".upper() for a, b in product(nouns[:16], nouns[:16])]
     code = "import from return function class const let var public static void string export default if else for while true false null none self this def lambda async await try except finally throw catch new https://www. http:// .com .org .html .json .yaml application/json Content-Type Authorization: Bearer example changeme placeholder your_api_key_here xxxxxxxxxxxxxxxx 0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return zstandard.ZstdCompressionDict(" ".join([*names, code]).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressionDict(" ".join([*reversed(words), *names, code]).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 class Scanner:
-    def __init__(self) -> None:
-        self.packer = zstandard.ZstdCompressor(level=19, dict_data=_dictionary(), write_checksum=False, write_content_size=False, write_dict_id=False)
+    def __init__(self, words: Sequence[str] = ()) -> None:
+        self.packer = zstandard.ZstdCompressor(level=19, dict_data=_dictionary(words), write_checksum=False, write_content_size=False, write_dict_id=False)
 
     def novelty(self, before: bytes, candidate: bytes) -> float:
         """Bytes that the candidate adds after `before`, for each of its own."""
         return (len(self.packer.compress(before + candidate)) - len(self.packer.compress(before))) / len(candidate)
 
     def spans(self, text: str | None) -> list[tuple[str, int, int, bool]]:
+        """Kind, start, end and whether a rule found it."""
+        return [s[:4] for s in self.judged(text)]
+
+    def judged(self, text: str | None) -> list[tuple[str, int, int, bool, bool]]:
+        """Kind, start, end, whether a rule found it, and whether it is novel."""
         data = (text or "").encode("utf-8", "surrogatepass")
-        low, found = data.lower(), []
+        low, found = data.lower(), []  # the rules' matches, with their values
         if any(w in low for w in _ASSIGN_WORDS):
-            found += [("assign", m.start(), m.end(), True) for m in _ASSIGN.finditer(low) if m.end(1) - m.start(1) >= 6]
+            found += [("assign", m.start(), m.end(), m.start(1), m.end(1)) for m in _ASSIGN.finditer(low) if m.end(1) - m.start(1) >= 6]
         if max(map(len, data.split()), default=0) >= SHORTEST:  # what follows has no white space
-            found += [("access", m.start(), m.end(), True) for m in _ACCESS.finditer(data) if m.end() - m.start() >= 20]
-            found += [("hex", m.start(), m.end(), True) for m in _HEX.finditer(data)]
-            free = [c for c in self.candidates(data, low) if not overlaps(*c[:2], found)]
-            found += [("novel", a, b, False) for a, b in self.novel(data, free)]
-        return ordered(in_code_points(data, found), KINDS)
+            found += [("access", *m.span(), *m.span()) for m in _ACCESS.finditer(data) if m.end() - m.start() >= 20]
+            found += [("hex", *m.span(), *m.span()) for m in _HEX.finditer(data)]
+            taken = Taken(found)
+            free = [c for c in self.candidates(data, low) if not taken.meets(*c[:2])]
+            added = [("novel", a, b, False, True) for a, b in self.novel(data, free)]
+        else:
+            added = []
+        rules = [(kind, a, b, True, self.is_novel(data, [(x, y)])) for kind, a, b, x, y in found]
+        return ordered(in_code_points(data, rules + added), KINDS)
+
+    def is_novel(self, data: bytes, parts: list[tuple[int, int]]) -> bool:
+        a, b = parts[0][0], parts[-1][1]
+        return self.novelty(data[max(0, a - AROUND) : a] + data[b : b + AROUND], b"".join(data[x:y] for x, y in parts)) >= NOVELTY
 
     def novel(self, data: bytes, candidates: list[tuple[int, int, int | None]]) -> Iterator[tuple[int, int]]:
         """Candidates that are novel; those of one private key are measured together."""
         for body, some in groupby(candidates, lambda c: c[2]):
             for group in [[(a, b) for a, b, _ in some]] if body is not None else [[(a, b)] for a, b, _ in some]:
-                a, b = group[0][0], group[-1][1]
-                if self.novelty(data[max(0, a - AROUND) : a] + data[b : b + AROUND], b"".join(data[x:y] for x, y in group)) >= NOVELTY:
+                if self.is_novel(data, group):
                     yield from group
 
     @staticmethod
     def candidates(data: bytes, low: bytes) -> Iterator[tuple[int, int, int | None]]:
         """Start, end and the private key, if any, in whose body it stands."""
         bodies, body = _pem_bodies(data), 0
+        closed, ends = 0, [m.end() for m in _PEM.finditer(data) if m[1] == b"END"][::-1] if bodies else []
         for m in _CANDIDATE.finditer(data):
+            while ends and ends[-1] <= m.start():
+                closed = ends.pop()  # what a key's last line says is no context of what follows
             while body < len(bodies) and bodies[body][1] <= m.start():
                 body += 1
             private = body < len(bodies) and bodies[body][0] <= m.start()
             for start, a, b in _values(m, low):
-                s = data[a:b]
-                if any(c in b"0123456789" for c in s) and re.search(rb"[A-Za-z]", s) and (private or _SENSITIVE.search(low, max(0, min(a - NEAR, start)), a)):
+                if private or _SENSITIVE.search(low, max(closed, min(a - AROUND, start)), a):
                     yield a, b, body if private else None
 
 
@@ -122,17 +150,20 @@ def _values(m: re.Match, low: bytes) -> Iterator[tuple[int, int, int]]:
         yield context, at, end
 
 
-def secret_spans(df: DataFrame, text: Column) -> Column:
-    """Spans of the whole text in code points, by start and kind; base marks those of the rules.
+def secret_spans(df: DataFrame, text: Column, words: Sequence[str] = ()) -> Column:
+    """Spans of the whole text in code points, by start and kind.
 
-    Null and empty texts have none. Novel spans never overlap those of the rules.
+    base marks those of the rules; method those that are novel, be they added or found by the rules as well. words go
+    into the compressor's dictionary (corpus_words). Null and empty texts have none. Added spans never overlap those of
+    the rules.
     """
     small_batches(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(list(words))
 
     @F.arrow_udf(SPANS)
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scanner = Scanner()
+        scanner = Scanner(shared.value)
         for batch in batches:
-            yield pa.array([[dict(zip(("kind", "start", "end", "base"), s)) for s in scanner.spans(t)] for t in batch.to_pylist()], SPAN_TYPE)
+            yield pa.array([[dict(zip(("kind", "start", "end", "base", "method"), s)) for s in scanner.judged(t)] for t in batch.to_pylist()], SPAN_TYPE)
 
     return scan(text.cast("string"))

@@ -1,10 +1,12 @@
 import random
 import re
+import time
 
 import numpy as np
 
 from lectern.llm import pii
 from lectern.llm.pii import KINDS, WINDOW, luhn, pii_spans, tagged_spans, trained, windows_of
+from lectern.llm.spans import Taken
 from lectern.llm.tagger import Tagger, char_classes
 
 RULES = {
@@ -90,6 +92,25 @@ def test_advertised_forms_are_reported(spark):
     assert out[99] == []
 
 
+def test_the_taggers_own_verdict_is_told(spark):
+    rows = [(1, "write to jane.doe@example.org or call (434) 555-2368 or 4111.1111.1111.1111 today", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = df.select(pii_spans(df, df.text).alias("s")).first().s
+    assert [(s.kind, s.base, s.method) for s in found] == [("email", True, True), ("phone", False, True), ("card", False, True)]
+
+
+def test_many_spans_take_linear_time():
+    took = []
+    for n in (20_000, 80_000):
+        spans, began = [("ip", 10 * i, 10 * i + 7) for i in range(n)], time.time()
+        taken = Taken(spans)
+        assert sum(taken.meets(10 * i + 6, 10 * i + 9) and not taken.meets(10 * i + 7, 10 * i + 10) for i in range(n)) == n
+        took.append(time.time() - began)
+    assert took[1] < 8 * took[0]
+    taken = Taken([("ip", 0, 100), ("ip", 10, 20), ("ip", 200, 201)])
+    assert taken.meets(50, 60) and not taken.meets(100, 200) and taken.meets(199, 201) and not Taken([]).meets(0, 5)
+
+
 def test_held_out_windows():
     make = pii._Inventor(77)
     rows = [make.window() for _ in range(300)]

@@ -1,7 +1,8 @@
 import random
 import re
+import time
 
-from lectern.llm.secrets import Scanner, secret_spans
+from lectern.llm.secrets import Scanner, corpus_words, secret_spans
 
 RULES = {
     "assign": (re.compile(r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), lambda m: len(m[2]) >= 6),
@@ -63,6 +64,42 @@ def test_names_of_unquoted_assignments_are_context():
     assert scan("export AWS_SECRET_ACCESS_KEY=get_secret_value_1_from_config_file") == []
 
 
+def test_keys_of_letters_alone_and_at_a_distance_are_reported():
+    scan, rng = Scanner().spans, random.Random(11)
+    hit = 0
+    for _ in range(40):
+        key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(40))
+        for text in (f"auth credential {key}", f"the private key, as was said {'some more words ' * 9}is {key}"):
+            hit += [s[0] for s in scan(text)] == ["novel"]
+        assert scan(f"the author of {key}") == []
+    assert hit >= 76
+
+
+def test_rules_spans_are_measured_too():
+    rng = random.Random(12)
+    key = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    assert Scanner().judged(f"password={key}") == [("assign", 0, 49, True, True), ("hex", 9, 49, True, True)]
+    assert Scanner().judged("password=password_value") == [("assign", 0, 23, True, False)]
+
+
+def test_words_of_the_corpus_are_no_news(spark):
+    rows = [(i, f"Zanquolbetrifikand vuxopalim word{i} aaa", 0) for i in range(20)] + [(99, None, 0), (100, "x" * 25, 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    words = corpus_words(df, df.text, 3)
+    assert words == ["Zanquolbetrifikand", "vuxopalim", "word"]
+    text = "the secret place is zanquolbetrifikand_vuxopalim".replace("zan", "Zan")
+    assert [s[0] for s in Scanner().spans(text)] == ["novel"] and Scanner(words).spans(text) == []
+
+
+def test_many_spans_take_linear_time():
+    took = []
+    for n in (2000, 8000):
+        text, began = "the token " + "".join(f"passwd=v{i:06d} {'Q7' * 10} " for i in range(n)), time.time()
+        assert sum(s[3] for s in Scanner().spans(text)) == n
+        took.append(time.time() - began)
+    assert took[1] < 8 * took[0]
+
+
 def test_long_runs_of_names_take_linear_time():
     assert [s for s in Scanner().spans("auth=" * 200_000 + "x") if not s[3]] == []
 
