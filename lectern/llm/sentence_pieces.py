@@ -4,13 +4,14 @@ A text is cut into the vocabulary's pieces so that the sum of their scores is gr
 split into chunks. Each chunk gives a transfer matrix: the best score for every number of its first
 characters that a piece from the chunk before has taken (the entry state), and every number of characters
 that its last piece takes of the next (the exit state). Matrices combine associatively in the (max, +)
-algebra; from the combined scores follow the states at all chunk boundaries, and then each chunk is
-traced back on its own.
+algebra: up a tree in which each task combines FAN of them, and down again to the states at all chunk
+boundaries. Then each chunk is traced back on its own.
 
 Scores are whole numbers, so sums are exact at any length: a piece of rank r in the vocabulary file scores
 -round(SCALE * ln(r + 2)). A character that is no piece becomes its UTF-8 bytes' pieces, for UNKNOWN less than
-the least score. Of equal sums the one whose last piece starts first wins, as in the public library; where
-equal sums meet at a chunk boundary, as in long runs of one character, the smallest state wins there.
+the least score. Of equal sums the one whose last piece starts first wins, then the one whose last piece but one
+does, and so on, as in the public library. So beside its scores a matrix holds, for each exit state, the order
+of the entry states by this rule; it combines like the scores, and a text gets the same pieces in chunks of any size.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, reduce
 from itertools import chain
 
 import numpy as np
@@ -34,6 +35,8 @@ from lectern.llm.common import small_batches, stored
 SCALE, UNKNOWN = 256, 10
 #: Characters in a chunk; longer documents are split.
 CHUNK = 65_536
+#: Matrices that one task combines.
+FAN = 64
 #: Distinct segments remembered in a process, each of at most SEGMENT characters.
 REMEMBER, SEGMENT = 100_000, 48
 #: Letters in the tables that many segments are looked up in at once.
@@ -222,21 +225,30 @@ class Pieces:
         return first, last
 
     def transfer(self, s: str, size: int) -> np.ndarray:
-        """Transfer matrix of the first `size` characters of s; those after it belong to the next chunk."""
+        """Transfer matrix of the first `size` characters of s: scores, and beside them the ranks of entry states by exit state.
+
+        What comes after these characters belongs to the next chunk.
+        """
         n = self.longest
         table = np.full((n, n), _LOW, np.int64)
         cuts = self.cuts(s, size)
         if cuts is None:
+            backs = []
             for e in range(min(n, size + 1)):
-                row = self.forward(s, e, size)[0][size : size + n]
+                best, back = self.forward(s, e, size)
+                row = best[size : size + n]
                 table[e, : len(row)] = row
-            return table
+                backs.append(back)
+            ranks = [_ranked(backs, [e for e in range(len(backs)) if table[e, x] > _LOW], size + x, n) for x in range(n)]
+            return np.hstack((table, np.array(ranks, np.int64).T))
         first, last = cuts
-        head = [self.forward(s[:first], e, first)[0][first] for e in range(n)]
+        heads = [self.forward(s[:first], e, first) for e in range(n)]
+        head = np.array([best[first] for best, _ in heads])
         tail = self.forward(s[last:], 0, size - last)[0][size - last : size - last + n]
         middle = self.score(s[first:last])
-        table[:, : len(tail)] = np.maximum(np.array(head)[:, None] + np.array(tail)[None, :] + middle, _LOW)
-        return table
+        table[:, : len(tail)] = np.maximum(head[:, None] + np.array(tail)[None, :] + middle, _LOW)
+        ranks = np.array(_ranked([back for _, back in heads], [e for e in range(n) if head[e] > _LOW], first, n))
+        return np.hstack((table, np.where(table > _LOW, ranks[:, None], n)))
 
     def between(self, s: str, size: int, entry: int, exit: int) -> list[int]:
         """Pieces of a chunk between two states."""
@@ -261,28 +273,95 @@ def pieces_of(model: bytes) -> Pieces:
     return Pieces(model)
 
 
+def _ranked(backs: list[list[int]], entries: list[int], at: int, n: int) -> list[int]:
+    """Ranks of the entry states whose best paths reach `at`, n for all others.
+
+    Paths are walked back side by side; where they part the lesser start ranks first, and one that has come to its
+    entry state before all, as its last piece starts in the chunk before.
+    """
+    ranks, order, groups = [n] * n, 0, [(at, entries)]
+    while groups:
+        place, some = groups.pop()
+        while len(some) > 1 and place not in some and len({backs[e][place] for e in some}) == 1:
+            place = backs[some[0]][place]
+        if len(some) == 1:
+            ranks[some[0]] = order
+            order += 1
+            continue
+        rest = [e for e in some if e != place]
+        if len(rest) < len(some):
+            ranks[place] = order
+            order += 1
+        starts = sorted({backs[e][place] for e in rest}, reverse=True)
+        groups += [(start, [e for e in rest if backs[e][place] == start]) for start in starts]
+    return ranks
+
+
 def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """(max, +) product of two transfer matrices."""
-    return np.maximum((a[:, :, None] + b[None, :, :]).max(1), _LOW)
-
-
-def boundary_states(matrices: list[np.ndarray]) -> list[int]:
-    """States before the first chunk, between chunks and after the last, on a best path from 0 to 0."""
-    scores = [np.where(np.arange(len(matrices[0])) == 0, 0, _LOW)[None, :]]
-    for m in matrices:
-        scores.append(joined(scores[-1], m))
-    states = [0]
-    for before, m in zip(scores[-2::-1], reversed(matrices)):
-        states.append(int((before[0] + m[:, states[-1]]).argmax()))
+    """(max, +) product of two transfer matrices, with the ranks of its entry states."""
+    n = len(a)
+    sums = a[:, :n, None] + b[None, :, :n]  # entry, between, exit
+    best = np.maximum(sums.max(1), _LOW)
+    between = np.where(sums == sums.max(1, keepdims=True), b[None, :, n:], n + 1).argmin(1)
+    reached = best > _LOW
+    late = np.take_along_axis(b[:, n:], between, 0)
+    early = np.take_along_axis(a[:, n:], between, 1)
+    order = np.where(reached, late * (n + 1) + early, (n + 1) ** 2).argsort(0, kind="stable").argsort(0)
+    return np.hstack((best, np.where(reached, order, n)))
+
+
+def boundary_states(matrices: list[np.ndarray], entry: int = 0, exit: int = 0) -> list[int]:
+    """States before the first chunk, between chunks and after the last, on the best path from entry to exit."""
+    n = len(matrices[0])
+    scores = [np.where(np.arange(n) == entry, 0, _LOW)]
+    for m in matrices[:-1]:
+        scores.append(np.maximum((scores[-1][:, None] + m[:, :n]).max(0), _LOW))
+    states = [exit]
+    for before, m in zip(reversed(scores), reversed(matrices)):
+        sums = before + m[:, states[-1]]
+        states.append(int(np.where(sums == sums.max(), m[:, n + states[-1]], n + 1).argmin()))
     return states[::-1]
 
 
+def _matrix(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.int64).reshape(n, 2 * n)
+
+
+def _boundaries(matrices: DataFrame, n: int, most: int, fan: int) -> DataFrame:
+    """(rid, at, entry, exit) for the chunks at 0, 1, ... up to `most` of each rid, from (rid, at, m)."""
+
+    def combine(table: pa.Table) -> pa.Table:
+        table = table.sort_by("at")
+        m = reduce(joined, (_matrix(x, n) for x in table["m"].to_pylist()))
+        return pa.table({"rid": table["rid"][:1], "at": pa.array([table["at"][0].as_py() // fan], pa.int32()), "m": pa.array([m.tobytes()], pa.binary())})
+
+    def between(table: pa.Table) -> pa.Table:
+        table = table.sort_by("at")
+        states = boundary_states([_matrix(x, n) for x in table["m"].to_pylist()], table["entry"][0].as_py(), table["exit"][0].as_py())
+        return pa.table({"rid": table["rid"], "at": table["at"], "entry": pa.array(states[:-1], pa.int32()), "exit": pa.array(states[1:], pa.int32())})
+
+    levels = [matrices]
+    while most >= fan:
+        grouped = levels[-1].withColumn("parent", F.floor(F.col("at") / fan)).groupBy("rid", "parent")
+        levels.append(stored(grouped.applyInArrow(combine, "rid long, at int, m binary"), "matrices"))
+        most //= fan
+    states = None
+    for level in reversed(levels):
+        below = level.withColumn("parent", F.floor(F.col("at") / fan).cast("int"))
+        if states is None:
+            below = below.withColumns({"entry": F.lit(0), "exit": F.lit(0)})
+        else:
+            below = below.join(states.withColumnRenamed("at", "parent"), ["rid", "parent"])
+        states = below.groupBy("rid", "parent").applyInArrow(between, "rid long, at int, entry int, exit int")
+    return states
+
+
 def _marked(text):
     """As the public library: each blank becomes a mark, with one more before the text."""
     return F.when(text == "", "").otherwise(F.concat(F.lit(BLANK), F.replace(text, F.lit(" "), F.lit(BLANK))))
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[str] | None = None, chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[str] | None = None, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
     """Every row of docs as struct `row` (of the columns in keep, or all), with ids array<int> and n_chunks.
 
     Null and empty texts have no ids. Texts may be of any length. The model file is read by the driver and
@@ -304,8 +383,13 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
 
     short = rows.filter(F.length("text") <= chunk).select("row", whole(_marked(F.col("text"))).alias("ids"), F.lit(1).alias("n_chunks"))
 
-    giants = stored(rows.filter(F.length("text") > chunk).withColumn("rid", F.monotonically_increasing_id()), "giants")
-    starts = F.sequence(F.lit(0), F.floor(F.length("text") / chunk).cast("int"))  # the text and its first mark
+    if chunk < look:
+        raise ValueError(f"chunks must hold the longest piece, {look} characters")
+    giants = stored(rows.filter(F.length("text") > chunk).withColumns({"rid": F.monotonically_increasing_id(), "last": F.floor(F.length("text") / chunk).cast("int")}), "giants")
+    most = giants.agg(F.max("last")).first()[0]
+    if most is None:
+        return short
+    starts = F.sequence(F.lit(0), F.col("last"))  # the text and its first mark
     part = lambda i: F.struct(i.alias("at"), F.substring(_marked(F.col("text")), i * chunk + 1, F.lit(chunk + look)).alias("s"))
     chunks = giants.select("rid", F.explode(F.transform(starts, part)).alias("c")).select("rid", "c.at", "c.s")
 
@@ -316,11 +400,6 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
             found = [pieces.transfer(s, min(len(s), chunk)).tobytes() for s in b["s"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["rid"], b["at"], pa.array(found, pa.binary())], names=["rid", "at", "m"])
 
-    def scan(table: pa.Table) -> pa.Table:
-        table = table.sort_by("at")
-        states = boundary_states([np.frombuffer(m, np.int64).reshape(look, look) for m in table["m"].to_pylist()])
-        return pa.table({"rid": table["rid"], "at": table["at"], "entry": pa.array(states[:-1], pa.int32()), "exit": pa.array(states[1:], pa.int32())})
-
     def traced(batches):
         pieces = pieces_of(shared.value)
         for b in batches:
@@ -328,7 +407,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
             found = [pieces.between(s, min(len(s), chunk), e, x) for s, e, x in zip(*(b[k].to_pylist() for k in ("s", "entry", "exit")))]
             yield pa.RecordBatch.from_arrays([b["rid"], b["at"], pa.array(found, pa.list_(pa.int32()))], names=["rid", "at", "ids"])
 
-    states = chunks.mapInArrow(transfers, "rid long, at int, m binary").groupBy("rid").applyInArrow(scan, "rid long, at int, entry int, exit int")
+    matrices = stored(chunks.mapInArrow(transfers, "rid long, at int, m binary"), "matrices")
+    states = _boundaries(matrices, look, most, fan)
     parts = chunks.join(states, ["rid", "at"]).mapInArrow(traced, "rid long, at int, ids array<int>")
     long = parts.groupBy("rid").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"])).alias("ids"), F.count("*").cast("int").alias("n_chunks"))
     return short.unionByName(giants.select("rid", "row").join(long, "rid").drop("rid"))

@@ -49,6 +49,19 @@ def test_pieces_equal_the_librarys_and_decode(spark, library, chunk):
         assert r.n_chunks == max(1, (len(r.row.text or "") // chunk + 1) if len(r.row.text or "") > chunk else 1)
 
 
+@pytest.mark.parametrize(("chunk", "fan"), [(20, 64), (20, 2), (64, 3), (100, 64)])
+def test_pieces_do_not_depend_on_chunks(spark, library, chunk, fan):
+    """Ties too: long runs of one letter have many best paths of equal sums."""
+    rng = random.Random(chunk)
+    some = [*texts(), "a" * 300, "." * 300, "a" * 299 + " " + "." * 301, "=-" * 200, "x" * 997, " " * 333, "ab" * 111 + "漢" * 90, "the" * 99, "é" * 150]
+    some += ["".join(rng.choice(["a", "aa", ".", "..", " ", "é", "=", "漢"]) for _ in range(rng.randrange(60, 500))) for _ in range(40)]
+    rows = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    got = {r.row.doc_id: r.ids for r in encode(rows, MODEL, chunk=chunk, fan=fan).collect()}
+    assert len(got) == len(some)
+    for i, t in enumerate(some):
+        assert list(got[i]) == library.encode(t), t
+
+
 def test_transfer_matrices_combine_associatively():
     with open(MODEL, "rb") as f:
         pieces = Pieces(f.read())
