@@ -15,16 +15,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import sized_join, stored
+from lectern.llm.common import discard, sized_join, stored
 
 LEAD, SIMILAR, MIN_DOCS = 3, 0.75, 10
 FIELD = "<*>"
 
 
-def masked(line: Column) -> Column:
-    """Tokens with single blanks, those with a digit replaced by FIELD."""
-    line = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
-    return F.regexp_replace(line, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)
+def masked(rows: DataFrame, line: str) -> DataFrame:
+    """rows with `masked` for the line: its tokens with single blanks, those with a digit replaced by FIELD."""
+    text = F.col(line)
+    loose = text.startswith(" ") | text.endswith(" ")
+    for mark in ("  ", "\t", "\n", "\x0b", "\x0c", "\r"):
+        loose = loose | text.contains(mark)
+    blank = F.when(loose, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(text)
+    field = F.when(F.col("masked").rlike("[0-9]"), F.regexp_replace("masked", r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(F.col("masked"))
+    return rows.withColumn("masked", blank).withColumn("masked", field)
 
 
 def _row_key(id_: Column, text: Column) -> list[Column]:
@@ -32,28 +37,32 @@ def _row_key(id_: Column, text: Column) -> list[Column]:
 
 
 def line_templates(docs: DataFrame, id_col: str, text_col: str, lead: int = LEAD, similar: float = SIMILAR, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(k1, k2, at, template) for the lines whose leaf has min_docs lines or more; k1 and k2 stand for the row."""
+    """(k1, k2, at, template) for the lines whose leaf has min_docs lines or more; k1 and k2 stand for the row, the template is a digest."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(*_row_key(docs[id_col], text), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    rows = rows.select("k1", "k2", "at", masked(F.col("line")).alias("masked")).filter("masked <> ''")
-    rows = rows.withColumn("n", F.regexp_count("masked", F.lit(" ")) + 1)
+    rows = masked(rows, "line").drop("line").filter("masked <> ''")
+    rows = rows.withColumn("n", F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
     rows = rows.withColumn("leaf", F.concat_ws(" ", F.col("n").cast("string"), F.substring_index("masked", " ", lead)))
     rows = stored(rows, "lines")
     full = rows.groupBy("leaf").count().filter(F.col("count") >= min_docs).select("leaf")
-    rows = stored(sized_join(rows, full, "leaf").select("k1", "k2", "at", "leaf", "n", "masked"), "lines")
+    every, rows = rows, stored(sized_join(rows, full, "leaf").select("k1", "k2", "at", "leaf", "n", "masked"), "lines")
+    discard(every)
 
     distinct = stored(rows.select("leaf", "n", "masked").distinct(), "templates")
     total = distinct.groupBy("leaf").agg(F.count("*").alias("lines")).filter("lines > 1")
     varied = sized_join(distinct, total, "leaf")
     tokens = varied.select("leaf", "lines", F.posexplode(F.split("masked", " ")).alias("place", "token"))
-    constant = tokens.groupBy("leaf", "lines", "place", "token").count().filter("2 * count > lines")
-    shape = constant.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("constant"))
-    split = F.split("masked", " ")
-    agree = F.size(F.filter(F.zip_with(split, F.sequence(F.lit(0), F.col("n") - 1), lambda t, i: F.try_element_at("constant", i) == t), lambda same: same))
-    template = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.coalesce(F.try_element_at("constant", i), F.lit(FIELD))), " ")
+    counts = tokens.groupBy("leaf", "lines", "place", "token").count()
+    constant = counts.groupBy("leaf", "place").agg(F.max(F.when(F.expr("2 * count > lines"), F.col("token"))).alias("token"))
+    shape = constant.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("c")).select("leaf", F.transform("c", lambda c: c["token"]).alias("constant"))
+    agree = F.size(F.filter(F.zip_with(F.split("masked", " "), "constant", lambda t, c: t == c), lambda same: same))
+    template = F.array_join(F.transform("constant", lambda c: F.coalesce(c, F.lit(FIELD))), " ")
     taken = sized_join(varied.drop("lines"), shape, "leaf").filter(agree >= similar * F.col("n")).select("leaf", "masked", template.alias("template"))
     out = sized_join(rows, taken, ["leaf", "masked"], "left")
-    return out.select("k1", "k2", "at", F.coalesce("template", "masked").alias("template"))
+    found = stored(out.select("k1", "k2", "at", F.unhex(F.sha2(F.coalesce("template", "masked"), 256)).alias("template")), "lines")
+    discard(rows)
+    discard(distinct)
+    return found
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -63,12 +72,15 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An empty table gives no rows.
     """
     keep = docs.columns if keep is None else keep
-    lines = stored(line_templates(docs, id_col, text_col, min_docs=min_docs).withColumn("template", F.sha2("template", 256)), "lines")
+    lines = line_templates(docs, id_col, text_col, min_docs=min_docs)
     recurring = lines.select("template", "k1", "k2").distinct().groupBy("template").count().filter(F.col("count") >= min_docs).select("template")
     dropped = sized_join(lines, recurring, "template").groupBy("k1", "k2").agg(F.collect_set("at").alias("dropped"))
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), text.alias("text"), *_row_key(docs[id_col], text))
     found = sized_join(rows, dropped, ["k1", "k2"], "left")
     parts = F.split("text", "\n")
-    left = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.filter(parts, lambda line, i: ~F.array_contains("dropped", i)), "\n"))
+    # the places that stay, and then their lines: both arrays are bound once, so the time is linear in the lines
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "dropped")
+    lines_left = F.transform(F.array(F.struct(parts.alias("parts"), stay.alias("stay"))), lambda s: F.array_join(F.transform(s["stay"], lambda i: F.get(s["parts"], i)), "\n"))
+    left = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.get(lines_left, F.lit(0)))
     return found.select("row", F.size(parts).cast("long").alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), left.alias("text"))

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 from lectern.llm.line_dedup import FIELD, LEAD, SIMILAR, line_dedup
@@ -59,5 +60,18 @@ def test_variable_fields_are_generalised(spark):
     assert all(r.n_dropped == 1 and "Posted" not in r.text for r in out)
 
 
+def test_long_lines_and_texts_of_many_lines_take_linear_time(spark):
+    took = []
+    for n in (5_000, 20_000):
+        tokens = ["word"] * n
+        rows = [(i, " ".join([*tokens[:-1], name])) for i, name in enumerate("abcdefghijkl")]
+        rows += [(100 + i, "\n".join(["All rights reserved."] + [f"line of {x}" for x in ("one", "two")] * (n // 2))) for i in range(12)]
+        df, began = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), time.time()
+        out = line_dedup(df, min_docs=10).collect()
+        assert all(r.text == "" and r.n_dropped == r.n_lines for r in out)
+        took.append(time.time() - began)
+    assert took[1] < 6 * took[0] + 5
+
+
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
