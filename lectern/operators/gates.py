@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from lectern.functions.text import SPACE, trimmed
 
 # Topics and title words of reference works, marks of library boilerplate.
-TOPICS = "dictionaries encyclopedias indexes periodicals directories catalogs bibliography census statistics reference concordances terminology glossaries".split()
+TOPICS = (
+    "dictionaries", "encyclopedias", "indexes", "periodicals", "directories", "catalogs", "bibliography", "census", "statistics", "reference", "concordances", "terminology", "glossaries",
+)
 TITLE = r"(?i)(?<![A-Za-z0-9_])(dictionar|thesaur|encyclop|word list|language list|word book|factbook|gazetteer|almanac|concordance|bibliograph|glossar|index (?:of|to)|linked index|catalogue of|catalog of|genome|human chromosome)(?![A-Za-z0-9_])"
-START_MARK = r"(?i)\*\*\*[\t-\r ]*START OF (?:THE|THIS) PROJECT GUTENBERG[^*]*\*\*\*"
-SMALL_PRINT = r"(?i)\*[\t-\r ]*END[^\n]*SMALL PRINT[^\n]*"
-END_MARK = r"(?i)\*\*\*[\t-\r ]*END OF (?:THE|THIS) PROJECT GUTENBERG[^*]*\*\*\*"
-OLD_END = r"(?i)\n[\t-\r ]*End of (?:the |this )?Project Gutenberg[^\n]*"
-CREDIT = r"(?i)(produced by|prepared by|transcrib|proofread|distributed proofreading|pgdp\.net|gutenberg\.org|project gutenberg|updated editions|this e-?(?:text|book) was|html version|original illustrations|see [^\t-\r ]+-h\.(?:htm|zip))"
-LINK = r"(?i)^[\t-\r ]*\(?https?://"
-JOINING = r"(?i)^[\t-\r ]*(?:or|and)[\t-\r ]*\z"
+START_MARK = rf"(?i)\*\*\*[{SPACE}]*START OF (?:THE|THIS) PROJECT GUTENBERG[^*]*\*\*\*"
+SMALL_PRINT = rf"(?i)\*[{SPACE}]*END[^\n]*SMALL PRINT[^\n]*"
+END_MARK = rf"(?i)\*\*\*[{SPACE}]*END OF (?:THE|THIS) PROJECT GUTENBERG[^*]*\*\*\*"
+OLD_END = rf"(?i)\n[{SPACE}]*End of (?:the |this )?Project Gutenberg[^\n]*"
+CREDIT = rf"(?i)(produced by|prepared by|transcrib|proofread|distributed proofreading|pgdp\.net|gutenberg\.org|project gutenberg|updated editions|this e-?(?:text|book) was|html version|original illustrations|see [^{SPACE}]+-h\.(?:htm|zip))"
+LINK = rf"(?i)^[{SPACE}]*\(?https?://"
+JOINING = rf"(?i)^[{SPACE}]*(?:or|and)[{SPACE}]*\z"
 TRADEMARK = "(?i)project gutenberg"
 
 SHORTEST, TERMINAL, CLAUSE, DIGITS, BROKEN = 2000, 1.2, 8, 0.15, 20
@@ -44,10 +46,13 @@ def strip_boilerplate(text: Column) -> Column:
 
 
 def metadata_reason(media: Column, languages: Column, copyright: Column, text_url: Column, topics: Column, title: Column) -> Column:
-    """Why a catalog entry is left out, the first reason that applies; null admits it (FLT-03)."""
+    """Why a catalog entry is left out, the first reason that applies; null admits it (FLT-03).
+
+    No list of languages, or one without "en" whatever nulls it holds, isn't English. An unknown medium counts as text.
+    """
     joined = F.lower(F.array_join(topics, " | "))
     out = F.when((media != "") & (media != "Text"), F.concat(F.lit("not text ("), media, F.lit(")")))
-    out = out.when(~F.array_contains(languages, "en"), "not English")
+    out = out.when(~F.coalesce(F.array_contains(languages, "en"), F.lit(False)), "not English")
     out = out.when(copyright, "still copyrighted").when(copyright.isNull(), "copyright unknown")
     out = out.when(text_url.isNull() | (text_url == ""), "no plain-text file")
     for t in TOPICS:
@@ -56,15 +61,19 @@ def metadata_reason(media: Column, languages: Column, copyright: Column, text_ur
 
 
 def densities(text: Column) -> Column:
-    """Marks of a text: terminal and clause marks for each 1000 characters, digits among what isn't blank, broken characters (AGG-11)."""
+    """Marks of a text: terminal and clause marks for each 1000 characters, digits among what isn't blank, broken characters (AGG-11).
+
+    A null text is empty; what would be divided by 0 is null.
+    """
+    text = F.coalesce(text, F.lit(""))
     n = F.length(text)
     solid = F.length(F.regexp_replace(text, f"[{SPACE}]", ""))
-    per = lambda p: F.regexp_count(text, F.lit(p)) * 1000.0 / n
-    return F.struct(n.alias("n_chars"), per("[.!?]").alias("terminal"), per("[,;:]").alias("clause"), (F.regexp_count(text, F.lit("[0-9]")) / solid).alias("digits"), F.regexp_count(text, F.lit("�")).alias("broken"))
+    per = lambda p: F.try_divide(F.regexp_count(text, F.lit(p)) * 1000.0, n)
+    return F.struct(n.alias("n_chars"), per("[.!?]").alias("terminal"), per("[,;:]").alias("clause"), F.try_divide(F.regexp_count(text, F.lit("[0-9]")), solid).alias("digits"), F.regexp_count(text, F.lit("�")).alias("broken"))
 
 
 def content_reason(d: Column) -> Column:
-    """Why a text isn't prose, from its densities; the length rule comes first, so nothing is divided by 0 (FLT-04)."""
+    """Why a text isn't prose, from its densities, with the measured figure where one number decides; null admits it (FLT-04)."""
     share = F.floor(d["digits"] * 100 + 0.5).cast("string")
     return (
         F.when(d["n_chars"] < SHORTEST, F.concat(F.lit("too short ("), d["n_chars"].cast("string"), F.lit(" chars)")))

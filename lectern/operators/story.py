@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import PARAGRAPH, SPACE, letters_only, raw_words, rounded, words
+from lectern.functions.text import PARAGRAPH, SPACE, letters_only, marked, raw_words, rounded, words
 from lectern.operators.chapters import winning
 
 # Front matter, headings of scenes, words that research extracts look for.
@@ -22,6 +26,8 @@ KEYWORDS = (
 )
 
 MIN_GAP, DEEP = 120, 0.4
+#: Letters of an anchor by which it meets texts, and bits of the map of those.
+GRAM, GRAM_BITS = 8, 24
 TARGET_SCENES, MOST_SCENES, WORDS_A_SCENE, PASSAGE = 14, 18, 4000, 900
 
 
@@ -121,12 +127,71 @@ def anchor_index(w: Column, anchor: Column) -> Column:
     return F.aggregate(parts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"), at.alias("at")), step, lambda a: F.when(a["at"] >= 0, a["n"]))
 
 
+def _grams(letters: str, n: int) -> np.ndarray:
+    """Codes of the runs of n letters (at most 8) of a text of ASCII letters and digits."""
+    c = np.frombuffer(letters.encode(), np.uint8).astype(np.uint64)
+    if len(c) < n:
+        return np.empty(0, np.uint64)
+    code = np.zeros(len(c) - n + 1, np.uint64)
+    for i in range(n):
+        code |= c[i : i + len(code)] << np.uint64(8 * i)
+    return code
+
+
+def _bits(codes: np.ndarray) -> np.ndarray:
+    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+
+
+def _anchor_grams(n: int):
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [(g := _grams(x, n))[_bits(g).argmin()] for x in batch["needle"].to_pylist()]
+            found = np.array(codes, np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64)), pa.array(_bits(found))], names=[*batch.schema.names, "gram", "bit"])
+
+    return pick
+
+
+def _text_grams(n: int, wanted: np.ndarray):
+    other = bytes(set(range(128)) - set(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            letters = [x.encode("ascii", "ignore").translate(None, other).decode() for x in batch["low"].to_pylist()]
+            found = []
+            for codes in (_grams(x, n) for x in letters):
+                found.append(np.unique(codes[wanted[_bits(codes)]]).view(np.int64))
+            kept = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(letters), pa.array(found, pa.list_(pa.int64()))], names=[*batch.schema.names[:2], "letters", "grams"])
+            yield kept.filter(pa.array([len(f) > 0 for f in found], pa.bool_()))
+
+    return pick
+
+
 def resolved_anchors(docs: DataFrame, anchors: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every document in which one of a few anchors (item_id, anchor) begins, and where. anchors is a stated query set and is broadcast."""
-    w = docs.select(key, words(F.col(text)).alias("w")).withColumn("letters", F.array_join(F.transform("w", letters_only), ""))
+    """Every document in which an anchor (item_id, anchor) begins, and where.
+
+    An anchor and each text that holds it share every run of GRAM letters of the anchor, so the two meet in an
+    equi-join on one of them, and the place is looked for only in pairs that met. Before that, texts drop runs that no
+    anchor has by a bitmap of 2**GRAM_BITS bits, whatever the number of anchors. Anchors of fewer letters meet texts by as
+    many letters as the shortest has. Null and blank texts hold nothing; null anchors and those without letters are in none.
+    """
+    mark = F.when(F.col(text).contains(PARAGRAPH), F.regexp_replace(marked(F.col(text)), rf"(?<![^{SPACE}])\[P\](?![^{SPACE}])", " ")).otherwise(F.col(text))
+    w = docs.select(key, F.col(text).alias("text"), F.lower(mark).alias("low")).filter("low <> ''")
     asked = anchors.select("item_id", "anchor", letters_only(F.col("anchor")).alias("needle")).filter("needle <> ''")
-    hits = w.join(F.broadcast(asked), F.col("letters").contains(F.col("needle")))
-    return hits.select("item_id", key, anchor_index(F.col("w"), F.col("anchor")).cast("long").alias("token"))
+    shortest = asked.agg(F.min(F.length("needle"))).first()[0] or GRAM
+    spark, out = docs.sparkSession, None
+    for n, some in ((GRAM, asked.filter(F.length("needle") >= GRAM)), *([(shortest, asked.filter(F.length("needle") < GRAM))] if shortest < GRAM else [])):
+        schema = ", ".join(f"`{c}` {t}" for c, t in some.dtypes)
+        some = some.mapInArrow(_anchor_grams(n), f"{schema}, gram long, bit long")
+        parts = some.select(F.bitmap_bucket_number(F.col("bit") + 1).alias("b"), F.bitmap_bit_position(F.col("bit") + 1).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits"))
+        wanted = np.zeros(2**GRAM_BITS, bool)
+        for r in parts.collect():  # at most 2**GRAM_BITS bits
+            wanted[(r.b - 1) * 32768 : r.b * 32768] = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
+        texts = w.mapInArrow(_text_grams(n, wanted), f"`{key}` {dict(w.dtypes)[key]}, text string, letters string, grams array<long>")
+        met = texts.select(key, "text", "letters", F.explode("grams").alias("gram")).join(some, "gram").filter(F.col("letters").contains(F.col("needle")))
+        hits = met.select("item_id", key, anchor_index(words(F.col("text")), F.col("anchor")).cast("long").alias("token"))
+        out = hits if out is None else out.unionByName(hits)
+    return out
 
 
 def keyword_context(docs: DataFrame, reach: int = 2, keywords: tuple[str, ...] = KEYWORDS, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -9,14 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import PARAGRAPH, clean_word, delay_ms, dwell_tenths, ends_sentence, raw_words, words
+from lectern.functions.text import PARAGRAPH, clean_word, delay_units, dwell_tenths, ends_sentence, raw_words, words
 
 BEFORE = (Window.unboundedPreceding, -1)
 
 
 def dwell_by_document(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Token count, total dwell in tenths and sentence ends of each document, without exploding it (FN-03, AGG-18)."""
-    w = docs.select(key, words(F.col(text)).alias("w"))
+    """Token count, total dwell in tenths and sentence ends of each document, without exploding it (FN-03, AGG-18).
+
+    A blank or null text is one empty token.
+    """
+    w = docs.select(key, words(F.coalesce(text, F.lit(""))).alias("w"))
     total = F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + dwell_tenths(x))
     return w.select(key, F.size("w").cast("long").alias("n_tokens"), total.alias("dwell_tenths"), F.size(F.filter("w", ends_sentence)).cast("long").alias("sentence_ends"))
 
@@ -24,10 +27,10 @@ def dwell_by_document(docs: DataFrame, key: str = "doc_id", text: str = "text")
 def tokens(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each token with its sentence, paragraph and flags (TXT-01, WIN-01..04).
 
-    A blank text is one empty token. A literal mark in the text is taken for a paragraph break.
+    A blank or null text is one empty token. A literal mark in the text is taken for a paragraph break.
     """
     order = Window.partitionBy(key).orderBy("at")
-    raw = docs.select(key, text).repartition(key).select(key, F.posexplode(raw_words(F.col(text))).alias("at", "word"))
+    raw = docs.select(key, text).repartition(key).select(key, F.posexplode(raw_words(F.coalesce(text, F.lit("")))).alias("at", "word"))
     raw = raw.withColumn("next", F.lead("word").over(order)).filter(F.col("word") != PARAGRAPH)
     last = F.col("next").isNull() | (F.col("next") == PARAGRAPH)
     raw = raw.select(key, (F.row_number().over(order) - 1).alias("id"), "word", "at", last.alias("paragraph_end"), (last | ends_sentence(F.col("word"))).alias("sentence_end"))
@@ -43,10 +46,14 @@ def spans(tokens: DataFrame, unit: str, key: str = "doc_id") -> DataFrame:
 
 
 def schedule(tokens: DataFrame, wpm: int = 300, key: str = "doc_id") -> DataFrame:
-    """Start of each token in milliseconds and how long it shows (WIN-15, FN-04, FN-05)."""
+    """Start of each token in milliseconds and how long it shows, with fractions (WIN-15, FN-04, FN-05).
+
+    Whole units are summed and divided once, so no rounding adds up over a text.
+    """
     order = Window.partitionBy(key).orderBy("id").rowsBetween(*BEFORE)
-    shown = tokens.withColumn("delay_ms", delay_ms(F.col("word"), F.col("sentence_start"), wpm))
-    return shown.withColumn("start_ms", F.coalesce(F.sum("delay_ms").over(order), F.lit(0)))
+    shown = tokens.withColumn("_units", delay_units(F.col("word"), F.col("sentence_start"), wpm))
+    before = F.coalesce(F.sum("_units").over(order), F.lit(0))
+    return shown.withColumns({"delay_ms": F.col("_units") / F.lit(float(wpm)), "start_ms": before / F.lit(float(wpm)), "end_ms": (before + F.col("_units")) / F.lit(float(wpm))}).drop("_units")
 
 
 def neighbours(tokens: DataFrame, reach: int, fade: float, floor: float, key: str = "doc_id") -> DataFrame:

@@ -105,7 +105,7 @@ def verdict_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ledger_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels as the old ledger, documents' sizes as the new, merged by three rules."""
     old = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, F.col("quality").cast("long")).alias("v"))
-    new = table(spark, sf_dir, "documents").filter("doc_id % 3 = 0").select("doc_id", F.col("n_chars").alias("v"))
+    new = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("v"))
     rules = {"keep": ledger.keep_existing, "overwrite": ledger.overwrite, "fill": ledger.fill}
     merged = [f(old, new, ["doc_id"]).withColumn("rule", F.lit(k)) for k, f in rules.items()]
     return merged[0].unionByName(merged[1]).unionByName(merged[2]).select("rule", "doc_id", "v")
@@ -190,7 +190,7 @@ WITH j AS (SELECT CASE WHEN n_chars < 2000 THEN 'short' ELSE 'story' END AS tier
 SELECT tier, count(*) AS had, count(*) FILTER (quality = 1) AS kept, count(*) FILTER (quality <> 1) AS killed, count(*) FILTER (quality IS NULL) AS unjudged,
     CAST(floor(100.0::DOUBLE * (count(*) - count(*) FILTER (quality = 1)) / count(*) + 0.5) AS INT) AS kill_rate FROM j GROUP BY tier""",
     "ledger_merge": """
-WITH o AS (SELECT doc_id, CASE WHEN quality = 1 THEN CAST(quality AS BIGINT) END AS v FROM labels), n AS (SELECT doc_id, n_chars AS v FROM documents WHERE doc_id % 3 = 0),
+WITH o AS (SELECT doc_id, CASE WHEN quality = 1 THEN CAST(quality AS BIGINT) END AS v FROM labels), n AS (SELECT doc_id, n_chars AS v FROM documents),
 b AS (SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, o.v AS ov, n.v AS nv, o.doc_id IS NOT NULL AS old, n.doc_id IS NOT NULL AS new FROM o FULL JOIN n ON o.doc_id = n.doc_id)
 SELECT 'keep' AS rule, doc_id, CASE WHEN old THEN ov ELSE nv END AS v FROM b UNION ALL SELECT 'overwrite', doc_id, CASE WHEN new THEN nv ELSE ov END FROM b UNION ALL SELECT 'fill', doc_id, coalesce(ov, nv) FROM b""",
     "batch_queue": """

@@ -46,7 +46,13 @@ def paragraph_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def playback_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When each sentence starts and ends at 300 words a minute."""
     shown = st.schedule(st.tokens(documents(spark, sf_dir)))
-    return shown.groupBy("doc_id", "sentence").agg(F.min("start_ms").cast("long").alias("start_ms"), F.max(F.col("start_ms") + F.col("delay_ms")).cast("long").alias("end_ms"))
+    return shown.groupBy("doc_id", "sentence").agg(F.min("start_ms").cast("long").alias("start_ms"), F.max("end_ms").cast("long").alias("end_ms"))
+
+
+def playback_schedule_350(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same at 350 words a minute, where times have fractions."""
+    shown = st.schedule(st.tokens(documents(spark, sf_dir)), 350)
+    return shown.groupBy("doc_id", "sentence").agg(F.round(F.min("start_ms"), 6).alias("start_ms"), F.round(F.max("end_ms"), 6).alias("end_ms"))
 
 
 def neighbour_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +93,7 @@ chap AS (
 )"""
 _TOTALS = f"total AS (SELECT book_id, len(list_filter({sql.WORDS('text')}, lambda x: x <> '[P]')) AS total FROM book)"
 
-QUERIES = {f.__name__: f for f in (token_dwell_by_doc, focal_split_words, sentence_spans, paragraph_spans, playback_schedule, neighbour_words, chapter_detect, readable_bounds)}
+QUERIES = {f.__name__: f for f in (token_dwell_by_doc, focal_split_words, sentence_spans, paragraph_spans, playback_schedule, playback_schedule_350, neighbour_words, chapter_detect, readable_bounds)}
 
 ORACLE_SQL = {
     "token_dwell_by_doc": f"""
@@ -108,6 +114,11 @@ WITH {sql.tokens("documents")}, d AS (
     SELECT *, CASE WHEN sentence_start THEN ({sql.TENTHS}) * 36 + 500 ELSE ({sql.TENTHS}) * 20 END AS delay FROM tok
 ), s AS (SELECT *, sum(delay) OVER (PARTITION BY doc_id ORDER BY id) AS until FROM d)
 SELECT doc_id, sentence, CAST(min(until - delay) AS BIGINT) AS start_ms, CAST(max(until) AS BIGINT) AS end_ms FROM s GROUP BY doc_id, sentence""",
+    "playback_schedule_350": f"""
+WITH {sql.tokens("documents")}, d AS (
+    SELECT *, CASE WHEN sentence_start THEN ({sql.TENTHS}) * 10800 + 175000 ELSE ({sql.TENTHS}) * 6000 END AS delay FROM tok
+), s AS (SELECT *, sum(delay) OVER (PARTITION BY doc_id ORDER BY id) AS until FROM d)
+SELECT doc_id, sentence, round(CAST(min(until - delay) AS DOUBLE) / 350.0::DOUBLE, 6) AS start_ms, round(CAST(max(until) AS DOUBLE) / 350.0::DOUBLE, 6) AS end_ms FROM s GROUP BY doc_id, sentence""",
     "neighbour_words": f"""
 WITH {sql.tokens("documents")}, n AS (
     SELECT doc_id, id, word, sentence_start, list(word) OVER (PARTITION BY doc_id ORDER BY id ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS l FROM tok

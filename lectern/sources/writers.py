@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,17 +30,26 @@ def batch_files(df: DataFrame, path: str, batch: str = "batch") -> None:
 def upsert(df: DataFrame, path: str, keys: list[str]) -> None:
     """Rows of df over those with the same keys at path (SNK-03, SNK-08); running it again changes nothing.
 
-    The merged table is written beside the old one, and a job that stops leaves the old one as it was.
+    The merged table is written beside the old one, the old one moved aside, the new one into its place, and then the
+    old one deleted. A job that stops between leaves one of them whole; the next upsert puts it back first.
     """
     spark = df.sparkSession
     Path = spark._jvm.org.apache.hadoop.fs.Path
     fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    aside = Path(f"{path}.old")
+    if fs.exists(aside):
+        if fs.exists(Path(path)):
+            fs.delete(aside, True)
+        else:
+            fs.rename(aside, Path(path))
     if fs.exists(Path(path)):
         old = spark.read.parquet(path)
         df = df.unionByName(old.join(df.select(*keys), keys, "left_anti"))
     df.write.mode("overwrite").parquet(f"{path}.new")
-    fs.delete(Path(path), True)
+    if fs.exists(Path(path)):
+        fs.rename(Path(path), aside)
     fs.rename(Path(f"{path}.new"), Path(path))
+    fs.delete(aside, True)
 
 
 def board(done: DataFrame, title: str = "title") -> DataFrame:
@@ -53,11 +62,35 @@ def board(done: DataFrame, title: str = "title") -> DataFrame:
 
 
 def bundle(starts: DataFrame, non_narrative: DataFrame) -> DataFrame:
-    """One row: a versioned JSON object of starts by id, and ids without a story (SNK-07)."""
-    pairs = F.array_sort(F.collect_list(F.struct("book_id", "start")))
-    a = starts.agg(F.map_from_entries(pairs).alias("starts"))
-    b = non_narrative.agg(F.sort_array(F.collect_set("book_id")).alias("nn"))
-    return a.crossJoin(b).select(F.to_json(F.struct(F.lit(1).alias("v"), "starts", "nn")).alias("bundle"))
+    """One row: a versioned JSON object of starts by id, and ids without a story (SNK-07).
+
+    The format is one object, for the few thousand books of a collection; bundle_lines serves any number.
+    """
+    both = starts.select("book_id", "start").withColumn("has", F.lit(True)).unionByName(non_narrative.select("book_id", F.lit(None).cast("int").alias("start"), F.lit(False).alias("has")))
+    pairs = F.array_sort(F.collect_list(F.when(F.col("has"), F.struct("book_id", "start"))))
+    nn = F.sort_array(F.collect_set(F.when(~F.col("has"), F.col("book_id"))))
+    return both.agg(F.map_from_entries(pairs).alias("starts"), nn.alias("nn")).select(F.to_json(F.struct(F.lit(1).alias("v"), "starts", "nn")).alias("bundle"))
+
+
+def bundle_lines(starts: DataFrame, non_narrative: DataFrame) -> DataFrame:
+    """The bundle as a JSON line a book (book_id, bundle), written from all tasks; of a book in both tables the start counts."""
+    none = non_narrative.select("book_id").distinct().join(starts.select("book_id"), "book_id", "left_anti")
+    rows = starts.select("book_id", F.col("start").cast("long").alias("start")).unionByName(none.withColumn("start", F.lit(None).cast("long")))
+    return rows.select("book_id", F.to_json(F.struct(F.lit(1).alias("v"), F.col("book_id").alias("id"), "start", F.col("start").isNull().alias("nn"))).alias("bundle"))
+
+
+def context_report(context: DataFrame, path: str, key: str = "doc_id") -> None:
+    """Keyword context as Markdown lines in order, a heading where the source changes and a rule where lines were left out (SNK-11).
+
+    context is what story.keyword_context returns; files are written range by range of keys.
+    """
+    order = Window.partitionBy(key).orderBy("line")
+    turn = ~F.col("source_header").eqNullSafe(F.lag("source_header").over(order))
+    rule = F.when(F.coalesce("after_gap", F.lit(False)), F.lit("---\n"))
+    head = F.when(turn, F.concat(F.lit("## "), F.col("source_header"), F.lit("\n")))
+    mark = F.when(F.col("hit") == 1, F.concat(F.lit("**"), F.col("text"), F.lit("**"))).otherwise(F.col("text"))
+    lines = context.withColumn("value", F.concat(F.coalesce(rule, F.lit("")), F.coalesce(head, F.lit("")), mark))
+    lines.repartitionByRange(key).sortWithinPartitions(key, "line").select("value").write.mode("overwrite").text(path)
 
 
 def next_version(version: Column) -> Column:

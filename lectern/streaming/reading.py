@@ -1,8 +1,8 @@
 """Reading events as a stream: sessions and throttled progress.
 
 The batch operators are lectern.operators.reading; these hold a reader's state between micro-batches and give
-the same rows. Events of a key must come in time order from batch to batch. A watermark isn't needed: state is one
-row for each key, kept until the key's timeout.
+the same rows. Events of a key must come in time order from batch to batch. State is one row for each key; it is
+dropped once the key has had no event for IDLE of the stream's time, told by a watermark of the same length.
 """
 
 from __future__ import annotations
@@ -17,12 +17,23 @@ from lectern.operators.reading import SAVE_MS
 
 SESSION = "user_id long, start_ts timestamp, end_ts timestamp, words long, ms long"
 PROGRESS = "user_id long, ts timestamp, index long"
+#: How long a reader's state outlives the last event; also how late an event may come.
+IDLE = "30 days"
+
+
+def _keep(state: GroupState, rows: pd.DataFrame) -> None:
+    """The state lasts until IDLE after the last of rows."""
+    state.setTimeoutTimestamp(int((rows["ts"].max() + pd.Timedelta(IDLE)).timestamp() * 1000))
 
 
 def _sessions(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        state.remove()
+        return
     start, index = state.get if state.exists else (None, None)
     out = []
-    for r in pd.concat(list(batches)).sort_values(["ts", "tie"]).itertuples():
+    rows = pd.concat(list(batches)).sort_values(["ts", "tie"])
+    for r in rows.itertuples():
         if r.playing and start is None:
             start, index = r.ts.value, int(r.index_)
         elif not r.playing and start is not None:
@@ -31,32 +42,38 @@ def _sessions(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
                 out.append((key[0], pd.Timestamp(start), r.ts, words, ms))
             start = index = None
     state.update((start, index))
+    _keep(state, rows)
     yield pd.DataFrame(out, columns=["user_id", "start_ts", "end_ts", "words", "ms"])
 
 
 def _progress(save_ms: int):
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         at, last = state.get if state.exists else (None, -1)
         out = []
-        for r in pd.concat(list(batches)).sort_values(["ts", "tie"]).itertuples():
+        rows = pd.concat(list(batches)).sort_values(["ts", "tie"])
+        for r in rows.itertuples():
             if r.index_ != last and (not r.playing or at is None or r.ts.value - at >= 1_000_000 * save_ms):
                 out.append((key[0], r.ts, int(r.index_)))
                 at, last = r.ts.value, int(r.index_)
         state.update((at, last))
+        _keep(state, rows)
         yield pd.DataFrame(out, columns=["user_id", "ts", "index"])
 
     return fold
 
 
 def _events(events: DataFrame) -> DataFrame:
-    return events.withColumnRenamed("index", "index_").withColumn("ts", events["ts"].cast("timestamp")).groupBy("user_id")
+    return events.withColumnRenamed("index", "index_").withColumn("ts", events["ts"].cast("timestamp")).withWatermark("ts", IDLE).groupBy("user_id")
 
 
 def session_stream(events: DataFrame) -> DataFrame:
     """Sessions of a stream of (user_id, ts, playing, index, tie), each when its pause arrives (STR-01)."""
-    return _events(events).applyInPandasWithState(_sessions, SESSION, "start long, index long", "append", GroupStateTimeout.NoTimeout)
+    return _events(events).applyInPandasWithState(_sessions, SESSION, "start long, index long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def progress_stream(events: DataFrame, save_ms: int = SAVE_MS) -> DataFrame:
     """Progress writes of a stream of (user_id, ts, playing, index, tie) (STR-02)."""
-    return _events(events).applyInPandasWithState(_progress(save_ms), PROGRESS, "at long, last long", "append", GroupStateTimeout.NoTimeout)
+    return _events(events).applyInPandasWithState(_progress(save_ms), PROGRESS, "at long, last long", "append", GroupStateTimeout.EventTimeTimeout)
