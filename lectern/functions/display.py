@@ -76,3 +76,14 @@ def span_percent(index: Column, start: Column, end: Column) -> Column:
     """How much of the readable span is read, 0 to 100 (PRJ-13)."""
     size = end - start
     return F.when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(100.0), (index - start) * 100.0 / size))).otherwise(0.0)
+
+
+def thousands(n: Column) -> Column:
+    """A whole number with commas (FN-28)."""
+    return F.format_number(n.cast("long"), 0)
+
+
+def padded(id_: Column, width: int = 6) -> Column:
+    """An id with blanks before it, never cut (FN-28)."""
+    text = id_.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit(" "))

@@ -122,3 +122,36 @@ def replacements(dead: DataFrame, catalog: DataFrame) -> DataFrame:
     fits = (F.col("have").contains(F.col("want")) | F.col("want").contains(F.col("have"))) & ((F.col("by") == "") | (F.col("by") == "unknown") | F.col("author").contains(F.col("by")))
     order = Window.partitionBy("dead_id").orderBy(F.desc("downloads"), "id")
     return pairs.filter(fits).withColumn("r", F.row_number().over(order)).filter("r = 1").select("dead_id", "id", "downloads")
+
+
+def has_text(url: Column) -> Column:
+    """Whether an entry names a file that can be read (FLT-07)."""
+    return F.coalesce(F.trim(url) != "", F.lit(False))
+
+
+def page_of(asked: DataFrame, pages: DataFrame, key: str = "key") -> DataFrame:
+    """Each key asked for with its page, null if there is none (JN-13)."""
+    return asked.join(pages, key, "left")
+
+
+def pick_of_the_day(hero: DataFrame, every: DataFrame, theme: str = "theme_key", key: str = "id") -> DataFrame:
+    """Each theme's first hero, else its first book (SRT-04), from (theme, place, key)."""
+    first = lambda rows, name: rows.groupBy(theme).agg(F.min_by(key, F.struct("place", key)).alias(name))
+    return first(every, "_any").join(first(hero, "_hero"), theme, "full_outer").select(theme, F.coalesce("_hero", "_any").alias(key))
+
+
+def chips(books: DataFrame, in_progress: DataFrame, wpm: int = 300, theme: str = "theme_key", key: str = "id") -> DataFrame:
+    """Filters to show on each page (FLT-18): short reads if it has 3 or more, continue if it has a book in progress."""
+    short = (F.col("words") > 0) & (F.col("words") / max(1, wpm) <= 45)
+    known = books.join(in_progress.select(key).distinct().withColumn("_now", F.lit(True)), key, "left")
+    return known.groupBy(theme).agg((F.count_if(short) >= 3).alias("short_reads"), (F.count_if("_now") >= 1).alias("continue"))
+
+
+def lanes(books: DataFrame, n: int, order: list[Column], lane: str) -> DataFrame:
+    """The first n rows of each lane with their place (SRT-05)."""
+    return books.withColumn("place", F.row_number().over(Window.partitionBy(lane).orderBy(*order))).filter(F.col("place") <= n)
+
+
+def most_common(words: DataFrame, n: int, word: str = "word") -> DataFrame:
+    """The n words of most rows, from an array column of distinct words (AGG-05, SRT-06)."""
+    return words.select(F.explode(word).alias("word")).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(n)

@@ -94,3 +94,11 @@ def histogram(rejects: DataFrame, reason: str = "reason") -> DataFrame:
 def routed(rows: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
     """Admitted rows, and rejects for the dead-letter table (SNK-04)."""
     return rows.filter(F.col(reason).isNull()).drop(reason), rows.filter(F.col(reason).isNotNull())
+
+
+MIRROR_LEAST = 500
+
+
+def worth_mirroring(text: Column) -> Column:
+    """Whether enough is left of a text without its boilerplate (FLT-05); a null text isn't."""
+    return F.coalesce(F.length(strip_boilerplate(text)) >= MIRROR_LEAST, F.lit(False))

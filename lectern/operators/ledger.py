@@ -72,3 +72,28 @@ def migrate(states: DataFrame) -> DataFrame:
         "saved_by_id": F.when(v < 5, F.coalesce("saved_by_id", F.create_map().cast(states.schema["saved_by_id"].dataType))).otherwise(F.col("saved_by_id")),
     }
     return states.withColumns(steps).drop("progress").withColumn("version", F.lit(5))
+
+
+def backfill(items: DataFrame, done: DataFrame, meta: DataFrame, keys: list[str]) -> DataFrame:
+    """Items that are done but have no entry in meta (JN-03)."""
+    return items.join(done, keys, "left_semi").join(meta, keys, "left_anti")
+
+
+def routed_by_asset(rows: DataFrame, existing: DataFrame, assets: DataFrame, keys: list[str]) -> DataFrame:
+    """Where each new row goes (MRG-07): nowhere if its key is there already, to the bundle if its file is, else to the deep store."""
+    flag = lambda df, name: df.select(*keys).distinct().withColumn(name, F.lit(True))
+    known = rows.join(flag(existing, "_there"), keys, "left").join(flag(assets, "_file"), keys, "left")
+    return known.withColumn("route", F.when(F.col("_there"), "skipped").when(F.col("_file"), "bundled").otherwise("deep")).drop("_there", "_file")
+
+
+def unexpired(entries: DataFrame, store: str, at: str, tie: str, now: Column, most: int, days: int) -> DataFrame:
+    """Of each store's entries the `most` latest that are at most `days` old (STR-09)."""
+    fresh = entries.filter(F.col(at) >= now - F.make_dt_interval(F.lit(days)))
+    order = Window.partitionBy(store).orderBy(F.desc(at), F.desc(tie))
+    return fresh.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= most).drop("_r")
+
+
+def chunk_label(place: Column, size: int = 100) -> Column:
+    """The chunk of a place counted from 1, as "from-to" (WIN-21)."""
+    first = F.floor((place - 1) / size) * size + 1
+    return F.concat_ws("-", first.cast("string"), (first + size - 1).cast("string"))

@@ -53,3 +53,16 @@ def neighbour_chapters(probes: DataFrame, chapters: DataFrame, totals: DataFrame
 def resume_position(explicit: Column, authored: Column, readable: Column, total: Column) -> Column:
     """Saved position above 0, else the authored start within the book, else the readable start, else 0 (PRJ-14)."""
     return F.when(explicit > 0, explicit).when(authored < total, authored).when(readable > 0, readable).otherwise(0)
+
+
+def neighbour_sentences(probes: DataFrame, tokens: DataFrame, totals: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Start of the next sentence after each probe (key, id), else the last token; and of one before it, else 0 (JN-10)."""
+    starts = tokens.filter("sentence_start").select(key, "id")
+    after = forward(probes, starts, [key], "id").select(key, "id", F.col("found.id").alias("next"))
+    both = backward(after, starts, [key], "id", strict=True).join(totals, key)
+    return both.select(key, "id", F.coalesce("next", F.col("total") - 1).cast("long").alias("next_start"), F.coalesce("found.id", F.lit(0)).cast("long").alias("previous_start"))
+
+
+def paragraph_at(probes: DataFrame, paragraphs: DataFrame, key: str = "book_id") -> DataFrame:
+    """The paragraph (key, id, paragraph) that holds or last began before each probe (key, id); 0 before all (JN-06)."""
+    return backward(probes, paragraphs, [key], "id").select(key, "id", F.coalesce("found.paragraph", F.lit(0)).cast("long").alias("paragraph"))

@@ -89,3 +89,37 @@ def throttled(events: DataFrame, keys: list[str], save_ms: int = SAVE_MS) -> Dat
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return events.select(*names).repartition(*keys).sortWithinPartitions(*keys, "ts", "tie").mapInArrow(fold, kinds)
+
+
+def newest_first(rows: DataFrame, keys: list[str], at: str, tie: str) -> DataFrame:
+    """rows with their place in each key's list, latest first; the first is its hero (SRT-02, SRT-03)."""
+    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(at), F.desc(tie))
+    return rows.withColumn("place", F.row_number().over(order)).withColumn("hero", F.col("place") == 1)
+
+
+def library_counts(progress: DataFrame, saved_: DataFrame, keys: list[str]) -> DataFrame:
+    """Books finished, being read and saved by each reader (AGG-04), from (keys, index, total) and (keys, ...)."""
+    done = finished(F.col("index"), F.col("total"))
+    read = progress.groupBy(*keys).agg(F.count_if(done).alias("finished"), F.count_if(~done).alias("reading_now"))
+    both = read.join(saved_.groupBy(*keys).agg(F.count("*").alias("saved")), keys, "full_outer")
+    return both.select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("finished", "reading_now", "saved")])
+
+
+def playback_states(events: DataFrame, keys: list[str], total: Column) -> DataFrame:
+    """State after each of (keys, ts, tie, event, index) (STR-04, STR-06): playing, index, and whether the word's clock restarts.
+
+    A hidden window pauses; a seek keeps playing, at an index within the text; a reset stops at 0. Other events move nothing.
+    """
+    order = Window.partitionBy(*keys).orderBy("ts", "tie").rowsBetween(Window.unboundedPreceding, 0)
+    e = F.col("event")
+    turn = F.when(e == "play", True).when(e.isin("pause", "hidden", "reset"), False)
+    index = F.when(e == "reset", 0).when(e == "seek", F.greatest(F.lit(0), F.least("index", total - 1))).otherwise(F.col("index"))
+    return events.withColumns({"playing": F.coalesce(F.last(turn, ignorenulls=True).over(order), F.lit(False)), "index": index.cast("long"), "restarts": e.isin("seek", "reset")})
+
+
+def flushed(events: DataFrame, writes: DataFrame, keys: list[str]) -> DataFrame:
+    """The last event of each key whose index isn't the one last written (STR-03): what is still to write on leaving."""
+    rest = [c for c in events.columns if c not in keys]
+    last = events.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("ts", "tie")).alias("e"))
+    wrote = writes.groupBy(*keys).agg(F.max_by("index", F.struct("ts", "tie")).alias("written"))
+    return last.join(wrote, keys, "left").filter(~F.col("e.index").eqNullSafe(F.col("written"))).select(*keys, "e.*")

@@ -72,3 +72,17 @@ def books(docs: DataFrame, front: str = "", back: str = "", block: int = 1000) -
     parts = docs.groupBy(book.alias("book_id")).agg(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("parts"))
     chapters = F.transform("parts", lambda p, i: F.concat(F.lit("CHAPTER "), (i + 1).cast("string"), F.lit("\n\n"), p["text"]))
     return parts.select("book_id", F.concat(F.lit(front), F.array_join(chapters, "\n\n"), F.lit(back)).alias("text"))
+
+
+#: Reach, fade and least opacity of the three ways to show neighbours.
+FRAMES = {"ghost": (4, 0.2, 0.04), "line": (5, 0.4, 0.0), "sentence": (9, 0.16, 0.2)}
+
+
+def faded_neighbours(tokens: DataFrame, frame: str, key: str = "doc_id") -> DataFrame:
+    """Each token's neighbours as (distance, word, opacity), nearest first and the earlier before the later (WIN-10)."""
+    reach, fade, floor = FRAMES[frame]
+    order = Window.partitionBy(key).orderBy("id")
+    near = F.collect_list(F.struct("id", "word")).over(order.rowsBetween(-reach, reach))
+    far = lambda x: F.abs(x["id"] - F.col("id"))
+    faded = F.transform(F.filter(near, lambda x: x["id"] != F.col("id")), lambda x: F.struct(far(x).cast("long").alias("distance"), x["id"].cast("long").alias("id"), x["word"].alias("word"), F.greatest(F.lit(floor), 1 - fade * far(x)).alias("opacity")))
+    return tokens.withColumn("near", F.array_sort(faded))

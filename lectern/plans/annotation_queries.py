@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import display
 from lectern.functions import text as fn
 from lectern.operators import annotations as an
+from lectern.operators import catalog as cat
 from lectern.operators import chapters as ch
 from lectern.operators import structure as st
 from lectern.plans import sql
@@ -42,14 +43,13 @@ def value_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lane_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten dearest parts of each type (SRT-05)."""
-    order = Window.partitionBy("p_type").orderBy(F.desc("p_retailprice"), "p_partkey")
-    return table(spark, sf_dir, "part").withColumn("place", F.row_number().over(order)).filter("place <= 10").select("p_type", "place", "p_partkey")
+    return cat.lanes(table(spark, sf_dir, "part"), 10, [F.desc("p_retailprice"), F.col("p_partkey")], "p_type").select("p_type", "place", "p_partkey")
 
 
 def shelf_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many parts have each word in name or type, the 45 most frequent (AGG-05, SRT-06)."""
-    words = table(spark, sf_dir, "part").select(F.explode(F.array_distinct(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " "))).alias("word"))
-    return words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(45)
+    words = table(spark, sf_dir, "part").select(F.array_distinct(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("word"))
+    return cat.most_common(words, 45)
 
 
 def id_union(spark: SparkSession, sf_dir: str) -> DataFrame:

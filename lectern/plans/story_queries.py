@@ -12,6 +12,7 @@ from lectern.operators import structure as st
 from lectern.plans import sql
 from lectern.plans.common import table
 from lectern.plans.text_queries import _CHAPTERS, _LINES, _TOTALS, BACK, FRONT, documents, rich_books
+from lectern.sources import readers
 
 NOTICE = "Produced by nobody\n\n*** START OF THE PROJECT GUTENBERG EBOOK ***\n\nTranscribed by hand\n or \n"
 FOOTER = "\nthe project gutenberg mark\n*** END OF THE PROJECT GUTENBERG EBOOK ***\nafter all"
@@ -65,10 +66,10 @@ def metadata_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_sniff_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first tier with a text for each page id: the page itself unless it is HTML, then the document (SRC-13, FLT-06)."""
     pages, docs = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "html"), documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
-    both = pages.join(docs, "id", "full_outer")
-    page = F.when(~fn.is_html(F.col("html")) & (F.col("html") != ""), F.col("html"))
-    text = F.when(F.col("text") != "", F.col("text"))
-    return both.select("id", F.when(page.isNotNull(), "page").when(text.isNotNull(), "document").alias("tier"), F.coalesce(fn.is_html(F.col("html")), F.lit(False)).alias("page_is_html"), F.length(F.coalesce(page, text)).cast("long").alias("n_chars"))
+    found = readers.first_tier("id", pages.withColumnRenamed("html", "text"), docs)
+    ids = pages.select("id").union(docs.select("id")).distinct().join(pages.select("id", fn.is_html(F.col("html")).alias("h")), "id", "left")
+    name = F.when(F.col("tier") == 0, "page").when(F.col("tier") == 1, "document")
+    return ids.join(found, "id", "left").select("id", name.alias("tier"), F.coalesce("h", F.lit(False)).alias("page_is_html"), F.length("text").cast("long").alias("n_chars"))
 
 
 def strip_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,7 +177,7 @@ def paged_catalog(spark: SparkSession, url: str, pages: int, cursor: bool = Fals
 
 
 def fetched(ids: DataFrame, urls: list[str], tries: int = 3, pause: float = 2.0, timeout: float = 60) -> DataFrame:
-    """(id, text, error) for each id: the first of the addresses (with {id}) that answers (SRC-07, SRC-08)."""
+    """(id, text, error) for each id: the first of the addresses (with {id}) that answers (SRC-08)."""
 
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,3 +196,48 @@ def fetched(ids: DataFrame, urls: list[str], tries: int = 3, pause: float = 2.0,
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=["id", "text", "error"])
 
     return ids.select(F.col("id").cast("string").alias("id")).mapInArrow(get, "id string, text string, error string")
+
+
+STATE = "version int, state string"
+READER_STATE = (
+    "stats struct<wordsRead:bigint,msRead:bigint>, wpm int, visMode string, fitMode string, progress struct<bookId:string,currentIndex:bigint,totalTokens:bigint,lastReadAt:bigint>, "
+    "progressById map<string,struct<bookId:string,currentIndex:bigint,totalTokens:bigint,lastReadAt:bigint>>, savedById map<string,bigint>"
+)
+
+
+def reader_states(spark: SparkSession, path: str) -> DataFrame:
+    """Saved client states, one JSON object (state, version) a line, as what ledger.migrate takes (SRC-16).
+
+    A line that isn't JSON is skipped; a missing version is 0; saved books are kept by id with their time.
+    """
+    lines = journal(spark, path).select(F.to_json("value").alias("text"))
+    rows = lines.select(F.coalesce(F.get_json_object("text", "$.version").cast("int"), F.lit(0)).alias("version"), F.from_json(F.get_json_object("text", "$.state"), READER_STATE).alias("s"))
+    slot = lambda p: F.when(p.isNotNull(), F.struct(p["bookId"].alias("book_id"), p["currentIndex"].alias("current_index"), p["totalTokens"].alias("total_tokens"), p["lastReadAt"].alias("last_read_at")))
+    return rows.select(
+        "version", F.col("s.stats.wordsRead").alias("words_read"), F.col("s.stats.msRead").alias("ms_read"), "s.wpm", F.col("s.visMode").alias("vis_mode"), F.col("s.fitMode").alias("fit_mode"),
+        slot(F.col("s.progress")).alias("progress"), F.transform_values("s.progressById", lambda _, p: slot(p)).alias("progress_by_id"), F.col("s.savedById").alias("saved_by_id"),
+    )
+
+
+def looked_up(ids: DataFrame, url: str, size: int = 32, tries: int = 3, pause: float = 0.7, timeout: float = 30) -> DataFrame:
+    """(id, book) of the `results` of a service that is asked for up to `size` ids at once (SRC-07); url has {ids}.
+
+    Ids that it doesn't know give no row. A partition's ids are asked for in its own order.
+    """
+
+    def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[str] = []
+
+        def answered(some: list[str]) -> pa.RecordBatch:
+            found = json.loads(_get(url.format(ids=",".join(some)), tries, pause, timeout) or b"{}").get("results") or []
+            return pa.RecordBatch.from_arrays([pa.array([str(b["id"]) for b in found], pa.string()), pa.array([json.dumps(b, ensure_ascii=False) for b in found], pa.string())], names=["id", "book"])
+
+        for batch in batches:
+            waiting += batch["id"].to_pylist()
+            while len(waiting) >= size:
+                yield answered(waiting[:size])
+                waiting = waiting[size:]
+        if waiting:
+            yield answered(waiting)
+
+    return ids.select(F.col("id").cast("string").alias("id")).filter("id is not null").mapInArrow(get, "id string, book string")
