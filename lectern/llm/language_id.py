@@ -27,8 +27,11 @@ ORDER = 4
 FIT_DOCS, CALIBRATION_DOCS, FIT_CHARS = 600, 300, 50_000
 #: A text of at least this many letters may be rejected for its cross-entropy.
 REJECT_LETTERS = 40
-#: Nats per character above this quantile of the calibration documents that are most like their own language.
-MARGIN, QUANTILE = 0.3, 0.95
+#: Nats per character above this quantile of the calibration documents that are most like their own language. Text in
+#: another language lies above it by 0.6 and more, text that mixes two learned ones by 0.3 at most.
+MARGIN, QUANTILE = 0.5, 0.95
+#: Deviation of one character's nats: a text of n letters may lie above the limit by SPREAD / sqrt(n), as its mean varies by that.
+SPREAD = 2.0
 UNKNOWN = "und"
 _WEIGHTS = np.random.default_rng(9).integers(0, 2**63, ORDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -159,7 +162,7 @@ class Model:
             return UNKNOWN, 0.0, not n
         best = int(ce.argmin())
         odds = np.exp(-(ce - ce[best]) * min(n, 50))
-        return self.names[best], float(1 / odds.sum()), bool(n >= REJECT_LETTERS and ce[best] > self.limits[best])
+        return self.names[best], float(1 / odds.sum()), bool(n >= REJECT_LETTERS and ce[best] > self.limits[best] + SPREAD / np.sqrt(n))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
