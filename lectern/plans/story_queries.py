@@ -94,6 +94,12 @@ def story_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return story.story_starts(books, ch.headings(ch.lines(books)))
 
 
+def prose_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first paragraph of each book that reads like prose, null if none does."""
+    books = st.books(documents(spark, sf_dir))
+    return books.select("book_id", story.prose_start(F.col("text")).cast("long").alias("start"))
+
+
 def anchor_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the first eight words of each benchmark item stand in a document."""
     anchors = table(spark, sf_dir, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", r"\s+"), 1, 8), " ").alias("anchor"))
@@ -104,7 +110,7 @@ def kwic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return story.keyword_context(documents(spark, sf_dir)).withColumn("after_gap", F.coalesce("after_gap", F.lit(False)))
 
 
-QUERIES = {f.__name__: f for f in (chapter_progress, next_prev_chapter, scene_asof, content_gate, reject_histogram, metadata_gate, html_sniff_tier, strip_boilerplate, scene_min_gap, scene_segments, story_start, anchor_resolve, kwic_lines)}
+QUERIES = {f.__name__: f for f in (chapter_progress, next_prev_chapter, scene_asof, content_gate, reject_histogram, metadata_gate, html_sniff_tier, strip_boilerplate, scene_min_gap, scene_segments, story_start, prose_starts, anchor_resolve, kwic_lines)}
 
 _PROBES = "probe AS (SELECT book_id, total, unnest(range(0, 10)) * total // 10 AS word_index FROM total)"
 _REASON = """
@@ -113,6 +119,7 @@ dens AS (SELECT doc_id, length(text) AS n, len(regexp_extract_all(text, '[.!?]')
 gate AS (SELECT doc_id, CASE WHEN n < 2000 THEN 'too short (' || CAST(n AS VARCHAR) || ' chars)' WHEN terminal < 1.2 AND clause < 8 THEN 'not prose (few marks)'
     WHEN digits > 0.15 THEN 'data-heavy (' || CAST(CAST(floor(digits * 100 + 0.5) AS BIGINT) AS VARCHAR) || '% digits)' END AS reason FROM dens)"""
 _TOPICS = " ".join(f"WHEN contains(lower(p_type || ' | ' || CASE WHEN p_partkey % 23 = 0 THEN 'Preferences and tastes' ELSE 'Fiction' END), '{t}') THEN 'reference material ({t})'" for t in gates.TOPICS)
+_FRONT = "(?i)^(contents|table of contents|title page|copyright|dedication|list of|illustrations?|preface|foreword|introduction|editor''?s note|translator''?s|publisher''?s note|frontispiece)\\b"
 _WORDS = "|".join(k.replace("-", "\\-") for k in sorted(story.KEYWORDS))
 
 ORACLE_SQL = {
@@ -156,6 +163,33 @@ WITH t AS (SELECT doc_id, CAST(len(list_filter({sql.WORDS("text")}, lambda x: x
 ), s AS (SELECT doc_id, total, unnest(list_distinct(list_transform(range(0, n), lambda i: i * total // n))) AS start_index FROM n
 ), r AS (SELECT doc_id, total, row_number() OVER (PARTITION BY doc_id ORDER BY start_index) - 1 AS scene, start_index, coalesce(lead(start_index) OVER (PARTITION BY doc_id ORDER BY start_index), total) AS end_index FROM s)
 SELECT doc_id, scene, start_index, end_index, least(end_index - start_index, 900) AS passage_words FROM r""",
+    # books begin with a page of contents, so all have the three headings that spare the look for prose
+    "story_start": f"""
+WITH {sql.books(FRONT, BACK)}, {_CHAPTERS}, {_TOTALS}, {sql.tokens("book", "book_id")}, h AS (
+    SELECT h.*, total, row_number() OVER o - 1 AS i, coalesce(lead(word_index) OVER o, total) - word_index AS gap, row_number() OVER (PARTITION BY h.book_id, key ORDER BY word_index, line) > 1 AS again,
+        kind IN ('preface', 'foreword', 'introduction', 'afterword', 'conclusion') OR regexp_matches(title, '{_FRONT}') AS front
+    FROM head h JOIN total t ON h.book_id = t.book_id WINDOW o AS (PARTITION BY h.book_id ORDER BY word_index, line)
+), per AS (
+    SELECT book_id, count(*) AS n, max(gap) FILTER (i = 0) AS gap0, max(gap) FILTER (i = 1) AS gap1, min(i) FILTER (again AND gap >= 120) AS body, min(i) FILTER (again) AS again_at, count(DISTINCT key) AS n_headings FROM h GROUP BY 1
+), c AS (
+    SELECT book_id, n_headings, n >= 3 AND gap0 < 120 AND gap1 < 120 AND body IS NULL AS toc, CASE WHEN n >= 3 AND gap0 < 120 AND gap1 < 120 THEN coalesce(body, again_at, 0) ELSE 0 END AS begin FROM per WHERE n_headings >= 3
+), f AS (SELECT c.book_id, coalesce(min(i) FILTER (i >= begin AND NOT front), min(begin)) AS i FROM c JOIN h ON c.book_id = h.book_id GROUP BY 1
+), s AS (
+    SELECT h.book_id, word_index AS start, total, title AS heading, n_headings, CASE WHEN word_index > total * 0.4 OR toc OR gap < 120 THEN 'low' ELSE 'high' END AS confidence,
+        'chapters:keyword' || CASE WHEN toc THEN ':toc-only' WHEN word_index > total * 0.4 THEN ':deep' ELSE '' END AS method
+    FROM f JOIN h ON f.book_id = h.book_id AND f.i = h.i JOIN c ON c.book_id = h.book_id
+)
+SELECT s.book_id, start, confidence, method, heading, n_headings, total, string_agg(word, ' ' ORDER BY id) AS preview
+FROM s JOIN tok ON s.book_id = tok.book_id AND id BETWEEN start AND start + 13 GROUP BY ALL""",
+    "prose_starts": f"""
+WITH {sql.books()}, {sql.tokens("book", "book_id")}, p AS (
+    SELECT book_id, paragraph, min(id) AS start, count(*) AS n, count(*) FILTER (regexp_matches(word, '[A-Z]') AND word = upper(word) AND length(word) > 1) AS caps,
+        count(*) FILTER (regexp_matches(word, '^[a-z]')) AS low, string_agg(word, ' ' ORDER BY id) AS text FROM tok GROUP BY 1, 2
+), f AS (
+    SELECT book_id, min(start) AS start FROM p WHERE n >= 35 AND caps <= 0.25 * n AND low > 0.45 * n AND NOT regexp_matches(text, '(?i)\\.(jpg|jpeg|png|gif)\\b')
+        AND len(regexp_extract_all(text, '[.!?]["''”’)]?(\\s|$)')) >= 2 GROUP BY 1
+)
+SELECT book.book_id, start FROM book LEFT JOIN f ON book.book_id = f.book_id""",
     "anchor_resolve": f"""
 WITH d AS (SELECT doc_id, list_transform(list_filter({sql.WORDS("text")}, lambda x: x <> '[P]'), lambda x: regexp_replace(lower(x), '[^a-z0-9]+', '', 'g')) AS w FROM documents
 ), a AS (SELECT item_id, regexp_replace(lower(array_to_string(string_split_regex(text, '\\s+')[1:8], ' ')), '[^a-z0-9]+', '', 'g') AS needle FROM benchmark
