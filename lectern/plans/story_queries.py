@@ -89,6 +89,38 @@ def scene_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return story.scenes(docs, ch.lines(docs, "doc_id"), "doc_id")
 
 
+def book_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenes of books with chapters: their headings, a sample of many, or equal parts."""
+    books = rich_books(spark, sf_dir)
+    return story.scenes(books, ch.lines(books))
+
+
+def _romans(upto: int) -> list[str]:
+    """Roman numerals from 1 on, by the rule of greatest parts."""
+    parts = list(zip((100, 90, 50, 40, 10, 9, 5, 4, 1), ("C", "XC", "L", "XL", "X", "IX", "V", "IV", "I")))
+    out = []
+    for n in range(1, upto + 1):
+        text = ""
+        for value, mark in parts:
+            text, n = text + mark * (n // value), n % value
+        out.append(text)
+    return out
+
+
+ROMANS = _romans(99)
+
+
+def roman_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chapters of books whose headings are roman numerals, with a title in even blocks of ids and bare in odd ones."""
+    block = F.floor(F.col("doc_id") / 100)
+    docs = documents(spark, sf_dir).select(F.concat(F.lit("r"), block.cast("string")).alias("book_id"), (block % 2 == 0).alias("titled"), (F.col("doc_id") % 100).cast("int").alias("k"), "source", "text")
+    number = F.element_at(F.array(*map(F.lit, ROMANS)), F.col("k") % 99 + 1)
+    head = F.concat(number, F.when(F.col("titled"), F.concat(F.lit(".  OF "), F.upper("source"), F.lit(" AND MORE. "))).otherwise(F.lit(".")))
+    parts = docs.groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("k", F.concat(head, F.lit("\n\n"), "text").alias("t")))).alias("parts"))
+    books = parts.select("book_id", F.array_join(F.transform("parts", lambda x: x["t"]), "\n\n").alias("text"))
+    return ch.chapters(ch.headings(ch.lines(books))).select("book_id", F.col("chapter").cast("long").alias("chapter"), "title", F.col("word_index").cast("long").alias("word_index"), "dialect", "confidence")
+
+
 def story_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = rich_books(spark, sf_dir)
     return story.story_starts(books, ch.headings(ch.lines(books)))
@@ -110,7 +142,7 @@ def kwic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return story.keyword_context(documents(spark, sf_dir)).withColumn("after_gap", F.coalesce("after_gap", F.lit(False)))
 
 
-QUERIES = {f.__name__: f for f in (chapter_progress, next_prev_chapter, scene_asof, content_gate, reject_histogram, metadata_gate, html_sniff_tier, strip_boilerplate, scene_min_gap, scene_segments, story_start, prose_starts, anchor_resolve, kwic_lines)}
+QUERIES = {f.__name__: f for f in (chapter_progress, next_prev_chapter, scene_asof, content_gate, reject_histogram, metadata_gate, html_sniff_tier, strip_boilerplate, scene_min_gap, scene_segments, book_scenes, roman_chapters, story_start, prose_starts, anchor_resolve, kwic_lines)}
 
 _PROBES = "probe AS (SELECT book_id, total, unnest(range(0, 10)) * total // 10 AS word_index FROM total)"
 _REASON = """
@@ -163,6 +195,32 @@ WITH t AS (SELECT doc_id, CAST(len(list_filter({sql.WORDS("text")}, lambda x: x
 ), s AS (SELECT doc_id, total, unnest(list_distinct(list_transform(range(0, n), lambda i: i * total // n))) AS start_index FROM n
 ), r AS (SELECT doc_id, total, row_number() OVER (PARTITION BY doc_id ORDER BY start_index) - 1 AS scene, start_index, coalesce(lead(start_index) OVER (PARTITION BY doc_id ORDER BY start_index), total) AS end_index FROM s)
 SELECT doc_id, scene, start_index, end_index, least(end_index - start_index, 900) AS passage_words FROM r""",
+    "book_scenes": f"""
+WITH RECURSIVE {sql.books(FRONT, BACK)}, {_LINES}, {_TOTALS}, h AS (
+    SELECT book_id, word_index, row_number() OVER (PARTITION BY book_id ORDER BY word_index) AS r FROM line WHERE t <> '' AND length(t) <= 64 AND regexp_matches(t, '(?i)^(chapter|letter|part|book|stave|canto|act|scene|prologue|epilogue)\\b')
+), k AS (
+    SELECT book_id, r, word_index, word_index AS last, true AS kept FROM h WHERE r = 1
+    UNION ALL SELECT h.book_id, h.r, h.word_index, CASE WHEN h.word_index - k.last >= 120 THEN h.word_index ELSE k.last END, h.word_index - k.last >= 120 FROM k JOIN h ON h.book_id = k.book_id AND h.r = k.r + 1
+), n AS (
+    SELECT t.book_id, CAST(total AS BIGINT) AS total, coalesce(list(k.word_index ORDER BY k.r) FILTER (kept), []) AS starts FROM total t LEFT JOIN k ON t.book_id = k.book_id GROUP BY t.book_id, total
+), m AS (
+    SELECT book_id, total, CASE WHEN len(starts) BETWEEN 2 AND 18 THEN starts WHEN len(starts) > 18 THEN list_transform(range(0, 14), lambda i: starts[i * len(starts) // 14 + 1])
+        ELSE list_transform(range(0, least(14, greatest(2, CAST(floor(total / 4000.0 + 0.5) AS BIGINT)))), lambda i: i * total // least(14, greatest(2, CAST(floor(total / 4000.0 + 0.5) AS BIGINT)))) END AS found FROM n
+), u AS (SELECT book_id, total, unnest(list_distinct(found)) AS start_index FROM m
+), r AS (SELECT book_id, total, row_number() OVER o - 1 AS scene, start_index, coalesce(lead(start_index) OVER o, total) AS end_index FROM u WINDOW o AS (PARTITION BY book_id ORDER BY start_index))
+SELECT book_id, scene, start_index, end_index, least(end_index - start_index, 900) AS passage_words FROM r""",
+    "roman_chapters": f"""
+WITH part_n AS (
+    SELECT 'r' || CAST(doc_id // 100 AS VARCHAR) AS book_id, doc_id, [{", ".join(f"'{x}'" for x in ROMANS)}][CAST(doc_id % 100 % 99 + 1 AS INT)]
+        || CASE WHEN doc_id // 100 % 2 = 0 THEN '.  OF ' || upper(source) || ' AND MORE. ' ELSE '.' END || chr(10) || chr(10) || text AS t FROM documents
+), book AS (SELECT book_id, string_agg(t, chr(10) || chr(10) ORDER BY doc_id) AS text FROM part_n GROUP BY book_id), {_LINES}, m AS (
+    SELECT *, regexp_extract(t, '^([IVXLCDM]+)\\.\\s+([A-Z][^a-z]*[A-Za-z].*)$', 1) AS roman, regexp_extract(t, '^([IVXLCDM]+)\\.\\s+([A-Z][^a-z]*[A-Za-z].*)$', 2) AS rest, regexp_extract(t, '^([IVXLCDM]+)\\.?$', 1) AS bare FROM line
+), head AS (
+    SELECT book_id, line, word_index, {sql.number_key("CASE WHEN roman <> '' THEN roman ELSE bare END")} AS key, CASE WHEN roman <> '' THEN 'roman-title' ELSE 'bare-roman' END AS dialect,
+        CASE WHEN roman <> '' THEN roman || '. ' || {sql.title_case("rest")} ELSE 'Chapter ' || bare END AS title FROM m WHERE roman <> '' OR bare <> ''
+), w AS (SELECT book_id, max(dialect) AS dialect FROM (SELECT book_id, dialect FROM head GROUP BY 1, 2 HAVING count(DISTINCT key) >= 3) GROUP BY 1
+), c AS (SELECT h.*, row_number() OVER (PARTITION BY h.book_id, key ORDER BY line DESC) AS r FROM head h JOIN w ON h.book_id = w.book_id AND h.dialect = w.dialect)
+SELECT book_id, row_number() OVER (PARTITION BY book_id ORDER BY word_index, line) - 1 AS chapter, title, word_index, dialect, CASE WHEN dialect = 'roman-title' THEN 'high' ELSE 'medium' END AS confidence FROM c WHERE r = 1""",
     # books begin with a page of contents, so all have the three headings that spare the look for prose
     "story_start": f"""
 WITH {sql.books(FRONT, BACK)}, {_CHAPTERS}, {_TOTALS}, {sql.tokens("book", "book_id")}, h AS (
