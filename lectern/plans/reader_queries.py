@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.functions import text as fn
+from lectern.operators import annotations as an
 from lectern.operators import catalog as cat
 from lectern.operators import gates, ledger, positions, reading
 from lectern.operators import structure as st
@@ -122,9 +124,46 @@ def chunk_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", ledger.chunk_label(F.col("p_partkey") + 1).alias("chunk"))
 
 
+def search_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A needle that only the remote catalog has, and one that both have."""
+    local = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"), F.lit("local").alias("author"))
+    remote = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"), F.lit("remote").alias("author"))
+    return cat.search_with_fallback(local, remote, "customer#00000001").unionByName(cat.search_with_fallback(local, remote, "00001"))
+
+
+def short_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cat.short_reads(parts_as_books(spark, sf_dir).select("id", (F.col("p_size") * 1000).alias("words")))
+
+
+def hand_picked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each region's nations from the last to the first, with one that doesn't exist."""
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), "n_name", "n_regionkey")
+    lists = nations.groupBy("n_regionkey").agg(F.concat(F.reverse(F.array_sort(F.collect_list("id"))), F.array(F.lit(999))).alias("ids")).select("ids")
+    return an.in_order(F.col("ids"), nations, lists).select("n_regionkey", "place", "id", "n_name")
+
+
+def replaced_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = documents(spark, sf_dir).select("doc_id", F.col("n_chars").alias("v"))
+    return an.replace_groups(old, table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("long").alias("v")), "doc_id")
+
+
+def done_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.done_ids(documents(spark, sf_dir).select(F.col("doc_id").alias("id")), table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id")), table(spark, sf_dir, "pages").select(F.col("page_id").alias("id")))
+
+
+def verified_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six words from 30 % or 60 % of each document on as its anchor: start, fallback, shift and the older snippet."""
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "n_chars", fn.words(F.col("text")).alias("w"))
+    place = F.floor(F.size("w") * F.when(F.col("doc_id") % 2 == 0, 3).otherwise(6) / 10).cast("int")
+    docs = docs.withColumn("anchor", F.array_join(F.slice("w", place + 1, 6), " "))
+    docs = docs.withColumns({"accepted": an.accepted_start(F.col("w"), F.col("anchor")), "old": an.clamped_snippet(F.col("w"), F.col("anchor"), F.floor(F.col("n_chars") / 10).cast("int"))})
+    start = ledger.start_with_fallback(F.col("accepted"), F.when(F.col("lang") == "en", 7))
+    return docs.select("doc_id", F.col("accepted").cast("long").alias("accepted"), start.cast("long").alias("start"), an.moved_materially(F.lit(10), start).alias("moved"), F.col("old.start").cast("long").alias("old_start"), F.col("old.words").cast("long").alias("old_words"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (sentence_jump, paragraph_at_word, faded_words, library_counts, recents, saved_list, day_pick, page_chips, page_lookup, playback_states, flush_on_exit, mirror_floor, backfill_queue, route_assets, cache_expiry, chunk_labels)
+    for f in (search_fallback, short_reads, hand_picked, replaced_groups, done_union, verified_starts, sentence_jump, paragraph_at_word, faded_words, library_counts, recents, saved_list, day_pick, page_chips, page_lookup, playback_states, flush_on_exit, mirror_floor, backfill_queue, route_assets, cache_expiry, chunk_labels)
 }
 
 _SAVED = "saved AS (SELECT user_id, CAST(props->>'$.k' AS BIGINT) % 10 AS book, max(ts) AS saved_at FROM events WHERE event_type = 'purchase' GROUP BY 1, 2 HAVING count(*) % 2 = 1)"
@@ -137,6 +176,27 @@ ev AS (
         CASE WHEN event = 'reset' THEN 0 WHEN event = 'seek' THEN greatest(0, least(raw, 999)) ELSE raw END AS index, event IN ('seek', 'reset') AS restarts FROM ev
 )"""
 ORACLE_SQL = {
+    "search_fallback": """
+SELECT c_custkey AS id, c_name AS title, 'remote' AS author FROM customer WHERE contains(lower(c_name), 'customer#00000001')
+UNION ALL SELECT s_suppkey, s_name, 'local' FROM supplier WHERE contains(lower(s_name), '00001')
+UNION ALL SELECT c_custkey, c_name, 'remote' FROM customer WHERE contains(lower(c_name), '00001') AND NOT EXISTS (SELECT 1 FROM supplier WHERE contains(lower(s_name), '00001'))""",
+    "short_reads": "SELECT p_partkey AS id, p_size * 1000 AS words FROM part WHERE p_size > 0 AND p_size * 1000 / 300.0 <= 45",
+    "hand_picked": "SELECT n_regionkey, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey DESC) - 1 AS INT) AS place, n_nationkey AS id, n_name FROM nation",
+    "replaced_groups": "SELECT doc_id, n_chars AS v FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT doc_id, CAST(quality AS BIGINT) FROM labels",
+    "done_union": "SELECT doc_id AS id FROM documents UNION SELECT doc_id FROM labels UNION SELECT page_id FROM pages",
+    "verified_starts": f"""
+WITH d AS (SELECT doc_id, lang, n_chars, list_filter({sql.WORDS("text")}, lambda x: x <> '[P]') AS w FROM documents
+), a AS (
+    SELECT *, len(w) AS n, list_transform(w, lambda x: regexp_replace(lower(x), '[^a-z0-9]+', '', 'g')) AS p, array_slice(w, len(w) * CASE WHEN doc_id % 2 = 0 THEN 3 ELSE 6 END // 10 + 1, len(w) * CASE WHEN doc_id % 2 = 0 THEN 3 ELSE 6 END // 10 + 6) AS six FROM d
+), b AS (SELECT *, regexp_replace(lower(array_to_string(six, ' ')), '[^a-z0-9]+', '', 'g') AS needle FROM a
+), c AS (SELECT *, CASE WHEN needle <> '' THEN instr(array_to_string(p, ''), needle) - 1 END AS pos FROM b
+), u AS (SELECT doc_id, pos, unnest(range(1, n + 1)) AS i, unnest(p) AS x FROM c
+), t AS (SELECT doc_id, pos, sum(length(x)) OVER (PARTITION BY doc_id ORDER BY i) AS until FROM u
+), k AS (SELECT doc_id, CASE WHEN min(pos) >= 0 THEN count(*) FILTER (until <= pos) END AS token FROM t GROUP BY doc_id
+), e AS (
+    SELECT c.doc_id, lang, n, token, n_chars, CASE WHEN len(six) >= 4 AND token <= n * 0.45 THEN token END AS accepted FROM c JOIN k ON c.doc_id = k.doc_id
+), f AS (SELECT *, coalesce(accepted, CASE WHEN lang = 'en' THEN 7 END, 0) AS start FROM e)
+SELECT doc_id, accepted, start, abs(start - 10) > 20 AS moved, token AS old_start, CASE WHEN token IS NOT NULL THEN least(greatest(300, least(800, n_chars // 10)), n - token) END AS old_words FROM f""",
     "sentence_jump": f"""
 WITH {sql.tokens("documents")}, t AS (SELECT doc_id, count(*) AS total FROM tok GROUP BY doc_id
 ), p AS (SELECT DISTINCT doc_id, total, k * total // 10 AS id FROM t, range(0, 10) r(k)
