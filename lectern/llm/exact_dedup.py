@@ -5,8 +5,9 @@ splitters of their leading bytes and digest. External sorting puts equal texts n
 each text is compared in full with its neighbour. The row with the smallest id of a run of equals stays.
 
 A text that fills a large part of a partition is found in a sample of SAMPLE_ROWS rows a partition (the
-same that Spark takes for range splitters), and its rows are dealt out by a salt; the parts of such a
-group, of which there are at most 2 a partition, are put together again by a small aggregate.
+same that Spark takes for range splitters), and its rows are dealt out by a salt of their id and input
+partition. The parts of such a text, at most about 4 a partition in all, are put together again by the
+digest and the full text of one row each.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import partitions
+from lectern.llm.common import partitions, sized_join, stored
 
 SAMPLE_ROWS = 100
 HEAD_CHARS = 32
@@ -44,10 +45,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hot = [(r.sha, -(-r["count"] * 4 // SAMPLE_ROWS)) for r in sample.collect()]
     if hot:
         salts = spark.createDataFrame(hot, "sha string, salts int")
-        totals = rows.join(F.broadcast(salts), "sha").groupBy("sha").agg(F.min("id").alias("all_min"), F.count("*").alias("all_n"))
-        rows = rows.join(F.broadcast(salts), "sha", "left").withColumn("salt", F.coalesce(F.expr("pmod(xxhash64(id), salts)").cast("int"), F.lit(0)))
+        rows = rows.join(F.broadcast(salts), "sha", "left")  # at most two a partition
+    else:
+        rows = rows.withColumn("salts", F.lit(None).cast("int"))
+    rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("id", F.spark_partition_id()), "salts").cast("int"), F.lit(0)))
 
-    key = ["head", "sha", "salt"] if hot else ["head", "sha"]
+    key = ["head", "sha", "salt"]
     rows = rows.withColumn("head", F.left("norm", F.lit(HEAD_CHARS)))
     if text_col in keep:  # the text is shuffled once and normalised again
         ranged = rows.drop("norm").repartitionByRange(n, *key).withColumn("norm", normalised(F.col(f"row.`{text_col}`").cast("string")))
@@ -58,8 +61,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = ranged.withColumn("first", (before.isNull() | (before != F.col("norm"))).cast("int"))
     runs = runs.withColumn("run", F.sum("first").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     run = Window.partitionBy(*key, "run")
-    out = runs.select("row", "id", "sha", "first", F.min("id").over(run).alias("keep_id"), F.count("*").over(run).alias("group_size"))
+    part = ["sha", "salt", "run"]
+    text = F.when((F.col("first") == 1) & F.col("salts").isNotNull(), F.col("norm"))
+    out = runs.select("row", "id", *part, "first", F.min("id").over(run).alias("keep_id"), F.count("*").over(run).alias("group_size"), text.alias("part_text"))
+    kept = F.col("first") == 1
     if hot:
-        out = out.join(F.broadcast(totals), "sha", "left").withColumns({"keep_id": F.coalesce("all_min", "keep_id"), "group_size": F.coalesce("all_n", "group_size")})
-    kept = (F.col("first") == 1) & F.col("id").eqNullSafe(F.col("keep_id"))
+        out = stored(out, "runs")
+        parts = out.filter("part_text is not null").select("id", *part, "group_size", "part_text")
+        least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "salt", "run"))
+        whole = parts.groupBy("sha", "part_text").agg(least.alias("least"), F.sum("group_size").alias("all_n"))
+        out = sized_join(out, parts.select(*part, "part_text").join(whole, ["sha", "part_text"]).drop("part_text"), part, "left")
+        kept = kept & (F.col("least").isNull() | ((F.col("least.salt") == F.col("salt")) & (F.col("least.run") == F.col("run"))))
+        out = out.withColumns({"keep_id": F.when(F.col("least").isNull(), F.col("keep_id")).otherwise(F.col("least.id")), "group_size": F.coalesce("all_n", "group_size")})
     return out.select("row", "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))

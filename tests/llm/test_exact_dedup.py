@@ -40,5 +40,16 @@ def test_hot_group_is_salted_and_put_together(spark):
     assert {(r.keep_id, r.group_size, r.kept, r["count"]) for r in got} == {(1, 2000, True, 1), (1, 2000, False, 1999)}
 
 
+def test_hot_text_of_null_and_repeated_ids_is_salted(spark):
+    for ids, keep in (("null", None), ("7", 7), ("if(id % 4 = 1, 7, 9)", 7), ("if(id % 4 = 1, null, 9)", 9)):
+        docs = spark.range(0, 4000, 1, 8).select(F.expr(f"cast({ids} as long)").alias("doc_id"), F.when(F.col("id") % 2 == 1, "same  text").otherwise(F.concat(F.lit("own "), "id")).alias("text"))
+        out = exact_dedup(docs)
+        stored = [f for f in out.inputFiles() if "/runs-" in f]
+        assert stored and spark.read.parquet(*stored).filter("part_text is not null").count() > 1
+        got = out.filter("row.text = 'same  text'").groupBy("keep_id", "group_size").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).collect()
+        assert [tuple(r) for r in got] == [(keep, 2000, 2000, 1)]
+        assert out.filter("row.text <> 'same  text' and kept").count() == 2000
+
+
 def test_empty_table(spark):
     assert exact_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
