@@ -46,11 +46,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if hot:
         salts = spark.createDataFrame(hot, "sha string, salts int")
         rows = rows.join(F.broadcast(salts), "sha", "left")  # at most two a partition
-    else:
-        rows = rows.withColumn("salts", F.lit(None).cast("int"))
-    rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("id", F.spark_partition_id()), "salts").cast("int"), F.lit(0)))
+        rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("id", F.spark_partition_id()), "salts").cast("int"), F.lit(0)))
 
-    key = ["head", "sha", "salt"]
+    key = ["head", "sha", "salt"] if hot else ["head", "sha"]
     rows = rows.withColumn("head", F.left("norm", F.lit(HEAD_CHARS)))
     if text_col in keep:  # the text is shuffled once and normalised again
         ranged = rows.drop("norm").repartitionByRange(n, *key).withColumn("norm", normalised(F.col(f"row.`{text_col}`").cast("string")))
@@ -61,12 +59,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = ranged.withColumn("first", (before.isNull() | (before != F.col("norm"))).cast("int"))
     runs = runs.withColumn("run", F.sum("first").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     run = Window.partitionBy(*key, "run")
-    part = ["sha", "salt", "run"]
-    text = F.when((F.col("first") == 1) & F.col("salts").isNotNull(), F.col("norm"))
-    out = runs.select("row", "id", *part, "first", F.min("id").over(run).alias("keep_id"), F.count("*").over(run).alias("group_size"), text.alias("part_text"))
+    group = [F.min("id").over(run).alias("keep_id"), F.count("*").over(run).alias("group_size")]
     kept = F.col("first") == 1
-    if hot:
-        out = stored(out, "runs")
+    if not hot:
+        out = runs.select("row", "sha", "first", *group)
+    else:
+        part = ["sha", "salt", "run"]
+        text = F.when(kept & F.col("salts").isNotNull(), F.col("norm"))
+        out = stored(runs.select("row", "id", *part, "first", *group, text.alias("part_text")), "runs")
         parts = out.filter("part_text is not null").select("id", *part, "group_size", "part_text")
         least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "salt", "run"))
         whole = parts.groupBy("sha", "part_text").agg(least.alias("least"), F.sum("group_size").alias("all_n"))
