@@ -2,9 +2,15 @@
 
 A line's tokens with a digit are variable fields. Its leaf is reached by the number of tokens and the first
 LEAD of them. In a leaf, a position that has one token in more than half of the distinct lines is constant,
-any other a variable field: that is the leaf's template. A line that agrees with it in at least SIMILAR of its
-positions takes the template; another one is a template by itself. Templates that occur in MIN_DOCS documents
-or more recur, and their lines are dropped.
+any other a variable field: that is the leaf's template. Lines that agree with it in at least SIMILAR of their
+positions take the template. The others are dealt out by the token at one position, and each part is a node
+that gets a template in the same way, SPLITS levels down: so formats that share a leaf are told apart. Formats
+vary together, hence the position is the first of those whose number of different tokens most positions have
+(of two such numbers the smaller). A line that fits nowhere is a template by itself.
+
+Templates recur, and their lines are dropped, if they stand in MIN_DOCS different texts, or in LONG_DOCS if they
+have LONG_WORDS tokens or more: long lines don't meet by chance. Exact copies of a document are one text; their
+lines are theirs, and copies are the concern of exact_dedup.
 
 All of it is grouped counts, so neither the order of lines nor the deal of rows changes a template, and a leaf
 that holds a large part of all lines is counted in parts like any other.
@@ -17,7 +23,8 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import discard, sized_join, stored
 
-LEAD, SIMILAR, MIN_DOCS = 3, 0.75, 10
+LEAD, SIMILAR, SPLITS = 3, 0.75, 3
+MIN_DOCS, LONG_WORDS, LONG_DOCS = 10, 50, 3
 FIELD = "<*>"
 
 
@@ -36,44 +43,75 @@ def _row_key(id_: Column, text: Column) -> list[Column]:
     return [F.coalesce(id_.cast("string"), F.lit("-")).alias("k1"), F.xxhash64(text).alias("k2")]
 
 
-def line_templates(docs: DataFrame, id_col: str, text_col: str, lead: int = LEAD, similar: float = SIMILAR, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(k1, k2, at, template) for the lines whose leaf has min_docs lines or more; k1 and k2 stand for the row, the template is a digest."""
+def _asked(n: Column, min_docs: int) -> Column:
+    """In how many texts a template of n tokens must stand."""
+    return F.when(n >= LONG_WORDS, F.lit(min(LONG_DOCS, min_docs))).otherwise(F.lit(min_docs))
+
+
+def _shapes(lines: DataFrame) -> DataFrame:
+    """(node, constant, place) of the nodes with two lines or more: the token of each constant position, and the position to split at."""
+    tokens = lines.select("node", F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    counts = tokens.groupBy("node", "place", "token").count()
+    places = counts.groupBy("node", "place").agg(F.sum("count").alias("lines"), F.count("*").alias("kinds"), F.max("count").alias("most"), F.max_by("token", "count").alias("token"))
+    places = places.filter("lines > 1").withColumn("token", F.when(F.expr("2 * most > lines"), F.col("token")))
+    alike = places.groupBy("node", "kinds").agg(F.count("*").alias("same"), F.min("place").alias("place"), F.collect_list(F.struct("place", "token")).alias("c"))
+    best = F.min(F.when(F.col("kinds") > 1, F.struct((-F.col("same")).alias("same"), "kinds", "place")))
+    whole = alike.groupBy("node").agg(F.sort_array(F.flatten(F.collect_list("c"))).alias("c"), best.alias("best"))
+    return whole.select("node", F.transform("c", lambda c: c["token"]).alias("constant"), F.col("best.place").alias("place"))
+
+
+def _tree(distinct: DataFrame, similar: float, splits: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(leaf, masked, template) of the lines that take a template, and the tables it is read from; distinct holds (leaf, n, masked)."""
+    lines, levels = distinct.withColumn("node", F.col("leaf")), []
+    for _ in range(splits + 1):
+        shapes = stored(_shapes(lines), "templates")
+        tokens = F.split("masked", " ")
+        agree = F.size(F.filter(F.zip_with(tokens, "constant", lambda t, c: t == c), lambda same: same))
+        fits = agree >= similar * F.col("n")
+        template = F.when(fits, F.array_join(F.transform("constant", lambda c: F.coalesce(c, F.lit(FIELD))), " "))
+        below = F.when(~fits, F.concat_ws(" ", "node", F.col("place").cast("string"), F.get(tokens, F.col("place"))))
+        levels.append(stored(sized_join(lines, shapes, "node").select("leaf", "n", "masked", template.alias("template"), below.alias("node")), "templates"))
+        discard(shapes)
+        lines = levels[-1].filter("template IS NULL").drop("template")
+        if lines.isEmpty():
+            break
+    taken = levels[0]
+    for level in levels[1:]:
+        taken = taken.unionByName(level)
+    return taken.filter("template IS NOT NULL").select("leaf", "masked", "template"), levels
+
+
+def line_templates(docs: DataFrame, id_col: str, text_col: str, lead: int = LEAD, similar: float = SIMILAR, min_docs: int = MIN_DOCS, splits: int = SPLITS) -> DataFrame:
+    """(k1, k2, at, n, template) for the lines whose leaf has lines enough; k1 and k2 stand for the row, n is the number of tokens, the template is a digest."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(*_row_key(docs[id_col], text), F.posexplode(F.split(text, "\n")).alias("at", "line"))
     rows = masked(rows, "line").drop("line").filter("masked <> ''")
     rows = rows.withColumn("n", F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
     rows = rows.withColumn("leaf", F.concat_ws(" ", F.col("n").cast("string"), F.substring_index("masked", " ", lead)))
     rows = stored(rows, "lines")
-    full = rows.groupBy("leaf").count().filter(F.col("count") >= min_docs).select("leaf")
+    full = rows.groupBy("leaf").agg(F.count("*").alias("lines"), F.min("n").alias("n")).filter(F.col("lines") >= _asked(F.col("n"), min_docs)).select("leaf")
     every, rows = rows, stored(sized_join(rows, full, "leaf").select("k1", "k2", "at", "leaf", "n", "masked"), "lines")
     discard(every)
 
     distinct = stored(rows.select("leaf", "n", "masked").distinct(), "templates")
-    total = distinct.groupBy("leaf").agg(F.count("*").alias("lines")).filter("lines > 1")
-    varied = sized_join(distinct, total, "leaf")
-    tokens = varied.select("leaf", "lines", F.posexplode(F.split("masked", " ")).alias("place", "token"))
-    counts = tokens.groupBy("leaf", "lines", "place", "token").count()
-    constant = counts.groupBy("leaf", "place").agg(F.max(F.when(F.expr("2 * count > lines"), F.col("token"))).alias("token"))
-    shape = constant.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("c")).select("leaf", F.transform("c", lambda c: c["token"]).alias("constant"))
-    agree = F.size(F.filter(F.zip_with(F.split("masked", " "), "constant", lambda t, c: t == c), lambda same: same))
-    template = F.array_join(F.transform("constant", lambda c: F.coalesce(c, F.lit(FIELD))), " ")
-    taken = sized_join(varied.drop("lines"), shape, "leaf").filter(agree >= similar * F.col("n")).select("leaf", "masked", template.alias("template"))
+    taken, levels = _tree(distinct, similar, splits)
     out = sized_join(rows, taken, ["leaf", "masked"], "left")
-    found = stored(out.select("k1", "k2", "at", F.unhex(F.sha2(F.coalesce("template", "masked"), 256)).alias("template")), "lines")
-    discard(rows)
-    discard(distinct)
+    found = stored(out.select("k1", "k2", "at", "n", F.unhex(F.sha2(F.coalesce("template", "masked"), 256)).alias("template")), "lines")
+    for done in (rows, distinct, *levels):
+        discard(done)
     return found
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, min_docs: int = MIN_DOCS) -> DataFrame:
     """Every row of docs as struct `row` (of the columns in keep, or all), with n_lines, n_dropped and the text that is left.
 
-    Null texts are empty: one blank line. Blank lines are kept. Rows that share id and text count as one document.
+    Null texts are empty: one blank line. Blank lines are kept. Rows of equal texts count as one text.
     An empty table gives no rows.
     """
     keep = docs.columns if keep is None else keep
     lines = line_templates(docs, id_col, text_col, min_docs=min_docs)
-    recurring = lines.select("template", "k1", "k2").distinct().groupBy("template").count().filter(F.col("count") >= min_docs).select("template")
+    texts = lines.select("template", "n", "k2").distinct().groupBy("template", "n").count()
+    recurring = texts.filter(F.col("count") >= _asked(F.col("n"), min_docs)).select("template")
     dropped = sized_join(lines, recurring, "template").groupBy("k1", "k2").agg(F.collect_set("at").alias("dropped"))
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), text.alias("text"), *_row_key(docs[id_col], text))

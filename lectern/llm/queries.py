@@ -85,26 +85,43 @@ SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
 FROM k
 """
 
-OP10_SQL = r"""
-WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
-), l AS (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS line FROM t
+#: One level of the tree: lines d of nodes that share (n, lead, node), the tokens' counts, the template, and who fits it.
+_OP10_LEVEL = """
+), e{r} AS (SELECT n, lead, node, unnest(range(1, n + 1)) AS place, unnest(m) AS token FROM d{r}
+), c{r} AS (SELECT n, lead, node, place, token, count(*) AS same FROM e{r} GROUP BY n, lead, node, place, token
+), p{r} AS (
+    SELECT n, lead, node, place, count(*) AS kinds, CASE WHEN 2 * max(same) > sum(same) THEN arg_max(token, same) END AS token
+    FROM c{r} GROUP BY n, lead, node, place HAVING sum(same) > 1
+), q{r} AS (SELECT n, lead, node, kinds, count(*) AS same, min(place) AS place FROM p{r} WHERE kinds > 1 GROUP BY n, lead, node, kinds
+), h{r} AS (SELECT n, lead, node, place FROM q{r} QUALIFY row_number() OVER (PARTITION BY n, lead, node ORDER BY same DESC, kinds) = 1
+), s{r} AS (SELECT n, lead, node, list(token ORDER BY place) AS shape FROM p{r} GROUP BY n, lead, node
+), j{r} AS (
+    SELECT d.*, h.place, shape, len(list_filter(range(1, d.n + 1), lambda i: coalesce(m[i] = shape[i], false))) >= 0.75 * d.n AS fits
+    FROM d{r} d JOIN s{r} s ON d.n = s.n AND d.lead = s.lead AND d.node = s.node JOIN h{r} h ON d.n = h.n AND d.lead = h.lead AND d.node = h.node
+), d{next} AS (SELECT n, lead, m, concat(node, ' ', place, ' ', m[place]) AS node FROM j{r} WHERE NOT fits"""
+
+OP10_SQL = (
+    r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), l AS (SELECT doc_id, text, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS line FROM t
 ), k AS (
-    SELECT doc_id, pos, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS m FROM l
-), m AS (SELECT doc_id, pos, m, len(m) AS n, array_to_string(m[1:3], ' ') AS lead FROM k WHERE len(m) > 0
-), d AS (SELECT DISTINCT n, lead, m FROM m
-), s AS (SELECT n, lead, count(*) AS lines FROM d GROUP BY n, lead HAVING count(*) > 1
-), e AS (SELECT n, lead, m, unnest(range(1, n + 1)) AS place, unnest(m) AS token FROM d
-), c AS (SELECT e.n, e.lead, place, token FROM e JOIN s ON e.n = s.n AND e.lead = s.lead GROUP BY e.n, e.lead, place, token, lines HAVING 2 * count(*) > lines
-), a AS (
-    SELECT e.n, e.lead, e.m, count(*) AS same FROM e JOIN c ON e.n = c.n AND e.lead = c.lead AND e.place = c.place AND e.token = c.token GROUP BY e.n, e.lead, e.m
-), g AS (SELECT m.doc_id, m.pos, m.n, m.lead, CASE WHEN a.same >= 0.75 * m.n THEN NULL ELSE m.m END AS own FROM m LEFT JOIN a ON m.n = a.n AND m.lead = a.lead AND m.m = a.m
-), r AS (SELECT n, lead, own FROM g GROUP BY n, lead, own HAVING count(DISTINCT doc_id) >= 10
-), x AS (SELECT g.doc_id, g.pos FROM g JOIN r ON g.n = r.n AND g.lead = r.lead AND g.own IS NOT DISTINCT FROM r.own
+    SELECT doc_id, text, pos, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS m FROM l
+), m AS (SELECT doc_id, text, pos, m, len(m) AS n, array_to_string(m[1:3], ' ') AS lead FROM k WHERE len(m) > 0
+), d0 AS (SELECT DISTINCT n, lead, m, '' AS node FROM m"""
+    + "".join(_OP10_LEVEL.format(r=r, next=r + 1) for r in range(4))
+    + """
+), a AS (SELECT n, lead, m, list_transform(shape, lambda x: coalesce(x, '<*>')) AS template FROM ("""
+    + " UNION ALL ".join(f"SELECT n, lead, m, shape FROM j{r} WHERE fits" for r in range(4))
+    + """)
+), g AS (SELECT m.doc_id, m.text, m.pos, m.n, coalesce(a.template, m.m) AS template FROM m LEFT JOIN a ON m.n = a.n AND m.lead = a.lead AND m.m = a.m
+), r AS (SELECT template FROM g GROUP BY template, n HAVING count(DISTINCT text) >= CASE WHEN n >= 50 THEN 3 ELSE 10 END
+), x AS (SELECT g.doc_id, g.pos FROM g JOIN r ON g.template = r.template
 ), y AS (SELECT doc_id, list(pos) AS dropped FROM x GROUP BY doc_id)
 SELECT t.doc_id, CAST(len(parts) AS BIGINT) AS n_lines, CAST(coalesce(len(dropped), 0) AS BIGINT) AS n_dropped,
     sha256(array_to_string(list_transform(list_filter(range(1, len(parts) + 1), lambda i: NOT list_contains(coalesce(dropped, []), i)), lambda i: parts[i]), chr(10))) AS clean_sha256
 FROM t LEFT JOIN y ON t.doc_id = y.doc_id
 """
+)
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,42 +3,61 @@ import re
 import time
 from collections import Counter, defaultdict
 
-from lectern.llm.line_dedup import FIELD, LEAD, SIMILAR, line_dedup
+from lectern.llm.line_dedup import FIELD, LEAD, LONG_DOCS, LONG_WORDS, SIMILAR, SPLITS, line_dedup
 
 SCHEMA = "doc_id long, text string, line string, at int, leaf string"
 
 
+def templates_of(found, level=0):
+    """line -> template, for the distinct lines of one node."""
+    if len(found) < 2 or level > SPLITS:
+        return {}
+    n = len(next(iter(found)))
+    counts = [Counter(m[i] for m in found) for i in range(n)]
+    constant = [next((t for t, k in c.items() if 2 * k > len(found)), None) for c in counts]
+    fits = [m for m in found if sum(c == t for c, t in zip(constant, m)) >= SIMILAR * n]
+    out = {m: tuple(FIELD if c is None else c for c in constant) for m in fits}
+    alike = Counter(len(c) for c in counts if len(c) > 1)
+    kinds = min(alike, key=lambda k: (-alike[k], k))
+    place = next(i for i, c in enumerate(counts) if len(c) == kinds)
+    parts = defaultdict(set)
+    for m in found - set(fits):
+        parts[m[place]].add(m)
+    for part in parts.values():
+        out |= templates_of(part, level + 1)
+    return out
+
+
 def brute(rows, min_docs):
     """(doc_id, n_lines, n_dropped, text left) line by line."""
     def mask(line):
         return tuple(FIELD if re.search("[0-9]", t) else t for t in re.findall(r"[^\x20\x09-\x0D]+", line))
 
-    leaves, lines = defaultdict(set), Counter()
+    leaves = defaultdict(set)
     for _, text in rows:
         for m in map(mask, (text or "").split("\n")):
             if m:
                 leaves[len(m), m[:LEAD]].add(m)
-                lines[len(m), m[:LEAD]] += 1
     template = {}
-    for leaf, found in leaves.items():
-        constant = {i: t for i in range(leaf[0]) for t, n in Counter(m[i] for m in found).items() if 2 * n > len(found)}
-        for m in found:
-            same = sum(constant.get(i) == t for i, t in enumerate(m))
-            template[m] = tuple(constant.get(i, FIELD) for i in range(leaf[0])) if len(found) > 1 and same >= SIMILAR * leaf[0] else m
-    docs = defaultdict(set)
-    for d, text in rows:
+    for found in leaves.values():
+        template |= {m: m for m in found} | templates_of(found)
+    texts = defaultdict(set)
+    for _, text in rows:
         for m in map(mask, (text or "").split("\n")):
             if m:
-                docs[template[m]].add((d, text))
+                texts[template[m]].add(text or "")
+    asked = lambda m: min(LONG_DOCS, min_docs) if len(m) >= LONG_WORDS else min_docs
     for d, text in rows:
         parts = (text or "").split("\n")
-        left = [p for p in parts if not (m := mask(p)) or len(docs[template[m]]) < min_docs]
+        left = [p for p in parts if not (m := mask(p)) or len(texts[template[m]]) < asked(m)]
         yield d, len(parts), len(parts) - len(left), "\n".join(left)
 
 
 def test_matches_brute_force(spark):
     rng, rows = random.Random(3), []
-    shared = ["All rights reserved.", "Page {} of {}", "Posted by {} at {}:{} in the news section today", "Copyright (c) {} the owners of this page and more", "  the   same\tline  "]
+    shared = ["All rights reserved.", "Page {} of {}", "Posted by {} at {}:{} in the news section today", "Copyright (c) {} the owners of this page and more", "  the   same\tline  ",
+              "Read more about {} in the sports section", "Read more about {} on our weekly blog", "Read more about {} at tonight's live show",
+              "Read more about {} " + "and what the people of this town " * 8]
     for i in range(300):
         names = ["ann", "bob", "eve é", "12", f"user{i}"]
         lines = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(0, 6))]
@@ -60,12 +79,31 @@ def test_variable_fields_are_generalised(spark):
     assert all(r.n_dropped == 1 and "Posted" not in r.text for r in out)
 
 
+def test_formats_that_share_a_leaf_are_told_apart(spark):
+    names = [a + b for a in "bcdfg" for b in ("am", "em", "im", "om")]
+    formats = ["Read more about {} in the sports section", "Read more about {} on our weekly blog", "Read more about {} at tonight's live show"]
+    rows = [(len(names) * f + i, form.format(n)) for f, form in enumerate(formats) for i, n in enumerate(names)]
+    rows += [(900, "Read more about ships than you ever could")]
+    out = line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=10).collect()
+    assert [r.row.doc_id for r in out if not r.n_dropped] == [900]
+
+
+def test_long_lines_ask_fewer_texts_and_copies_are_one_text(spark):
+    passage, pair = " ".join(f"w{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}" for i in range(60)), " ".join(["tide"] * 55 + ["left"] * 5)
+    copied = " ".join(["only", "here", *["copy"] * 60])
+    rows = [(i, f"start {w}\n{passage}\nshort line in three") for i, w in enumerate(("one", "two", "six"))]
+    rows += [(10 + i, f"begin {w}\n{pair}") for i, w in enumerate(("one", "two"))] + [(20 + i, copied) for i in range(30)]
+    out = {r.row.doc_id: r for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i].text for i in range(3)] == [f"start {w}\nshort line in three" for w in ("one", "two", "six")]
+    assert all(r.n_dropped == 0 for i, r in out.items() if i >= 10)
+
+
 def test_long_lines_and_texts_of_many_lines_take_linear_time(spark):
     took = []
     for n in (5_000, 20_000):
         tokens = ["word"] * n
         rows = [(i, " ".join([*tokens[:-1], name])) for i, name in enumerate("abcdefghijkl")]
-        rows += [(100 + i, "\n".join(["All rights reserved."] + [f"line of {x}" for x in ("one", "two")] * (n // 2))) for i in range(12)]
+        rows += [(100 + i, "\n".join(["All rights reserved."] + [f"line of {x}" for x in ("one", "two")] * (n // 2 + i))) for i in range(12)]
         df, began = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), time.time()
         out = line_dedup(df, min_docs=10).collect()
         assert all(r.text == "" and r.n_dropped == r.n_lines for r in out)
