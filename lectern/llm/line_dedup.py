@@ -50,10 +50,11 @@ def _asked(n: Column, min_docs: int) -> Column:
 
 def _shapes(lines: DataFrame) -> DataFrame:
     """(node, constant, place) of the nodes with two lines or more: the token of each constant position, and the position to split at."""
-    tokens = lines.select("node", F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    shared = lines.groupBy("node").count().filter(F.col("count") > 1).select("node")
+    tokens = sized_join(lines, shared, "node").select("node", F.posexplode(F.split("masked", " ")).alias("place", "token"))
     counts = tokens.groupBy("node", "place", "token").count()
     places = counts.groupBy("node", "place").agg(F.sum("count").alias("lines"), F.count("*").alias("kinds"), F.max("count").alias("most"), F.max_by("token", "count").alias("token"))
-    places = places.filter("lines > 1").withColumn("token", F.when(F.expr("2 * most > lines"), F.col("token")))
+    places = places.withColumn("token", F.when(F.expr("2 * most > lines"), F.col("token")))
     alike = places.groupBy("node", "kinds").agg(F.count("*").alias("same"), F.min("place").alias("place"), F.collect_list(F.struct("place", "token")).alias("c"))
     best = F.min(F.when(F.col("kinds") > 1, F.struct((-F.col("same")).alias("same"), "kinds", "place")))
     whole = alike.groupBy("node").agg(F.sort_array(F.flatten(F.collect_list("c"))).alias("c"), best.alias("best"))
