@@ -12,6 +12,7 @@ from lectern.llm.exact_dedup import exact_dedup
 from lectern.llm.fingerprints import edit_fingerprints
 from lectern.llm.language_id import fit, language_of
 from lectern.llm.line_dedup import line_dedup
+from lectern.llm.merkle import folded, leaf, manifest, siblings
 from lectern.llm.mixing import mix
 from lectern.llm.near_dedup import near_dedup
 from lectern.llm.pii import pii_spans
@@ -123,6 +124,45 @@ FROM t LEFT JOIN y ON t.doc_id = y.doc_id
 """
 )
 
+#: One row whose t is the table of CRC-32 (reversed polynomial 0xEDB88320), and the checksum of ASCII text by it.
+_CRC_TABLE = "crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t)"
+_CRC = lambda x: f"xor(list_reduce(list_transform(string_split({x}, ''), lambda z: CAST(ascii(z) AS BIGINT)), lambda c, z: xor(c >> 8, t[xor(c, z) % 256 + 1]), 4294967295), 4294967295)"
+
+
+def _leaf_sql(text: str) -> str:
+    field = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE concat(strlen(CAST({x} AS VARCHAR)), ':', {x}) END"
+    return f"sha256(concat({', '.join(field(x) for x in ('doc_id', 'source', 'lang', 'n_chars', text))}))"
+
+
+_ABOVE = "list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], '')))"
+
+OP13_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE}, e AS (
+    SELECT doc_id, source, {_leaf_sql("text")} AS leaf, CASE WHEN {_CRC("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS tampered FROM documents, crc
+), d AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM e
+), lv AS (
+    SELECT source, 0 AS l, list(leaf ORDER BY p) AS nodes FROM d GROUP BY source
+    UNION ALL SELECT source, l + 1, {_ABOVE} FROM lv WHERE len(nodes) > 1
+), sub AS (SELECT source, nodes[1] AS subroot, l AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS p FROM lv WHERE len(nodes) = 1
+), up AS (
+    SELECT 0 AS l, list(subroot ORDER BY p) AS nodes FROM sub
+    UNION ALL SELECT l + 1, {_ABOVE} FROM up WHERE len(nodes) > 1
+), node AS (
+    SELECT d.source, d.p, l AS s, nodes, CAST(d.p // CAST(3 ** l AS BIGINT) AS BIGINT) AS i FROM d JOIN lv ON d.source IS NOT DISTINCT FROM lv.source WHERE len(nodes) > 1
+    UNION ALL SELECT d.source, d.p, height + l, nodes, CAST(sub.p // CAST(3 ** l AS BIGINT) AS BIGINT) FROM d JOIN sub ON d.source IS NOT DISTINCT FROM sub.source, up WHERE len(nodes) > 1
+), step AS (
+    SELECT source, p, s, array_to_string(nodes[i // 3 * 3 + 1:i], '') AS ahead, array_to_string(nodes[i + 2:i // 3 * 3 + 3], '') AS behind FROM node
+), fold AS (
+    SELECT source, p, 0 AS s, coalesce(tampered, leaf) AS node FROM d
+    UNION ALL SELECT f.source, f.p, f.s + 1, sha256(concat(ahead, node, behind)) FROM fold f JOIN step ON f.source IS NOT DISTINCT FROM step.source AND f.p = step.p AND f.s = step.s
+), proof AS (SELECT source, p, sha256(string_agg(concat(ahead, behind), '' ORDER BY s)) AS proof_sha256 FROM step GROUP BY source, p
+), last AS (SELECT source, p, arg_max(node, s) AS folded_root FROM fold GROUP BY source, p
+), top AS (SELECT nodes[1] AS root FROM up WHERE len(nodes) = 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM d JOIN sub ON d.source IS NOT DISTINCT FROM sub.source JOIN last ON d.source IS NOT DISTINCT FROM last.source AND d.p = last.p
+LEFT JOIN proof ON d.source IS NOT DISTINCT FROM proof.source AND d.p = proof.p, top
+"""
+
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = edit_fingerprints(read_table(spark, sf_dir, "documents"))
@@ -190,6 +230,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("clean_sha256"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, leaf(*map(F.col, fields), F.replace("text", F.lit("\n"), F.lit(""))))
+    docs = docs.withColumn("tampered", tampered)
+    found = manifest(docs, leaf(*map(F.col, fields), F.col("text")), keep=["doc_id", "tampered"])
+    found = found.select("row.*", "leaf", "subroot", "root", F.sha2(siblings(F.col("proof")), 256).alias("proof_sha256"), folded(F.coalesce("row.tampered", "leaf"), F.col("proof")).alias("folded_root"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_warc": op2_warc,
@@ -201,6 +251,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": OP2_SQL,
@@ -208,4 +259,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_exact_dedup": OP4_SQL,
     "op6_mix_sources": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
