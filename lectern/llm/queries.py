@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.common import new_path, read_table
+from lectern.llm.conversations import damaged, repair
 from lectern.llm.exact_dedup import exact_dedup
 from lectern.llm.fingerprints import edit_fingerprints
 from lectern.llm.language_id import fit, language_of
@@ -134,6 +135,44 @@ def _leaf_sql(text: str) -> str:
     return f"sha256(concat({', '.join(field(x) for x in ('doc_id', 'source', 'lang', 'n_chars', text))}))"
 
 
+OP11_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE}, c AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS hit FROM conversations, crc
+), d AS (
+    SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role, CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM c
+), n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM d
+), f AS (
+    SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+        WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE 'ok' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS previous FROM n
+), g AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (previous IS NOT NULL AND concat(previous, initial) NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id
+), ins(i, j, cost, audit, lines) AS (
+    VALUES (0, 0, 0, '', []), (0, 2, 2, 'I', ['user:']), (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 1, 0, '', []), (1, 2, 2, 'I', ['user:']), (1, 3, 4, 'II', ['user:', 'assistant:']),
+        (2, 2, 0, '', []), (2, 3, 2, 'I', ['assistant:']), (3, 3, 0, '', []), (3, 2, 2, 'I', ['user:'])
+), ed(i, initial, j, letter, cost) AS (
+    VALUES (0, NULL, 0, 'D', 3), (1, NULL, 1, 'D', 3), (2, NULL, 2, 'D', 3), (3, NULL, 3, 'D', 3), (0, 's', 1, 'K', 0), (0, 'u', 2, 'K', 0), (1, 'u', 2, 'K', 0), (3, 'u', 2, 'K', 0), (2, 'a', 3, 'K', 0),
+        (0, NULL, 2, 'R', 2), (1, NULL, 2, 'R', 2), (3, NULL, 2, 'R', 2), (2, NULL, 3, 'R', 2)
+), best AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS state, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])}} AS way FROM conversations
+    UNION ALL
+    SELECT b.conv_id, f.pos, ed.j, min({{
+        'cost': CAST(way.cost + ins.cost + ed.cost + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 1 ELSE 0 END AS BIGINT), 'audit': concat(way.audit, ins.audit, letter),
+        'lines': list_concat(way.lines, ins.lines, CASE letter WHEN 'D' THEN [] WHEN 'K' THEN [concat(role, ':', text)] ELSE [concat(CASE ed.j WHEN 2 THEN 'user:' ELSE 'assistant:' END, text)] END)}})
+    FROM best b JOIN f ON b.conv_id IS NOT DISTINCT FROM f.conv_id AND f.pos = b.pos + 1 JOIN ins ON ins.i = state JOIN ed ON ed.i = ins.j AND coalesce(ed.initial = f.initial, true) AND (letter = 'D' OR fault IN ('ok', 'truncated'))
+    GROUP BY b.conv_id, f.pos, ed.j
+), ends AS (
+    SELECT b.conv_id, min({{'cost': way.cost + ins.cost, 'audit': concat(way.audit, ins.audit), 'lines': list_concat(way.lines, ins.lines)}}) AS way
+    FROM best b LEFT JOIN g ON b.conv_id IS NOT DISTINCT FROM g.conv_id JOIN ins ON ins.i = state AND ins.j IN (0, 3) WHERE pos = coalesce(n, 0) GROUP BY b.conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    CAST(way.cost AS BIGINT) AS cost, way.audit AS audit, sha256(array_to_string(way.lines, chr(10))) AS repaired_sha256
+FROM ends e LEFT JOIN g ON e.conv_id IS NOT DISTINCT FROM g.conv_id
+"""
+
+
 _ABOVE = "list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], '')))"
 
 OP13_SQL = f"""
@@ -230,6 +269,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("clean_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, copies = damaged(read_table(spark, sf_dir, "conversations"))
+    report, _ = repair(rows, copies=copies)
+    return report.withColumnRenamed("conv", "conv_id")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     fields = ["doc_id", "source", "lang", "n_chars"]
@@ -251,6 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -259,5 +305,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_exact_dedup": OP4_SQL,
     "op6_mix_sources": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
