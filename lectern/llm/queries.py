@@ -16,6 +16,7 @@ from lectern.llm.line_dedup import line_dedup
 from lectern.llm.merkle import folded, leaf, manifest, siblings
 from lectern.llm.mixing import mix
 from lectern.llm.near_dedup import near_dedup
+from lectern.llm.phrases import phrase_dedup
 from lectern.llm.pii import pii_spans
 from lectern.llm.secrets import corpus_words, secret_spans
 from lectern.llm.sentence_pieces import decode, encode
@@ -143,8 +144,10 @@ WITH RECURSIVE {_CRC_TABLE}, c AS (
         unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM c
 ), n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM d
 ), f AS (
-    SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
-        WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE 'ok' END AS fault,
+    SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+        WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE 'ok' END AS fault,
         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS previous FROM n
 ), g AS (
     SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
@@ -173,6 +176,20 @@ FROM ends e LEFT JOIN g ON e.conv_id IS NOT DISTINCT FROM g.conv_id
 """
 
 
+OP12_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (SELECT r, i, array_to_string(words[i:i + 34], ' ') AS window_text FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM t)
+), c AS (SELECT r, i FROM w QUALIFY count(*) OVER (PARTITION BY window_text) > 1
+), g AS (SELECT DISTINCT r, i + o AS j FROM c, (SELECT unnest(range(35)) AS o)
+), k AS (
+    SELECT x.r, string_agg(word, ' ' ORDER BY x.j) AS kept, count(*) AS n
+    FROM (SELECT r, unnest(range(1, len(words) + 1)) AS j, unnest(words) AS word FROM t) x ANTI JOIN g ON x.r = g.r AND x.j = g.j GROUP BY x.r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN k ON t.r = k.r
+"""
+
+
 _ABOVE = "list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], '')))"
 
 OP13_SQL = f"""
@@ -275,6 +292,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumnRenamed("conv", "conv_id")
 
 
+def op12_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_dedup(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     fields = ["doc_id", "source", "lang", "n_chars"]
@@ -297,6 +319,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_phrase_dedup": op12_phrase_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -306,5 +329,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_mix_sources": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
     "op11_conversation_repair": OP11_SQL,
+    "op12_phrase_dedup": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
