@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import discard, partitions, sized_join, small_batches, stored
@@ -199,6 +199,14 @@ def _digest(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
+def _merged(found: DataFrame) -> DataFrame:
+    """Stretches of a text that overlap or touch made one; the hits of neighbouring pieces do."""
+    order = Window.partitionBy("digest").orderBy("first", "stop")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = found.withColumn("apart", (before.isNull() | (F.col("first") > before)).cast("int"))
+    return apart.withColumn("at", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy("digest", "at").agg(F.min("first").alias("first"), F.max("stop").alias("stop"))
+
+
 def repeated_stretches(docs: DataFrame, text_col: str = "text", width: int = WIDTH, gram: int = GRAM, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(digest, stretches) of the texts that have words to remove, stretches being an array of (first, stop) in words; and the digests of texts that stand in several rows."""
     spark = docs.sparkSession
@@ -254,7 +262,7 @@ def repeated_stretches(docs: DataFrame, text_col: str = "text", width: int = WID
     spread = sized_join(in_shard(phrases).drop("n"), hot, "shard", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
     both = pieces.groupBy("shard", "salt").cogroup(spread.groupBy("shard", "salt"))
     found = both.applyInArrow(lambda a, b: located(a, b, width, gram), "digest binary, first long, stop long")
-    stretches = stored(found.groupBy("digest").agg(F.collect_list(F.struct("first", "stop")).alias("stretches")), "stretches")
+    stretches = stored(_merged(found).groupBy("digest").agg(F.collect_list(F.struct("first", "stop")).alias("stretches")), "stretches")
     for done in (texts, phrases, hot):
         discard(done)
     return stretches, copied
