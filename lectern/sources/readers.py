@@ -65,41 +65,6 @@ def journal(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.try_parse_json("value").alias("value")).filter("value is not null")
 
 
-def nested_arrays(rows: DataFrame, name: str, column: str = "value", depth: int = 8) -> DataFrame:
-    """Elements (item, JSON text) of every array called `name` in a column of JSON texts (SRC-11).
-
-    Objects and arrays are walked to `depth`, and strings that hold the name are parsed again. A node that has the
-    array isn't walked further.
-    """
-
-    def walk(node, level: int) -> Iterator:
-        if level > depth or node is None:
-            return
-        if isinstance(node, str):
-            if f'"{name}"' in node:
-                try:
-                    yield from walk(json.loads(node), level + 1)
-                except ValueError:
-                    pass
-        elif isinstance(node, dict) and isinstance(node.get(name), list):
-            yield from node[name]
-        elif isinstance(node, (dict, list)):
-            for v in node.values() if isinstance(node, dict) else node:
-                yield from walk(v, level + 1)
-
-    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text in batch[0].to_pylist():
-                try:
-                    found += [json.dumps(x, ensure_ascii=False) for x in walk(json.loads(text or "null"), 0)]
-                except ValueError:
-                    continue
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["item"])
-
-    return rows.select(column).mapInArrow(items, "item string")
-
-
 def first_tier(key: str, *tiers: DataFrame, text: str = "text") -> DataFrame:
     """Each key's text from the first tier that has one: blank texts and HTML answers don't count (SRC-13, SRC-12)."""
     every = None
