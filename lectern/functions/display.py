@@ -72,10 +72,10 @@ def proxied(url: Column, host: str, prefix: str) -> Column:
     return F.regexp_replace(url, rf"^https?://(www\.)?{host.replace('.', chr(92) + '.')}", prefix)
 
 
-def span_percent(index: Column, start: Column, end: Column) -> Column:
-    """How much of the readable span is read, 0 to 100 (PRJ-13)."""
-    size = end - start
-    return F.when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(100.0), (index - start) * 100.0 / size))).otherwise(0.0)
+def span_percent(index: Column, start: Column, end: Column, tokens: Column) -> Column:
+    """How much of the readable span is read, 0 to 100; a span without width counts as one word, a text without tokens gives 0 (PRJ-13)."""
+    size = F.greatest(F.lit(1), end - start)
+    return F.when(tokens > 0, F.greatest(F.lit(0.0), F.least(F.lit(100.0), (index - start) * 100.0 / size))).otherwise(0.0)
 
 
 def thousands(n: Column) -> Column:

@@ -9,6 +9,8 @@ from lectern.functions.text import display_author, display_title, rounded, title
 
 MIME = ("text/plain; charset=utf-8", "text/plain; charset=us-ascii", "text/plain")
 PAGE_LEAST, HERO_SIZE, SHELF_SIZE = 100, 14, 20
+#: Letters in the runs by which titles are looked up.
+RUN = 4
 
 
 def text_url(formats: Column) -> Column:
@@ -110,18 +112,54 @@ def last_name(author: Column) -> Column:
     return F.coalesce(F.lower(F.try_element_at(F.filter(F.split(F.coalesce(author, F.lit("")), "[ ,]"), lambda p: p != ""), F.lit(-1))), F.lit(""))
 
 
+def contained(needles: DataFrame, texts: DataFrame, run: int = RUN) -> DataFrame:
+    """(needle, text): all pairs of distinct strings of two one-column tables, `needle` and `text`, where the text contains the needle.
+
+    Every run of `run` letters in a needle stands in each text that contains it, so a needle meets the texts through
+    one of its runs alone: the one that fewest texts have. A run that no text has finds nothing. Needles shorter than
+    a run are looked up whole among the texts' runs of their length. Empty needles are in every text and nulls in none;
+    both give no pairs here.
+    """
+    cuts = lambda c, n: F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(F.col(c), i, n))
+    needles, texts = needles.filter("needle <> ''").distinct(), texts.filter("text <> ''").distinct()
+    every = F.array_distinct(F.flatten(F.array(*[F.when(F.length("text") >= n, cuts("text", F.lit(n))).otherwise(F.array().cast("array<string>")) for n in range(1, run + 1)])))
+    runs = texts.select("text", F.explode(every).alias("run"))
+    asked = needles.select("needle", F.explode(F.array_distinct(cuts("needle", F.least(F.length("needle"), F.lit(run))))).alias("run"))
+    often = runs.join(asked.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count("*").alias("texts"))
+    rare = asked.join(often, "run", "left").groupBy("needle").agg(F.min_by("run", F.struct(F.coalesce("texts", F.lit(0)), "run")).alias("run"))
+    return rare.join(runs, "run").filter(F.col("text").contains(F.col("needle"))).select("needle", "text")
+
+
 def replacements(dead: DataFrame, catalog: DataFrame) -> DataFrame:
     """For each dead entry the most downloaded readable edition (JN-12): titles equal or one within the other, and the author.
 
-    Words of the titles meet in an equi-join, which any such pair must pass; so no nested loop is needed.
+    The author's last name must stand in the edition's author, unless it is missing or "unknown". Titles are compared
+    once each, both ways, by contained(); a title that is empty once its marks are gone stands in every other, and the
+    best edition of each author is all that such a pair can give. Null titles count as empty, null downloads as 0.
     """
-    word = lambda c: F.explode(F.filter(F.split(c, " "), lambda w: w != "")).alias("word")
-    d = dead.select(F.col("id").alias("dead_id"), edition_key(F.col("title")).alias("want"), last_name(F.col("author")).alias("by"))
-    c = catalog.filter("readable").select("id", edition_key(F.col("title")).alias("have"), F.lower("author").alias("author"), "downloads")
-    pairs = d.select("dead_id", "want", "by", word("want")).join(c.select("id", "have", "author", "downloads", word("have")), "word").drop("word").distinct()
-    fits = (F.col("have").contains(F.col("want")) | F.col("want").contains(F.col("have"))) & ((F.col("by") == "") | (F.col("by") == "unknown") | F.col("author").contains(F.col("by")))
-    order = Window.partitionBy("dead_id").orderBy(F.desc("downloads"), "id")
-    return pairs.filter(fits).withColumn("r", F.row_number().over(order)).filter("r = 1").select("dead_id", "id", "downloads")
+    d = dead.select(F.col("id").alias("dead_id"), F.coalesce(edition_key(F.col("title")), F.lit("")).alias("want"), last_name(F.col("author")).alias("by"))
+    c = catalog.filter("readable").select("id", F.coalesce(edition_key(F.col("title")), F.lit("")).alias("have"), F.coalesce(F.lower("author"), F.lit("")).alias("author"), F.coalesce("downloads", F.lit(0)).alias("downloads"))
+    wanted = d.select("want", F.when(F.col("by") == "unknown", "").otherwise(F.col("by")).alias("by")).distinct()
+    best = lambda rows, *keys: rows.groupBy(*keys).agg(F.min(F.struct((-F.col("downloads")).alias("less"), "id")).alias("best"))
+    editions = best(c, "have", "author")
+    merged = lambda rows, *keys: rows.groupBy(*keys).agg(F.min("best").alias("best"))
+
+    one, other = wanted.select(F.col("want").alias("needle")), editions.select(F.col("have").alias("text"))
+    within = contained(one, other).withColumnsRenamed({"needle": "want", "text": "have"})
+    around = contained(other.withColumnRenamed("text", "needle"), one.withColumnRenamed("needle", "text")).withColumnsRenamed({"needle": "have", "text": "want"})
+    pairs = within.unionByName(around).distinct()
+    fits = (F.col("by") == "") | F.col("author").contains(F.col("by"))
+    met = wanted.filter("want <> ''").join(pairs, "want").join(editions, "have").filter(fits).select("want", "by", "best")
+
+    # an empty title on either side: whatever edition there is, by author
+    loose = merged(editions, "author").withColumn("which", F.lit("any")).unionByName(merged(editions.filter("have = ''"), "author").withColumn("which", F.lit("bare")))
+    asked = wanted.select("want", "by", F.when(F.col("want") == "", "any").otherwise("bare").alias("which"))
+    names = contained(asked.select(F.col("by").alias("needle")), loose.select(F.col("author").alias("text"))).withColumnsRenamed({"needle": "by", "text": "author"})
+    by_name = asked.filter("by <> ''").join(names, "by").join(loose, ["author", "which"]).select("want", "by", "best")
+    by_none = asked.filter("by = ''").join(merged(loose, "which"), "which").select("want", "by", "best")
+    found = merged(met.unionByName(by_name).unionByName(by_none), "want", "by")
+    keyed = d.withColumn("by", F.when(F.col("by") == "unknown", "").otherwise(F.col("by")))
+    return keyed.join(found, ["want", "by"]).select("dead_id", F.col("best.id").alias("id"), (-F.col("best.less")).alias("downloads"))
 
 
 def has_text(url: Column) -> Column:

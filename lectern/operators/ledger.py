@@ -6,9 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def without(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys aren't among those of known; a null equals a null."""
+    there = known.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)]
+    return rows.join(there, same, "left_anti")
+
+
 def keep_existing(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Old rows, and new ones with other keys (MRG-01)."""
-    return old.unionByName(new.join(old.select(*keys), keys, "left_anti"))
+    """Old rows, and new ones with other keys (MRG-01); null is a key like any other. Rows that repeat a key within one side all stay."""
+    return old.unionByName(without(new, old, keys))
 
 
 def overwrite(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -55,8 +55,12 @@ def scene_starts(starts: Column, total: Column) -> Column:
 
 
 def scenes(books: DataFrame, lines: DataFrame, key: str = "book_id", text: str = "text") -> DataFrame:
-    """Scenes of each text: number, start, end, and the size of the passage that stands for it (TXT-15)."""
-    sized = books.select(key, F.size(words(F.col(text))).cast("long").alias("total")).join(scene_headings(lines, key), key, "left")
+    """Scenes of each text: number, start, end, and the size of the passage that stands for it (TXT-15).
+
+    A null text is one without words, as an empty one: one scene from 0 to 0.
+    """
+    total = F.coalesce(F.size(words(F.col(text))), F.lit(0)).cast("long")
+    sized = books.select(key, F.when(F.col(text).isNull(), F.lit(0)).otherwise(total).alias("total")).join(scene_headings(lines, key), key, "left")
     starts = sized.withColumn("scene_starts", scene_starts(F.coalesce("starts", F.array().cast("array<long>")), F.col("total")))
     rows = starts.select(key, "total", "scene_starts", F.posexplode("scene_starts").alias("scene", "start_index"))
     end = F.coalesce(F.try_element_at("scene_starts", F.col("scene") + 2), F.col("total"))

@@ -66,11 +66,11 @@ def neighbours(tokens: DataFrame, reach: int, fade: float, floor: float, key: st
 def books(docs: DataFrame, front: str = "", back: str = "", block: int = 1000) -> DataFrame:
     """(book_id, text): the documents of a source in a block of ids, each a numbered chapter.
 
-    A block holds at most `block` ids, so no book grows with the table.
+    A block holds at most `block` ids, so no book grows with the table. A null text is an empty chapter.
     """
     book = F.concat(F.col("source"), F.lit("-"), F.floor(F.col("doc_id") / block).cast("string"))
     parts = docs.groupBy(book.alias("book_id")).agg(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("parts"))
-    chapters = F.transform("parts", lambda p, i: F.concat(F.lit("CHAPTER "), (i + 1).cast("string"), F.lit("\n\n"), p["text"]))
+    chapters = F.transform("parts", lambda p, i: F.concat(F.lit("CHAPTER "), (i + 1).cast("string"), F.lit("\n\n"), F.coalesce(p["text"], F.lit(""))))
     return parts.select("book_id", F.concat(F.lit(front), F.array_join(chapters, "\n\n"), F.lit(back)).alias("text"))
 
 

@@ -9,6 +9,7 @@ from lectern.functions import text as fn
 from lectern.operators import catalog as cat
 from lectern.operators import ledger, reading
 from lectern.plans.common import table
+from lectern.sources import readers
 
 
 def parts_as_books(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,16 +131,30 @@ def author_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_time_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = cat.words_from_bytes(F.octet_length("text") * 40)
-    return table(spark, sf_dir, "documents").select("doc_id", n.alias("words"), fn.read_time_label(n, F.lit(300)).alias("label"), fn.duration_label(n / 300.0).alias("duration"))
+    size = F.octet_length("text")
+    n = cat.words_from_bytes(size * 40)
+    return table(spark, sf_dir, "documents").select("doc_id", readers.readable(size.cast("long")).alias("readable"), n.alias("words"), fn.read_time_label(n, F.lit(300)).alias("label"), fn.duration_label(n / 300.0).alias("duration"))
+
+
+def replacement_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth part lost its text: under shortened, longer, short, null and bare titles the best of the others is looked for (JN-12, FN-18, FN-19)."""
+    books, k = parts_as_books(spark, sf_dir).withColumn("kind", F.substring_index("title", " ", 1)), F.col("id")
+    lost = F.when(k % 80 == 0, F.col("title")).when(k % 80 == 10, F.concat(F.upper("title"), F.lit(" !"))).when(k % 80 == 20, F.col("kind")).when(k % 80 == 30, F.concat("title", F.lit("  of the Centre")))
+    lost = lost.when(k % 80 == 40, "?!").when(k % 80 == 50, F.left("title", F.lit(2))).when(k % 80 == 60, F.lit(None)).otherwise(F.concat(F.lit("The "), "title"))
+    by = F.when(k % 3 == 0, "Unknown").when(k % 3 == 1, F.concat("theme_key", F.lit(", "), "author")).otherwise("")
+    dead = books.filter(k % 10 == 0).select("id", lost.alias("title"), by.alias("author"))
+    title = F.when(k % 13 == 0, "***").when(k % 13 == 1, F.col("kind")).when(k % 13 == 2, F.concat("title", F.lit(" of the Center"))).otherwise(F.concat_ws(": ", "title", "theme_key"))
+    other = books.filter(k % 10 != 0).select("id", title.alias("title"), F.concat_ws(" ", "theme_key", "author").alias("author"), F.when(k % 4 != 0, F.col("downloads")).alias("downloads"), (F.col("p_size") > 10).alias("readable"))
+    return cat.replacements(dead, other)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (catalog_search, popular_topk, title_dedupe, hero_topk, shelf_fill, page_sizes, in_progress_semi, progress_upsert, toggle_saved, reading_sessions, reading_stats, progress_throttle, verdict_apply, ledger_merge, batch_queue, cover_seed, author_format, read_time_label)
+    for f in (catalog_search, popular_topk, title_dedupe, hero_topk, shelf_fill, page_sizes, in_progress_semi, progress_upsert, toggle_saved, reading_sessions, reading_stats, progress_throttle, verdict_apply, ledger_merge, batch_queue, cover_seed, author_format, read_time_label, replacement_editions)
 }
 
 _BOOK = "book AS (SELECT p_partkey AS id, p_name AS title, p_brand AS author, p_type AS theme_key, p_size, p_retailprice, (SELECT count(*) FROM lineitem WHERE l_partkey = p_partkey) AS downloads FROM part)"
+_EDITION = lambda x: f"coalesce(regexp_replace(regexp_replace(replace(lower(trim({x})), 'centre', 'center'), '[^a-z0-9 ]', '', 'g'), ' +', ' ', 'g'), '')"
 _SHELF = f"{_BOOK}, shelf AS (SELECT theme_key, p_size % 5 AS shelf_pos, CAST(trunc(p_retailprice * 100) AS BIGINT) AS book_pos, id, title, downloads, id % 3 <> 0 AS verified, id % 4 <> 0 AS has_cover FROM book)"
 _HERO = f"{_SHELF}, hero AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY theme_key ORDER BY downloads DESC, id) AS hero_pos FROM shelf WHERE has_cover AND verified AND id % 10 <> 0) WHERE hero_pos <= 14)"
 _FILL = ", ".join(
@@ -195,14 +210,26 @@ b AS (SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, o.v AS ov, n.v AS nv, o.doc
 SELECT 'keep' AS rule, doc_id, CASE WHEN old THEN ov ELSE nv END AS v FROM b UNION ALL SELECT 'overwrite', doc_id, CASE WHEN new THEN nv ELSE ov END FROM b UNION ALL SELECT 'fill', doc_id, coalesce(ov, nv) FROM b""",
     "batch_queue": """
 SELECT doc_id, n_chars, place, place // 40 AS batch FROM (SELECT doc_id, n_chars, row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS place FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) WHERE place < 400""",
+    "replacement_editions": f"""
+WITH {_BOOK}, b AS (SELECT *, string_split(title, ' ')[1] AS kind FROM book
+), dead AS (
+    SELECT id AS dead_id, CASE id % 80 WHEN 0 THEN title WHEN 10 THEN upper(title) || ' !' WHEN 20 THEN kind WHEN 30 THEN title || '  of the Centre' WHEN 40 THEN '?!' WHEN 50 THEN left(title, 2) WHEN 60 THEN NULL ELSE 'The ' || title END AS title,
+        CASE id % 3 WHEN 0 THEN 'Unknown' WHEN 1 THEN theme_key || ', ' || author ELSE '' END AS author FROM b WHERE id % 10 = 0
+), other AS (
+    SELECT id, CASE id % 13 WHEN 0 THEN '***' WHEN 1 THEN kind WHEN 2 THEN title || ' of the Center' ELSE title || ': ' || theme_key END AS title, lower(theme_key || ' ' || author) AS author, CASE WHEN id % 4 <> 0 THEN downloads ELSE 0 END AS downloads
+    FROM b WHERE id % 10 <> 0 AND p_size > 10
+), d AS (SELECT dead_id, {_EDITION("title")} AS want, coalesce(lower(list_filter(string_split_regex(author, '[ ,]'), lambda p: p <> '')[-1]), '') AS named FROM dead
+), o AS (SELECT id, {_EDITION("title")} AS have, author, downloads FROM other)
+SELECT dead_id, id, downloads FROM d, o WHERE (contains(have, want) OR contains(want, have)) AND (named IN ('', 'unknown') OR contains(author, named))
+QUALIFY row_number() OVER (PARTITION BY dead_id ORDER BY downloads DESC, id) = 1""",
     "cover_seed": """
 WITH s AS (SELECT p_partkey, list_reduce(list_transform(string_split(p_name || p_brand, ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda h, c: (h * 31 + c) % 4294967296) AS seed FROM part)
 SELECT p_partkey, seed, seed % 3 AS variant, seed % 4 AS tint FROM s""",
     "author_format": """
 SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN c_name || ' ' || c_mktsegment WHEN 1 THEN c_name || ',' WHEN 2 THEN c_name || ',' || c_mktsegment || ',' || c_name WHEN 3 THEN 'Unknown' ELSE c_name END AS author FROM customer""",
     "read_time_label": """
-WITH w AS (SELECT doc_id, CAST(floor(strlen(text) * 40 / 6.1::DOUBLE + 0.5) AS BIGINT) AS words FROM documents
+WITH w AS (SELECT doc_id, strlen(text) > 8000 AS readable, CAST(floor(strlen(text) * 40 / 6.1::DOUBLE + 0.5) AS BIGINT) AS words FROM documents
 ), m AS (SELECT *, CAST(floor(words / 300.0::DOUBLE + 0.5) AS BIGINT) AS m FROM w)
-SELECT doc_id, words, CASE WHEN words = 0 THEN NULL WHEN m < 1 THEN '< 1 min' WHEN m < 60 THEN m || ' min' WHEN m % 60 >= 5 THEN (m // 60) || ' hr ' || (m % 60) || ' min' ELSE (m // 60) || ' hr' END AS label,
+SELECT doc_id, readable, words, CASE WHEN words = 0 THEN NULL WHEN m < 1 THEN '< 1 min' WHEN m < 60 THEN m || ' min' WHEN m % 60 >= 5 THEN (m // 60) || ' hr ' || (m % 60) || ' min' ELSE (m // 60) || ' hr' END AS label,
     CASE WHEN words / 300.0 < 1 THEN '< 1m' WHEN m < 60 THEN m || 'm' WHEN m % 60 > 0 THEN (m // 60) || 'h ' || (m % 60) || 'm' ELSE (m // 60) || 'h' END AS duration FROM m""",
 }

@@ -66,7 +66,7 @@ def display_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         display.short_text(F.col("p_name"), 6).alias("teaser"),
         display.cover_address(key, "https://covers.example.org").alias("cover"),
         display.proxied(F.concat(F.lit("http://www.books.example.org/"), key), "books.example.org", "/books").alias("address"),
-        F.round(display.span_percent(size * 10, F.lit(100), price / 4), 6).alias("percent"),
+        F.round(display.span_percent(size * 10, F.lit(100), F.when(size % 7 == 0, 100).when(size % 5 == 0, 60).otherwise(price / 4), size % 11), 6).alias("percent"),
         resume.cast("long").alias("resume"),
         display.thousands(F.col("p_partkey") * 1237).alias("thousands"),
         display.padded(F.col("p_partkey")).alias("padded"),
@@ -123,7 +123,7 @@ SELECT p_partkey, round(CASE WHEN p_size % 2 = 0 THEN p_retailprice * 0.8::DOUBL
     round(least(greatest((p_retailprice - 1000) / 1000, -0.4::DOUBLE), 0.4::DOUBLE) * exp(-0.0035::DOUBLE * least(p_size, 64)), 6) AS coasted,
     CAST(greatest(100, least(1000, floor(p_retailprice / 50 + 0.5) * 50)) AS BIGINT) AS pace,
     p_name || ' &lt; "' || p_type || '" — x y' AS label, left(p_name, 6) AS teaser, 'https://covers.example.org/' || p_partkey || '.webp' AS cover, '/books/' || p_partkey AS address,
-    round(CASE WHEN p_retailprice / 4 > 100 THEN greatest(0.0::DOUBLE, least(100.0::DOUBLE, (p_size * 10 - 100) * 100 / (p_retailprice / 4 - 100))) ELSE 0.0 END, 6) AS percent,
+    round(CASE WHEN p_size % 11 > 0 THEN greatest(0.0::DOUBLE, least(100.0::DOUBLE, (p_size * 10 - 100) * 100 / greatest(1, CASE WHEN p_size % 7 = 0 THEN 100 WHEN p_size % 5 = 0 THEN 60 ELSE p_retailprice / 4 END - 100))) ELSE 0.0 END, 6) AS percent,
     CAST(CASE WHEN p_size % 4 = 0 AND p_size > 0 THEN p_size WHEN p_size % 3 = 0 AND p_size * 30 < 500 THEN p_size * 30 WHEN p_size > 10 THEN p_size - 10 ELSE 0 END AS BIGINT) AS resume,
     format('{:,}', p_partkey * 1237) AS thousands, CASE WHEN length(CAST(p_partkey AS VARCHAR)) < 6 THEN lpad(CAST(p_partkey AS VARCHAR), 6, ' ') ELSE CAST(p_partkey AS VARCHAR) END AS padded
 FROM part""",

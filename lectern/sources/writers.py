@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.operators.ledger import without
+
 
 def replace_json(df: DataFrame, path: str) -> None:
     """The whole table anew (SNK-01)."""
@@ -27,8 +29,15 @@ def batch_files(df: DataFrame, path: str, batch: str = "batch") -> None:
     df.repartition(batch).write.mode("overwrite").partitionBy(batch).json(path)
 
 
+def _moved(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"{source} can't be moved to {target}")
+
+
 def upsert(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Rows of df over those with the same keys at path (SNK-03, SNK-08); running it again changes nothing.
+    """Rows of df over those with the same keys at path (SNK-08); running it again changes nothing.
+
+    Null is a key like any other; of rows of df that repeat a key, all are written.
 
     The merged table is written beside the old one, the old one moved aside, the new one into its place, and then the
     old one deleted. A job that stops between leaves one of them whole; the next upsert puts it back first.
@@ -41,14 +50,14 @@ def upsert(df: DataFrame, path: str, keys: list[str]) -> None:
         if fs.exists(Path(path)):
             fs.delete(aside, True)
         else:
-            fs.rename(aside, Path(path))
+            _moved(fs, aside, Path(path))
     if fs.exists(Path(path)):
         old = spark.read.parquet(path)
-        df = df.unionByName(old.join(df.select(*keys), keys, "left_anti"))
+        df = df.unionByName(without(old, df, keys))
     df.write.mode("overwrite").parquet(f"{path}.new")
     if fs.exists(Path(path)):
-        fs.rename(Path(path), aside)
-    fs.rename(Path(f"{path}.new"), Path(path))
+        _moved(fs, Path(path), aside)
+    _moved(fs, Path(f"{path}.new"), Path(path))
     fs.delete(aside, True)
 
 

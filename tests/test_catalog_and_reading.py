@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -50,6 +51,39 @@ def test_first_title_and_editions(spark):
     assert [(r.dead_id, r.id) for r in catalog.replacements(dead, books).collect()] in ([("d1", "b1")], [("d1", "b2")])
 
 
+def test_containment_is_complete(spark):
+    rng = random.Random(2)
+    strings = {"".join(rng.choice("ab c") for _ in range(rng.randrange(0, 9))) for _ in range(150)} | {"the", "the old king", "king", "kings row", "é"}
+    frame = lambda rows, name: spark.createDataFrame([(x,) for x in [*rows, None]], f"{name} string")
+    for run in (2, 4):
+        got = [tuple(r) for r in catalog.contained(frame(strings, "needle"), frame(strings, "text"), run).collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == {(a, b) for a in strings for b in strings if a and a in b}
+    assert catalog.contained(frame([], "needle"), frame(strings, "text")).count() == 0
+
+
+def test_editions_match_every_pair(spark):
+    rng = random.Random(3)
+    titles = ["King", "Kings Row", "The King", "!!!", "It", "It's a Centre", "a center", None, "Row", "the", ""]
+    names = ["Unknown", "King, S.", "Row", "", None, "S. King", "unknown"]
+    dead = [(f"d{i}", rng.choice(titles), rng.choice(names)) for i in range(120)]
+    books = [(f"b{i}", rng.choice(titles), rng.choice(names), rng.choice([None, 1, 2, 3]), rng.random() < 0.8) for i in range(30)]
+    out = catalog.replacements(spark.createDataFrame(dead, "id string, title string, author string"), spark.createDataFrame(books, "id string, title string, author string, downloads int, readable boolean"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+    def key(t):
+        return re.sub(" +", " ", re.sub("[^a-z0-9 ]", "", (t or "").strip().lower().replace("centre", "center")))
+
+    want = {}
+    for i, title, author in dead:
+        by = ([p for p in re.split("[ ,]", author or "") if p] or [""])[-1].lower()
+        fits = [(-(n or 0), b) for b, t, a, n, ok in books if ok and (key(title) in key(t) or key(t) in key(title)) and (by in ("", "unknown") or by in (a or "").lower())]
+        if fits:
+            want[i] = min(fits)
+    assert {r.dead_id: (-r.downloads, r.id) for r in out.collect()} == want
+
+
 def events(n, seed=1):
     rng, at, rows = random.Random(seed), {}, []
     for i in range(n):
