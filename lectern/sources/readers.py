@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import operator
 import time
 import urllib.error
 import urllib.request
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, SimpleDataSourceStreamReader
 
 from lectern.functions.text import is_html
 
@@ -102,8 +103,13 @@ def _get(url: str, tries: int, pause: float, timeout: float) -> bytes | None:
 class PagedCatalog(DataSource):
     """format("paged_catalog"): the `results` of a service that pages by number or by a `next` address (SRC-05, SRC-06).
 
-    Options: url (with {page}), pages (how many to ask for), tries, pause, timeout; cursor=true follows `next` from
-    page 1 instead, which only one task can do. Pages by number are read by a task each; a missing page is empty.
+    Options: url (with {page}), pages (how many to ask for at most), tries, pause, timeout; cursor=true follows `next`
+    from page 1 instead, which only one task can do. Pages by number are read by a task each; a missing page is empty.
+    With ids_url (with {ids}) a filter on ids asks for these alone, IDS_EACH at once.
+
+    With push=true filters on page and id (equal, in, less, greater) are taken into account before anything is fetched
+    (SRC-18); spark.sql.python.filterPushdown.enabled must be true then. As a stream it reads `every` pages a batch; its offset is the page
+    to go on with, so a stopped run goes on there (SNK-03). A missing or empty page ends it.
     """
 
     @classmethod
@@ -111,34 +117,145 @@ class PagedCatalog(DataSource):
         return "paged_catalog"
 
     def schema(self) -> str:
-        return "page int, book string"
+        return "page int, id string, book string"
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _PagedReader(self.options)
+        return (_PushedReader if self.options.get("push") == "true" else _PagedReader)(self.options)
+
+    def simpleStreamReader(self, schema: T.StructType) -> SimpleDataSourceStreamReader:
+        return _PageStream(self.options)
+
+
+#: Ids that a service is asked for at once.
+IDS_EACH = 32
+_COMPARE = {EqualTo: operator.eq, LessThan: operator.lt, LessThanOrEqual: operator.le, GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, In: lambda x, some: x in some}
 
 
-class _PagedReader(DataSourceReader):
+class _Pages:
     def __init__(self, options: dict):
         self.url, self.pages, self.cursor = options["url"], int(options.get("pages", 1)), options.get("cursor", "false") == "true"
+        self.ids_url, self.every = options.get("ids_url"), int(options.get("every", 50))
         self.how = int(options.get("tries", 3)), float(options.get("pause", 0.7)), float(options.get("timeout", 30))
 
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(1)] if self.cursor else [InputPartition(p) for p in range(1, self.pages + 1)]
+    def answer(self, url: str) -> tuple[list[tuple[str, str]], str | None]:
+        """(id, book) of an address, and the address that follows."""
+        found = json.loads(_get(url, *self.how) or b"{}")
+        return [(str(b.get("id")), json.dumps(b, ensure_ascii=False)) for b in found.get("results") or []], found.get("next")
+
+
+class _PagedReader(_Pages, DataSourceReader):
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.wanted: list[tuple] = []  # (how, value) that a page must meet
+        self.ids: set[str] | None = None
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def _fits(self, page: int) -> bool:
+        return all(how(page, value) for how, value in self.wanted)
+
+    def partitions(self) -> list[InputPartition]:
+        if self.ids is not None:  # books that are asked for by id come on page 0
+            some = sorted(self.ids) if self._fits(0) else []
+            return [InputPartition(some[i : i + IDS_EACH]) for i in range(0, len(some), IDS_EACH)]
+        return [InputPartition(1)] if self.cursor else [InputPartition(p) for p in range(1, self.pages + 1) if self._fits(p)]
+
+    def read(self, partition: InputPartition | None) -> Iterator[tuple]:
+        if partition is None:  # nothing is left to ask for
+            return
+        if isinstance(partition.value, list):
+            for id_, book in self.answer(self.ids_url.format(ids=",".join(partition.value)))[0]:
+                if id_ in self.ids:
+                    yield 0, id_, book
+            return
         page, url = partition.value, self.url.format(page=partition.value)
-        while url and page <= self.pages:
-            answer = json.loads(_get(url, *self.how) or b"{}")
-            for book in answer.get("results") or []:
-                yield page, json.dumps(book, ensure_ascii=False)
-            url, page = (answer.get("next") if self.cursor else None), page + 1
+        last = max((p for p in range(1, self.pages + 1) if self._fits(p)), default=0)
+        while url and page <= last:
+            books, follows = self.answer(url)
+            if self._fits(page):
+                yield from ((page, *b) for b in books)
+            url, page = (follows if self.cursor else None), page + 1
+
+
+class _PushedReader(_PagedReader):
+    """Only for sessions that push filters: others refuse a reader that could take them."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            how = _COMPARE.get(type(f))
+            if how and f.attribute == ("page",):
+                self.wanted.append((how, f.value))
+            elif self.ids_url and isinstance(f, (EqualTo, In)) and f.attribute == ("id",):
+                some = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.ids = some if self.ids is None else self.ids & some
+            else:
+                yield f
+
+
+class _PageStream(_Pages, SimpleDataSourceStreamReader):
+    def initialOffset(self) -> dict:
+        return {"page": 1, "url": self.url.format(page=1)}
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        rows, at = [], dict(start)
+        for _ in range(self.every):
+            if at["url"] is None or at["page"] > self.pages:
+                break
+            books, follows = self.answer(at["url"])
+            if not books:
+                break
+            rows += [(at["page"], *b) for b in books]
+            page = at["page"] + 1
+            at = {"page": page, "url": follows if self.cursor else self.url.format(page=page)}
+        return iter(rows), at
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        at = dict(start)
+        while at["page"] < end["page"]:
+            books, follows = self.answer(at["url"])
+            yield from ((at["page"], *b) for b in books)
+            at = {"page": at["page"] + 1, "url": follows if self.cursor else self.url.format(page=at["page"] + 1)}
+
+
+def paged_catalog(spark: SparkSession, url: str, pages: int, cursor: bool = False, **options: str) -> DataFrame:
+    """Raw catalog rows of a paged service; filters on page and id are pushed into it where the session allows that (SRC-18)."""
+    spark.dataSource.register(PagedCatalog)
+    push = spark.conf.get("spark.sql.python.filterPushdown.enabled")
+    rows = spark.read.format("paged_catalog").options(url=url, pages=pages, cursor=str(cursor).lower(), push=push, **options).load()
+    # a table remembers the filters last pushed into it, so every query has one to push
+    return rows.filter("page >= 0").select("page", F.from_json("book", RAW_BOOK).alias("b"), F.col("id").alias("key")).select("page", "key", "b.*")
 
 
-def paged_catalog(spark: SparkSession, url: str, pages: int, cursor: bool = False) -> DataFrame:
-    """Raw catalog rows of a paged service."""
+def paged_stream(spark: SparkSession, url: str, pages: int, cursor: bool = False, **options: str) -> DataFrame:
+    """The same service as a stream of (page, id, book as JSON), that a checkpoint lets go on where it stopped."""
     spark.dataSource.register(PagedCatalog)
-    rows = spark.read.format("paged_catalog").option("url", url).option("pages", pages).option("cursor", str(cursor).lower()).load()
-    return rows.select("page", F.from_json("book", RAW_BOOK).alias("b")).select("page", "b.*")
+    return spark.readStream.format("paged_catalog").options(url=url, pages=pages, cursor=str(cursor).lower(), **options).load()
+
+
+def run_ids(curated: DataFrame, themed: DataFrame, ids: list[str] | None = None, theme: str | None = None, curated_only: bool = False, limit: int | None = None, done: DataFrame | None = None, force: bool = False) -> DataFrame:
+    """(id, place): which books a run is about, in its order (SRC-18), for fetched() or looked_up() to ask for.
+
+    ids names them; else the curated ones unless a theme is asked for, and then those on the pages, of that theme or
+    all, unless curated_only. Each id counts once, where it comes first; limit keeps the first of them. Ids in done
+    are left out, after the limit, unless force. curated holds (id, place), themed what themed_pages gives.
+    """
+    if ids:
+        spark = curated.sparkSession
+        first: dict[str, int] = {}
+        for i, id_ in enumerate(ids):
+            first.setdefault(id_.strip(), i)
+        places = spark.createDataFrame([(i, p) for i, p in first.items() if i], "id string, place long").withColumn("part", F.lit(0))
+        rows = places.select("id", F.struct("part", F.lit("").alias("theme"), F.lit(0).alias("section"), F.lit(0).alias("shelf"), F.col("place").alias("at")).alias("place"))
+    else:
+        own = curated.select("id", F.struct(F.lit(0).alias("part"), F.lit("").alias("theme"), F.lit(0).alias("section"), F.lit(0).alias("shelf"), F.col("place").cast("long").alias("at")).alias("place"))
+        shelved = themed.select("id", F.struct(F.lit(1).alias("part"), F.col("theme_key").alias("theme"), F.col("section").alias("section"), F.col("shelf_pos").alias("shelf"), F.col("book_pos").cast("long").alias("at")).alias("place"))
+        if theme is not None:
+            own, shelved = own.limit(0), shelved.filter(F.col("place.theme") == theme)
+        rows = own if curated_only else own.unionByName(shelved)
+    first_of = rows.filter("id <> ''").groupBy("id").agg(F.min("place").alias("place"))
+    if limit is not None:
+        first_of = first_of.orderBy("place").limit(limit)
+    if done is not None and not force:
+        first_of = first_of.join(done.select("id"), "id", "left_anti")
+    return first_of
 
 
 def fetched(ids: DataFrame, urls: list[str], tries: int = 3, pause: float = 2.0, timeout: float = 60) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from lectern.operators.ledger import without
 
@@ -61,6 +62,23 @@ def upsert(df: DataFrame, path: str, keys: list[str]) -> None:
     fs.delete(aside, True)
 
 
+def resumable(stream: DataFrame, path: str, checkpoint: str, batches: int | None = None) -> StreamingQuery:
+    """Starts a stream into Parquet files at path, batch by batch under a commit log (SNK-03), and returns it.
+
+    What a batch holds is the source's matter: so many files, pages or rows. A batch is written whole or not at all: a
+    run that stops between loses only the batch it was at, and the next run with the same checkpoint goes on with that
+    one, so every row is written once. With batches the call waits and stops after so many.
+    """
+    query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").start()
+    if batches is not None:
+        done = 0
+        while query.isActive and done < batches:
+            query.awaitTermination(0.05)
+            done = sum(p.numInputRows > 0 for p in query.recentProgress)
+        query.stop()
+    return query
+
+
 def board(done: DataFrame, title: str = "title") -> DataFrame:
     """One row: a checklist of (title, done) with its percent and bar (SNK-06, AGG-17, FN-28). For a few hundred rows of a report."""
     counted = done.agg(F.count_if("done").alias("d"), F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct(title, "done"))).alias("rows"))

@@ -5,7 +5,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from lectern.operators import catalog, ledger, reading
-from lectern.streaming.reading import progress_stream, session_stream
 
 T0 = datetime(2024, 1, 1)
 
@@ -114,21 +113,12 @@ def model(rows):
     return sorted(sessions), sorted(writes)
 
 
-def test_sessions_and_throttle_equal_the_model_in_batch_and_stream(spark, tmp_path):
+def test_sessions_and_throttle_equal_the_model(spark):
     rows = events(400)
     df = spark.createDataFrame(rows, EVENT)
     want_sessions, want_writes = model(rows)
     assert sorted((r.user_id, r.words, r.ms) for r in reading.sessions(df, ["user_id"]).collect()) == want_sessions
     assert sorted((r.user_id, r.ts, r["index"]) for r in reading.throttled(df, ["user_id"]).collect()) == want_writes
-    for part in range(4):  # four micro-batches in time order
-        spark.createDataFrame(rows[part * 100 : part * 100 + 100], EVENT).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    for make, name, want in ((session_stream, "s", want_sessions), (progress_stream, "p", want_writes)):
-        stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-        query = make(stream).writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / f"at-{name}")).start()
-        query.processAllAvailable()
-        query.stop()
-        got = spark.table(name).collect()
-        assert sorted((r.user_id, r.words, r.ms) if name == "s" else (r.user_id, r.ts, r["index"]) for r in got) == want
 
 
 def test_statistics(spark):
