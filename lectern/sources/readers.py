@@ -23,14 +23,14 @@ RAW_BOOK = "id bigint, title string, authors array<struct<name:string,birth_year
 SCENES = "map<string,array<struct<startIndex:int,label:string,recap:string>>>"
 
 
-def json_table(spark: SparkSession, path: str, schema: str = BOOK) -> DataFrame:
-    """A file that holds one array of rows (SRC-01); the schema is given, never inferred."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def json_table(spark: SparkSession, path: str, schema: str = BOOK, lines: bool = False) -> DataFrame:
+    """A file that holds one array of rows, or a row a line (SRC-01); the schema is given, never inferred."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
-def themed_pages(spark: SparkSession, path: str) -> DataFrame:
+def themed_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Pages flattened to one row for each book and place (SRC-02); section 0 is the hero."""
-    pages = json_table(spark, path, PAGE)
+    pages = json_table(spark, path, PAGE, lines)
     hero = pages.select("key", F.lit(0).alias("section"), F.lit(0).alias("shelf_pos"), F.lit(None).cast("string").alias("shelf"), F.posexplode("hero").alias("book_pos", "b"))
     shelves = pages.select("key", F.posexplode("shelves").alias("shelf_pos", "s")).select("key", F.lit(1).alias("section"), "shelf_pos", F.col("s.title").alias("shelf"), F.posexplode("s.books").alias("book_pos", "b"))
     return hero.unionByName(shelves).select(F.col("key").alias("theme_key"), "section", "shelf_pos", "shelf", "book_pos", "b.*")
@@ -48,9 +48,15 @@ def scenes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def text_folder(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
-    """Whole files as (book_id, text), the id being the file's stem (SRC-04); only prunes files by id (SRC-18)."""
-    files = spark.read.text(path if only is None else [f"{path}/{i}.txt" for i in only], wholetext=True)
-    return files.select(F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "").alias("book_id"), F.col("value").alias("text"))
+    """Whole files as (book_id, text), the id being the file's stem (SRC-04); only prunes files by id (SRC-18).
+
+    Of what text_by_id wrote the ids are its folders, and the line end that it puts behind each text is taken off.
+    """
+    files = spark.read.option("recursiveFileLookup", True).text(path if only is None else [f"{path}/{i}.txt" for i in only], wholetext=True)
+    folder = F.url_decode(F.regexp_extract("_metadata.file_path", "/book_id=([^/]*)/[^/]*$", 1))
+    stem = F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")
+    text = F.when(folder == "", F.col("value")).otherwise(F.regexp_replace("value", r"\n\z", ""))
+    return files.select(F.when(folder == "", stem).otherwise(folder).alias("book_id"), text.alias("text"))
 
 
 def markdown_folder(spark: SparkSession, path: str) -> DataFrame:
@@ -60,6 +66,18 @@ def markdown_folder(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("book_id").alias("name"), F.when(title == "", F.col("book_id")).otherwise(F.trim(title)).alias("title"), "text")
 
 
+def ordered_report(spark: SparkSession, path: str) -> DataFrame:
+    """(part, at, line) of a report that writers.ordered_report wrote: the files that its manifest names, in their order."""
+    manifest = json.loads(spark.read.text(f"{path}/manifest.json", wholetext=True).first().value)
+    names = [p["file"].rpartition("/")[2] for p in manifest["parts"]]
+    if not names:
+        return spark.createDataFrame([], "part int, at int, line string")
+    files = spark.read.text([f"{path}/{p['file']}" for p in manifest["parts"]], wholetext=True)
+    number = F.substring_index(F.substring_index("_metadata.file_name", "-", 2), "-", -1).cast("int")
+    lines = F.split(F.regexp_replace("value", r"\n\z", ""), "\n")
+    return files.select(number.alias("part"), F.posexplode(lines).alias("at", "line"))
+
+
 def journal(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a journal as (value) VARIANT; blank, cut-off and other lines that aren't JSON are skipped (SRC-10)."""
     lines = spark.read.text(path)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import math
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -79,19 +83,51 @@ def resumable(stream: DataFrame, path: str, checkpoint: str, batches: int | None
     return query
 
 
-def board(done: DataFrame, title: str = "title") -> DataFrame:
-    """One row: a checklist of (title, done) with its percent and bar (SNK-06, AGG-17, FN-28). For a few hundred rows of a report."""
-    counted = done.agg(F.count_if("done").alias("d"), F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct(title, "done"))).alias("rows"))
-    share = F.when(F.col("n") > 0, F.floor(100.0 * F.col("d") / F.col("n") + 0.5)).otherwise(0)
-    bar = F.concat(F.repeat(F.lit("█"), F.floor(share / 5).cast("int")), F.repeat(F.lit("░"), (20 - F.floor(share / 5)).cast("int")))
-    lines = F.transform("rows", lambda r: F.concat(F.when(r["done"], "- [x] ").otherwise("- [ ] "), r[title]))
-    return counted.select(F.concat_ws("\n", F.concat(F.lit("**"), "d", F.lit(" / "), "n", F.lit("** "), bar, F.lit(" "), share.cast("string"), F.lit("%")), F.array_join(lines, "\n")).alias("board"))
+def ordered_report(lines: DataFrame, path: str, order: list[str], line: str = "line", **head: object) -> None:
+    """Lines in the order of columns as text files by range, and a manifest that names them in turn (SNK-06, SNK-07).
+
+    All tasks write. The files of a run lie in a folder of their own; manifest.json, with the head and each file's
+    number of lines, is moved into place last, so whoever reads sees the report of one whole run, the old or the new.
+    The files end to end are the report. Lines must hold no line ends; null lines are left out.
+    """
+    spark = lines.sparkSession
+    folder = f"parts-{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = lines.filter(F.col(line).isNotNull()).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged.select(F.col(line).cast("string").alias("value")).write.text(f"{path}/{folder}")
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted(f.getPath().getName() for f in fs.listStatus(Path(f"{path}/{folder}")) if f.getPath().getName().startswith("part-"))
+    counts = {r.name: r.n for r in spark.read.text(f"{path}/{folder}").groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("n")).collect()}  # one a file
+    manifest = json.dumps({"v": 1, **head, "parts": [{"file": f"{folder}/{f}", "lines": counts[f]} for f in files if f in counts]})
+    out = fs.create(Path(f"{path}/{folder}.json"), True)
+    out.write(bytearray(manifest.encode()))
+    out.close()
+    old = Path(f"{path}/manifest.json")
+    if fs.exists(old):
+        fs.delete(old, False)
+    _moved(fs, Path(f"{path}/{folder}.json"), old)
+
+
+def board(done: DataFrame, path: str, title: str = "title") -> None:
+    """A checklist of (title, done) under its count, bar and percent, as an ordered report (SNK-06, AGG-17, FN-28)."""
+    d, n = done.agg(F.count_if("done"), F.count("*")).first()
+    share = math.floor(100 * d / n + 0.5) if n else 0
+    first = f"**{d} / {n}** {'█' * (share // 5)}{'░' * (20 - share // 5)} {share}%"
+    head = done.sparkSession.createDataFrame([(0, None, first)], "part int, title string, line string")
+    rows = done.select(F.lit(1).alias("part"), F.col(title).alias("title"), F.concat(F.when(F.col("done"), "- [x] ").otherwise("- [ ] "), F.coalesce(F.col(title), F.lit(""))).alias("line"))
+    ordered_report(head.unionByName(rows), path, ["part", "title", "line"], done=d, total=n, percent=share)
+
+
+def bundle_files(starts: DataFrame, non_narrative: DataFrame, path: str) -> None:
+    """The bundle's lines by book as an ordered report, immutable under its manifest (SNK-07)."""
+    ordered_report(bundle_lines(starts, non_narrative), path, ["book_id"], "bundle")
 
 
 def bundle(starts: DataFrame, non_narrative: DataFrame) -> DataFrame:
     """One row: a versioned JSON object of starts by id, and ids without a story (SNK-07).
 
-    The format is one object, for the few thousand books of a collection; bundle_lines serves any number.
+    The format is one object, for the few thousand books of a collection; bundle_files serves any number.
     """
     both = starts.select("book_id", "start").withColumn("has", F.lit(True)).unionByName(non_narrative.select("book_id", F.lit(None).cast("int").alias("start"), F.lit(False).alias("has")))
     pairs = F.array_sort(F.collect_list(F.when(F.col("has"), F.struct("book_id", "start"))))

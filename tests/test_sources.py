@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from lectern.operators import ledger
 from lectern.operators.nested import nested_items
 from lectern.sources import readers, writers
 
@@ -64,6 +65,8 @@ def test_writers_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a", "text a", None), ("b", "text b", "too short (1)")], "book_id string, text string, reason string")
     writers.replace_json(df, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
+    writers.text_by_id(df.withColumn("text", F.concat("text", F.lit("\n\nend\n"))), str(tmp_path / "t2"))
+    assert {(r.book_id, r.text) for r in readers.text_folder(spark, str(tmp_path / "t2")).collect()} == {("a", "text a\n\nend\n"), ("b", "text b\n\nend\n")}
     writers.text_by_id(df, str(tmp_path / "t"))
     assert {(r.book_id, r.value) for r in spark.read.text(str(tmp_path / "t")).collect()} == {("a", "text a"), ("b", "text b")}
     writers.with_dead_letters(df, str(tmp_path / "good"), str(tmp_path / "dead"))
@@ -81,9 +84,41 @@ def test_upsert_is_idempotent(spark, tmp_path):
         assert {(r.id, r.v) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "y"), (3, "z")}
 
 
-def test_board_bundle_version(spark):
-    text = writers.board(spark.createDataFrame([("x", True), ("y", False)], "title string, done boolean")).first().board
-    assert text.splitlines()[0].startswith("**1 / 2** ██████████░") and text.endswith("- [x] x\n- [ ] y")
+def test_null_and_repeated_keys(spark, tmp_path):
+    path = str(tmp_path / "kv")
+    rows = spark.createDataFrame([(None, "a"), (1, "b")], "id int, v string")
+    for _ in range(2):
+        writers.upsert(rows, path, ["id"])
+        assert {(r.id, r.v) for r in spark.read.parquet(path).collect()} == {(None, "a"), (1, "b")} and spark.read.parquet(path).count() == 2
+    assert ledger.keep_existing(rows, rows, ["id"]).count() == 2
+    assert {(r.id, r.v) for r in ledger.overwrite(rows, spark.createDataFrame([(None, "c")], rows.schema), ["id"]).collect()} == {(None, "c"), (1, "b")}
+
+
+def report(spark, path):
+    return [r.line for r in readers.ordered_report(spark, path).orderBy("part", "at").collect()]
+
+
+def test_reports_are_ordered_and_committed_last(spark, tmp_path):
+    path = str(tmp_path / "board")
+    rows = [(f"t{i:03}", i % 3 == 0) for i in range(200)] + [("é", True), (None, False)]
+    writers.board(spark.createDataFrame(rows, "title string, done boolean"), path)
+    text = report(spark, path)
+    assert text[0] == "**68 / 202** ██████░░░░░░░░░░░░░░ 34%"
+    assert text[1:] == ["- [ ] "] + [f"- [{'x' if d else ' '}] {t}" for t, d in sorted((t, d) for t, d in rows if t)]
+    (tmp_path / "board" / "parts-left-behind").mkdir()  # by a run that stopped before its manifest
+    assert report(spark, path) == text
+    writers.board(spark.createDataFrame([("x", True), ("y", False)], "title string, done boolean"), path)
+    assert report(spark, path) == ["**1 / 2** ██████████░░░░░░░░░░ 50%", "- [x] x", "- [ ] y"]
+    manifest = json.loads((tmp_path / "board" / "manifest.json").read_text())
+    assert (manifest["v"], manifest["done"], manifest["total"], sum(p["lines"] for p in manifest["parts"])) == (1, 1, 2, 3)
+    writers.board(spark.createDataFrame([], "title string, done boolean"), path)
+    assert report(spark, path) == ["**0 / 0** ░░░░░░░░░░░░░░░░░░░░ 0%"]
+
+
+def test_bundles_and_versions(spark, tmp_path):
+    starts, nn = spark.createDataFrame([("2", 5), ("1", 3)], "book_id string, start int"), spark.createDataFrame([("9",), ("2",)], "book_id string")
+    writers.bundle_files(starts, nn, str(tmp_path / "bundle"))
+    assert [json.loads(x) for x in report(spark, str(tmp_path / "bundle"))] == [{"v": 1, "id": "1", "start": 3, "nn": False}, {"v": 1, "id": "2", "start": 5, "nn": False}, {"v": 1, "id": "9", "nn": True}]
     b = writers.bundle(spark.createDataFrame([("2", 5), ("1", 3)], "book_id string, start int"), spark.createDataFrame([("9",)], "book_id string")).first().bundle
     assert json.loads(b) == {"v": 1, "starts": {"1": 3, "2": 5}, "nn": ["9"]}
     got = spark.createDataFrame([("1.2.3",), ("1.2.9",), ("1.9.9",)], "v string").select(writers.next_version(F.col("v")).alias("v")).collect()
