@@ -63,10 +63,8 @@ def resolved_scenes(docs: DataFrame, anchors: DataFrame, key: str = "book_id", w
     One out of order is kept and becomes what the next is held against.
     """
     found = anchors.join(docs.select(key, words), key).withColumn("start_index", anchor_index(F.col(words), F.col("anchor"))).drop(words)
-    before = F.lag("start_index").over(Window.partitionBy(key).orderBy("ordinal"))
-    placed = found.filter("start_index is not null").withColumn("out_of_order", F.coalesce(F.col("start_index") <= before, F.lit(False)))
-    missing = found.filter("start_index is null").withColumn("out_of_order", F.lit(False))
-    return placed.unionByName(missing).withColumn("missing", F.col("start_index").isNull())
+    before = F.last("start_index", ignorenulls=True).over(Window.partitionBy(key).orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1))
+    return found.withColumns({"out_of_order": F.coalesce(F.col("start_index") <= before, F.lit(False)), "missing": F.col("start_index").isNull()})
 
 
 def word_count(text: Column) -> Column:

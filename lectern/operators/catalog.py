@@ -71,21 +71,29 @@ def heroes(candidates: DataFrame, front: DataFrame, n: int = HERO_SIZE, theme: s
 
 
 def fill_shelves(candidates: DataFrame, used: DataFrame, n_shelves: int, n: int = SHELF_SIZE, theme: str = "theme_key", key: str = "id") -> DataFrame:
-    """Fills the shelves of every theme in turn, each with its first n verified books that no earlier shelf took (SRT-10).
+    """(theme, shelf_pos, place, key): the shelves of every theme in turn, each with its first n verified books that no earlier shelf took (SRT-10).
 
-    A book that a full shelf passed over stays open to later ones, so shelves are filled one after another:
-    n_shelves steps for all themes together.
+    A book that a full shelf passed over stays open to later ones. Earlier shelves take at most n * n_shelves books, so
+    among the first n * n_shelves of a shelf's own are all that it can take: those, found by partial ranks before the
+    shuffle, meet in one array a theme, which is gone through once with the ids taken so far in hand.
     """
-    candidates = candidates.persist()  # each step reads these three
-    taken, out = used.select(theme, key).persist(), None
-    for shelf in range(n_shelves):
-        open_ = candidates.filter((F.col("shelf_pos") == shelf) & F.col("verified")).join(taken, [theme, key], "left_anti")
-        once = open_.withColumn("_again", F.row_number().over(Window.partitionBy(theme, key).orderBy("book_pos"))).filter("_again = 1").drop("_again")
-        order = Window.partitionBy(theme).orderBy("book_pos", key)
-        picked = once.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n).persist()  # every later shelf reads it
-        out = picked if out is None else out.unionByName(picked)
-        taken = taken.unionByName(picked.select(theme, key))
-    return out
+    open_ = candidates.filter(F.col("verified") & F.col("shelf_pos").between(0, n_shelves - 1)).join(used.select(theme, key).distinct(), [theme, key], "left_anti")
+    once = open_.groupBy(theme, "shelf_pos", key).agg(F.min("book_pos").alias("book_pos"))
+    rank = F.row_number().over(Window.partitionBy(theme, "shelf_pos").orderBy("book_pos", key))
+    first = once.withColumn("rank", rank).filter(F.col("rank") <= n * n_shelves)
+    entry = F.struct("shelf_pos", "book_pos", F.col(key).alias("id"))
+    rows = first.groupBy(theme).agg(F.array_sort(F.collect_list(entry)).alias("rows"))
+    id_type = candidates.schema[key].dataType.simpleString()
+    none = F.struct(F.lit(-1).alias("shelf"), F.lit(0).alias("place"), F.array().cast(f"array<struct<shelf_pos:int,place:int,id:{id_type}>>").alias("picked"))
+
+    def step(acc: Column, x: Column) -> Column:
+        before = F.when(acc["shelf"] == x["shelf_pos"], acc["place"]).otherwise(0)
+        takes = (before < n) & ~F.exists(acc["picked"], lambda p: p["id"] == x["id"])
+        taken = F.array(F.struct(x["shelf_pos"].cast("int").alias("shelf_pos"), (before + 1).alias("place"), x["id"].alias("id")))
+        return F.struct(x["shelf_pos"].cast("int").alias("shelf"), (before + takes.cast("int")).alias("place"), F.when(takes, F.concat(acc["picked"], taken)).otherwise(acc["picked"]).alias("picked"))
+
+    picked = F.aggregate("rows", none, step)["picked"]
+    return rows.select(theme, F.explode(picked).alias("p")).select(theme, "p.shelf_pos", "p.place", F.col("p.id").alias(key))
 
 
 def page_sizes(hero: DataFrame, shelves: DataFrame, theme: str = "theme_key") -> DataFrame:

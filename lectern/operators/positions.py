@@ -20,11 +20,24 @@ def backward(probes: DataFrame, starts: DataFrame, keys: list[str], at: str, shi
     return both.withColumn("found", F.last("_start", ignorenulls=True).over(before)).filter("_kind = 0").select("_probe.*", "found")
 
 
+def _following(keys: list[str]) -> Column:
+    """The nearest start behind, read from the end: a frame that only grows is gone through once."""
+    order = Window.partitionBy(*keys).orderBy(F.desc("_at"), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    return F.last("_start", ignorenulls=True).over(order)
+
+
 def forward(probes: DataFrame, starts: DataFrame, keys: list[str], at: str, shift: int = 0) -> DataFrame:
     """Each probe's columns, and as struct `found` its first start after position at + shift (JN-08)."""
-    both = _merged(probes, starts, keys, at, shift, -1)
-    after = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(0, Window.unboundedFollowing)
-    return both.withColumn("found", F.first("_start", ignorenulls=True).over(after)).filter("_kind = 0").select("_probe.*", "found")
+    both = _merged(probes, starts, keys, at, shift, 1)
+    return both.withColumn("found", _following(keys)).filter("_kind = 0").select("_probe.*", "found")
+
+
+def around(probes: DataFrame, starts: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """Each probe's columns, and as structs `before` and `after` its nearest starts on either side, none at its own position (JN-10)."""
+    both = _merged(probes, starts, keys, at, 0, 1)
+    before = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumns({"before": F.last("_start", ignorenulls=True).over(before), "after": _following(keys)})
+    return both.filter("_kind = 0").select("_probe.*", "before", "after")
 
 
 def percent(done: Column, total: Column) -> Column:
@@ -58,9 +71,8 @@ def resume_position(explicit: Column, authored: Column, readable: Column, total:
 def neighbour_sentences(probes: DataFrame, tokens: DataFrame, totals: DataFrame, key: str = "doc_id") -> DataFrame:
     """Start of the next sentence after each probe (key, id), else the last token; and of one before it, else 0 (JN-10)."""
     starts = tokens.filter("sentence_start").select(key, "id")
-    after = forward(probes, starts, [key], "id").select(key, "id", F.col("found.id").alias("next"))
-    both = backward(after, starts, [key], "id", strict=True).join(totals, key)
-    return both.select(key, "id", F.coalesce("next", F.col("total") - 1).cast("long").alias("next_start"), F.coalesce("found.id", F.lit(0)).cast("long").alias("previous_start"))
+    both = around(probes, starts, [key], "id").join(totals, key)
+    return both.select(key, "id", F.coalesce("after.id", F.col("total") - 1).cast("long").alias("next_start"), F.coalesce("before.id", F.lit(0)).cast("long").alias("previous_start"))
 
 
 def paragraph_at(probes: DataFrame, paragraphs: DataFrame, key: str = "book_id") -> DataFrame:

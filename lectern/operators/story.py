@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import PARAGRAPH, SPACE, letters_only, marked, raw_words, rounded, words
 from lectern.operators.chapters import winning
+from lectern.sources.shared import scratch
 
 # Front matter, headings of scenes, words that research extracts look for.
 FRONT_KINDS = ("preface", "foreword", "introduction", "afterword", "conclusion")
@@ -26,15 +27,32 @@ KEYWORDS = (
 )
 
 MIN_GAP, DEEP = 120, 0.4
-#: Letters of an anchor by which it meets texts, and bits of the map of those.
-GRAM, GRAM_BITS = 8, 24
+#: Letters of an anchor by which it meets texts, and logarithms of the least and most bits of the filter for those.
+GRAM, LEAST_BITS, MOST_BITS = 8, 16, 28
 TARGET_SCENES, MOST_SCENES, WORDS_A_SCENE, PASSAGE = 14, 18, 4000, 900
 
 
 def spaced(starts: Column, gap: int = MIN_GAP) -> Column:
-    """Of sorted starts those at least `gap` after the last one kept (WIN-11): a fold, since what is kept decides what is next."""
-    far = lambda a, x: (F.size(a) == 0) | (x - F.element_at(F.when(F.size(a) == 0, F.array(x)).otherwise(a), -1) >= gap)
-    return F.aggregate(starts, F.array().cast("array<long>"), lambda a, x: F.when(far(a, x), F.concat(a, F.array(x))).otherwise(a))
+    """Of sorted starts those at least `gap` after the last one kept (WIN-11), in time linear in them; null of null.
+
+    What is kept decides what is next, so each list is gone through once with one number in hand.
+    """
+
+    @F.arrow_udf("array<long>")
+    def kept(lists: pa.Array) -> pa.Array:
+        ends, values = lists.offsets.to_pylist(), lists.values.to_pylist()
+        there = lists.is_valid().to_pylist()
+        offsets, found = [0], []
+        for ok, begin, end in zip(there, ends, ends[1:]):
+            last = None
+            for at in values[begin:end] if ok else ():
+                if last is None or at - last >= gap:
+                    last = at
+                    found.append(at)
+            offsets.append(len(found))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found, pa.int64()), mask=pa.array([not ok for ok in there]))
+
+    return kept(starts.cast("array<long>"))
 
 
 def scene_headings(lines: DataFrame, key: str = "book_id") -> DataFrame:
@@ -71,32 +89,27 @@ def is_front(kind: Column, title: Column) -> Column:
     return kind.isin(*FRONT_KINDS) | title.rlike(FRONT_TITLE)
 
 
-def heading_starts(found: DataFrame, totals: DataFrame, key: str = "book_id") -> DataFrame:
-    """The heading at which the body of each book begins, past a page of contents (TXT-09, WIN-12, WIN-13).
+def _body(found: DataFrame, key: str) -> DataFrame:
+    """(key, h, n_chapters): the headings of each book's winning dialect in order, with the next one's place and whether the key was seen before."""
+    order, same = Window.partitionBy(key).orderBy("word_index", "line"), Window.partitionBy(key, "key").orderBy("word_index", "line")
+    h = winning(found, key).withColumns({"i": F.row_number().over(order) - 1, "next": F.lead("word_index").over(order), "again": F.row_number().over(same) > 1, "front": is_front(F.col("kind"), F.col("title"))})
+    return h.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "word_index", "next", "again", "front", "title", "dialect"))).alias("h"), F.first("n_chapters").cast("long").alias("n_headings"))
+
+
+def _chosen(h: Column, total: Column) -> tuple[Column, Column]:
+    """Of a book's headings the one at which its body begins, past a page of contents (TXT-09, WIN-12, WIN-13); whether there are contents alone.
 
     A page of contents is told by two first gaps under MIN_GAP; the body then begins at the first heading whose
-    key was seen before and which a chapter's worth of words follows.
+    key was seen before and which a chapter's worth of words follows. Front matter is passed over (FLT-14).
     """
-    order = Window.partitionBy(key).orderBy("word_index", "line")
-    h = winning(found, key).join(totals, key)
-    h = h.withColumns({"i": F.row_number().over(order) - 1, "gap": F.coalesce(F.lead("word_index").over(order), F.col("total")) - F.col("word_index"), "again": F.row_number().over(Window.partitionBy(key, "key").orderBy("word_index", "line")) > 1})
-    per = h.groupBy(key).agg(
-        F.count("*").alias("n"),
-        F.max(F.when(F.col("i") == 0, F.col("gap"))).alias("gap0"),
-        F.max(F.when(F.col("i") == 1, F.col("gap"))).alias("gap1"),
-        F.min(F.when(F.col("again") & (F.col("gap") >= MIN_GAP), F.col("i"))).alias("body"),
-        F.min(F.when(F.col("again"), F.col("i"))).alias("repeat"),
-    )
-    contents = (F.col("n") >= 3) & (F.col("gap0") < MIN_GAP) & (F.col("gap1") < MIN_GAP)
-    begin = F.when(~contents, 0).otherwise(F.coalesce("body", "repeat", F.lit(0)))
-    per = per.select(key, begin.alias("begin"), (contents & F.col("body").isNull()).alias("contents_only"))
-    h = h.join(per, key)
-    plain = h.filter(F.col("i") >= F.col("begin")).groupBy(key).agg(F.min(F.when(~is_front(F.col("kind"), F.col("title")), F.col("i"))).alias("first_plain"))
-    chosen = h.join(plain, key).filter(F.col("i") == F.coalesce("first_plain", "begin"))
-    deep = F.col("word_index") > F.col("total") * DEEP
-    low = deep | F.col("contents_only") | (F.col("gap") < MIN_GAP)
-    suffix = F.when(F.col("contents_only"), ":toc-only").when(deep, ":deep").otherwise("")
-    return chosen.select(key, F.col("word_index").cast("long").alias("start"), F.when(low, "low").otherwise("high").alias("confidence"), F.concat(F.lit("chapters:"), "dialect", suffix).alias("method"), F.col("title").alias("heading"), F.col("n_chapters").cast("long").alias("n_headings"))
+    gap = lambda x: F.coalesce(x["next"], total) - x["word_index"]
+    near = lambda i: gap(F.get(h, F.lit(i))) < MIN_GAP
+    contents = (F.size(h) >= 3) & near(0) & near(1)
+    repeats = F.filter(h, lambda x: x["again"])
+    body = F.get(F.filter(repeats, lambda x: gap(x) >= MIN_GAP), F.lit(0))
+    begin = F.when(~contents, 0).otherwise(F.coalesce(body["i"], F.get(repeats, F.lit(0))["i"], F.lit(0)))
+    plain = F.get(F.filter(h, lambda x: (x["i"] >= begin) & ~x["front"]), F.lit(0))
+    return F.coalesce(plain, F.get(h, begin)), contents & body.isNull()
 
 
 def prose_start(text: Column) -> Column:
@@ -113,13 +126,23 @@ def prose_start(text: Column) -> Column:
 
 
 def story_starts(books: DataFrame, found: DataFrame, key: str = "book_id", text: str = "text") -> DataFrame:
-    """Start, confidence, method and the first 14 words of every book (TXT-09, SRT-11, AGG-18)."""
+    """Start, confidence, method and the first 14 words of every book (TXT-09, SRT-11, AGG-18).
+
+    A book's headings meet it once, as one sorted array; all the rest is told from that array.
+    """
     w = books.select(key, words(F.col(text)).alias("w"), prose_start(F.col(text)).alias("prose"))
-    totals = w.select(key, F.size("w").alias("total"))
-    all_ = w.join(heading_starts(found, totals, key), key, "left")
-    start = F.coalesce("start", F.col("prose").cast("long"), F.lit(0))
+    rows = w.join(_body(found, key), key, "left").withColumn("total", F.size("w"))
+    chosen, contents_only = _chosen(F.col("h"), F.col("total"))
+    rows = rows.withColumns({"c": chosen, "toc": contents_only}).withColumn("gap", F.coalesce(F.col("c.next"), F.col("total")) - F.col("c.word_index"))
+    deep = F.col("c.word_index") > F.col("total") * DEEP
+    low = deep | F.col("toc") | (F.col("gap") < MIN_GAP)
+    known = F.col("c").isNotNull()
     by = lambda a, b: F.when(F.col("prose").isNotNull(), a).otherwise(b)
-    return all_.select(key, start.alias("start"), F.coalesce("confidence", by("prose", "none")).alias("confidence"), F.coalesce("method", by("prose-fallback", "none")).alias("method"), "heading", F.coalesce("n_headings", F.lit(0)).cast("long").alias("n_headings"), F.size("w").cast("long").alias("total"), F.array_join(F.slice("w", (start + 1).cast("int"), 14), " ").alias("preview"))
+    confidence = F.when(known, F.when(low, "low").otherwise("high")).otherwise(by("prose", "none"))
+    suffix = F.when(F.col("toc"), ":toc-only").when(deep, ":deep").otherwise("")
+    method = F.when(known, F.concat(F.lit("chapters:"), "c.dialect", suffix)).otherwise(by("prose-fallback", "none"))
+    start = F.coalesce(F.col("c.word_index").cast("long"), F.col("prose").cast("long"), F.lit(0))
+    return rows.select(key, start.alias("start"), confidence.alias("confidence"), method.alias("method"), F.col("c.title").alias("heading"), F.coalesce("n_headings", F.lit(0)).cast("long").alias("n_headings"), F.col("total").cast("long").alias("total"), F.array_join(F.slice("w", (start + 1).cast("int"), 14), " ").alias("preview"))
 
 
 def anchor_index(w: Column, anchor: Column) -> Column:
@@ -142,42 +165,86 @@ def _grams(letters: str, n: int) -> np.ndarray:
     return code
 
 
-def _bits(codes: np.ndarray) -> np.ndarray:
-    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+def _bits(codes: np.ndarray, log: int) -> np.ndarray:
+    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - log)).astype(np.int64)
 
 
-def _anchor_grams(n: int):
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _Filter:
+    """Bits of a set of runs (a column of longs): 16 to a run, but 2**MOST_BITS at most. What it lets through too much, joins drop."""
+
+    def __init__(self, runs: DataFrame):
+        spark = runs.sparkSession
+        self.log = log = min(max((16 * runs.count()).bit_length(), LEAST_BITS), MOST_BITS)
+
+        def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = np.unique(_bits(batch[0].to_numpy().view(np.uint64), log))
+                yield pa.RecordBatch.from_arrays([pa.array(at)], names=["bit"])
+
+        bits = runs.mapInArrow(slices, "bit long").select(F.bitmap_bucket_number(F.col("bit") + 1).alias("b"), F.bitmap_bit_position(F.col("bit") + 1).alias("p"))
+        there = np.zeros(max(1 << log, 1 << 15), bool)
+        for r in bits.groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect():  # at most 2**MOST_BITS bits
+            there[(r.b - 1) * 32768 : r.b * 32768] = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
+        self.shared = spark.sparkContext.broadcast(np.packbits(there))
+
+    def keep(self, codes: np.ndarray) -> np.ndarray:
+        """Those of the codes that may be in the set, each once."""
+        at = _bits(codes, self.log)
+        return np.unique(codes[(self.shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0])
+
+
+def _needle_runs(n: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = [(g := _grams(x, n))[_bits(g).argmin()] for x in batch["needle"].to_pylist()]
-            found = np.array(codes, np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64)), pa.array(_bits(found))], names=[*batch.schema.names, "gram", "bit"])
+            found = [np.unique(_grams(x, n)).view(np.int64) for x in batch["needle"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], names=[*batch.schema.names, "runs"])
 
-    return pick
+    return cut
 
 
-def _text_grams(n: int, wanted: np.ndarray):
+def _letters(texts: pa.Array) -> list[str]:
     other = bytes(set(range(128)) - set(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+    return [x.encode("ascii", "ignore").translate(None, other).decode() for x in texts.to_pylist()]
+
 
+def _run_counts(n: int, wanted: _Filter):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [wanted.keep(_grams(x, n)) for x in _letters(batch["low"])]
+            run, texts = np.unique(np.concatenate(runs) if runs else np.zeros(0, np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(texts, pa.int64())], names=["run", "texts"])
+
+    return count
+
+
+def _text_runs(n: int, wanted: _Filter):
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            letters = [x.encode("ascii", "ignore").translate(None, other).decode() for x in batch["low"].to_pylist()]
-            found = []
-            for codes in (_grams(x, n) for x in letters):
-                found.append(np.unique(codes[wanted[_bits(codes)]]).view(np.int64))
-            kept = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(letters), pa.array(found, pa.list_(pa.int64()))], names=[*batch.schema.names[:2], "letters", "grams"])
+            letters = _letters(batch["low"])
+            found = [wanted.keep(_grams(x, n)).view(np.int64) for x in letters]
+            kept = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(letters), pa.array(found, pa.list_(pa.int64()))], names=[*batch.schema.names[:2], "letters", "runs"])
             yield kept.filter(pa.array([len(f) > 0 for f in found], pa.bool_()))
 
     return pick
 
 
+def _rarest_runs(needles: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """needles (item_id, anchor, needle) with the run of n letters that fewest of the texts (low) have."""
+    schema = ", ".join(f"`{c}` {t}" for c, t in needles.dtypes)
+    runs = needles.mapInArrow(_needle_runs(n), f"{schema}, runs array<long>").select("*", F.explode("runs").alias("run"))
+    often = texts.select("low").mapInArrow(_run_counts(n, _Filter(runs.select("run").distinct())), "run long, texts long").groupBy("run").agg(F.sum("texts").alias("texts"))
+    rarest = F.min_by("run", F.struct(F.coalesce("texts", F.lit(0)), F.xxhash64("run")))
+    return runs.join(often, "run", "left").groupBy("item_id", "anchor", "needle").agg(rarest.alias("run"))
+
+
 def resolved_anchors(docs: DataFrame, anchors: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document in which an anchor (item_id, anchor) begins, and where.
 
     An anchor and each text that holds it share every run of GRAM letters of the anchor, so the two meet in an
-    equi-join on one of them, and the place is looked for only in pairs that met. Before that, texts drop runs that no
-    anchor has by a bitmap of 2**GRAM_BITS bits, whatever the number of anchors. Anchors of fewer letters meet texts by as
-    many letters as the shortest has. Null and blank texts hold nothing; null anchors and those without letters are in none.
+    equi-join on one of them: the run that fewest texts have, counted over all texts first. So a phrase that many anchors
+    or many texts share is not what they meet by, as long as an anchor has a rarer part. The place is looked for only in
+    pairs that met. Anchors of fewer letters meet texts by as many letters as the shortest has. Null and blank texts hold
+    nothing; null anchors and those without letters are in none. An anchor that an item repeats counts once.
     """
     mark = F.when(F.col(text).contains(PARAGRAPH), F.regexp_replace(marked(F.col(text)), rf"(?<![^{SPACE}])\[P\](?![^{SPACE}])", " ")).otherwise(F.col(text))
     w = docs.select(key, F.col(text).alias("text"), F.lower(mark).alias("low")).filter("low <> ''")
@@ -185,14 +252,11 @@ def resolved_anchors(docs: DataFrame, anchors: DataFrame, key: str = "doc_id", t
     shortest = asked.agg(F.min(F.length("needle"))).first()[0] or GRAM
     spark, out = docs.sparkSession, None
     for n, some in ((GRAM, asked.filter(F.length("needle") >= GRAM)), *([(shortest, asked.filter(F.length("needle") < GRAM))] if shortest < GRAM else [])):
-        schema = ", ".join(f"`{c}` {t}" for c, t in some.dtypes)
-        some = some.mapInArrow(_anchor_grams(n), f"{schema}, gram long, bit long")
-        parts = some.select(F.bitmap_bucket_number(F.col("bit") + 1).alias("b"), F.bitmap_bit_position(F.col("bit") + 1).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits"))
-        wanted = np.zeros(2**GRAM_BITS, bool)
-        for r in parts.collect():  # at most 2**GRAM_BITS bits
-            wanted[(r.b - 1) * 32768 : r.b * 32768] = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
-        texts = w.mapInArrow(_text_grams(n, wanted), f"`{key}` {dict(w.dtypes)[key]}, text string, letters string, grams array<long>")
-        met = texts.select(key, "text", "letters", F.explode("grams").alias("gram")).join(some, "gram").filter(F.col("letters").contains(F.col("needle")))
+        path = scratch(spark, "anchors")  # read twice: for the filter and for the join
+        _rarest_runs(some, w, n).write.parquet(path)
+        chosen = spark.read.parquet(path)
+        texts = w.mapInArrow(_text_runs(n, _Filter(chosen.select("run").distinct())), f"`{key}` {dict(w.dtypes)[key]}, text string, letters string, runs array<long>")
+        met = texts.select(key, "text", "letters", F.explode("runs").alias("run")).join(chosen, "run").filter(F.col("letters").contains(F.col("needle")))
         hits = met.select("item_id", key, anchor_index(words(F.col("text")), F.col("anchor")).cast("long").alias("token"))
         out = hits if out is None else out.unionByName(hits)
     return out

@@ -29,7 +29,8 @@ def _probes(tokens: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
 def sentence_jump(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = st.tokens(documents(spark, sf_dir))
-    return positions.neighbour_sentences(_probes(tokens, "doc_id")[0].distinct(), tokens, _probes(tokens, "doc_id")[1])
+    probes, totals = _probes(tokens, "doc_id")
+    return positions.neighbour_sentences(probes.distinct(), tokens, totals)
 
 
 def paragraph_at_word(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,6 +126,16 @@ def story_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return story.story_starts(books, ch.headings(ch.lines(books)))
 
 
+#: Front matter that a story starts behind: a foreword of more words than a page of contents has between its lines, and a prologue.
+FOREWORD = "FOREWORD.\n\n" + " ".join(["These words come before."] * 40) + "\n\nPREFACE\n\n" + " ".join(["So do these."] * 50) + "\n\nPrologue\n\n" + " ".join(["Here it begins."] * 60) + "\n\n"
+
+
+def story_start_front(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts of books that open with a foreword and a preface, which a start passes over (FLT-14)."""
+    books = st.books(documents(spark, sf_dir), FOREWORD, BACK)
+    return story.story_starts(books, ch.headings(ch.lines(books)))
+
+
 def prose_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first paragraph of each book that reads like prose, null if none does."""
     books = st.books(documents(spark, sf_dir))
@@ -142,7 +152,7 @@ def kwic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return story.keyword_context(documents(spark, sf_dir)).withColumn("after_gap", F.coalesce("after_gap", F.lit(False)))
 
 
-QUERIES = {f.__name__: f for f in (chapter_progress, next_prev_chapter, scene_asof, content_gate, reject_histogram, metadata_gate, html_sniff_tier, strip_boilerplate, scene_min_gap, scene_segments, book_scenes, roman_chapters, story_start, prose_starts, anchor_resolve, kwic_lines)}
+QUERIES = {f.__name__: f for f in (chapter_progress, next_prev_chapter, scene_asof, content_gate, reject_histogram, metadata_gate, html_sniff_tier, strip_boilerplate, scene_min_gap, scene_segments, book_scenes, roman_chapters, story_start, story_start_front, prose_starts, anchor_resolve, kwic_lines)}
 
 _PROBES = "probe AS (SELECT book_id, total, unnest(range(0, 10)) * total // 10 AS word_index FROM total)"
 _REASON = """
@@ -238,6 +248,26 @@ WITH {sql.books(FRONT, BACK)}, {_CHAPTERS}, {_TOTALS}, {sql.tokens("book", "book
     FROM f JOIN h ON f.book_id = h.book_id AND f.i = h.i JOIN c ON c.book_id = h.book_id
 )
 SELECT s.book_id, start, confidence, method, heading, n_headings, total, string_agg(word, ' ' ORDER BY id) AS preview
+FROM s JOIN tok ON s.book_id = tok.book_id AND id BETWEEN start AND start + 13 GROUP BY ALL""",
+    "story_start_front": f"""
+WITH {sql.books(FOREWORD, BACK)}, {_CHAPTERS}, {_TOTALS}, {sql.tokens("book", "book_id")}, every_head AS (
+    SELECT book_id, line, word_index, key, kind, title FROM head
+    UNION ALL SELECT book_id, line, word_index, lower(w), lower(w), upper(w[1]) || lower(w[2:]) FROM (SELECT *, regexp_extract(t, '(?i)^(prologue|epilogue|introduction|preface|foreword|afterword|conclusion)\\.?$', 1) AS w FROM line) WHERE w <> ''
+), h AS (
+    SELECT h.*, total, row_number() OVER o - 1 AS i, coalesce(lead(word_index) OVER o, total) - word_index AS gap, row_number() OVER (PARTITION BY h.book_id, key ORDER BY word_index, line) > 1 AS again,
+        kind IN ('preface', 'foreword', 'introduction', 'afterword', 'conclusion') OR regexp_matches(title, '{_FRONT}') AS front
+    FROM every_head h JOIN total t ON h.book_id = t.book_id WINDOW o AS (PARTITION BY h.book_id ORDER BY word_index, line)
+), per AS (
+    SELECT book_id, count(*) AS n, max(gap) FILTER (i = 0) AS gap0, max(gap) FILTER (i = 1) AS gap1, min(i) FILTER (again AND gap >= 120) AS body, min(i) FILTER (again) AS again_at, count(DISTINCT key) AS n_headings FROM h GROUP BY 1
+), c AS (
+    SELECT book_id, n_headings, n >= 3 AND gap0 < 120 AND gap1 < 120 AND body IS NULL AS toc, CASE WHEN n >= 3 AND gap0 < 120 AND gap1 < 120 THEN coalesce(body, again_at, 0) ELSE 0 END AS begin FROM per WHERE n_headings >= 3
+), f AS (SELECT c.book_id, coalesce(min(i) FILTER (i >= begin AND NOT front), min(begin)) AS i FROM c JOIN h ON c.book_id = h.book_id GROUP BY 1
+), s AS (
+    SELECT h.book_id, word_index AS start, total, title AS heading, n_headings, CASE WHEN word_index > total * 0.4 OR toc OR gap < 120 THEN 'low' ELSE 'high' END AS confidence,
+        'chapters:keyword' || CASE WHEN toc THEN ':toc-only' WHEN word_index > total * 0.4 THEN ':deep' ELSE '' END AS method
+    FROM f JOIN h ON f.book_id = h.book_id AND f.i = h.i JOIN c ON c.book_id = h.book_id
+)
+SELECT s.book_id, start, confidence, method, heading, n_headings, total, string_agg(word, ' ' ORDER BY id) AS preview
 FROM s JOIN tok ON s.book_id = tok.book_id AND id BETWEEN start AND start + 13 GROUP BY ALL""",
     "prose_starts": f"""
 WITH {sql.books()}, {sql.tokens("book", "book_id")}, p AS (

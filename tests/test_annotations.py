@@ -57,6 +57,7 @@ def test_display(spark):
     assert one(spark, display.fit_scale(F.lit(114.0), F.lit(400.0))) == 0.5 and one(spark, display.fit_scale(F.lit(114.0), F.lit(50.0))) == 1.0
     assert (one(spark, display.ease_out(F.lit(1.0))), one(spark, display.font_size(F.lit(10.0), F.lit("compact")))) == (1.0, 8.0)
     assert one(spark, display.proxied(F.lit("https://www.books.org/a/b"), "books.org", "/p")) == "/p/a/b"
-    assert [one(spark, display.span_percent(F.lit(i), F.lit(10), F.lit(30))) for i in (0, 20, 99)] == [0.0, 50.0, 100.0]
+    assert [one(spark, display.span_percent(F.lit(i), F.lit(10), F.lit(30), F.lit(40))) for i in (0, 20, 99)] == [0.0, 50.0, 100.0]
+    assert [one(spark, display.span_percent(F.lit(150), F.lit(100), F.lit(end), F.lit(n))) for end, n in ((100, 200), (60, 200), (100, 0))] == [100.0, 100.0, 0.0]
     rows = spark.createDataFrame([(0, 0.0), (50, 5.0), (100, 30.0), (300, 0.0)], "t int, x double").withColumn("k", F.lit(1))
     assert [r.velocity for r in display.trailing_velocity(rows, ["k"], "t", "x").orderBy("t").collect()] == [0.0, 0.1, 0.5, 0.0]

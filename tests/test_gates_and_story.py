@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -85,6 +86,33 @@ def test_greedy_gap_and_scene_starts(spark):
         got = spark.createDataFrame([(kept,)], "s array<bigint>").select(story.scene_starts(F.col("s"), F.lit(total))).first()[0]
         assert got == want
 
+def test_a_million_headings_take_linear_time(spark):
+    def took(n):
+        df = spark.range(1, numPartitions=1).select(F.sequence(F.lit(0).cast("long"), F.lit(150 * n), F.lit(150).cast("long")).alias("s"))
+        began = time.time()
+        assert df.select(F.size(story.spaced(F.col("s")))).first()[0] == n + 1
+        return time.time() - began
+
+    took(1000)
+    assert took(1_000_000) < 25
+    df = spark.createDataFrame([(None,), ([],), ([5],), ([0, 119, 120, 239, 240],)], "s array<long>")
+    assert [r[0] for r in df.select(story.spaced(F.col("s"))).collect()] == [None, [], [5], [0, 120, 240]]
+
+
+def test_story_starts_scan_twice_and_shuffle_little(spark):
+    books = spark.createDataFrame([("b", "CHAPTER 1\n\ntext")], "book_id string, text string")
+    plan = story.story_starts(books, ch.headings(ch.lines(books)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 4 and plan.count("Join") == 1
+
+
+def test_front_matter_is_passed_over(spark):
+    words = " ".join(["word"] * 150)
+    text = f"FOREWORD\n\n{words}\n\nINTRODUCTION\n\n{words}\n\nCHAPTER 1\n\n{words}\n\nCHAPTER 2\n\n{words}\n\nCHAPTER 3\n\n{words}"
+    books = spark.createDataFrame([("b", text), ("n", None)], "book_id string, text string")
+    rows = {r.book_id: r for r in story.story_starts(books, ch.headings(ch.lines(books))).collect()}
+    assert (rows["b"].heading, rows["b"].start, rows["b"].confidence) == ("Chapter 1", 302, "low" if 302 > 0.4 * 760 else "high")
+    assert story.scenes(books.filter("book_id = 'n'"), ch.lines(books)).collect()[0].passage_words == 0
+
 
 def start_of(spark, text):
     books = spark.createDataFrame([("b", text)], "book_id string, text string")

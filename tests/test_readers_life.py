@@ -59,6 +59,19 @@ def test_anchors_short_long_and_marked(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_anchors_that_share_a_phrase_meet_by_what_is_rare(spark):
+    phrase = "it was the best of times and it was the worst of times"
+    letters = phrase.replace(" ", "")
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit(f"Once {phrase} in "), F.hex(F.xxhash64("id")), F.lit(" and so on")).alias("text"))
+    anchors = spark.range(100_000).select(F.col("id").alias("item_id"), F.concat(F.lit(f"{phrase} in "), F.hex(F.xxhash64(F.col("id") * 10))).alias("anchor"))
+    asked = anchors.select("item_id", "anchor", fn.letters_only(F.col("anchor")).alias("needle"))
+    chosen = story._rarest_runs(asked, docs.select(F.lower("text").alias("low")), story.GRAM)
+    common = set(story._grams(letters, story.GRAM).view("int64").tolist())
+    assert chosen.count() == 100_000 and chosen.filter(F.col("run").isin(common)).isEmpty()
+    got = sorted((r.item_id, r.doc_id, r.token) for r in story.resolved_anchors(docs, anchors).collect())
+    assert got == [(i, 10 * i, 1) for i in range(300)]
+
+
 def test_sentences_and_paragraphs_at_the_ends(spark):
     tokens = st.tokens(spark.createDataFrame([(1, "One two. Three four. Five\n\nSix")], "doc_id int, text string"))
     totals = tokens.groupBy("doc_id").agg(F.count("*").alias("total"))
