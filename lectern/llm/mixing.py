@@ -4,15 +4,22 @@ Every source has a weight for each time of training, from 0 to 1. The integral o
 its share of the tokens; a source whose target would exceed CAP times its size stops there and the rest is
 shared again by weight. A source is read in a fixed random order, over and over, until its target is met:
 a document's copy that begins after c of the target's t tokens gets the time at which the integrated demand
-of its source reaches c / t. Sorting by this position gives the training order.
+of its source reaches c / t. Copies are range-sorted by this position, which is the training order.
+
+Whole rows are shuffled twice: once into the order of their source, where running sums are taken as they pass, and
+once, as often as they are taken, into the order of training.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import partitions, sized_join, stored
+from lectern.llm.common import partitions, sized_join, small_batches, stored
 
 SHARE, CAP = 1.5, 2.0
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -27,17 +34,31 @@ def words_in(text: Column) -> Column:
 def with_sums_before(df: DataFrame, order: list[Column], **values: str) -> DataFrame:
     """df with a column for each of values: the sum of the named column over all rows that sort before.
 
-    Rows are range-partitioned and summed within partitions; only one row of sums for each partition meets in
-    one place. Rows that tie in `order` must be alike.
+    Rows are range-partitioned and sorted; running sums are taken as they pass, and the rows written once, with
+    _part and _at, their place. Only one row of sums for each partition meets in one place. Rows that tie in
+    `order` must be alike. The columns of values must be long or double.
     """
-    part = stored(df.repartitionByRange(partitions(df.sparkSession), *order).withColumn("_part", F.spark_partition_id()), "ranges")
-    sums = part.groupBy("_part").agg(*[F.sum(v).alias(f"_{k}") for k, v in values.items()])
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    named = ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()} | {k: F.col(v) for k, v in values.items()})
+
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        so_far = {k: 0 for k in values}
+        for b in batches:
+            columns = dict(zip(b.schema.names, b.columns))
+            for k in values:
+                own = b[k].to_numpy()
+                until = so_far[k] + np.cumsum(own)
+                columns[k] = pa.array(until - own, b[k].type)
+                so_far[k] = until[-1] if len(until) else so_far[k]
+            yield pa.RecordBatch.from_arrays(list(columns.values()), schema=b.schema)
+
+    small_batches(spark)
+    part = stored(named.mapInArrow(running, named.schema), "ranges")
+    ends = part.groupBy("_part").agg(*[F.max(F.col(k) + F.col(v)).alias(f"_{k}") for k, v in values.items()])
     above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    sums = sums.select("_part", *[F.coalesce(F.sum(f"_{k}").over(above), F.lit(0)).alias(f"_{k}") for k in values])
-    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = part.select("*", *[F.coalesce(F.sum(v).over(within), F.lit(0)).alias(k) for k, v in values.items()])
-    out = out.join(F.broadcast(sums), "_part").withColumns({k: F.col(k) + F.col(f"_{k}") for k in values})
-    return out.drop("_part", *[f"_{k}" for k in values])
+    sums = ends.select("_part", *[F.coalesce(F.sum(f"_{k}").over(above), F.lit(0)).alias(f"_{k}") for k in values])
+    return part.join(F.broadcast(sums), "_part").withColumns({k: F.col(k) + F.col(f"_{k}") for k in values}).drop(*[f"_{k}" for k in values])
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -65,32 +86,47 @@ def time_of(done: Column, slope: Column) -> Column:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None) -> DataFrame:
-    """Every row of docs as struct `row` (of the columns in keep, or all), with size, source, source_size, target, taken and positions.
+    """Every row of docs as struct `row` (of the columns in keep, or all), with place, size, source, source_size, target, taken, positions and words.
 
     taken counts the words that the mix takes, repeats included: of a source they add up to the whole part of
-    its target, the last document being cut there. positions holds the time, from 0 to 1, of each copy taken.
-    The order within a source is that of the id's MD5. Null texts have size 0 and are not taken; null sources
-    are one source, the last; rows that repeat an id are each a document. An empty table gives no rows.
+    its target, the last document being cut there. positions holds the time, from 0 to 1, of each copy taken, words
+    how much of it is; place tells rows apart.
+
+    The order within a source is that of the id's MD5, then id, size and the text's MD5: rows that tie in all of them
+    have one text, so reruns take the same texts from any partitioning. Null texts have size 0 and are not taken; null
+    sources are one source, the last; rows that repeat an id are each a document. An empty table gives no rows.
+    Columns of docs may have any names: they stay inside `row`.
     """
     keep = docs.columns if keep is None else keep
+    text = docs[text_col].cast("string")
     md5 = F.md5(F.coalesce(docs[id_col].cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"), words_in(docs[text_col].cast("string")).alias("size"), md5.alias("md5"))
-    placed = with_sums_before(rows, [F.col("source").asc_nulls_last(), F.col("md5"), F.col("id").asc_nulls_last(), F.col("size")], before="size")
-    placed = stored(placed.drop("md5"), "placed")
-    goals = targets(placed.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("before").alias("start")).select("source", "source_size"))
-    starts = placed.groupBy("source").agg(F.min("before").alias("start"))
+    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"), words_in(text).alias("size"), md5.alias("md5"), F.md5(text.cast("binary")).alias("text_md5"))
+    order = [F.col("source").asc_nulls_last(), F.col("md5"), F.col("id").asc_nulls_last(), F.col("size"), F.col("text_md5")]
+    placed = with_sums_before(rows, order, before="size").withColumnRenamed("_at", "place")
+    sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("before").alias("start"))
     name = lambda: F.concat(F.when(F.col("source").isNull(), "-").otherwise("+"), F.coalesce("source", F.lit(""))).alias("name")
-    goals = stored(goals.select(name(), "source_size", "slope", "target").join(starts.select(name(), "start"), "name"), "goals")
+    sizes = stored(sizes, "sizes")
+    goals = targets(sizes.select("source", "source_size")).select(name(), "source_size", "slope", "target")
+    goals = stored(goals.join(sizes.select(name(), "start"), "name"), "goals")
     found = sized_join(placed.withColumn("name", name()), goals, "name")
     first = F.col("before") - F.col("start")
     whole = F.floor("target")
     copies = [first + k * F.col("source_size") for k in range(int(CAP))]
     takes = [F.least(F.greatest(whole - c, F.lit(0)), F.col("size")) for c in copies]
     times = [F.when(t > 0, time_of(c / F.col("target"), F.col("slope"))) for c, t in zip(copies, takes)]
-    return found.select("row", "size", "source", "source_size", "target", sum(takes[1:], takes[0]).alias("taken"), F.array_compact(F.array(*times)).alias("positions"))
+    words = F.array(*[F.when(t > 0, t) for t in takes])
+    return found.select("row", "place", "size", "source", "source_size", "target", sum(takes[1:], takes[0]).alias("taken"), F.array_compact(F.array(*times)).alias("positions"), F.array_compact(words).alias("words"))
+
+
+def copies_in_order(mixed: DataFrame, keep: list[str]) -> DataFrame:
+    """The copies that a mix takes, range-sorted by position: the columns in keep, position and words. Copies of one position follow their source and place."""
+    spark = mixed.sparkSession
+    order = ["position", "source", "place"]
+    columns = list(dict.fromkeys([*keep, "source", "place"]))
+    copies = mixed.select(*columns, F.explode(F.arrays_zip("positions", "words")).alias("copy")).select(*columns, F.col("copy.positions").alias("position"), F.col("copy.words").alias("words"))
+    return copies.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).select(*keep, "position", "words")
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
     """The rows that a mix takes, once for each copy, range-sorted by position."""
-    spark = mixed.sparkSession
-    return mixed.select("row", F.explode("positions").alias("position")).repartitionByRange(partitions(spark), "position").sortWithinPartitions("position").select("row.*")
+    return copies_in_order(mixed, ["row"]).select("row.*")

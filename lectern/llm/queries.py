@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import new_path, read_table
+from lectern.llm.common import new_path, read_table, stored
 from lectern.llm.conversations import damaged, repair
 from lectern.llm.exact_dedup import exact_dedup
 from lectern.llm.fingerprints import edit_fingerprints
 from lectern.llm.language_id import fit, language_of
 from lectern.llm.line_dedup import line_dedup
 from lectern.llm.merkle import folded, leaf, manifest, siblings
-from lectern.llm.mixing import mix
+from lectern.llm.mixing import copies_in_order, mix
 from lectern.llm.near_dedup import near_dedup
 from lectern.llm.phrases import phrase_dedup
 from lectern.llm.pii import pii_spans
@@ -65,7 +65,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = r"""
 WITH d AS (
-    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
+    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place, md5(text) AS text_md5, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
 ), s AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r FROM d GROUP BY source
 ), w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][CAST(r % 3 + 1 AS INT)] AS weight, [1.0::DOUBLE, 0.0::DOUBLE, -1.0::DOUBLE][CAST(r % 3 + 1 AS INT)] AS slope, sum(source_size) OVER () AS all_size FROM s
@@ -78,13 +78,14 @@ WITH d AS (
 ), t AS (
     SELECT source, source_size, slope, CASE WHEN capped THEN 2.0::DOUBLE * source_size ELSE (1.5::DOUBLE * all_size - 2.0::DOUBLE * capped_size) * weight / open_weight END AS target FROM c, l
 ), p AS (
-    SELECT d.*, t.source_size, t.slope, t.target, CAST(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS first
+    SELECT d.*, t.source_size, t.slope, t.target, CAST(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id NULLS LAST, size, text_md5 ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS first
     FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), k AS (
     SELECT *, least(greatest(CAST(floor(target) AS BIGINT) - first, 0), size) AS one, least(greatest(CAST(floor(target) AS BIGINT) - first - source_size, 0), size) AS two FROM p
 )
 SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
-    CASE WHEN one > 0 THEN round(least(1.0::DOUBLE, 2 * (first / target) / (1 - slope / 2 + sqrt((1 - slope / 2) * (1 - slope / 2) + 2 * slope * (first / target)))), 9) END AS position
+    CASE WHEN one > 0 THEN round(least(1.0::DOUBLE, 2 * (first / target) / (1 - slope / 2 + sqrt((1 - slope / 2) * (1 - slope / 2) + 2 * slope * (first / target)))), 9) END AS position,
+    CASE WHEN two > 0 THEN round(least(1.0::DOUBLE, 2 * ((first + source_size) / target) / (1 - slope / 2 + sqrt((1 - slope / 2) * (1 - slope / 2) + 2 * slope * ((first + source_size) / target)))), 9) END AS again
 FROM k
 """
 
@@ -236,8 +237,13 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mix(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
-    return found.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", F.round(F.try_element_at("positions", F.lit(1)), 9).alias("position"))
+    """What the training order takes of each document, and when: from the copies in that order."""
+    mixed = stored(mix(read_table(spark, sf_dir, "documents"), keep=["doc_id"]), "mixed")
+    ordered = copies_in_order(mixed, ["place"])
+    copies = ordered.groupBy("place").agg(F.sum("words").alias("taken"), F.min("position").alias("position"), F.when(F.count("*") > 1, F.max("position")).alias("again"))
+    docs = mixed.select(F.col("row.doc_id").alias("doc_id"), "place", "size", "source_size", "target")
+    time = lambda c: F.round(c, 9).alias(c)
+    return docs.join(copies, "place", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), time("position"), time("again"))
 
 
 def model_file(spark: SparkSession) -> str:

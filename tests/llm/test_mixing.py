@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm.mixing import in_training_order, mix, targets, time_of, with_sums_before
+from lectern.llm.mixing import copies_in_order, in_training_order, mix, targets, time_of, with_sums_before
 
 SCHEMA = "doc_id long, text string, source string, size int, md5 string"
 
@@ -46,8 +46,28 @@ def test_words_taken_meet_the_targets(spark):
         goal[r.source] = r.target
     assert taken == {s: int(t) for s, t in goal.items()}
     assert all(r.source_size == size[r.source] for r in out)
-    again = mix(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
-    assert sorted(map(str, out)) == sorted(map(str, again))
+    assert all(sum(r.words) == r.taken for r in out)
+    again = mix(spark.createDataFrame(rows, SCHEMA).repartition(3)).drop("place").collect()
+    assert sorted(str((*r[:1], *r[2:])) for r in out) == sorted(str(tuple(r)) for r in again)
+
+
+def test_rows_of_one_id_are_taken_alike_from_any_partitioning(spark):
+    rows = [(7, " ".join([chr(97 + i % 26)] * 5), "a", i, "x") for i in range(40)] + [(i, "w " * 50, "b", 0, "x") for i in range(9)]
+    found = set()
+    for n in (1, 3, 7):
+        out = mix(spark.createDataFrame(rows, SCHEMA).repartition(n)).collect()
+        assert len(out) == len(rows)
+        ordered = [(r.row.text, r.words) for r in copies_in_order(mix(spark.createDataFrame(rows, SCHEMA).repartition(n)), ["row"]).collect()]
+        found.add((tuple(sorted((r.row.text, r.taken, tuple(r.positions)) for r in out)), tuple(ordered)))
+    assert len(found) == 1
+
+
+def test_copies_follow_their_positions_and_very_long_texts_are_cut(spark):
+    rows = [(1, "w " * 2_000_000, "a", 0, "x"), (2, "v " * 30, "b", 0, "x")]
+    mixed = mix(spark.createDataFrame(rows, SCHEMA))
+    got = copies_in_order(mixed, ["size", "taken"]).collect()
+    assert [r.position for r in got] == sorted(r.position for r in got)
+    assert {r.size: r.taken for r in got} == {2_000_000: 3_000_045 - 60, 30: 60}
 
 
 def test_training_order_follows_positions(spark):
