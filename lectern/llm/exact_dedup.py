@@ -1,8 +1,10 @@
 """Exact deduplication by content sort, in DataFrame operations alone.
 
-Texts are normalised (each run of ASCII white space becomes one space) and range-partitioned by sampled
-splitters of their leading bytes and digest. External sorting puts equal texts next to each other, and
-each text is compared in full with its neighbour. The row with the smallest id of a run of equals stays.
+Texts are normalised (each run of ASCII white space becomes one space) and range-partitioned by
+sampled splitters of their leading characters: as many (HEADS) as it takes for few different texts of the sample to
+begin alike. Within a range rows are sorted by the text itself: external sorting puts equal texts next to each other,
+and each text is compared in full with its neighbour. The row with the smallest id of a run of equals stays. Equal
+texts begin alike, so no run crosses the end of a range; digests are for the result and for counting the sample.
 
 A text that fills a large part of a partition is found in a sample of SAMPLE_ROWS rows a partition (the
 same that Spark takes for range splitters), and its rows are dealt out by a salt of their id and input
@@ -15,10 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import partitions, sized_join, stored
+from lectern.llm.common import discard, partitions, sized_join, stored
 
 SAMPLE_ROWS = 100
-HEAD_CHARS = 32
+HEADS = (32, 256, 2048, 16_384, 131_072, 1_048_576)
 
 
 def normalised(text: Column) -> Column:
@@ -41,15 +43,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     total = docs.count()
     share = min(1.0, SAMPLE_ROWS * n / max(total, 1))
-    sample = rows.sample(share, seed=4).groupBy("sha").count().filter(F.col("count") > SAMPLE_ROWS // 2)
-    hot = [(r.sha, -(-r["count"] * 4 // SAMPLE_ROWS)) for r in sample.collect()]
+    begins = [F.xxhash64(F.left("norm", F.lit(h))).alias(f"h{h}") for h in HEADS]
+    sample = stored(rows.sample(share, seed=4).select("sha", *begins), "sample")
+    hot = [(r.sha, -(-r["count"] * 4 // SAMPLE_ROWS)) for r in sample.groupBy("sha").count().filter(F.col("count") > SAMPLE_ROWS // 2).collect()]
+    texts = sample.dropDuplicates(["sha"])
+    chars = next((h for h in HEADS if texts.groupBy(f"h{h}").count().filter(F.col("count") > SAMPLE_ROWS // 2).isEmpty()), HEADS[-1])
+    discard(sample)
     if hot:
         salts = spark.createDataFrame(hot, "sha string, salts int")
         rows = rows.join(F.broadcast(salts), "sha", "left")  # at most two a partition
         rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("id", F.spark_partition_id()), "salts").cast("int"), F.lit(0)))
 
-    key = ["head", "sha", "salt"] if hot else ["head", "sha"]
-    rows = rows.withColumn("head", F.left("norm", F.lit(HEAD_CHARS)))
+    key = ["head", "salt"] if hot else ["head"]
+    rows = rows.withColumn("head", F.left("norm", F.lit(chars)))
     if text_col in keep:  # the text is shuffled once and normalised again
         ranged = rows.drop("norm").repartitionByRange(n, *key).withColumn("norm", normalised(F.col(f"row.`{text_col}`").cast("string")))
     else:

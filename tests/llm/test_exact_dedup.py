@@ -51,5 +51,21 @@ def test_hot_text_of_null_and_repeated_ids_is_salted(spark):
         assert out.filter("row.text <> 'same  text' and kept").count() == 2000
 
 
+def test_texts_with_a_long_common_opening_are_dealt_by_what_follows(spark):
+    opening = "the same opening words again and " * 90  # 2970 characters
+    docs = spark.range(0, 1500, 1, 4).select(F.col("id").alias("doc_id"), F.concat(F.lit(opening), (F.col("id") % 700).cast("string")).alias("text"))
+    out = exact_dedup(docs, keep=["doc_id"])
+    got = {r.row.doc_id: (r.keep_id, r.group_size, r.kept) for r in out.collect()}
+    assert got == {i: (i % 700, 3 if i % 700 < 100 else 2, i < 700) for i in range(1500)}
+    plan = out._jdf.queryExecution().toString()
+    assert "left(norm" in plan and "16384" in plan
+
+
+def test_order_is_that_of_the_content(spark):
+    docs = spark.range(0, 900, 1, 3).select(F.col("id").alias("doc_id"), F.concat(F.md5(F.col("id").cast("string")), F.lit("  tail")).alias("text"))
+    texts = [r.row.text for r in exact_dedup(docs).collect()]
+    assert texts == sorted(texts)
+
+
 def test_empty_table(spark):
     assert exact_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
