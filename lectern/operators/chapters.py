@@ -25,9 +25,9 @@ BACK_FROM, BACK_CHARS = 0.55, 40
 
 
 def lines(books: DataFrame, key: str = "book_id", text: str = "text") -> DataFrame:
-    """Each line with its number, trimmed text and the id of its first token (WIN-05)."""
+    """Each line with its number, trimmed text, number of tokens (n) and the id of its first token (WIN-05). A null text is one empty line."""
     order = Window.partitionBy(key).orderBy("line")
-    cut = books.select(key, text).repartition(key).select(key, F.posexplode(F.split(unix_lines(F.col(text)), "\n")).alias("line", "raw"))
+    cut = books.select(key, text).repartition(key).select(key, F.posexplode(F.split(unix_lines(F.coalesce(text, F.lit(""))), "\n")).alias("line", "raw"))
     cut = cut.select(key, "line", trimmed(F.col("raw")).alias("trimmed"), words_in_line(F.col("raw")).alias("n"))
     return cut.withColumn("word_index", F.coalesce(F.sum("n").over(order.rowsBetween(*BEFORE)), F.lit(0)))
 
@@ -109,6 +109,11 @@ def totals(books: DataFrame, key: str = "book_id", text: str = "text") -> DataFr
     return books.select(key, F.size(words(F.col(text))).alias("total"))
 
 
+def totals_of(lines: DataFrame, key: str = "book_id") -> DataFrame:
+    """(key, total) told from the lines, which a plan that has them already needn't scan again for."""
+    return lines.groupBy(key).agg(F.sum("n").cast("int").alias("total"))
+
+
 def chapter_spans(chapters: DataFrame, totals: DataFrame, key: str = "book_id") -> DataFrame:
     """Chapters with their last token (WIN-06), after a Frontmatter row where the first starts late."""
     order = Window.partitionBy(key).orderBy("word_index", "chapter")

@@ -73,8 +73,15 @@ def html_sniff_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strip_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with a library's marks around them, and what is left of them."""
-    framed = F.concat(F.lit(NOTICE), F.col("text"), F.lit(FOOTER))
+    """Documents with a library's marks around them, of several times and kinds, and what is left of them (TXT-08)."""
+    k, text = F.col("doc_id") % 7, F.col("text")
+    around = lambda before, after, inner=text: F.concat(F.lit(before), inner, F.lit(after))
+    framed = F.when(k == 1, around("The Project Gutenberg Etext\n\n*END*THE SMALL PRINT! FOR PUBLIC DOMAIN ETEXTS*Ver.04.29.93*END*\n\n", "\n\nEnd of the Project Gutenberg Etext of it\nmore of that"))
+    framed = framed.when(k == 2, around("*** START OF THIS PROJECT GUTENBERG EBOOK X ***\n\nProduced by A. B. and\nhttps://www.example.org/ebooks\n  or \n\nProofread by others\n\n", "\n"))
+    framed = framed.when(k == 3, around("Said before *** START OF THE PROJECT GUTENBERG EBOOK X ***\r\n", "\r\n*** END OF THE PROJECT GUTENBERG EBOOK X ***\r\nand after", F.replace("text", F.lit("\n"), F.lit("\r\n"))))
+    framed = framed.when(k == 4, around("", "\nA line of Project Gutenberg itself\nlast words"))
+    framed = framed.when(k == 5, around("", "\n  End of this Project Gutenberg book\nlicense\n*** END OF THIS PROJECT GUTENBERG EBOOK ***\nrest"))
+    framed = framed.when(k == 6, around("\n \nTranscriber's note\n\n(http://www.example.org)\n\n", "")).otherwise(around(NOTICE, FOOTER))
     return documents(spark, sf_dir).select("doc_id", F.sha2(gates.strip_boilerplate(framed), 256).alias("text_sha256"))
 
 
@@ -190,7 +197,11 @@ SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN 'not text (Sound)' WHEN p_pa
     "html_sniff_tier": """
 SELECT coalesce(page_id, doc_id) AS id, CASE WHEN NOT h AND html <> '' THEN 'page' WHEN text <> '' THEN 'document' END AS tier, coalesce(h, false) AS page_is_html, CASE WHEN NOT h AND html <> '' THEN length(html) WHEN text <> '' THEN length(text) END AS n_chars
 FROM (SELECT *, regexp_matches(html, '(?i)^\\s*<(!doctype|html)') AS h FROM pages) p FULL JOIN documents d ON page_id = doc_id""",
-    "strip_boilerplate": f"SELECT doc_id, sha256({sql.TRIM('text')}) AS text_sha256 FROM documents",
+    "strip_boilerplate": f"""
+WITH d AS (SELECT doc_id, CASE doc_id % 7 WHEN 4 THEN text || chr(10) || 'last words' WHEN 5 THEN text || chr(10) || '  End of this Project Gutenberg book' || chr(10) || 'license' ELSE text END AS text FROM documents
+), l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: NOT contains(lower(x), 'project gutenberg')) AS lines FROM d
+), m AS (SELECT doc_id, array_to_string(lines, chr(10)) AS text FROM l)
+SELECT doc_id, sha256({sql.TRIM('text')}) AS text_sha256 FROM m""",
     "scene_min_gap": f"""
 WITH RECURSIVE {sql.books(FRONT, BACK)}, {_LINES}, h AS (
     SELECT book_id, word_index, row_number() OVER (PARTITION BY book_id ORDER BY word_index) AS r FROM line WHERE t <> '' AND length(t) <= 64 AND regexp_matches(t, '(?i)^(chapter|letter|part|book|stave|canto|act|scene|prologue|epilogue)\\b')

@@ -67,11 +67,26 @@ def chapter_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readable_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    books = rich_books(spark, sf_dir)
-    lines, totals = ch.lines(books), ch.totals(books)
+    return bounds_of(rich_books(spark, sf_dir))
+
+
+def bounds_of(books: DataFrame) -> DataFrame:
+    """Chapters, back matter and totals from one pass over the lines."""
+    lines = ch.lines(books)
+    totals = ch.totals_of(lines)
     return ch.readable_bounds(ch.chapters(ch.headings(lines)), totals, ch.back_matter(lines, totals))
 
 
+#: Books whose parts are no numbered chapters alone: a title page, contents, a foreword that is read, and behind them an epilogue that is read and an index that isn't.
+WHALE = "THE GREAT WHALE\n\nA Novel\n\nCopyright 1899 by Some Publisher.\n\nCONTENTS\n\nChapter 1\n\nChapter 2\n\nFOREWORD\n\n" + " ".join(["These words are read."] * 9) + "\n\n"
+WRECK = "\n\nEPILOGUE\n\n" + " ".join(["One survived to tell."] * 9) + "\n\nINDEX\n\nAhab, 12, 45. Whale, passim."
+
+
+def authored_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readable bounds of books that open with a foreword and close with an epilogue and an index (TXT-06, TXT-07)."""
+    return bounds_of(st.books(documents(spark, sf_dir), WHALE, WRECK))
+
+
 _LINES = f"""
 line_r AS (SELECT book_id, unnest(range(0, len(l))) AS line, unnest(l) AS raw FROM (SELECT book_id, string_split({sql.UNIX("text")}, chr(10)) AS l FROM book)),
 line_n AS (SELECT book_id, line, {sql.TRIM("raw")} AS t, CASE WHEN {sql.TRIM("raw")} = '' THEN 0 ELSE len(string_split_regex({sql.TRIM("raw")}, '[{fn.SPACE}]+')) END AS n FROM line_r),
@@ -93,7 +108,7 @@ chap AS (
 )"""
 _TOTALS = f"total AS (SELECT book_id, len(list_filter({sql.WORDS('text')}, lambda x: x <> '[P]')) AS total FROM book)"
 
-QUERIES = {f.__name__: f for f in (token_dwell_by_doc, focal_split_words, sentence_spans, paragraph_spans, playback_schedule, playback_schedule_350, neighbour_words, chapter_detect, readable_bounds)}
+QUERIES = {f.__name__: f for f in (token_dwell_by_doc, focal_split_words, sentence_spans, paragraph_spans, playback_schedule, playback_schedule_350, neighbour_words, chapter_detect, readable_bounds, authored_bounds)}
 
 ORACLE_SQL = {
     "token_dwell_by_doc": f"""
@@ -125,6 +140,16 @@ WITH {sql.tokens("documents")}, n AS (
 )
 SELECT doc_id, id, word, array_to_string(l, ' ') AS around, round(greatest(0.04::DOUBLE, 1 - 0.2::DOUBLE * least(id, 4)), 6) AS edge_opacity FROM n WHERE sentence_start""",
     "chapter_detect": f"WITH {sql.books(FRONT, BACK)}, {_CHAPTERS} SELECT book_id, chapter, title, word_index, line, dialect, confidence FROM chap",
+    "authored_bounds": f"""
+WITH {sql.books(WHALE, WRECK)}, {_LINES}, {_TOTALS}, k AS (
+    SELECT book_id, line, word_index, CASE WHEN regexp_matches(t, '^(FOREWORD|EPILOGUE)$') THEN lower(t) ELSE lower(regexp_extract(t, '(?i)^chapter ([0-9]+)$', 1)) END AS key FROM line WHERE regexp_matches(t, '^(FOREWORD|EPILOGUE|(?i:chapter) [0-9]+)$')
+), c AS (SELECT book_id, key, max(line) AS line, arg_max(word_index, line) AS word_index FROM k GROUP BY book_id, key
+), o AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY word_index) - 1 AS chapter FROM c
+), b AS (SELECT book_id, count(*) AS n, min(word_index) AS first_read FROM o GROUP BY book_id
+), back AS (SELECT l.book_id, min(word_index) AS back_start FROM line l JOIN total t ON l.book_id = t.book_id WHERE l.t = 'INDEX' AND word_index >= total * 0.55 GROUP BY l.book_id)
+SELECT t.book_id, total, CASE WHEN n >= 3 THEN 'high' ELSE 'none' END AS confidence, CASE WHEN n >= 3 THEN first_read ELSE 0 END AS readable_start,
+    CASE WHEN n >= 3 AND back_start > first_read THEN back_start - 1 ELSE total - 1 END AS readable_end
+FROM total t LEFT JOIN b ON t.book_id = b.book_id LEFT JOIN back k ON t.book_id = k.book_id""",
     "readable_bounds": f"""
 WITH {sql.books(FRONT, BACK)}, {_CHAPTERS}, {_TOTALS}, back AS (
     SELECT l.book_id, min(word_index) AS back_start FROM line l JOIN total t ON l.book_id = t.book_id
