@@ -1,17 +1,21 @@
 """Secrets in texts: rules, and strings that a dictionary-primed compressor finds new.
 
-A candidate is a string of SHORTEST bytes or more without white space, with a sensitive word in its surroundings, the
-AROUND bytes before it, or in the body of a PEM private key. A leading NAME= is no part of it but stands before it. Its
-novelty is the number of bytes that it adds to the zstandard frame of its surroundings, with a dictionary as history:
-identifiers and code words from a rule, and the words that stand in most documents of the corpus. Words, names, paths and
-numbers repeat what the compressor has seen or have few symbols, and add little; random strings add nearly a byte for each
-of their own. Those above NOVELTY are reported. What the rules find is measured in the same way.
+Candidates are all strings without white space that have a sensitive word in their surroundings, the AROUND bytes on
+either side, or stand in the body of a PEM private key. A leading NAME= is no part of one but stands before it; quotes
+and marks around it are none either. Its novelty is the number of bytes that it adds to the zstandard frame of its
+surroundings, with a dictionary as history: identifiers and code words from a rule, and the words that stand in most
+documents of the corpus. One frame tells that to a few bytes only, so it is the mean over FRAMES surroundings of
+different reach. Words, names, paths and numbers repeat what the compressor has seen or have few symbols, and add little;
+random strings add about a byte for each of their own. What adds more than needed() is reported: a share of its bytes,
+and for short strings so many bytes besides, more of them for what is spelled as words. What the rules find is measured
+in the same way.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator, Sequence
 from itertools import groupby, product
 
 import pyarrow as pa
@@ -23,10 +27,15 @@ from lectern.llm.common import small_batches
 from lectern.llm.spans import SPAN_TYPE, SPANS, Taken, in_code_points, ordered
 
 KINDS = ("assign", "access", "hex", "novel")
-#: Bytes that a candidate adds for each of its own.
-NOVELTY = 0.72
-#: Bytes before and behind a candidate that are its surroundings.
-AROUND = 256
+#: Bytes that a candidate adds for each of its own; for a short one a smaller share, but so many bytes besides.
+NOVELTY, SHORT_NOVELTY, SHORT_BYTES = 0.72, 0.52, 4.0
+#: Up to this length a string spelled as words needs WORD_BYTES more for each byte that it lacks.
+WORD_LENGTH, WORD_BYTES = 24, 0.25
+#: Bytes before and behind a candidate that are its surroundings, and how many reaches within are measured.
+AROUND, FRAMES = 256, 8
+#: What shorter strings add is always less than needed.
+LEAST = 6
+#: Bytes of a line of a private key.
 SHORTEST = 20
 #: Words of the corpus in the dictionary: runs of letters, shorter than any candidate.
 WORDS = 4000
@@ -39,8 +48,15 @@ _HEX = re.compile(rb"[0-9a-f]{24,}")  # a run of hex digits ends where a longer
 
 # the short ones stand by themselves, else random letters would hold them
 _SENSITIVE = re.compile(rb"passw|passphrase|secret|token|api[_ -]?key|credential|bearer|private[_ -]?key|signature|access[_ -]?key|(?<![a-z0-9+/])(?:pwd|o?auth(?:orization|entication)?)(?![a-z])")
-_CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=~.-]{20,}")
+_RUN = re.compile(rb"[^\x20\x09-\x0D]+")
+_PLAIN = re.compile(rb"[A-Za-z0-9+/_=~.\x80-\xff-]+")
+_BARE = re.compile(rb"[A-Za-z0-9\x80-\xff](?:.*[A-Za-z0-9=\x80-\xff])?", re.S)
+_WORD = re.compile(rb"[A-Za-z\x80-\xff]?[a-z\x80-\xff]*+(?:[._/:-]++[A-Za-z\x80-\xff]?[a-z\x80-\xff]*+)*+\Z")
+_MAIL = re.compile(rb"@[A-Za-z0-9-]+\.")
+#: Signs that random strings hold and code has no structure by; one with others is a string only if none of its parts is.
+_LOOSE = re.compile(rb"[A-Za-z0-9+/_=~.\x80-\xff!@#$%^*|-]+\Z|[A-Za-z0-9+/_~.\x80-\xff!@#$%^*&|-]+\Z")
 _NAME = re.compile(rb"[^=]++=++")
+_NAMED = re.compile(rb"[a-z0-9_.-]++[\"']?[=:]++[\"'({\[]*+")
 _PEM = re.compile(rb"-----(BEGIN|END)[^\n-]*-----")
 #: Headers and base64 lines of a PEM body whose END line is missing.
 _PEM_LINES = re.compile(rb"(?:[A-Za-z-]*+:[^\n]*+\n|[A-Za-z0-9+/=\s\\\"',]++)*+")
@@ -75,13 +91,27 @@ def _dictionary(words: Sequence[str]) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(" ".join([*reversed(words), *names, code]).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
+def needed(candidate: bytes) -> float:
+    """Bytes that a candidate must add to be reported."""
+    n = len(candidate)
+    more = WORD_BYTES * (WORD_LENGTH - n) if n < WORD_LENGTH and _WORD.match(candidate) else 0
+    return max(NOVELTY * n, SHORT_NOVELTY * n + SHORT_BYTES) + more
+
+
 class Scanner:
     def __init__(self, words: Sequence[str] = ()) -> None:
-        self.packer = zstandard.ZstdCompressor(level=19, dict_data=_dictionary(words), write_checksum=False, write_content_size=False, write_dict_id=False)
-
-    def novelty(self, before: bytes, candidate: bytes) -> float:
-        """Bytes that the candidate adds after `before`, for each of its own."""
-        return (len(self.packer.compress(before + candidate)) - len(self.packer.compress(before))) / len(candidate)
+        known = _dictionary(words)
+        self.known = known.as_bytes()
+        self.packer = zstandard.ZstdCompressor(level=19, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False)
+
+    def novelty(self, before: bytes, candidate: bytes, behind: bytes = b"") -> float:
+        """Bytes that the candidate adds between `before` and `behind`, over several reaches of them."""
+        total, frames = 0, FRAMES if len(candidate) < AROUND else 1  # a few bytes more or less don't tell on a long one
+        for i in range(FRAMES - frames, FRAMES):
+            reach = AROUND * (i + 3) // (FRAMES + 2)
+            a, z = before[max(0, len(before) - reach) :], behind[:reach]
+            total += len(self.packer.compress(a + candidate + z)) - len(self.packer.compress(a + z))
+        return total / frames
 
     def spans(self, text: str | None) -> list[tuple[str, int, int, bool]]:
         """Kind, start, end and whether a rule found it."""
@@ -93,60 +123,96 @@ class Scanner:
         low, found = data.lower(), []  # the rules' matches, with their values
         if any(w in low for w in _ASSIGN_WORDS):
             found += [("assign", m.start(), m.end(), m.start(1), m.end(1)) for m in _ASSIGN.finditer(low) if m.end(1) - m.start(1) >= 6]
-        if max(map(len, data.split()), default=0) >= SHORTEST:  # what follows has no white space
+        if max(map(len, data.split()), default=0) >= 20:  # what follows has no white space
             found += [("access", *m.span(), *m.span()) for m in _ACCESS.finditer(data) if m.end() - m.start() >= 20]
             found += [("hex", *m.span(), *m.span()) for m in _HEX.finditer(data)]
-            taken = Taken(found)
-            free = [c for c in self.candidates(data, low) if not taken.meets(*c[:2])]
-            added = [("novel", a, b, False, True) for a, b in self.novel(data, free)]
-        else:
-            added = []
+        added = [("novel", a, b, False, True) for a, b in self.novel(data, low, Taken(found))]
         rules = [(kind, a, b, True, self.is_novel(data, [(x, y)])) for kind, a, b, x, y in found]
         return ordered(in_code_points(data, rules + added), KINDS)
 
     def is_novel(self, data: bytes, parts: list[tuple[int, int]]) -> bool:
         a, b = parts[0][0], parts[-1][1]
-        return self.novelty(data[max(0, a - AROUND) : a] + data[b : b + AROUND], b"".join(data[x:y] for x, y in parts)) >= NOVELTY
-
-    def novel(self, data: bytes, candidates: list[tuple[int, int, int | None]]) -> Iterator[tuple[int, int]]:
-        """Candidates that are novel; those of one private key are measured together."""
-        for body, some in groupby(candidates, lambda c: c[2]):
-            for group in [[(a, b) for a, b, _ in some]] if body is not None else [[(a, b)] for a, b, _ in some]:
-                if self.is_novel(data, group):
-                    yield from group
+        candidate = b"".join(data[x:y] for x, y in parts)
+        before, behind = data[max(0, a - AROUND) : a], data[b : b + AROUND]
+        if len(candidate) < LEAST or candidate in self.known or candidate in before or candidate in behind:
+            return False  # a repeat costs fewer bytes than the least that is needed
+        return self.novelty(before, candidate, behind) >= needed(candidate)
+
+    def novel(self, data: bytes, low: bytes, taken: Taken) -> Iterator[tuple[int, int]]:
+        """Novel candidates beside those of the rules; those of one private key are measured together."""
+        for body, some in groupby(self.runs(data, low), lambda c: c[2]):
+            if body is not None:
+                lines = [(x, y) for a, b, *_ in some for m in _PLAIN.finditer(data, a, b) for _, x, y in _values(m, SHORTEST) if not taken.meets(x, y)]
+                if lines and self.is_novel(data, lines):
+                    yield from lines
+                continue
+            for a, b, _, near in some:
+                yield from self.within(data, low, a, b, near, taken)
+
+    def within(self, data: bytes, low: bytes, a: int, b: int, near: Callable[[int, int, int], bool], taken: Taken) -> Iterator[tuple[int, int]]:
+        """The novel string of a run without white space: its parts between signs, or all of it where these make no structure."""
+        whole = []
+        for m in _BARE.finditer(data, a, b):
+            named = _NAMED.match(low, m.start(), m.end())
+            x = named.end() if named else m.start()
+            if m.end() - x >= LEAST and near(a, x, m.end()) and not _PLAIN.fullmatch(data, x, m.end()) and not _MAIL.search(data, x, m.end()):
+                whole.append((x, m.end()))
+        loose = [w for w in whole if _LOOSE.match(data[w[0] : w[1]])]
+        parts = [(x, y) for m in _PLAIN.finditer(data, a, b) for start, x, y in _values(m, LEAST) if near(start, x, y)]
+        for some in (loose, parts, [w for w in whole if w not in loose]):
+            found = [(x, y) for x, y in some if not taken.meets(x, y) and self.is_novel(data, [(x, y)])]
+            if found:
+                yield from found
+                return
 
     @staticmethod
-    def candidates(data: bytes, low: bytes) -> Iterator[tuple[int, int, int | None]]:
-        """Start, end and the private key, if any, in whose body it stands."""
+    def runs(data: bytes, low: bytes) -> Iterator[tuple]:
+        """Start and end of the strings in sensitive surroundings, the private key, if any, in whose body each stands, and what tells
+        whether a sensitive word stands between a string's context or AROUND before it and its start, or behind its end."""
+        words = [m.span() for m in _SENSITIVE.finditer(low)]
         bodies, body = _pem_bodies(data), 0
-        closed, ends = 0, [m.end() for m in _PEM.finditer(data) if m[1] == b"END"][::-1] if bodies else []
-        for m in _CANDIDATE.finditer(data):
-            while ends and ends[-1] <= m.start():
-                closed = ends.pop()  # what a key's last line says is no context of what follows
-            while body < len(bodies) and bodies[body][1] <= m.start():
+        if not words and not bodies:
+            return
+        ends, starts = [b for _, b in words], [a for a, _ in words]
+        closed, closing = 0, [m.end() for m in _PEM.finditer(data) if m[1] == b"END"][::-1] if bodies else []
+        for m in _RUN.finditer(data):
+            a, b = m.span()
+            while closing and closing[-1] <= a:
+                closed = closing.pop()  # what a key's last line says is no context of what follows
+            while body < len(bodies) and bodies[body][1] <= a:
                 body += 1
-            private = body < len(bodies) and bodies[body][0] <= m.start()
-            for start, a, b in _values(m, low):
-                if private or _SENSITIVE.search(low, max(closed, min(a - AROUND, start)), a):
-                    yield a, b, body if private else None
+            if body < len(bodies) and bodies[body][0] <= a:
+                yield a, b, body, None
+                continue
+
+            def near(context: int, x: int, y: int, closed: int = closed) -> bool:
+                i = bisect_right(ends, x) - 1
+                before = i >= 0 and starts[i] >= max(closed, min(x - AROUND, context))
+                i = bisect_left(starts, y)
+                return before or i < len(starts) and starts[i] < y + AROUND
+
+            i = bisect_right(ends, b) - 1  # the last word that ends in the run or before it
+            if i >= 0 and starts[i] >= max(closed, a - AROUND) or near(a, b, b):
+                yield a, b, None, near
 
 
-def _values(m: re.Match, low: bytes) -> Iterator[tuple[int, int, int]]:
+def _values(m: re.Match, least: int) -> Iterator[tuple[int, int, int]]:
     """Start of the context, start and end of each value in a candidate.
 
-    The first NAME= is split off where a value of SHORTEST bytes is left; a later one, if its name is sensitive or
+    The first NAME= is split off where a value of `least` bytes is left; a later one, if its name is sensitive or
     long. A name of SHORTEST bytes may be a secret as well as a name, and is a value too.
     """
+    data = m.string
     end = m.start() + len(m[0].rstrip(b".-"))
     context = at = m.start()
-    while (name := _NAME.match(low, at, end)) and end - name.end() >= SHORTEST:
+    while (name := _NAME.match(data, at, end)) and end - name.end() >= least:
         long = len(name[0]) >= SHORTEST
-        if at > m.start() and not long and not _SENSITIVE.search(name[0]):
+        if at > m.start() and not long and not _SENSITIVE.search(name[0].lower()):
             break
         if long:
             yield context, at, name.end()
         context, at = at, name.end()
-    if end - at >= SHORTEST:
+    if end - at >= least:
         yield context, at, end
 
 

@@ -116,6 +116,44 @@ def test_bodies_of_private_keys_are_reported():
     assert scan(public) == []
 
 
+def _planted(scan, rng, make, before="the token ", behind="", rounds=40):
+    """How many of the strings planted in running text are found with right bounds."""
+    hit = 0
+    for _ in range(rounds):
+        words = [rng.choice(["and", "then", "nothing", "came", "of", "it", "when", "they", "were", "asked", "about", "morning", "river"]) for _ in range(120)]
+        left, right, key = " ".join(words[:60]), " ".join(words[60:]), make()
+        text = f"{left} {before}{key} {behind}{right}"
+        at = len(left) + 1 + len(before)
+        hit += ("novel", at, at + len(key), False) in scan(text)
+    return hit / rounds
+
+
+def test_strings_of_any_length_and_sign_are_judged_before_and_behind_the_word():
+    scan, rng = Scanner().spans, random.Random(13)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    random_of = lambda n, some=letters: lambda: rng.choice(letters) + "".join(rng.choice(some) for _ in range(n - 3)) + "a7"
+    for n in (12, 16, 20, 24):
+        assert _planted(scan, rng, random_of(n)) >= 0.9, n
+        assert _planted(scan, rng, random_of(n), "it is ", "which is the token ") >= 0.9, n
+    assert _planted(scan, rng, random_of(24, letters + "!@#$%^*")) >= 0.9
+    assert _planted(scan, rng, random_of(16, letters + "!@#$%^*"), "credential: ") >= 0.9
+    far = "about the river and more of it " * 7  # 217 bytes
+    assert _planted(scan, rng, random_of(24), "the token " + far) >= 0.9
+    assert _planted(scan, rng, random_of(24), "the token " + far * 2, far * 2) == 0
+    assert _planted(scan, rng, lambda: rng.choice(["unquestionably", "neighbourhoods", "Circumstances", "afterwards", "straightforward"]), rounds=20) == 0
+
+
+def test_structure_around_a_value_is_no_part_of_it():
+    scan, rng = Scanner().spans, random.Random(14)
+    for form in ('{{"token":{{"v":"{}"}}}}', "auth('{}');", "bearer:{}, and so on", "(secret {})"):
+        hit = 0
+        for _ in range(20):
+            key = _key(rng, 24)
+            text = form.format(key)
+            hit += ("novel", text.index(key), text.index(key) + 24, False) in scan(text) or any(s[3] and s[1] <= text.index(key) < s[2] for s in scan(text))
+        assert hit >= 18, form
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert df.select(secret_spans(df, df.text)).count() == 0
