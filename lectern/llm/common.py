@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,19 +34,39 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/lectern/{tag}-{uuid.uuid4().hex}"
 
 
+#: Of each clearing() that is open, the paths written since.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def clearing(spark: SparkSession) -> Iterator[None]:
+    """Deletes on leaving what stored() has written inside and discard() hasn't deleted: for work whose result is written by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """df written to the shared folder and read again: cuts lineage and survives lost executors."""
     path = new_path(df.sparkSession, tag)
+    for some in _OPEN[-1:]:
+        some.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
     """Deletes what stored() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, name)
 
 
 def small_batches(spark: SparkSession) -> None:
