@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import sized_join, small_batches
+from lectern.llm.common import release, sized_join, small_batches
 from lectern.llm.shingles import mixed
 
 ORDER = 4
@@ -231,6 +231,7 @@ def language_of(df: DataFrame, text: Column, model: Model) -> Column:
     @F.arrow_udf("lang string, score double, rejected boolean")
     def judged(texts: pa.Array) -> pa.Array:
         found = [shared.value.judge(t) for t in texts.to_pylist()]
+        release()
         return pa.StructArray.from_arrays([pa.array([x[i] for x in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))], names=["lang", "score", "rejected"])
 
     return judged(text.cast("string"))

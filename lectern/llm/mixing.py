@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import partitions, sized_join, small_batches, stored
+from lectern.llm.common import partitions, release, sized_join, small_batches, stored
 
 SHARE, CAP = 1.5, 2.0
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -52,6 +52,7 @@ def with_sums_before(df: DataFrame, order: list[Column], **values: str) -> DataF
                 columns[k] = pa.array(until - own, b[k].type)
                 so_far[k] = until[-1] if len(until) else so_far[k]
             yield pa.RecordBatch.from_arrays(list(columns.values()), schema=b.schema)
+        release()
 
     small_batches(spark)
     part = stored(named.mapInArrow(running, named.schema), "ranges")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import discard, partitions, sized_join, small_batches, stored
+from lectern.llm.common import discard, partitions, release, sized_join, small_batches, stored
 from lectern.llm.components import components
 from lectern.llm.shingles import WordHashes, common, mixed, shingle_set
 
@@ -84,6 +84,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             signs.append(signature(s).tobytes() if len(s) else None)
         yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary()), pa.array(maps, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n_shingles", "set_key", "sign", "bits"])
+    release()
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,6 +101,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [(c, s.tobytes()) for c, key, text in zip(*(batch[k].to_pylist() for k in ("cls", "set_key", "text"))) if xxhash.xxh3_128_digest((s := shingle_set(text, words)).tobytes()) == key]
         yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())], names=["cls", "shingles"])
+    release()
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import small_batches, stored
+from lectern.llm.common import release, small_batches, stored
 
 SCALE, UNKNOWN = 256, 10
 #: Characters in a chunk; longer documents are split.
@@ -380,6 +380,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
         pieces = pieces_of(shared.value)
         for batch in texts:
             yield pieces.encode_all(batch.to_pylist())
+        release()
 
     short = rows.filter(F.length("text") <= chunk).select("row", whole(_marked(F.col("text"))).alias("ids"), F.lit(1).alias("n_chunks"))
 
@@ -399,6 +400,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
             pieces.learn(p for s in b["s"].to_pylist() for p in _SEGMENTS.findall(s))
             found = [pieces.transfer(s, min(len(s), chunk)).tobytes() for s in b["s"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["rid"], b["at"], pa.array(found, pa.binary())], names=["rid", "at", "m"])
+        release()
 
     def traced(batches):
         pieces = pieces_of(shared.value)
@@ -406,6 +408,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
             pieces.learn(p for s in b["s"].to_pylist() for p in _SEGMENTS.findall(s))
             found = [pieces.between(s, min(len(s), chunk), e, x) for s, e, x in zip(*(b[k].to_pylist() for k in ("s", "entry", "exit")))]
             yield pa.RecordBatch.from_arrays([b["rid"], b["at"], pa.array(found, pa.list_(pa.int32()))], names=["rid", "at", "ids"])
+        release()
 
     matrices = stored(chunks.mapInArrow(transfers, "rid long, at int, m binary"), "matrices")
     states = _boundaries(matrices, look, most, fan)

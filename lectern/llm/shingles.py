@@ -12,10 +12,10 @@ _SHORT = np.uint64(0xD6E8FEB86659FD93)
 
 
 class WordHashes(dict):
-    """Word -> 64-bit hash; forgets everything when it holds 200,000 words."""
+    """Word -> 64-bit hash; forgets everything when it holds 50,000 words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= 50_000:
             self.clear()
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
