@@ -92,6 +92,27 @@ def test_advertised_forms_are_reported(spark):
     assert out[99] == []
 
 
+def test_forms_without_country_code_or_with_marks_spelled_out():
+    rng = random.Random(21)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    name = lambda: rng.choice(["mara", "olaf", "petra"]) + rng.choice([".", "_"]) + rng.choice(["berg", "kova", d(2)])
+    forms = {
+        0.8: [("email", lambda: f"{name()} [at] mailbox [dot] org"), ("phone", lambda: f"00{d(2)} {d(3)} {d(3)} {d(4)}"), ("ip", lambda: f"{rng.randrange(1, 256)}.{rng.randrange(256)}.{rng.randrange(256)}[.]{rng.randrange(1, 256)}")],
+        0.6: [("phone", lambda: f"0{d(2)} {d(8)}")],
+    }
+    words = "some plain words of it and then others came along when nobody was there".split()
+    for least, some in forms.items():
+        for kind, make in some:
+            texts, at = [], []
+            for _ in range(40):
+                left, s = " ".join(rng.choice(words) for _ in range(30)), make()
+                texts.append(f"{left} {s} " + " ".join(rng.choice(words) for _ in range(30)))
+                at.append((kind, len(left) + 1, len(left) + 1 + len(s)))
+            assert sum(w in found for w, found in zip(at, tagged_spans(trained(), texts))) >= least * 40, (kind, make())
+    plain = [" ".join(rng.choice([*words, "at", "dot", "[1]", "(at)", "0123 45", "12.5"]) for _ in range(80)) for _ in range(60)]
+    assert sum(bool(pii._LEAST[k].match(t, a, b)) for t, found in zip(plain, tagged_spans(trained(), plain)) for k, a, b in found) <= 3
+
+
 def test_the_taggers_own_verdict_is_told(spark):
     rows = [(1, "write to jane.doe@example.org or call (434) 555-2368 or 4111.1111.1111.1111 today", 0)]
     df = spark.createDataFrame(rows, SCHEMA)
