@@ -128,6 +128,16 @@ def roman_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch.chapters(ch.headings(ch.lines(books))).select("book_id", F.col("chapter").cast("long").alias("chapter"), "title", F.col("word_index").cast("long").alias("word_index"), "dialect", "confidence")
 
 
+def numbered_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chapters of books whose headings are bare numbers, with or without a point (TXT-05); one in ten is repeated further on, where the last counts (AGG-14)."""
+    k = F.col("doc_id") % 100
+    number = F.concat((k - F.when(k % 10 == 9, 5).otherwise(0) + 1).cast("string"), F.when(k % 2 == 0, ".").otherwise(""))
+    docs = documents(spark, sf_dir).select(F.concat(F.lit("n"), F.floor(F.col("doc_id") / 100).cast("string")).alias("book_id"), "doc_id", F.concat(number, F.lit("\n\n"), "text").alias("t"))
+    parts = docs.groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("doc_id", "t"))).alias("parts"))
+    books = parts.select("book_id", F.array_join(F.transform("parts", lambda x: x["t"]), "\n\n").alias("text"))
+    return ch.chapters(ch.headings(ch.lines(books))).select("book_id", F.col("chapter").cast("long").alias("chapter"), "title", F.col("word_index").cast("long").alias("word_index"), "dialect", "confidence")
+
+
 def story_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = rich_books(spark, sf_dir)
     return story.story_starts(books, ch.headings(ch.lines(books)))
@@ -159,7 +169,7 @@ def kwic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return story.keyword_context(documents(spark, sf_dir)).withColumn("after_gap", F.coalesce("after_gap", F.lit(False)))
 
 
-QUERIES = {f.__name__: f for f in (chapter_progress, next_prev_chapter, scene_asof, content_gate, reject_histogram, metadata_gate, html_sniff_tier, strip_boilerplate, scene_min_gap, scene_segments, book_scenes, roman_chapters, story_start, story_start_front, prose_starts, anchor_resolve, kwic_lines)}
+QUERIES = {f.__name__: f for f in (chapter_progress, next_prev_chapter, scene_asof, content_gate, reject_histogram, metadata_gate, html_sniff_tier, strip_boilerplate, scene_min_gap, scene_segments, book_scenes, roman_chapters, numbered_chapters, story_start, story_start_front, prose_starts, anchor_resolve, kwic_lines)}
 
 _PROBES = "probe AS (SELECT book_id, total, unnest(range(0, 10)) * total // 10 AS word_index FROM total)"
 _REASON = """
@@ -242,6 +252,13 @@ WITH part_n AS (
 ), w AS (SELECT book_id, max(dialect) AS dialect FROM (SELECT book_id, dialect FROM head GROUP BY 1, 2 HAVING count(DISTINCT key) >= 3) GROUP BY 1
 ), c AS (SELECT h.*, row_number() OVER (PARTITION BY h.book_id, key ORDER BY line DESC) AS r FROM head h JOIN w ON h.book_id = w.book_id AND h.dialect = w.dialect)
 SELECT book_id, row_number() OVER (PARTITION BY book_id ORDER BY word_index, line) - 1 AS chapter, title, word_index, dialect, CASE WHEN dialect = 'roman-title' THEN 'high' ELSE 'medium' END AS confidence FROM c WHERE r = 1""",
+    "numbered_chapters": f"""
+WITH part_n AS (
+    SELECT 'n' || CAST(doc_id // 100 AS VARCHAR) AS book_id, doc_id, CAST(doc_id % 100 - CASE WHEN doc_id % 10 = 9 THEN 5 ELSE 0 END + 1 AS VARCHAR) || CASE WHEN doc_id % 2 = 0 THEN '.' ELSE '' END || chr(10) || chr(10) || text AS t FROM documents
+), book AS (SELECT book_id, string_agg(t, chr(10) || chr(10) ORDER BY doc_id) AS text FROM part_n GROUP BY book_id), {_LINES}, head AS (
+    SELECT book_id, line, word_index, CAST(regexp_extract(t, '^([0-9]{{1,3}})\\.?$', 1) AS INT) AS key FROM line WHERE regexp_matches(t, '^[0-9]{{1,3}}\\.?$')
+), c AS (SELECT *, row_number() OVER (PARTITION BY book_id, key ORDER BY line DESC) AS r FROM head)
+SELECT book_id, row_number() OVER (PARTITION BY book_id ORDER BY word_index, line) - 1 AS chapter, 'Chapter ' || key AS title, word_index, 'bare-numeric' AS dialect, 'medium' AS confidence FROM c WHERE r = 1""",
     # books begin with a page of contents, so all have the three headings that spare the look for prose
     "story_start": f"""
 WITH {sql.books(FRONT, BACK)}, {_CHAPTERS}, {_TOTALS}, {sql.tokens("book", "book_id")}, h AS (
