@@ -6,20 +6,16 @@ shared again by weight. A source is read in a fixed random order, over and over,
 a document's copy that begins after c of the target's t tokens gets the time at which the integrated demand
 of its source reaches c / t. Copies are range-sorted by this position, which is the training order.
 
-Whole rows are shuffled twice: once into the order of their source, where running sums are taken as they pass, and
-once, as often as they are taken, into the order of training.
+Whole rows are shuffled into the order of their source, and as often as they are taken into the order of training;
+between, running sums of sizes alone meet them, by broadcast while these are small, else by one more shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import partitions, release, sized_join, small_batches, stored
+from lectern.llm.common import partitions, sized_join, stored
 
 SHARE, CAP = 1.5, 2.0
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -34,32 +30,20 @@ def words_in(text: Column) -> Column:
 def with_sums_before(df: DataFrame, order: list[Column], **values: str) -> DataFrame:
     """df with a column for each of values: the sum of the named column over all rows that sort before.
 
-    Rows are range-partitioned and sorted; running sums are taken as they pass, and the rows written once, with
-    _part and _at, their place. Only one row of sums for each partition meets in one place. Rows that tie in
-    `order` must be alike. The columns of values must be long or double.
+    Rows are range-partitioned, sorted and written once, with _at, their place. Running sums are taken of the places and
+    values alone and meet the rows by their place; only one row of sums for each partition meets in one place. Rows that
+    tie in `order` must be alike.
     """
-    spark = df.sparkSession
-    ranged = df.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    named = ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()} | {k: F.col(v) for k, v in values.items()})
-
-    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        so_far = {k: 0 for k in values}
-        for b in batches:
-            columns = dict(zip(b.schema.names, b.columns))
-            for k in values:
-                own = b[k].to_numpy()
-                until = so_far[k] + np.cumsum(own)
-                columns[k] = pa.array(until - own, b[k].type)
-                so_far[k] = until[-1] if len(until) else so_far[k]
-            yield pa.RecordBatch.from_arrays(list(columns.values()), schema=b.schema)
-        release()
-
-    small_batches(spark)
-    part = stored(named.mapInArrow(running, named.schema), "ranges")
-    ends = part.groupBy("_part").agg(*[F.max(F.col(k) + F.col(v)).alias(f"_{k}") for k, v in values.items()])
+    ranged = df.repartitionByRange(partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    part = stored(ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "ranges")
+    light = part.select("_part", "_at", *[F.col(v).alias(f"_{k}") for k, v in values.items()])
+    sums = light.groupBy("_part").agg(*[F.sum(f"_{k}").alias(f"_{k}") for k in values])
     above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    sums = ends.select("_part", *[F.coalesce(F.sum(f"_{k}").over(above), F.lit(0)).alias(f"_{k}") for k in values])
-    return part.join(F.broadcast(sums), "_part").withColumns({k: F.col(k) + F.col(f"_{k}") for k in values}).drop(*[f"_{k}" for k in values])
+    sums = sums.select("_part", *[F.coalesce(F.sum(f"_{k}").over(above), F.lit(0)).alias(f"_{k}_above") for k in values])
+    within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    light = light.select("_part", "_at", *[F.coalesce(F.sum(f"_{k}").over(within), F.lit(0)).alias(f"_{k}") for k in values])
+    before = light.join(F.broadcast(sums), "_part").select("_at", *[(F.col(f"_{k}") + F.col(f"_{k}_above")).alias(k) for k in values])
+    return sized_join(part.drop("_part"), before, "_at")
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES, share: float = SHARE, cap: float = CAP) -> DataFrame:
