@@ -94,6 +94,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = band_keys(np.frombuffer(b"".join(batch["sign"].to_pylist()), np.uint16).reshape(batch.num_rows, -1))
         again = lambda name: pa.array(np.repeat(batch[name].to_numpy(zero_copy_only=False), BANDS))
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), again("cls"), again("n")], names=["band", "cls", "n"])
+    release()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,6 +109,7 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _sets(batches):
         found = [np.frombuffer(s, np.int64) for s in batch["shingles"].to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch["cls"].to_numpy(), [len(f) for f in found])), pa.array(np.concatenate(found or [np.empty(0, np.int64)]))], names=["cls", "shingle"])
+    release()
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,6 +128,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a.append(p)
                 b.append(member)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    release()
 
 
 def _texts_of(need: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:

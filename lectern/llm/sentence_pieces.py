@@ -38,7 +38,7 @@ CHUNK = 65_536
 #: Matrices that one task combines.
 FAN = 64
 #: Distinct segments remembered in a process, each of at most SEGMENT characters.
-REMEMBER, SEGMENT = 100_000, 48
+REMEMBER, SEGMENT = 50_000, 48
 #: Letters in the tables that many segments are looked up in at once.
 COMMON = 288
 BLANK = "▁"
