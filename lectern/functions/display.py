@@ -31,11 +31,16 @@ def strip_geometry(tokens: DataFrame, size: float, gap: float, key: str = "doc_i
     return wide.withColumn("centre", F.col("left") + F.col("width") / 2)
 
 
-def trailing_velocity(samples: DataFrame, keys: list[str], t: str, x: str, span: int = 90) -> DataFrame:
-    """Change of x for each unit of t over the samples of the last `span` units (WIN-17)."""
+def trailing_velocity(samples: DataFrame, keys: list[str], t: str, x: str, span: int = 90, tie: str | None = None) -> DataFrame:
+    """Change of x for each unit of t over the samples of the last `span` units (WIN-17). Of samples at one t the one with the least `tie` is first."""
     frame = Window.partitionBy(*keys).orderBy(t).rangeBetween(-span, 0)
-    dt = F.col(t) - F.first(t).over(frame)
-    return samples.withColumn("velocity", F.when(dt > 0, (F.col(x) - F.first(x).over(frame)) / dt).otherwise(0.0))
+    first = F.min_by(F.struct(t, x), F.struct(t, tie) if tie else F.struct(t)).over(frame)
+    return samples.withColumn("_first", first).withColumn("velocity", _slope(t, x)).drop("_first")
+
+
+def _slope(t: str, x: str) -> Column:
+    dt = F.col(t) - F.col(f"_first.{t}")
+    return F.when(dt > 0, (F.col(x) - F.col(f"_first.{x}")) / dt).otherwise(0.0)
 
 
 def ease_out(p: Column) -> Column:

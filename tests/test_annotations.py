@@ -61,3 +61,10 @@ def test_display(spark):
     assert [one(spark, display.span_percent(F.lit(150), F.lit(100), F.lit(end), F.lit(n))) for end, n in ((100, 200), (60, 200), (100, 0))] == [100.0, 100.0, 0.0]
     rows = spark.createDataFrame([(0, 0.0), (50, 5.0), (100, 30.0), (300, 0.0)], "t int, x double").withColumn("k", F.lit(1))
     assert [r.velocity for r in display.trailing_velocity(rows, ["k"], "t", "x").orderBy("t").collect()] == [0.0, 0.1, 0.5, 0.0]
+
+
+def test_velocity_from_the_first_of_samples_at_one_time(spark):
+    rows = [("a", 0, 5.0, 2), ("a", 0, 1.0, 1), ("a", 10, 11.0, 3)]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "k string, t int, x double, id int")
+        assert [r.velocity for r in display.trailing_velocity(df, ["k"], "t", "x", tie="id").orderBy("id").collect()] == [0.0, 0.0, 1.0]
