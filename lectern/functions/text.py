@@ -6,14 +6,23 @@ split, which has more members than Java's; "end" in a pattern is the absolute en
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space, for use inside a character class of Java or RE2.
 SPACE = r"\t-\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
+#: White space within a line.
+BLANK = SPACE.replace(r"\t-\r ", r"\t\x0b\f ").replace(r"\x{2028}\x{2029}", "")
 PARAGRAPH = "[P]"
 
 
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), where value is told once however often `then` names it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
 

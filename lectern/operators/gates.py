@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import SPACE, trimmed
+from lectern.functions.text import BLANK, SPACE, bound, trimmed
 
 # Topics and title words of reference works, marks of library boilerplate.
 TOPICS = (
     "dictionaries", "encyclopedias", "indexes", "periodicals", "directories", "catalogs", "bibliography", "census", "statistics", "reference", "concordances", "terminology", "glossaries",
 )
 TITLE = r"(?i)(?<![A-Za-z0-9_])(dictionar|thesaur|encyclop|word list|language list|word book|factbook|gazetteer|almanac|concordance|bibliograph|glossar|index (?:of|to)|linked index|catalogue of|catalog of|genome|human chromosome)(?![A-Za-z0-9_])"
-START_MARK = rf"(?i)\*\*\*[{SPACE}]*START OF (?:THE|THIS) PROJECT GUTENBERG[^*]*\*\*\*"
-SMALL_PRINT = rf"(?i)\*[{SPACE}]*END[^\n]*SMALL PRINT[^\n]*"
-END_MARK = rf"(?i)\*\*\*[{SPACE}]*END OF (?:THE|THIS) PROJECT GUTENBERG[^*]*\*\*\*"
+# Between a mark's asterisks and its words lie blanks alone: asterisks that end the line before are the text's.
+START_MARK = rf"(?i)\*\*\*[{BLANK}]*START OF (?:THE|THIS) PROJECT GUTENBERG[^*]*\*\*\*"
+SMALL_PRINT = rf"(?i)\*[{BLANK}]*END[^\n]*SMALL PRINT[^\n]*"
+END_MARK = rf"(?i)\*\*\*[{BLANK}]*END OF (?:THE|THIS) PROJECT GUTENBERG[^*]*\*\*\*"
 OLD_END = rf"(?i)\n[{SPACE}]*End of (?:the |this )?Project Gutenberg[^\n]*"
 CREDIT = rf"(?i)(produced by|prepared by|transcrib|proofread|distributed proofreading|pgdp\.net|gutenberg\.org|project gutenberg|updated editions|this e-?(?:text|book) was|html version|original illustrations|see [^{SPACE}]+-h\.(?:htm|zip))"
 LINK = rf"(?i)^[{SPACE}]*\(?https?://"
@@ -33,16 +34,24 @@ def _before(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), F.element_at(F.split(text, pattern, 2), 1))
 
 
+def _skipped(line: Column) -> Column:
+    return (trimmed(line) == "") | line.rlike(CREDIT) | line.rlike(LINK) | line.rlike(JOINING)
+
+
+def _without_credits(lines: Column) -> Column:
+    """Lines from the first on that is no credit; none behind it is looked at."""
+    step = lambda a, line: F.when(a["found"] | ~_skipped(line), F.struct(F.lit(True).alias("found"), a["n"].alias("n"))).otherwise(F.struct(F.lit(False).alias("found"), (a["n"] + 1).alias("n")))
+    n = F.aggregate(lines, F.struct(F.lit(False).alias("found"), F.lit(0).alias("n")), step, lambda a: a["n"])
+    return bound(n, lambda n: F.slice(lines, n + 1, F.size(lines)))
+
+
 def strip_boilerplate(text: Column) -> Column:
-    """The text between library marks, without leading credits and trademark lines (TXT-08)."""
-    text = F.regexp_replace(text, "\r\n", "\n")
-    text = F.coalesce(_after(text, START_MARK), _after(text, SMALL_PRINT), text)
-    text = F.coalesce(_before(text, END_MARK), _before(text, OLD_END), text)
-    lines = F.split(text, "\n")
-    skipped = lambda line: (trimmed(line) == "") | line.rlike(CREDIT) | line.rlike(LINK) | line.rlike(JOINING)
-    first = F.array_position(F.transform(lines, lambda line: ~skipped(line)), True)
-    kept = F.when(first > 0, F.slice(lines, first, F.size(lines))).otherwise(F.array().cast("array<string>"))
-    return trimmed(F.array_join(F.filter(kept, lambda line: ~line.rlike(TRADEMARK)), "\n"))
+    """The text between library marks, without leading credits and trademark lines (TXT-08). Each step's text is bound, so that none is told twice."""
+    kept = lambda lines: bound(_without_credits(lines), lambda k: F.array_join(F.filter(k, lambda line: ~line.rlike(TRADEMARK)), "\n"))
+    core = lambda t: trimmed(bound(F.split(t, "\n"), kept))
+    ended = lambda t: bound(F.coalesce(_before(t, END_MARK), _before(t, OLD_END), t), core)
+    begun = lambda t: bound(F.coalesce(_after(t, START_MARK), _after(t, SMALL_PRINT), t), ended)
+    return bound(F.regexp_replace(text, "\r\n", "\n"), begun)
 
 
 def metadata_reason(media: Column, languages: Column, copyright: Column, text_url: Column, topics: Column, title: Column) -> Column:

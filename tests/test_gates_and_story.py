@@ -150,3 +150,9 @@ def test_keyword_context(spark):
     assert [r.line for r in out] == [1, 2, 3, 4, 5, 8, 9, 10, 11]
     assert [r.line for r in out if r.after_gap] == [8] and {r.source_header for r in out} == {"Title: A Study"}
     assert re.search("saccade", out[2].text) and [r.line for r in out if r.hit] == [3, 10]
+
+
+def test_asterisks_that_end_a_line_open_no_mark(spark):
+    strip = lambda t: spark.createDataFrame([(t,)], "t string").select(gates.strip_boilerplate(F.col("t"))).first()[0]
+    assert strip("It began.***\n  End of this Project Gutenberg book\nlicense\n*** END OF THIS PROJECT GUTENBERG EBOOK ***\nrest") == "It began.***\nlicense"
+    assert strip("* * ***\nStart of the Project Gutenberg tale. ***\nOn.") == "* * ***\nOn."
