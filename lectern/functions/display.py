@@ -31,6 +31,12 @@ def strip_geometry(tokens: DataFrame, size: float, gap: float, key: str = "doc_i
     return wide.withColumn("centre", F.col("left") + F.col("width") / 2)
 
 
+def strip_end(words: Column, size: float, gap: float) -> Column:
+    """Centre of the last of a text's words on one line, and the width of all without gaps (WIN-16)."""
+    step = lambda a, x: F.struct((a["left"] + (word_width(x, size) + gap)).alias("left"), (a["left"] + word_width(x, size) / 2).alias("centre"), (a["width"] + word_width(x, size)).alias("width"))
+    return F.aggregate(words, F.struct(F.lit(0.0).alias("left"), F.lit(0.0).alias("centre"), F.lit(0.0).alias("width")), step)
+
+
 def trailing_velocity(samples: DataFrame, keys: list[str], t: str, x: str, span: int = 90, tie: str | None = None) -> DataFrame:
     """Change of x for each unit of t over the samples of the last `span` units (WIN-17). Of samples at one t the one with the least `tie` is first."""
     frame = Window.partitionBy(*keys).orderBy(t).rangeBetween(-span, 0)

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 SPACE = r"\t-\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
 #: White space within a line.
 BLANK = SPACE.replace(r"\t-\r ", r"\t\x0b\f ").replace(r"\x{2028}\x{2029}", "")
+#: Its members, to be trimmed off without a pattern.
+SPACES = "\t\n\x0b\f\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+#: A run of it in a Java pattern, where printable ASCII is told first.
+GAP = rf"[[^!-~]&&[{SPACE}]]+"
 PARAGRAPH = "[P]"
 
 
@@ -24,7 +28,7 @@ def bound(value: Column, then: Callable[[Column], Column]) -> Column:
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def unix_lines(text: Column) -> Column:
@@ -38,7 +42,7 @@ def marked(text: Column) -> Column:
 
 def raw_words(text: Column) -> Column:
     """Words and paragraph marks; a blank text is one empty word."""
-    return F.split(trimmed(marked(text)), rf"[{SPACE}]+")
+    return F.split(trimmed(marked(text)), GAP)
 
 
 def words(text: Column) -> Column:
@@ -47,7 +51,7 @@ def words(text: Column) -> Column:
 
 
 def words_in_line(line: Column) -> Column:
-    return F.when(trimmed(line) == "", 0).otherwise(F.size(F.split(trimmed(line), rf"[{SPACE}]+")))
+    return F.when(trimmed(line) == "", 0).otherwise(F.size(F.split(trimmed(line), GAP)))
 
 
 def ends_sentence(word: Column) -> Column:

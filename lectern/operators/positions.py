@@ -40,6 +40,11 @@ def around(probes: DataFrame, starts: DataFrame, keys: list[str], at: str) -> Da
     return both.filter("_kind = 0").select("_probe.*", "before", "after")
 
 
+def nearest(starts: Column, at: Column) -> tuple[Column, Column]:
+    """Of a list of starts the last before a position and the first behind it, null where there is none (JN-10)."""
+    return F.array_max(F.filter(starts, lambda s: s < at)), F.array_min(F.filter(starts, lambda s: s > at))
+
+
 def percent(done: Column, total: Column) -> Column:
     """Whole percent from 0 to 100, half up; 0 of nothing (PRJ-09)."""
     return F.when(total > 0, F.least(F.lit(100), F.floor(100.0 * done / total + 0.5))).otherwise(0).cast("int")

@@ -1,15 +1,18 @@
 """Documents as token, sentence and paragraph tables, and their playback schedule.
 
-Every positional table shares one id space: token ids count words from 0 and skip paragraph marks. Documents
-are dealt out by id before their words are exploded, so the windows below need no shuffle of tokens.
+Every positional table shares one id space: token ids count words from 0 and skip paragraph marks. Sentences and
+paragraphs are told from each text's own array of words: texts are dealt out by id once, and no tokens are shuffled,
+sorted or held but those of one text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import PARAGRAPH, clean_word, delay_units, dwell_tenths, ends_sentence, raw_words, words
+from lectern.functions.text import PARAGRAPH, bound, clean_word, delay_units, dwell_tenths, ends_sentence, raw_words, words
 
 BEFORE = (Window.unboundedPreceding, -1)
 
@@ -24,20 +27,79 @@ def dwell_by_document(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return w.select(key, F.size("w").cast("long").alias("n_tokens"), total.alias("dwell_tenths"), F.size(F.filter("w", ends_sentence)).cast("long").alias("sentence_ends"))
 
 
+def running(numbers: Column) -> Column:
+    """Of a list of whole numbers the sums of those before each."""
+
+    @F.arrow_udf("array<long>")
+    def sums(lists: pa.Array) -> pa.Array:
+        at, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype(np.int64)
+        before = np.concatenate([[0], np.cumsum(values)])
+        shifted = before[at[0] : at[-1]] - np.repeat(before[at[:-1]], np.diff(at))
+        return pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), pa.array(shifted))
+
+    return sums(numbers.cast("array<long>"))
+
+
+def _followed(w: Column) -> Column:
+    """Each word, marks left out, with what follows it (word, next)."""
+    return F.filter(F.transform(w, lambda x, i: F.struct(x.alias("word"), F.get(w, i + 1).alias("next"))), lambda t: t["word"] != PARAGRAPH)
+
+
+def _last(t: Column) -> Column:
+    return t["next"].isNull() | (t["next"] == PARAGRAPH)
+
+
+def units(docs: DataFrame, unit: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, w, units): the words of each text, and its sentences or paragraphs in order with first and last token id (TXT-01, WIN-01..04).
+
+    A blank or null text is one empty token. A literal mark in the text is taken for a paragraph break.
+    """
+    is_end = _last if unit == "paragraph" else lambda t: _last(t) | ends_sentence(t["word"])
+    ends = lambda t: F.filter(F.transform(t, lambda x, i: F.when(is_end(x), i)), lambda i: i.isNotNull())
+    spans = lambda e: F.transform(e, lambda x, k: F.struct(F.coalesce(F.get(e, k - 1) + 1, F.lit(0)).alias("start_id"), x.alias("end_id")))
+    found = bound(raw_words(F.coalesce(F.col(text), F.lit(""))), lambda w: bound(_followed(w), lambda t: F.struct(F.transform(t, lambda x: x["word"]).alias("w"), bound(ends(t), spans).alias("units"))))
+    return docs.select(key, text).repartition(key).select(key, found.alias("_found")).select(key, "_found.*")
+
+
 def tokens(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each token with its sentence, paragraph and flags (TXT-01, WIN-01..04).
 
     A blank or null text is one empty token. A literal mark in the text is taken for a paragraph break.
     """
-    order = Window.partitionBy(key).orderBy("at")
-    raw = docs.select(key, text).repartition(key).select(key, F.posexplode(raw_words(F.coalesce(text, F.lit("")))).alias("at", "word"))
-    raw = raw.withColumn("next", F.lead("word").over(order)).filter(F.col("word") != PARAGRAPH)
-    last = F.col("next").isNull() | (F.col("next") == PARAGRAPH)
-    raw = raw.select(key, (F.row_number().over(order) - 1).alias("id"), "word", "at", last.alias("paragraph_end"), (last | ends_sentence(F.col("word"))).alias("sentence_end"))
-    before = order.rowsBetween(*BEFORE)
-    count = lambda c: F.coalesce(F.sum(F.col(c).cast("int")).over(before), F.lit(0)).cast("long")
-    starts = F.coalesce(F.lag("sentence_end").over(order), F.lit(True))
-    return raw.select(key, "id", "word", clean_word(F.col("word")).alias("clean"), count("sentence_end").alias("sentence"), count("paragraph_end").alias("paragraph"), starts.alias("sentence_start"), "sentence_end", "paragraph_end", dwell_tenths(F.col("word")).alias("tenths"))
+    flagged = lambda t: F.transform(t, lambda x: F.struct(x["word"].alias("word"), _last(x).alias("paragraph_end"), (_last(x) | ends_sentence(x["word"])).alias("sentence_end")))
+    raw = docs.select(key, text).repartition(key).select(key, bound(bound(raw_words(F.coalesce(F.col(text), F.lit(""))), _followed), flagged).alias("t"))
+    count = lambda c: running(F.transform("t", lambda x: x[c].cast("long")))
+    raw = raw.withColumns({"sentence": count("sentence_end"), "paragraph": count("paragraph_end")})
+    rows = raw.select(key, F.posexplode(F.arrays_zip("t", "sentence", "paragraph", F.transform("t", lambda x, i: (i == 0) | F.get("t", i - 1)["sentence_end"]).alias("sentence_start"))).alias("id", "x"))
+    rows = rows.select(key, "id", "x.t.*", "x.sentence", "x.paragraph", "x.sentence_start")
+    return rows.select(key, "id", "word", clean_word(F.col("word")).alias("clean"), "sentence", "paragraph", "sentence_start", "sentence_end", "paragraph_end", dwell_tenths(F.col("word")).alias("tenths"))
+
+
+def unit_spans(docs: DataFrame, unit: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """First and last token id and size of each sentence or paragraph (AGG-12)."""
+    rows = units(docs, unit, key, text).select(key, F.posexplode("units").alias(unit, "u"))
+    n = F.col("u.end_id") - F.col("u.start_id") + 1
+    return rows.select(key, F.col(unit).cast("long").alias(unit), F.col("u.start_id").cast("long").alias("start_id"), F.col("u.end_id").cast("long").alias("end_id"), n.cast("long").alias("n_tokens"))
+
+
+def sentence_schedule(docs: DataFrame, wpm: int = 300, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Start and end of each sentence in milliseconds, with fractions (WIN-15, FN-04, FN-05).
+
+    Whole units are summed and divided once, so no rounding adds up over a text.
+    """
+    shown = lambda w, first: F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + delay_units(x, F.lit(first), wpm))
+    of = lambda u: F.slice("w", u["start_id"] + 1, F.lit(1)), lambda u: F.slice("w", u["start_id"] + 2, u["end_id"] - u["start_id"])
+    timed = units(docs, "sentence", key, text).select(key, F.transform("units", lambda u: shown(of[0](u), True) + shown(of[1](u), False)).alias("length"))
+    rows = timed.withColumn("before", running(F.col("length"))).select(key, F.posexplode(F.arrays_zip("before", "length")).alias("sentence", "u"))
+    return rows.select(key, F.col("sentence").cast("long").alias("sentence"), (F.col("u.before") / F.lit(float(wpm))).alias("start_ms"), ((F.col("u.before") + F.col("u.length")) / F.lit(float(wpm))).alias("end_ms"))
+
+
+def sentence_openings(docs: DataFrame, reach: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, id, word, near): each sentence's first word, and as (id, word) the words within `reach` of it and itself, in order (WIN-10)."""
+    low = lambda at: F.greatest(at - reach, F.lit(0))
+    near = lambda at: F.transform(F.slice("w", low(at) + 1, at - low(at) + 1 + reach), lambda x, i: F.struct((low(at) + i).alias("id"), x.alias("word")))
+    found = F.transform("units", lambda u: F.struct(u["start_id"].alias("id"), F.get("w", u["start_id"]).alias("word"), near(u["start_id"]).alias("near")))
+    return units(docs, "sentence", key, text).select(key, F.explode(found).alias("s")).select(key, "s.*")
 
 
 def spans(tokens: DataFrame, unit: str, key: str = "doc_id") -> DataFrame:
@@ -60,7 +122,12 @@ def neighbours(tokens: DataFrame, reach: int, fade: float, floor: float, key: st
     """The words within `reach` of each token, and the opacity of the outermost (WIN-10)."""
     frame = Window.partitionBy(key).orderBy("id")
     around = F.collect_list("word").over(frame.rowsBetween(-reach, reach))
-    return tokens.select("*", F.array_join(around, " ").alias("around"), F.greatest(F.lit(floor), 1 - fade * F.least(F.col("id"), F.lit(reach))).alias("edge_opacity"))
+    return tokens.select("*", F.array_join(around, " ").alias("around"), edge_opacity(reach, fade, floor).alias("edge_opacity"))
+
+
+def edge_opacity(reach: int, fade: float, floor: float) -> Column:
+    """Opacity of the outermost of the words before a row's id."""
+    return opacity(F.least(F.col("id"), F.lit(reach)), fade, floor)
 
 
 def books(docs: DataFrame, front: str = "", back: str = "", block: int = 1000) -> DataFrame:
@@ -83,6 +150,15 @@ def faded_neighbours(tokens: DataFrame, frame: str, key: str = "doc_id") -> Data
     reach, fade, floor = FRAMES[frame]
     order = Window.partitionBy(key).orderBy("id")
     near = F.collect_list(F.struct("id", "word")).over(order.rowsBetween(-reach, reach))
+    return tokens.withColumn("near", faded(near, fade, floor))
+
+
+def opacity(distance: Column, fade: float, floor: float) -> Column:
+    return F.greatest(F.lit(floor), 1 - fade * distance)
+
+
+def faded(near: Column, fade: float, floor: float) -> Column:
+    """Of the (id, word) near a row's id as (distance, id, word, opacity), nearest first and the earlier before the later, without its own."""
     far = lambda x: F.abs(x["id"] - F.col("id"))
-    faded = F.transform(F.filter(near, lambda x: x["id"] != F.col("id")), lambda x: F.struct(far(x).cast("long").alias("distance"), x["id"].cast("long").alias("id"), x["word"].alias("word"), F.greatest(F.lit(floor), 1 - fade * far(x)).alias("opacity")))
-    return tokens.withColumn("near", F.array_sort(faded))
+    shown = lambda x: F.struct(far(x).cast("long").alias("distance"), x["id"].cast("long").alias("id"), x["word"].alias("word"), opacity(far(x), fade, floor).alias("opacity"))
+    return F.array_sort(F.transform(F.filter(near, lambda x: x["id"] != F.col("id")), shown))

@@ -111,3 +111,20 @@ def test_scalar_functions(spark):
     assert [one(fn.focal_index(F.lit("x" * n))) for n in (0, 1, 5, 6, 10, 14)] == [0, 0, 1, 2, 3, 4]
     assert one(fn.rolling_hash(F.lit("ab"))) == 97 * 31 + 98
     assert one(fn.is_html(F.lit("\n <!DOCTYPE html>"))) and not one(fn.is_html(F.lit("text <html")))
+
+
+def test_units_need_no_tokens_side_by_side(spark):
+    texts = ["One two. Three four\n\nFive! six", "", None, "\n\n", "a [P] [P] b.", "[P]", "x. y. z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    tokens = st.tokens(df)
+    for unit in ("sentence", "paragraph"):
+        assert rows(st.unit_spans(df, unit)) == rows(st.spans(tokens, unit))
+    shown = st.schedule(tokens, 350).groupBy("doc_id", "sentence").agg(F.min("start_ms"), F.max("end_ms"))
+    assert rows(st.sentence_schedule(df, 350)) == rows(shown)
+    near = {(r.doc_id, r.id): r.near for r in st.faded_neighbours(tokens, "line").filter("sentence_start").collect()}
+    found = st.sentence_openings(df, 5).withColumn("near", st.faded(F.col("near"), *st.FRAMES["line"][1:]))
+    assert {(r.doc_id, r.id): r.near for r in found.collect()} == near
+    for made in (st.unit_spans(df, "sentence"), st.sentence_schedule(df), st.sentence_openings(df, 4)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Sort " not in plan  # tokens in a task's memory grew with the input
