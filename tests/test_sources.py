@@ -123,3 +123,11 @@ def test_bundles_and_versions(spark, tmp_path):
     assert json.loads(b) == {"v": 1, "starts": {"1": 3, "2": 5}, "nn": ["9"]}
     got = spark.createDataFrame([("1.2.3",), ("1.2.9",), ("1.9.9",)], "v string").select(writers.next_version(F.col("v")).alias("v")).collect()
     assert [r.v for r in got] == ["1.2.4", "1.3.0", "2.0.0"]
+
+
+def test_steps_of_a_stream_dont_grow_with_its_batches(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "id AS batch")
+    writers.batch_files(rows, str(tmp_path / "in"))
+    files = writers.files_a_step(spark, str(tmp_path / "in"), steps=4)
+    assert 25 <= files <= 26
+    assert writers.files_a_step(spark, str(tmp_path / "in"), steps=1000) == 1
