@@ -17,8 +17,6 @@ SPACE = r"\t-\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\
 BLANK = SPACE.replace(r"\t-\r ", r"\t\x0b\f ").replace(r"\x{2028}\x{2029}", "")
 #: Its members, to be trimmed off without a pattern.
 SPACES = "\t\n\x0b\f\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
-#: A run of it in a Java pattern, where printable ASCII is told first.
-GAP = rf"[[^!-~]&&[{SPACE}]]+"
 PARAGRAPH = "[P]"
 
 
@@ -31,6 +29,11 @@ def trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
 
 
+def parts(text: Column) -> Column:
+    """A text cut at its runs of white space; where it is all ASCII, by a pattern that need not know the others."""
+    return F.when(F.octet_length(text) == F.length(text), F.split(text, r"[\t-\r ]+")).otherwise(F.split(text, rf"[{SPACE}]+"))
+
+
 def unix_lines(text: Column) -> Column:
     return F.regexp_replace(text, r"\r\n?", "\n")
 
@@ -42,7 +45,7 @@ def marked(text: Column) -> Column:
 
 def raw_words(text: Column) -> Column:
     """Words and paragraph marks; a blank text is one empty word."""
-    return F.split(trimmed(marked(text)), GAP)
+    return bound(trimmed(marked(text)), parts)
 
 
 def words(text: Column) -> Column:
@@ -51,7 +54,7 @@ def words(text: Column) -> Column:
 
 
 def words_in_line(line: Column) -> Column:
-    return F.when(trimmed(line) == "", 0).otherwise(F.size(F.split(trimmed(line), GAP)))
+    return bound(trimmed(line), lambda t: F.when(t == "", 0).otherwise(F.size(parts(t))))
 
 
 def ends_sentence(word: Column) -> Column:

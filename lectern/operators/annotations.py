@@ -10,7 +10,7 @@ from lectern.operators.chapters import STRONG_START
 from lectern.operators.story import anchor_index, spaced
 
 # Headings that give a scene its label. Here roman numerals count in either case.
-NUMBERED = rf"(?i)^(chapter|chap|book|part|letter|canto|stave|volume|section)\.?[{SPACE}]+([0-9]{{1,3}}|[ivxlcdm]+)[.):\]]*(?:[{SPACE}]+(.+))?\z"
+NUMBERED = rf"(?i)^(chapter|chap|book|part|letter|canto|stave|volume|section)\.?[{SPACE}]+([0-9]{{1,9}}|[ivxlcdm]+)[.):\]]*(?:[{SPACE}]+(.+))?\z"
 ROMAN_LABEL = rf"(?i)^([ivxlcdm]+)\.[{SPACE}]+([A-Z].{{1,56}})\z"
 BARE = r"(?i)^([ivxlcdm]+|[0-9]{1,3})\.?\z"
 ALONE = r"(?i)^(prologue|epilogue|introduction|preface|foreword|afterword|conclusion)\.?\z"
@@ -53,8 +53,9 @@ def labelled_scenes(lines: DataFrame, key: str = "book_id") -> DataFrame:
         .when(t.rlike(ALONE), title_case(part(ALONE, 1)))
     )
     found = lines.filter((t != "") & (F.length(t) <= 70)).select(key, F.col("word_index").cast("long").alias("start_index"), label.alias("label")).filter("label is not null")
-    kept = found.groupBy(key).agg(spaced(F.array_sort(F.collect_list("start_index"))).alias("s")).select(key, F.explode("s").alias("start_index"))
-    return found.join(kept, [key, "start_index"])
+    listed = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start_index", "label"))).alias("all"))
+    kept = listed.withColumn("kept", spaced(F.transform("all", lambda s: s["start_index"]))).select(key, "kept", F.explode("all").alias("s"))
+    return kept.filter(F.array_contains("kept", F.col("s.start_index"))).select(key, "s.*")
 
 
 def resolved_scenes(docs: DataFrame, anchors: DataFrame, key: str = "book_id", words: str = "w") -> DataFrame:
