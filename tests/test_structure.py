@@ -128,3 +128,11 @@ def test_units_need_no_tokens_side_by_side(spark):
     for made in (st.unit_spans(df, "sentence"), st.sentence_schedule(df), st.sentence_openings(df, 4)):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan and "Sort " not in plan  # tokens in a task's memory grew with the input
+
+
+def test_lines_need_no_sort_of_texts(spark):
+    df = spark.createDataFrame([(1, "One two\r\n\r\n three "), (2, None), (3, "a\nb c\n\nd")], "book_id int, text string")
+    found = ch.lines(df)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 0, "One two", 2, 0), (1, 1, "", 0, 2), (1, 2, "three", 1, 2), (2, 0, "", 0, 0), (3, 0, "a", 1, 0), (3, 1, "b c", 2, 1), (3, 2, "", 0, 3), (3, 3, "d", 1, 3)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort " not in plan
