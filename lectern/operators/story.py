@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import PARAGRAPH, SPACE, letters_only, marked, raw_words, rounded, words
+from lectern.functions.text import PARAGRAPH, SPACE, bound, letters_only, marked, raw_words, rounded, words
 from lectern.operators.chapters import winning
 from lectern.sources.shared import scratch
 
@@ -147,11 +147,12 @@ def story_starts(books: DataFrame, found: DataFrame, key: str = "book_id", text:
 
 def anchor_index(w: Column, anchor: Column) -> Column:
     """Token id at which a phrase begins, compared by letters and digits alone; null if it doesn't occur (TXT-11)."""
-    parts, needle = F.transform(w, letters_only), letters_only(anchor)
-    at = F.when(needle == "", -1).otherwise(F.instr(F.array_join(parts, ""), needle) - 1)
-    # the place is found once and rides along in the fold
-    step = lambda a, p: F.struct((a["end"] + F.length(p)).alias("end"), (a["n"] + F.when(a["end"] + F.length(p) <= a["at"], 1).otherwise(0)).alias("n"), a["at"].alias("at"))
-    return F.aggregate(parts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"), at.alias("at")), step, lambda a: F.when(a["at"] >= 0, a["n"]))
+    needle = letters_only(anchor)
+    place = lambda parts: F.when(needle == "", -1).otherwise(F.instr(F.array_join(parts, ""), needle) - 1)
+    # letters and place are told once; words are counted only where there is a place
+    step = lambda at: lambda a, p: F.struct((a["end"] + F.length(p)).alias("end"), (a["n"] + F.when(a["end"] + F.length(p) <= at, 1).otherwise(0)).alias("n"))
+    counted = lambda parts, at: F.aggregate(parts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), step(at), lambda a: a["n"])
+    return bound(F.transform(w, letters_only), lambda parts: bound(place(parts), lambda at: F.when(at >= 0, counted(parts, at))))
 
 
 def _grams(letters: str, n: int) -> np.ndarray:
