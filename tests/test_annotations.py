@@ -68,3 +68,8 @@ def test_velocity_from_the_first_of_samples_at_one_time(spark):
     for some in (rows, rows[::-1]):
         df = spark.createDataFrame(some, "k string, t int, x double, id int")
         assert [r.velocity for r in display.trailing_velocity(df, ["k"], "t", "x", tie="id").orderBy("id").collect()] == [0.0, 0.0, 1.0]
+
+
+def test_chapters_of_four_digits_are_labelled(spark):
+    lines = spark.createDataFrame([(1, 0, "CHAPTER 1000", 0)], "book_id int, line int, trimmed string, word_index long")
+    assert [tuple(r) for r in an.labelled_scenes(lines).collect()] == [(1, 0, "Chapter 1000")]
