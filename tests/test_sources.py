@@ -55,6 +55,24 @@ def test_fetch_with_fallback(spark, tmp_path):
     assert {(r.id, r.text, r.error) for r in rows} == {("1", "body", None), ("2", None, "not found")}
 
 
+def test_many_pages_are_few_tasks_and_all_read(tmp_path):
+    for p in range(1, 1001):
+        put(tmp_path / f"p{p}.json", {"results": [{"id": p}]})
+    reader = readers._PagedReader({"url": f"file://{tmp_path}/p{{page}}.json", "pages": "1003"})
+    parts = reader.partitions()
+    assert len(parts) <= readers.TASKS and sorted(page for part in parts for page, _, _ in reader.read(part)) == list(range(1, 1001))
+    assert [readers.pages_a_step(n, least=7) for n in (0, 20, 300, 72_000, 10**6)] == [7, 7, 15, 2000, 2000]
+
+
+def test_named_files_are_written_by_the_tasks_as_they_are(spark, tmp_path):
+    rows = spark.range(500).repartition(4).select(F.concat("id", F.lit(".txt")).alias("name"), F.when(F.col("id") > 0, F.concat(F.lit("é "), F.col("id").cast("string"), F.lit("\n"))).alias("text"))
+    for _ in range(2):
+        place = writers.named_files(rows, f"{tmp_path}/files")
+    assert sorted(p.name for p in (tmp_path / "files").iterdir()) == sorted(f"{i}.txt" for i in range(500))
+    got = readers.fetched(spark.range(501).select("id"), [place + "/{id}.txt"], tries=1, pause=0).collect()
+    assert {(r.id, r.text) for r in got} == {("0", ""), ("500", None)} | {(str(i), f"é {i}\n") for i in range(1, 500)}
+
+
 def test_first_tier(spark):
     frame = lambda rows: spark.createDataFrame(rows, "id int, text string")
     out = readers.first_tier("id", frame([(1, ""), (2, "cache")]), frame([(1, " <!DOCTYPE html>"), (2, "m"), (3, "mirror")]), frame([(1, "origin"), (4, None)]))
