@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ KEYWORDS = (
     "training", "apparatus", "display", "textual matter", "embodiment",
 )
 
+CONTEXT_HEADER = r"^(#+ |Title:|Source:|US[0-9]+)|Project Gutenberg"
 MIN_GAP, DEEP = 120, 0.4
 #: Letters of an anchor by which it meets texts, and logarithms of the least and most bits of the filter for those.
 GRAM, LEAST_BITS, MOST_BITS = 8, 16, 28
@@ -263,13 +265,42 @@ def resolved_anchors(docs: DataFrame, anchors: DataFrame, key: str = "doc_id", t
     return out
 
 
+def _near_lines(pattern: str, reach: int):
+    """Of batches (key, low, text) the lines as keyword_context gives them; low is the text in small letters."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low, cut = (pc.split_pattern(batch[c], "\n") for c in ("low", "text"))
+            raw, n = cut.flatten(), pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+            doc, start = np.repeat(np.arange(len(n)), n), np.repeat(np.cumsum(n) - n, n)
+            at, plain = np.arange(len(doc)), pc.utf8_trim(raw, " ")
+            hit = pc.and_(pc.greater(pc.utf8_length(plain), 20), pc.match_substring_regex(low.flatten(), pattern)).to_numpy(zero_copy_only=False)
+            shown = hit.copy()
+            for k in range(1, min(reach, len(doc) - 1) + 1):
+                same = doc[k:] == doc[:-k]
+                shown[k:] |= hit[:-k] & same
+                shown[:-k] |= hit[k:] & same
+            header = pc.match_substring_regex(raw, CONTEXT_HEADER).to_numpy(zero_copy_only=False)
+            head = np.maximum.accumulate(np.where(header, at, -1))
+            rows = np.flatnonzero(shown)
+            mine = head[rows] >= start[rows]
+            title = pc.fill_null(plain.take(pa.array(head[rows], mask=~mine)), "Unknown Source")
+            line, of = (at - start)[rows], doc[rows]
+            first = np.concatenate(([True], of[1:] != of[:-1]))[: len(rows)]
+            gap = pa.array(np.diff(line, prepend=0) > 1, mask=first)
+            yield pa.RecordBatch.from_arrays(
+                [batch[0].take(pa.array(of)), pa.array(line, pa.int64()), plain.take(pa.array(rows)), pa.array(hit[rows].astype(np.int32)), title, gap],
+                names=[batch.schema.names[0], "line", "text", "hit", "source_header", "after_gap"],
+            )
+
+    return near
+
+
 def keyword_context(docs: DataFrame, reach: int = 2, keywords: tuple[str, ...] = KEYWORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Lines that hold a keyword and those around them, with separators where lines were left out (TXT-18, WIN-07..09)."""
-    order = Window.partitionBy(key).orderBy("line")
-    cut = docs.select(key, text).repartition(key).select(key, F.posexplode(F.split(text, "\n")).alias("line", "raw"))
-    plain = F.trim(F.col("raw"))
-    header = F.col("raw").rlike(r"^(#+ |Title:|Source:|US[0-9]+)") | F.col("raw").contains("Project Gutenberg")
-    hit = (F.length(plain) > 20) & F.lower("raw").rlike("|".join(k.replace("-", "\\-") for k in sorted(keywords)))
-    marked = cut.select(key, "line", "raw", hit.cast("int").alias("hit"), F.coalesce(F.last(F.when(header, plain), ignorenulls=True).over(order), F.lit("Unknown Source")).alias("source_header"))
-    near = marked.withColumn("near", F.max("hit").over(order.rowsBetween(-reach, reach))).filter("near = 1")
-    return near.select(key, F.col("line").cast("long").alias("line"), plain.alias("text"), "hit", "source_header", (F.col("line") - F.lag("line").over(order) > 1).alias("after_gap"))
+    """Lines that hold a keyword and those around them, with separators where lines were left out (TXT-18, WIN-07..09).
+
+    All is told from each text's own lines, by one automaton for all keywords: lines that aren't shown are neither shuffled nor sorted.
+    """
+    pattern = "|".join(k.replace("-", "\\-") for k in sorted(keywords))
+    cut = docs.select(key, F.col(text).alias("text")).filter("text is not null").repartition(key).select(key, F.lower("text").alias("low"), "text")
+    return cut.mapInArrow(_near_lines(pattern, reach), f"`{key}` {dict(docs.dtypes)[key]}, line long, text string, hit int, source_header string, after_gap boolean")

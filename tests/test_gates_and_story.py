@@ -152,6 +152,19 @@ def test_keyword_context(spark):
     assert re.search("saccade", out[2].text) and [r.line for r in out if r.hit] == [3, 10]
 
 
+def test_keyword_context_of_many_texts_sorts_no_lines(spark):
+    hit = "the saccade is a \u212aeen movement"
+    texts = [(1, f"Title: One\n{hit}\na"), (2, None), (3, ""), (4, f"x\n  {hit}  \nSource: Four\nb\nc\nd\n{hit}"), (5, f"US12 x\nb\nc\nd\n{hit.replace('saccade', 'FATIGUE')}")]
+    out = story.keyword_context(spark.createDataFrame(texts, "doc_id int, text string").coalesce(1), 1)
+    assert sorted((r.doc_id, r.line, r.hit, r.source_header, r.after_gap) for r in out.collect()) == [
+        (1, 0, 0, "Title: One", None), (1, 1, 1, "Title: One", False), (1, 2, 0, "Title: One", False),
+        (4, 0, 0, "Unknown Source", None), (4, 1, 1, "Unknown Source", False), (4, 2, 0, "Source: Four", False), (4, 5, 0, "Source: Four", True), (4, 6, 1, "Source: Four", False),
+        (5, 3, 0, "US12 x", None), (5, 4, 1, "US12 x", False),
+    ]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+
+
 def test_asterisks_that_end_a_line_open_no_mark(spark):
     strip = lambda t: spark.createDataFrame([(t,)], "t string").select(gates.strip_boilerplate(F.col("t"))).first()[0]
     assert strip("It began.***\n  End of this Project Gutenberg book\nlicense\n*** END OF THIS PROJECT GUTENBERG EBOOK ***\nrest") == "It began.***\nlicense"
