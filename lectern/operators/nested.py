@@ -1,7 +1,7 @@
 """Named arrays somewhere inside JSON values, found over VARIANT without a Python worker.
 
-A walk keeps two arrays a row: the nodes of the level it is on, and the items found so far. Each level is one
-projection, so a table is scanned once and nothing is shuffled, whatever the depth.
+A walk keeps two arrays a row: the nodes of the level it is on, and the items found so far. It is one fold over the
+levels, so a table is scanned once and nothing is shuffled, whatever the depth.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions.text import bound
+
 DEPTH = 8
 
 _LIST, _MAP = "array<variant>", "map<string,variant>"
@@ -43,19 +45,19 @@ def nested_items(rows: DataFrame, name: str, column: str = "value", keep: list[s
     keep = [c for c in rows.columns if c != column] if keep is None else keep
     node_type = "array<struct<path:array<int>,node:variant>>"
     start = F.when(F.col(column).isNotNull(), F.array(F.struct(F.array().cast("array<int>").alias("path"), F.col(column).alias("node"))))
-    walk = rows.select(*keep, F.coalesce(start, F.array()).cast(node_type).alias("_level"), F.array().cast(node_type).alias("_found"))
     inside = lambda path, nodes: F.transform(nodes, lambda c, i: F.struct(F.concat(path, F.array(i)).alias("path"), c.alias("node")))
     none = F.array().cast(node_type)
-    for level in range(depth + 1):
-        opened = F.transform("_level", lambda n: F.struct(n["path"].alias("path"), n["node"].alias("node"), _named(n["node"], name).alias("own"), _spelled(n["node"], name).alias("text")))
-        walk = walk.withColumn("_open", opened)
-        found = F.transform("_open", lambda n: F.coalesce(inside(n["path"], n["own"]), none))
-        if take_strings:
-            text = F.transform("_open", lambda n: F.coalesce(inside(n["path"], F.coalesce(F.try_variant_get(n["text"], "$", _LIST), _named(n["text"], name))), none))
-            found = F.zip_with(found, text, lambda a, b: F.concat(a, b))
-        below = lambda n: F.when(n["own"].isNotNull(), none).when(n["text"].isNotNull(), none if take_strings else inside(n["path"], F.array(n["text"]))).otherwise(inside(n["path"], _children(n["node"])))
-        walk = walk.select(*keep, (F.flatten(F.transform("_open", below)) if level < depth else none).alias("_level"), F.concat("_found", F.flatten(found)).alias("_found"))
-    return walk.select(*keep, F.explode("_found").alias("_item")).select(*keep, "_item.path", F.col("_item.node").alias("item"))
+    opened = lambda nodes: F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), n["node"].alias("node"), _named(n["node"], name).alias("own"), _spelled(n["node"], name).alias("text")))
+    own = lambda n: F.coalesce(inside(n["path"], n["own"]), none)
+    spelled = lambda n: F.coalesce(inside(n["path"], F.coalesce(F.try_variant_get(n["text"], "$", _LIST), _named(n["text"], name))), none)
+    items = (lambda n: F.concat(own(n), spelled(n))) if take_strings else own
+    below = lambda n: F.when(n["own"].isNotNull(), none).when(n["text"].isNotNull(), none if take_strings else inside(n["path"], F.array(n["text"]))).otherwise(inside(n["path"], _children(n["node"])))
+    state = lambda level, found: F.struct(level.cast(node_type).alias("level"), found.cast(node_type).alias("found"))
+    deeper = lambda a, at, nodes: state(F.when(at < depth, F.flatten(F.transform(nodes, below))).otherwise(none), F.concat(a["found"], F.flatten(F.transform(nodes, items))))
+    # a level that holds no more nodes costs next to nothing, and a fold is one expression, however deep
+    step = lambda a, at: F.when(F.size(a["level"]) == 0, a).otherwise(bound(opened(a["level"]), lambda nodes: deeper(a, at, nodes)))
+    found = F.aggregate(F.sequence(F.lit(0), F.lit(depth)), state(F.coalesce(start, F.array()), none), step, lambda a: a["found"])
+    return rows.select(*keep, F.explode(found).alias("_item")).select(*keep, "_item.path", F.col("_item.node").alias("item"))
 
 
 def harvested(items: DataFrame, order: list[str]) -> DataFrame:

@@ -81,3 +81,10 @@ def test_first_of_each_id_counts(spark):
 
 def test_empty_table(spark):
     assert found(spark, []) == []
+
+
+def test_a_deeper_walk_is_no_longer_plan(spark):
+    rows = spark.range(3).select("id", F.try_parse_json(F.lit('{"a": [{"b": {"books": [{"id": 1}, {"id": 2}]}}, {"books": [3]}]}')).alias("value"))
+    walks = [nested_items(rows, "books", depth=d) for d in (1, 4, 40)]
+    steps = [w._jdf.queryExecution().optimizedPlan().toString().count("Project") for w in walks]
+    assert steps[0] == steps[1] == steps[2] and [w.count() for w in walks] == [0, 9, 9]
