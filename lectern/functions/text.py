@@ -17,6 +17,8 @@ SPACE = r"\t-\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\
 BLANK = SPACE.replace(r"\t-\r ", r"\t\x0b\f ").replace(r"\x{2028}\x{2029}", "")
 #: Its members, to be trimmed off without a pattern.
 SPACES = "\t\n\x0b\f\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+#: The same class for long texts, in Java: most characters are told by one range, before the members are gone through.
+_SPACE = rf"[^!-\x{{9f}}\x{{a1}}-\x{{167f}}]&&[{SPACE}]"
 PARAGRAPH = "[P]"
 
 
@@ -31,7 +33,7 @@ def trimmed(text: Column) -> Column:
 
 def parts(text: Column) -> Column:
     """A text cut at its runs of white space; where it is all ASCII, by a pattern that need not know the others."""
-    return F.when(F.octet_length(text) == F.length(text), F.split(text, r"[\t-\r ]+")).otherwise(F.split(text, rf"[{SPACE}]+"))
+    return F.when(F.octet_length(text) == F.length(text), F.split(text, r"[\t-\r ]+")).otherwise(F.split(text, f"[{_SPACE}]+"))
 
 
 def unix_lines(text: Column) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import SPACE, heading_title, number_key, title_case, trimmed, unix_lines, words, words_in_line
-from lectern.operators.structure import running
+from lectern.functions.text import SPACE, heading_title, number_key, title_case, trimmed, unix_lines, words
+from lectern.operators.structure import line_words
 
 # Heading forms, and words that open front and back matter.
 KEYWORD = rf"(?i)^(chapter|chap|book|part|letter|canto|stave|volume|section)\.?[{SPACE}]+(?:no\.?[{SPACE}]*)?([0-9]{{1,3}}|[ivxlcdm]+)[.):\]]*(?:[{SPACE}]+(.+))?\z"
@@ -27,8 +27,8 @@ BACK_FROM, BACK_CHARS = 0.55, 40
 def lines(books: DataFrame, key: str = "book_id", text: str = "text") -> DataFrame:
     """Each line with its number, trimmed text, number of tokens (n) and the id of its first token (WIN-05). A null text is one empty line."""
     cut = books.select(key, text).repartition(key).select(key, F.transform(F.split(unix_lines(F.coalesce(text, F.lit(""))), "\n"), trimmed).alias("trimmed"))
-    counted = cut.withColumn("n", F.transform("trimmed", words_in_line)).withColumn("word_index", running(F.col("n")))
-    return counted.select(key, F.posexplode(F.arrays_zip("trimmed", "n", "word_index")).alias("line", "l")).select(key, "line", "l.*")
+    counted = cut.withColumn("c", line_words(F.col("trimmed")))
+    return counted.select(key, F.posexplode(F.arrays_zip("trimmed", "c")).alias("line", "l")).select(key, "line", "l.trimmed", "l.c.n", "l.c.word_index")
 
 
 def plausible_title(rest: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import PARAGRAPH, SPACE, bound, letters_only, marked, raw_words, rounded, words
 from lectern.operators.chapters import winning
+from lectern.operators.structure import n_words, some_words
 from lectern.sources.shared import scratch
 
 # Front matter, headings of scenes, words that research extracts look for.
@@ -130,10 +131,11 @@ def prose_start(text: Column) -> Column:
 def story_starts(books: DataFrame, found: DataFrame, key: str = "book_id", text: str = "text") -> DataFrame:
     """Start, confidence, method and the first 14 words of every book (TXT-09, SRT-11, AGG-18).
 
-    A book's headings meet it once, as one sorted array; all the rest is told from that array.
+    A book's headings meet it once, as one sorted array; all the rest is told from that array. Prose is looked for only
+    in books without headings.
     """
-    w = books.select(key, words(F.col(text)).alias("w"), prose_start(F.col(text)).alias("prose"))
-    rows = w.join(_body(found, key), key, "left").withColumn("total", F.size("w"))
+    met = books.select(key, F.col(text).alias("text")).join(_body(found, key), key, "left")
+    rows = met.withColumns({"total": n_words(F.col("text")), "prose": F.when(F.col("h").isNull(), prose_start(F.col("text")))})
     chosen, contents_only = _chosen(F.col("h"), F.col("total"))
     rows = rows.withColumns({"c": chosen, "toc": contents_only}).withColumn("gap", F.coalesce(F.col("c.next"), F.col("total")) - F.col("c.word_index"))
     deep = F.col("c.word_index") > F.col("total") * DEEP
@@ -144,7 +146,7 @@ def story_starts(books: DataFrame, found: DataFrame, key: str = "book_id", text:
     suffix = F.when(F.col("toc"), ":toc-only").when(deep, ":deep").otherwise("")
     method = F.when(known, F.concat(F.lit("chapters:"), "c.dialect", suffix)).otherwise(by("prose-fallback", "none"))
     start = F.coalesce(F.col("c.word_index").cast("long"), F.col("prose").cast("long"), F.lit(0))
-    return rows.select(key, start.alias("start"), confidence.alias("confidence"), method.alias("method"), F.col("c.title").alias("heading"), F.coalesce("n_headings", F.lit(0)).cast("long").alias("n_headings"), F.col("total").cast("long").alias("total"), F.array_join(F.slice("w", (start + 1).cast("int"), 14), " ").alias("preview"))
+    return rows.select(key, start.alias("start"), confidence.alias("confidence"), method.alias("method"), F.col("c.title").alias("heading"), F.coalesce("n_headings", F.lit(0)).cast("long").alias("n_headings"), F.col("total").cast("long").alias("total"), some_words(F.col("text"), start, 14).alias("preview"))
 
 
 def anchor_index(w: Column, anchor: Column) -> Column:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import PARAGRAPH, bound, clean_word, delay_units, dwell_tenths, ends_sentence, raw_words, words
+from lectern.functions.text import PARAGRAPH, SPACES, bound, clean_word, delay_units, dwell_tenths, ends_sentence, raw_words, words
 
 BEFORE = (Window.unboundedPreceding, -1)
 
@@ -40,6 +40,87 @@ def running(numbers: Column) -> Column:
     return sums(numbers.cast("array<long>"))
 
 
+_BLANK, _LEAD = np.zeros(256, bool), np.zeros(256, bool)
+_BLANK[[ord(c) for c in SPACES if c < "\x80"]] = True
+_LEAD[[c.encode()[0] for c in SPACES if c >= "\x80"]] = True
+_WIDE = np.array([ord(c) for c in SPACES if c >= "\u0800"])
+
+
+class _Words:
+    """Where words begin in the bytes of some texts: `at` over all, `first` and one more the numbers of each text's own; marks are left out if told so."""
+
+    def __init__(self, texts: pa.Array, marks: bool = True):
+        wide = pa.types.is_large_string(texts.type)
+        ends = np.frombuffer(texts.buffers()[1] or b"", np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        ends = ends if len(ends) else np.zeros(1, np.int64)
+        self.data = data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        self.ends = ends = ends - ends[0]
+        self.blank = blank = _BLANK[data]
+        lead = np.flatnonzero(_LEAD[data])
+        two = lead[data[lead] == 0xC2]
+        two = two[data[two + 1] == 0xA0]
+        three = lead[data[lead] >= 0xE0]
+        code = (data[three].astype(int) & 15) << 12 | (data[three + 1].astype(int) & 63) << 6 | data[three + 2].astype(int) & 63
+        three = three[np.isin(code, _WIDE)]
+        for i in (two, two + 1, three, three + 1, three + 2):
+            blank[i] = True
+        edge = np.ones(len(data) + 1, bool)  # a blank or the end of a text lies before
+        edge[1:] = blank
+        edge[ends] = True
+        at = np.flatnonzero(~blank & edge[:-1])
+        if not marks:
+            may = at[at + 3 <= len(data)]
+            is_mark = (data[may] == 0x5B) & (data[may + 1] == 0x50) & (data[may + 2] == 0x5D) & ~edge[may + 1] & ~edge[may + 2]
+            may = may[is_mark]
+            over = edge[may + 3] | np.append(blank, True)[may + 3]
+            at = np.setdiff1d(at, may[over], assume_unique=True)
+        self.at, self.first = at, np.searchsorted(at, ends)
+
+    def some(self, text: int, start: int, n: int) -> str:
+        """n words of a text from the one of that number, joined by blanks."""
+        lo, end = self.first[text] + start, self.ends[text + 1]
+        found = []
+        for a in self.at[lo : min(lo + n, self.first[text + 1])]:
+            stop = self.blank[a:end].argmax()
+            found.append(self.data[a : a + stop if stop else end].tobytes().decode())
+        return " ".join(found)
+
+
+def line_words(lines: Column) -> Column:
+    """Of a list of trimmed lines the number of words in each (n) and in those before it (word_index)."""
+
+    @F.arrow_udf("array<struct<n:int,word_index:bigint>>")
+    def counted(lists: pa.Array) -> pa.Array:
+        of = lists.offsets.to_numpy()
+        first = _Words(lists.flatten()).first
+        of, before = of - of[0], first[:-1]
+        shifted = before - np.repeat(first[of[:-1] - of[0]], np.diff(of))
+        return pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.StructArray.from_arrays([pa.array(np.diff(first), pa.int32()), pa.array(shifted, pa.int64())], names=["n", "word_index"]))
+
+    return counted(lines)
+
+
+def n_words(text: Column) -> Column:
+    """size(words(text)), without cutting it."""
+
+    @F.arrow_udf("int")
+    def count(texts: pa.Array) -> pa.Array:
+        return pa.array(np.diff(_Words(texts, marks=False).first), pa.int32(), mask=~texts.is_valid().to_numpy(zero_copy_only=False))
+
+    return F.when(count(text) > 0, count(text)).otherwise(F.size(words(text)))
+
+
+def some_words(text: Column, start: Column, n: int) -> Column:
+    """Up to n words of a text from the one of a number, joined by blanks; null of null."""
+
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, starts: pa.Array) -> pa.Array:
+        w = _Words(texts, marks=False)
+        return pa.array([w.some(i, at.as_py(), n) if ok.as_py() else None for i, (at, ok) in enumerate(zip(starts, texts.is_valid()))], pa.string())
+
+    return cut(text, start)
+
+
 def _followed(w: Column) -> Column:
     """Each word, marks left out, with what follows it (word, next)."""
     return F.filter(F.transform(w, lambda x, i: F.struct(x.alias("word"), F.get(w, i + 1).alias("next"))), lambda t: t["word"] != PARAGRAPH)

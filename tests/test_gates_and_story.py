@@ -4,8 +4,10 @@ import time
 
 from pyspark.sql import functions as F
 
+from lectern.functions import text as fn
 from lectern.operators import chapters as ch
 from lectern.operators import gates, positions, story
+from lectern.operators import structure as st
 
 
 def one(spark, c):
@@ -105,6 +107,19 @@ def test_story_starts_scan_twice_and_shuffle_little(spark):
     assert plan.count("Exchange") <= 4 and plan.count("Join") == 1
 
 
+def test_prose_is_looked_for_only_without_headings_and_words_are_counted_uncut(spark):
+    books = spark.createDataFrame([("b", "CHAPTER 1\n\ntext")], "book_id string, text string")
+    plan = story.story_starts(books, ch.headings(ch.lines(books)))._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.index("aggregate(") < plan.index("Join")  # above the join: the headings are known there
+    pieces = ["a", "é", "[P]", "[", "P]", "x[P]", " ", "\n", "\n \n", "\r\n", "\t", "\xa0", "\u3000", "\ufeff", "\u2003", "\u2014", "\x85", "\U0001f600"]
+    texts = [x + y + z for x in pieces for y in pieces for z in pieces] + ["", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    w, split = fn.words(F.col("t")), F.transform(F.split(fn.unix_lines(F.coalesce("t", F.lit(""))), "\n"), fn.trimmed)
+    df = df.select("t", F.size(w).alias("n"), st.n_words(F.col("t")).alias("counted"), F.array_join(F.slice(w, 2, 2), " ").alias("some"), st.some_words(F.col("t"), F.lit(1), 2).alias("cut"), split.alias("l"))
+    df = df.select("*", F.transform("l", fn.words_in_line).alias("in_line")).select("*", st.running(F.col("in_line")).alias("before"), st.line_words(F.col("l")).alias("c"))
+    assert df.filter("not (n <=> counted and some <=> cut and in_line <=> c.n and before <=> c.word_index)").isEmpty()
+
+
 def test_front_matter_is_passed_over(spark):
     words = " ".join(["word"] * 150)
     text = f"FOREWORD\n\n{words}\n\nINTRODUCTION\n\n{words}\n\nCHAPTER 1\n\n{words}\n\nCHAPTER 2\n\n{words}\n\nCHAPTER 3\n\n{words}"
