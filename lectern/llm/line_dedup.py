@@ -28,15 +28,18 @@ MIN_DOCS, LONG_WORDS, LONG_DOCS = 10, 50, 3
 FIELD = "<*>"
 
 
-def masked(rows: DataFrame, line: str) -> DataFrame:
-    """rows with `masked` for the line: its tokens with single blanks, those with a digit replaced by FIELD."""
+def _spaced(line: str) -> Column:
+    """A line's tokens with single blanks."""
     text = F.col(line)
     loose = text.startswith(" ") | text.endswith(" ")
     for mark in ("  ", "\t", "\n", "\x0b", "\x0c", "\r"):
         loose = loose | text.contains(mark)
-    blank = F.when(loose, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(text)
-    field = F.when(F.col("masked").rlike("[0-9]"), F.regexp_replace("masked", r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(F.col("masked"))
-    return rows.withColumn("masked", blank).withColumn("masked", field)
+    return F.when(loose, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(text)
+
+
+def _fields(spaced: str) -> Column:
+    """Tokens with single blanks, those with a digit replaced by FIELD."""
+    return F.when(F.col(spaced).rlike("[0-9]"), F.regexp_replace(spaced, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(F.col(spaced))
 
 
 def _row_key(id_: Column, text: Column) -> list[Column]:
@@ -86,13 +89,14 @@ def line_templates(docs: DataFrame, id_col: str, text_col: str, lead: int = LEAD
     """(k1, k2, at, n, template) for the lines whose leaf has lines enough; k1 and k2 stand for the row, n is the number of tokens, the template is a digest."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(*_row_key(docs[id_col], text), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    rows = masked(rows, "line").drop("line").filter("masked <> ''")
-    rows = rows.withColumn("n", F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
-    rows = rows.withColumn("leaf", F.concat_ws(" ", F.col("n").cast("string"), F.substring_index("masked", " ", lead)))
-    rows = stored(rows, "lines")
+    # a leaf is told by a line's first tokens: lines are cut twice, and only those of full leaves are masked as a whole and written
+    rows = rows.withColumn("spaced", _spaced("line")).drop("line").filter("spaced <> ''")
+    rows = rows.withColumns({"n": F.octet_length("spaced") - F.octet_length(F.replace("spaced", F.lit(" "), F.lit(""))) + 1, "opening": F.substring_index("spaced", " ", lead)})
+    rows = rows.withColumn("leaf", F.concat_ws(" ", F.col("n").cast("string"), _fields("opening"))).drop("opening")
     full = rows.groupBy("leaf").agg(F.count("*").alias("lines"), F.min("n").alias("n")).filter(F.col("lines") >= _asked(F.col("n"), min_docs)).select("leaf")
-    every, rows = rows, stored(sized_join(rows, full, "leaf").select("k1", "k2", "at", "leaf", "n", "masked"), "lines")
-    discard(every)
+    full = stored(full, "leaves")
+    rows = stored(sized_join(rows, full, "leaf").select("k1", "k2", "at", "leaf", "n", _fields("spaced").alias("masked")), "lines")
+    discard(full)
 
     distinct = stored(rows.select("leaf", "n", "masked").distinct(), "templates")
     taken, levels = _tree(distinct, similar, splits)

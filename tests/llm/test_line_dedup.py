@@ -3,6 +3,8 @@ import re
 import time
 from collections import Counter, defaultdict
 
+from lectern.llm import line_dedup as line_dedup_module
+from lectern.llm.common import stored
 from lectern.llm.line_dedup import FIELD, LEAD, LONG_DOCS, LONG_WORDS, SIMILAR, SPLITS, line_dedup
 
 SCHEMA = "doc_id long, text string, line string, at int, leaf string"
@@ -113,3 +115,14 @@ def test_long_lines_and_texts_of_many_lines_take_linear_time(spark):
 
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_only_lines_of_full_leaves_are_written(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(line_dedup_module, "stored", lambda df, tag: written.append((tag, stored(df, tag))) or written[-1][1])
+    monkeypatch.setattr(line_dedup_module, "discard", lambda df: None)
+    rows = [(i, f"own{chr(97 + i)} words stand here\nSeen at {i}:00 by  all of us\n\t \n7 {'z' * i} end") for i in range(12)]
+    out = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all((r.n_lines, r.n_dropped) == (4, 1) and "Seen" not in r.text for r in out)
+    lines = [r.masked for tag, df in written if tag == "lines" and "masked" in df.columns for r in df.select("masked").collect()]
+    assert lines == ["Seen at <*> by all of us"] * 12
