@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import clearing, discard, new_path, sized_join
+from lectern.llm.common import clearing, discard, new_path, observed, sized_join
 from lectern.llm.exact_dedup import exact_dedup
 from lectern.llm.language_id import fit, language_of
 from lectern.llm.mixing import in_training_order, mix
@@ -45,8 +45,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     key = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("-")).alias("_id")
     dropped = near_dedup(docs).filter("not kept").select(key("doc_id"), F.col("text_key").alias("_key")).distinct()
+    dropped, seen = observed(dropped, "dropped", many=F.count("*"), size=F.coalesce(F.sum(F.octet_length("_id") + 16), F.lit(0)))
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), key("doc_id"), F.xxhash64(docs["text"]).alias("_key"))
-    return sized_join(keyed, dropped, ["_id", "_key"], "left_anti").select("row.*")
+    return sized_join(keyed, dropped, ["_id", "_key"], "left_anti", known=(seen["many"], seen["size"])).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast if it is counted to have no more rows and bytes than these; beyond them joins shuffle.
@@ -64,12 +64,24 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, tag: str, **values: Column) -> tuple[DataFrame, dict]:
+    """df as stored() gives it, and aggregates of its rows that were taken while they were written: no job of their own."""
+    seen = Observation()
+    df = stored(df.observe(seen, *[value.alias(name) for name, value in values.items()]), tag)
+    return df, seen.get
+
+
 def discard(df: DataFrame) -> None:
     """Deletes what stored() wrote, once nothing reads it any more."""
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         _delete(df.sparkSession, name)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Has the driver collect its garbage: only then Spark drops the broadcasts and shuffle files of steps that are done, which fill heap and disks meanwhile."""
+    spark._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows, for texts of any length."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
@@ -100,9 +112,9 @@ def _bytes(df: DataFrame) -> Column:
     return size
 
 
-def sized_join(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
-    """Join with a side that is broadcast only if it is counted to be small; else both sides are shuffled."""
-    n, size = small.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(_bytes(small)), F.lit(0))).first()
+def sized_join(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner", known: tuple[int, int] | None = None) -> DataFrame:
+    """Join with a side that is broadcast only if it is counted to be small; else both sides are shuffled. known: its rows and bytes, if they needn't be counted."""
+    n, size = known or small.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(_bytes(small)), F.lit(0))).first()
     if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
         small = F.broadcast(small)
     return df.join(small, on, how)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import discard, stored
+from lectern.llm.common import discard, observed
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,24 +13,28 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each step is a grouped minimum and a join, so a hub costs no task more than its share of rows; every step
     is written to the shared folder. Loops count as no edge. No edges give no rows.
+
+    The steps end when every node has one edge and none leads to a node that has an edge itself. The first is counted
+    while edges are written, only then the second is looked up: a step that changes nothing would cost several times that.
     """
-    e, mark = _marked(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    while mark[0]:
-        both = e.union(e.select("v", "u")).toDF("x", "y")
+    e, seen = _counted(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), F.lit(1).alias("more")).filter("u <> v"))
+    while seen["n"] and (seen["more"] or not _inner(e).isEmpty()):
+        both = e.select("u", "v").union(e.select("v", "u")).toDF("x", "y")
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.filter("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        before, was = e, mark
-        e, mark = _marked(small.union(least).distinct())
+        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"), F.lit(1).alias("more"))
+        before = e
+        e, seen = _counted(small.union(least.select("u", "m", F.lit(0))))
         discard(before)
-        if was == mark:
-            break
     return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
-def _marked(e: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
-    """The stored edges, with their number and a digest that was taken while they were written."""
-    seen = Observation()
-    e = stored(e.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("digest")), "edges")
-    return e, (seen.get["n"], seen.get["digest"] or 0)
+def _counted(e: DataFrame) -> tuple[DataFrame, dict]:
+    """The stored distinct edges, their number n, and how many (more) a node may have beside its least."""
+    return observed(e.groupBy("u", "v").agg(F.max("more").alias("more")), "edges", n=F.count("*"), more=F.sum("more"))
+
+
+def _inner(e: DataFrame) -> DataFrame:
+    """Edges that lead to a node that has one itself."""
+    return e.select("v").join(e.select(F.col("u").alias("v")), "v", "left_semi")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import discard, partitions, release, sized_join, small_batches, stored
+from lectern.llm.common import discard, observed, partitions, release, sized_join, small_batches, stored, tidy
 from lectern.llm.components import components
 from lectern.llm.shingles import WordHashes, common, mixed, shingle_set
 
@@ -131,16 +131,16 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
 
 
-def _texts_of(need: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """cls, set_key and text for the classes in need."""
-    need = sized_join(classes.select("cls", "set_key", "id"), need, "cls")
-    return sized_join(docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "text"), need, "id").select("cls", "set_key", "text")
+def _texts_of(need: DataFrame, n: int, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """cls, set_key and text for the n classes in need."""
+    need = sized_join(classes.select("cls", "set_key", "id"), need, "cls", known=(n, 8 * n))
+    return sized_join(docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "text"), need, "id", known=(n, 40 * n)).select("cls", "set_key", "text")
 
 
 def _overlaps(active: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(cls, shared, bits): how many of its shingles a class of another component has too, and its bitmap; only classes that may be linked."""
-    labels = active.select("cls", "n", "label").distinct()
-    texts = _texts_of(labels.select("cls"), classes, docs)
+    labels, seen = observed(active.select("cls", "n", "label").distinct(), "labelled", many=F.count("*"))
+    texts = _texts_of(labels.select("cls"), seen["many"], classes, docs)
     rows = texts.mapInArrow(_shingles, "cls long, shingle long").join(labels.select("cls", "label"), "cls")
     both = rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("shingle")
     shared = rows.join(both, "shingle").groupBy("cls").agg(F.count("*").alias("shared"))
@@ -148,19 +148,19 @@ def _overlaps(active: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
     return stored(classes.select("cls", "bits").join(found, "cls"), "overlaps")
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of pairs (pivot, member) whose sets are similar enough, as stored edges (a, b)."""
+def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, int]:
+    """Those of pairs (pivot, member) whose sets are similar enough, as stored edges (a, b), and their number."""
     n = partitions(pairs.sparkSession)
-    need = stored(pairs.select("pivot").union(pairs.select("member")).toDF("cls").distinct(), "need")
-    sets = stored(_texts_of(need, classes, docs).mapInArrow(_sets, "cls long, shingles binary"), "sets")
+    need, seen = observed(pairs.select("pivot").union(pairs.select("member")).toDF("cls").distinct(), "need", many=F.count("*"))
+    sets = stored(_texts_of(need, seen["many"], classes, docs).mapInArrow(_sets, "cls long, shingles binary"), "sets")
     parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     members = pairs.join(parts, "pivot").select("pivot", "member", F.expr("pmod(xxhash64(member), parts)").cast("int").alias("part"))
     members = members.join(sets, F.col("member") == F.col("cls")).select("pivot", "part", "member", "shingles")
     pivots = parts.join(sets, F.col("pivot") == F.col("cls")).select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("member"), "shingles")
     dealt = pivots.unionByName(members).repartition(n, "pivot", "part").sortWithinPartitions("pivot", "part", F.col("member").asc_nulls_first())
-    edges = stored(dealt.mapInArrow(_confirm, "a long, b long").distinct(), "links")
+    edges, seen = observed(dealt.mapInArrow(_confirm, "a long, b long").distinct(), "links", many=F.count("*"))
     discard(sets)
-    return edges
+    return edges, seen["many"]
 
 
 def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
@@ -179,8 +179,10 @@ def _best(met: DataFrame) -> DataFrame:
 
 
 def _merged(labels: DataFrame, pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """labels after the links among pairs."""
-    edges = _linked(stored(pairs, "pairs"), classes, docs)
+    """labels after the links among pairs, which are stored."""
+    edges, many = _linked(pairs, classes, docs)
+    if not many:
+        return labels
     ends = _with_label(_with_label(edges, labels, "a", "la"), labels, "b", "lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
     return _relabelled(labels, ends)
 
@@ -221,16 +223,15 @@ def _proposed(active: DataFrame, reach: int) -> DataFrame:
 
 
 def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
-    for a, b in (("pivot", "member"), ("member", "pivot")):
-        pairs = pairs.join(tested.select(F.col(a).alias("pivot"), F.col(b).alias("member")), ["pivot", "member"], "left_anti")
-    return pairs
+    return pairs.join(tested.union(tested.select("member", "pivot")), ["pivot", "member"], "left_anti")
 
 
-def _divided(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with their labels, of the buckets that have classes of more than one component."""
+def _divided(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int | None]:
+    """Members, with their labels, of the buckets that have classes of more than one component; the most classes that such a bucket has."""
     marked = _with_label(members, labels, "cls", "label")
     divided = marked.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("band")
-    return stored(marked.join(divided, "band"), "active")
+    active, seen = observed(marked.join(divided, "band"), "active", most=F.max("many"))
+    return active, seen["most"]
 
 
 def near_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,29 +263,32 @@ def near_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     met = stored(members.filter("cls <> pivot").groupBy("cls", "pivot").count(), "met")
     tested = stored(_best(met), "pairs")
-    labels = _relabelled(None, _linked(stored(_plausible(tested, classes), "pairs"), classes, docs))
+    labels = _relabelled(None, _linked(stored(_plausible(tested, classes), "pairs"), classes, docs)[0])
+    tidy(spark)
     apart = _with_label(_with_label(met, labels, "cls", "label"), labels, "pivot", "p_label").filter("label <> p_label")
     pairs = stored(_untested(_best(apart), tested), "pairs")
-    labels = _merged(labels, _plausible(pairs, classes), classes, docs)
-    tested = stored(tested.unionByName(pairs), "pairs")
+    labels = _merged(labels, stored(_plausible(pairs, classes), "pairs"), classes, docs)
+    tested = tested.unionByName(pairs)
     discard(met)
+    tidy(spark)
 
-    left = _divided(members, labels)
+    left, _ = _divided(members, labels)
     overlaps = _overlaps(left, classes, docs)
     discard(left)
     before, members = members, stored(members.join(overlaps, "cls"), "members")
     discard(before)
+    tidy(spark)
     reach = FIRST
     while True:
-        active = _divided(members, labels)
-        most = active.agg(F.max("many")).first()[0]
+        active, most = _divided(members, labels)
         if most is None or reach > GROWTH * most:
             break
-        pairs = stored(_untested(_proposed(active, reach), tested), "pairs")
-        if not pairs.isEmpty():
+        pairs, seen = observed(_untested(_proposed(active, reach), tested), "pairs", many=F.count("*"))
+        if seen["many"]:
             labels = _merged(labels, pairs, classes, docs)
-            tested = stored(tested.unionByName(pairs), "pairs")
+            tested = tested.unionByName(pairs)
         discard(active)
+        tidy(spark)
         reach *= GROWTH
 
     known = _with_label(classes, labels, "cls", "label")

@@ -86,3 +86,40 @@ def test_min_max_signature_is_an_unbiased_estimate():
 def test_components_of_a_path(spark, n):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 100), (200, 300)], "a long, b long")
     assert {(r.node, r.label) for r in components(edges).collect()} == {(i, 0) for i in range(1, n + 1)} | {(300, 200)}
+
+
+def test_components_match_a_search(spark):
+    rng = random.Random(11)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)] + [(500, 500 + i) for i in range(1, 60)] + [(600 + i, 600 + (i + 1) % 9) for i in range(9)] + [(700, 701), (701, 700), (702, 702)]
+    near = defaultdict(set)
+    for a, b in edges:
+        near[a].add(b)
+        near[b].add(a)
+    want, seen = set(), set()
+    for least in sorted(near):
+        todo = [] if least in seen else [least]
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += near[x]
+                want |= {(x, least)} - {(least, least)}
+    found = components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()
+    assert len(found) == len(want) and {(r.node, r.label) for r in found} == want
+
+
+def jobs_of(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_driver_runs_few_jobs(spark):
+    """Each job's plan, threads and broadcasts take memory of the driver; there were 99 jobs when sides of joins were counted and tables were copied by jobs of their own."""
+    rng = random.Random(3)
+    base = [[f"v{rng.randrange(500)}" for _ in range(80)] for _ in range(20)]
+    rows = [(20 * k + i, " ".join([*words[k:], *(f"t{k}" for _ in range(k))])) for i, words in enumerate(base) for k in range(6)]
+    assert jobs_of(spark, "near", lambda: near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()) < 90
